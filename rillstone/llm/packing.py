@@ -26,7 +26,7 @@ CAPACITY, END = 4096, 2
 #: Windows that rests fill before they are packed; tokens of words a worker keeps ready.
 GROUP, CACHE = 128, 400_000
 #: Tokens of the longest piece that differencing gets, and tokens it may leave in a window.
-PIECE, SLACK = 1024, 8
+PIECE, SLACK = 512, 16
 
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
