@@ -6,17 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, packing, quality_rules, url_reputation
+from . import mixing, packing, quality_rules, substring_dedup, url_reputation
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality_rules": quality_rules.query,
     "op3_source_mixing": mixing.query,
     "op4_sequence_packing": packing.query,
     "op5_url_reputation": url_reputation.query,
+    "op7_substring_dedup": substring_dedup.query,
 }
 
 ORACLES: dict[str, str] = {
     "op2_quality_rules": quality_rules.ORACLE,
     "op3_source_mixing": mixing.ORACLE,
     "op5_url_reputation": url_reputation.ORACLE,
+    "op7_substring_dedup": substring_dedup.ORACLE,
 }
