@@ -20,7 +20,7 @@ _pow = np.ones(1, np.uint64)
 PORTION = 1 << 21
 
 
-def _powers(n: int) -> np.ndarray:
+def powers(n: int) -> np.ndarray:
     global _pow
     if len(_pow) < n:
         out = np.full(max(n, 1024), np.uint64(_P))
@@ -79,7 +79,7 @@ def tokens_of(buf: np.ndarray, offsets: np.ndarray, lower: bool = False) -> Toke
     lens = ends - starts
     at = np.cumsum(lens) - lens
     within = np.arange(at[-1] + lens[-1], dtype=np.int64) - np.repeat(at, lens)
-    terms = _powers(int(lens.max()) + 1)[within] * (buf[black].astype(np.uint64) + np.uint64(1))
+    terms = powers(int(lens.max()) + 1)[within] * (buf[black].astype(np.uint64) + np.uint64(1))
     return Tokens(buf, starts, ends, first, mix(np.add.reduceat(terms, at) + lens.astype(np.uint64) * _K3))
 
 
