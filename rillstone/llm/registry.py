@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import jaccard_join, line_dedup, mixing, packing, quality_rules, substring_dedup, url_reputation
+from . import embedding_dedup, jaccard_join, line_dedup, mixing, packing, quality_rules, substring_dedup, url_reputation
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality_rules": quality_rules.query,
@@ -14,6 +14,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_sequence_packing": packing.query,
     "op5_url_reputation": url_reputation.query,
     "op7_substring_dedup": substring_dedup.query,
+    "op8_embedding_dedup": embedding_dedup.query,
     "op9_jaccard_join": jaccard_join.query,
     "op10_line_dedup": line_dedup.query,
 }
