@@ -24,7 +24,7 @@ from .common import for_python
 
 CAPACITY, END = 4096, 2
 #: Windows that rests fill before they are packed; tokens of words a worker keeps ready.
-GROUP, CACHE = 128, 400_000
+GROUP, CACHE = 64, 600_000
 #: Tokens of the longest piece that differencing gets, and tokens it may leave in a window.
 PIECE, SLACK = 512, 16
 
@@ -71,9 +71,11 @@ def pack(sizes: list[int], capacity: int = CAPACITY) -> list[list[int]]:
 
 
 class WordTokens:
-    """Ids of a text by a tokenizer that never looks across white space, as little-endian bytes.
+    """Ids of a text by a tokenizer that never looks across a space, as little-endian bytes.
 
-    Each distinct word is tokenized once while it stays in the cache.
+    Each distinct word is tokenized once while it stays in the cache. Of plain words (Latin letters,
+    then punctuation, if any) letters and punctuation are pieces, if the tokenizer cuts there; such
+    pieces go to its model alone. Other words go through the whole tokenizer.
     """
 
     def __init__(self, path: str):
@@ -81,25 +83,39 @@ class WordTokens:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.known: dict[str, bytes] = {}
-
-    def learn(self, found: list[str]) -> None:
-        if len(self.known) + len(found) > CACHE:
-            self.known.clear()
-        for at in range(0, len(found), 20_000):
-            part = found[at : at + 20_000]
-            for word, enc in zip(part, self.tokenizer.encode_batch(part, add_special_tokens=False), strict=True):
-                self.known[word] = b"".join(i.to_bytes(4, "little") for i in enc.ids)
+        self.known: dict[str, bytes] = {"": b""}
+        self.pieces: dict[str, bytes] = {"": b""}
+        pre = self.tokenizer.pre_tokenizer
+        self.letters = str.maketrans({c: pre.pre_tokenize_str(c)[0][0] for c in map(chr, range(0xDF, 0x100)) if c.isalpha()}) if pre else {}
+        tried = ("Ab", "\u00c9\u00dfa\u00ff.", "zq!?.,", "Ou\u00e8$$$", "\u00e4|", "Theaonenat,")
+        self.plain = re.compile(r"([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([.,;:!?#*$%&|]*)")
+        if any(self.quick(w) != self.ids(w) for w in tried):
+            self.plain = re.compile(r"(?!)")  # another kind of tokenizer
+
+    def ids(self, text: str) -> bytes:
+        return b"".join(i.to_bytes(4, "little") for i in self.tokenizer.encode(text, add_special_tokens=False).ids)
+
+    def piece(self, text: str) -> bytes:
+        found = self.pieces.get(text)
+        if found is None:
+            found = b"".join([t.id.to_bytes(4, "little") for t in self.tokenizer.model.tokenize(text.translate(self.letters))])
+            if len(self.pieces) > CACHE:
+                self.pieces = {"": b""}
+            self.pieces[text] = found
+        return found
+
+    def quick(self, word: str) -> bytes:
+        m = self.plain.fullmatch(word)
+        return self.piece(m[1].lower()) + self.piece(m[2]) if m else self.ids(word)
 
     def encode(self, texts: list[str]) -> Iterator[bytes]:
-        spaces = re.compile(r"[ \t\n\r]+")
-        split = [spaces.split(t) for t in texts]
-        need = set().union(*split) if split else set()
-        missing = [w for w in need if w not in self.known]
+        split = [t.split(" ") for t in texts]
+        need = set(itertools.chain.from_iterable(split))
+        missing = need - self.known.keys()
         if len(self.known) + len(missing) > CACHE:
-            self.known.clear()
-            missing = list(need)
-        self.learn(missing)
+            self.known = {"": b""}
+            missing = need - self.known.keys()
+        self.known.update((w, self.quick(w)) for w in missing)
         get = self.known.__getitem__
         for parts in split:
             yield b"".join(map(get, parts))
