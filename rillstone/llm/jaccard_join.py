@@ -225,9 +225,10 @@ def _block_links(table: pa.Table, percent: int) -> pa.Table:
 
 
 def near_duplicates(documents: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """doc_id, row_key, n_shingles, component_id of every row of documents (doc_id, text).
+    """doc_id, row_key, group, n_shingles, component_id of every row of documents (doc_id, text).
 
-    component_id: the least doc_id that links reach; sets of equal tokens link. Null and wordless
+    component_id: the least doc_id that links reach; sets of equal tokens link. group: the same for rows
+    that links join, even where ids repeat. row_key: a hash of the row. Null and wordless
     texts have no shingle and link with nothing. A null doc_id is no component_id unless there is no
     other. Repeated rows link; an empty table gives an empty result.
     """
@@ -260,10 +261,10 @@ def near_duplicates(documents: DataFrame, k: int = SHINGLE, percent: int = PERCE
     joined = components(links).select(F.col("node").alias("set"), F.col("component").alias("top"))
     of_class = classes.join(joined, "set", "left").withColumn("top", F.coalesce("top", "set"))
     lowest = of_class.groupBy("top").agg(F.min("least").alias("component_id"))
-    of_set = written(of_class.select("set", "top").join(lowest, "top").select("set", "component_id"), "sets")
+    of_set = written(of_class.select("set", "top").join(lowest, "top").select("set", "component_id", "top"), "sets")
     linked = known_docs.join(of_set, "set", "left")
-    return linked.select("doc_id", "row_key", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
+    return linked.select("doc_id", "row_key", F.coalesce("top", "row_key").alias("group"), "n_shingles", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet")).drop("row_key")
+    return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet")).drop("row_key", "group")
