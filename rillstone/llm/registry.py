@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import embedding_dedup, jaccard_join, line_dedup, mixing, packing, quality_rules, substring_dedup, url_reputation
+from . import embedding_dedup, jaccard_join, line_dedup, mixing, packing, pii_surrogates, quality_rules, substring_dedup, url_reputation
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality_rules": quality_rules.query,
     "op3_source_mixing": mixing.query,
     "op4_sequence_packing": packing.query,
     "op5_url_reputation": url_reputation.query,
+    "op6_pii_surrogates": pii_surrogates.query,
     "op7_substring_dedup": substring_dedup.query,
     "op8_embedding_dedup": embedding_dedup.query,
     "op9_jaccard_join": jaccard_join.query,
