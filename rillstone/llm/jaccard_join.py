@@ -2,8 +2,9 @@
 
 A document's set is the distinct hashes of its SHINGLE-word runs. Sets of equal tokens are one class.
 In one order of all tokens, rare ones first, two sets that link share one of the first n - ceil(t n) + 1
-tokens of each; sets that share such a token, or are joined by a chain of those that do, are a group of
-similar sets. A large group is dealt out by pairs of blocks. In a block, sets stand in rows of ROW, and
+tokens of each, and so many of them that with all later ones they can reach the overlap. Pairs that do,
+and all sets of a token that LONG sets or more share, are joined to groups of similar sets, by chains.
+A large group is dealt out by pairs of blocks. In a block, sets stand in rows of ROW, and
 the token union of each row is kept: a set's overlap with the union bounds its overlap with each of the
 row's sets, and only rows that the bound lets through are opened and compared token by token.
 
@@ -27,6 +28,8 @@ from .textkernel import by_bucket, join_hashes, mix, portions, powers, ranges, s
 SHINGLE, PERCENT = 4, 85
 #: Times a token stands in a task to be counted; tokens that the order knows as frequent.
 REPEATS, COMMON = 4, 300_000
+#: Sets of a token from which they are joined as they are, not by pairs.
+LONG = 64
 #: Tokens a bucket holds and a task gathers; sets in a block and in a row of the matrix.
 BUCKET, FLUSH, BLOCK, ROW = 200_000, 1_000_000, 1000, 32
 NO_ID = -(2**63)
@@ -106,17 +109,17 @@ def _prefixes(x: _Sets, common: np.ndarray, percent: int) -> tuple[np.ndarray, n
 
 def _send(batches: Iterator[pa.RecordBatch], k: int, percent: int, buckets: int, common: np.ndarray) -> Iterator[pa.RecordBatch]:
     """Packed prefix tokens with their sets by the token's bucket, and what is known of each document."""
-    held: list[list[np.ndarray]] = [[], []]
+    held: list[list[np.ndarray]] = [[], [], []]
     docs: list[list[np.ndarray]] = [[], [], [], []]
     m = np.uint64(buckets)
 
     def flush() -> Iterator[pa.RecordBatch]:
-        tokens, sets = (np.concatenate(h) for h in held)
+        tokens, sets, sizes = (np.concatenate(h) for h in held)
         order = np.lexsort((sets, tokens))
-        tokens, sets = tokens[order], sets[order]
+        tokens, sets, sizes = tokens[order], sets[order], sizes[order].astype(np.int32)
         new = np.append(True, (tokens[1:] != tokens[:-1]) | (sets[1:] != sets[:-1]))[: len(tokens)]
-        tokens, sets = tokens[new], sets[new]
-        out = [(b, squeeze(b"\0", tokens[i], sets[i])) for b, i in by_bucket((tokens % m).astype(np.int64))]
+        tokens, sets, sizes = tokens[new], sets[new], sizes[new]
+        out = [(b, squeeze(b"\0", tokens[i], sets[i], sizes[i])) for b, i in by_bucket((tokens % m).astype(np.int64))]
         ids, rows, sizes, hashes = (np.concatenate(d) for d in docs)
         out += [(b, squeeze(b"\1", ids[i], rows[i], sizes[i], hashes[i])) for b, i in by_bucket((rows.view(np.uint64) % m).astype(np.int64))]
         for h in (*held, *docs):
@@ -135,6 +138,7 @@ def _send(batches: Iterator[pa.RecordBatch], k: int, percent: int, buckets: int,
             lead[first] = True
             held[0].append(tokens[lead[owner]])
             held[1].append(x.hash[owner[lead[owner]]])
+            held[2].append(x.size[owner[lead[owner]]])
             for d, new in zip(docs, (ids[a:b], rows[a:b], x.size.astype(np.int64), x.hash), strict=True):
                 d.append(new)
         if sum(map(len, held[0])) > FLUSH:
@@ -143,21 +147,37 @@ def _send(batches: Iterator[pa.RecordBatch], k: int, percent: int, buckets: int,
         yield from flush()
 
 
-def _meet(table: pa.Table) -> pa.Table:
-    """Kind 0: sets a, b that share a token, each with the token's least; kind 1: id, row, size and set of documents."""
+def _meet(table: pa.Table, percent: int) -> pa.Table:
+    """What a bucket's tokens and documents tell.
+
+    Kind 0: sets a, b of a token of many sets, a its least; kind 1: id, row, size and set of documents;
+    kind 2: sets a, b of like size that share c of the tokens, and their sizes, in one number.
+    """
     tokens, docs = [], []
     for packed in table.column("packed").to_pylist():
         kind, *parts = spread(packed)
         (docs if kind == b"\1" else tokens).append(parts)
     out = [np.zeros((0, 5), np.int64)]
     if tokens:
-        t, s = (np.concatenate([np.frombuffer(p[i], np.uint64) for p in tokens]) for i in range(2))
+        t, s, n = (np.concatenate([np.frombuffer(p[i], d) for p in tokens]) for i, d in enumerate((np.uint64, np.int64, np.int32)))
         order = np.lexsort((s, t))
-        t, s = t[order], s[order].view(np.int64)
-        start = np.append(True, t[1:] != t[:-1])[: len(t)]
-        least = s[start][np.cumsum(start) - 1]
-        pairs = np.unique(np.stack([least, s], 1)[least != s], axis=0)
+        t, s, n = t[order], s[order], n[order].astype(np.int64)
+        new = np.append(True, (t[1:] != t[:-1]) | (s[1:] != s[:-1]))[: len(t)]
+        t, s, n = t[new], s[new], n[new]
+        start = np.flatnonzero(np.append(True, t[1:] != t[:-1])[: len(t)])
+        length = np.diff(np.append(start, len(t)))
+        long = np.flatnonzero(length >= LONG)
+        at = ranges(start[long], length[long])
+        pairs = np.unique(np.stack([np.repeat(s[start[long]], length[long]), s[at]], 1), axis=0)
         out.append(np.column_stack([np.zeros(len(pairs), np.int64), pairs, np.zeros((len(pairs), 2), np.int64)]))
+        some = (length > 1) & (length < LONG)
+        left = ranges(start[some], length[some])
+        after = np.repeat(start[some] + length[some], length[some]) - left - 1
+        i, j = np.repeat(left, after), ranges(left + 1, after)
+        like = 100 * np.minimum(n[i], n[j]) >= percent * np.maximum(n[i], n[j])
+        i, j = i[like], j[like]
+        pairs, counts = np.unique(np.stack([s[i], s[j], (n[i] << 32) | n[j]], 1), axis=0, return_counts=True)
+        out.append(np.column_stack([np.full(len(pairs), 2), pairs[:, :2], counts, pairs[:, 2]]))
     if docs:
         columns = [np.concatenate([np.frombuffer(p[i], np.int64) for p in docs]) for i in range(4)]
         out.append(np.column_stack([np.ones(len(columns[0]), np.int64), *columns]))
@@ -245,10 +265,14 @@ def near_duplicates(documents: DataFrame, k: int = SHINGLE, percent: int = PERCE
     buckets = max(12, -(-total * (100 - percent) // 100 // BUCKET))
     shared = spark.sparkContext.broadcast(common)
     sent = docs.mapInArrow(lambda it: _send(it, k, percent, buckets, shared.value), "bucket long, packed binary")
-    met = written(sent.groupBy("bucket").applyInArrow(_meet, "kind long, a long, b long, c long, d long"), "met")
+    met = written(sent.groupBy("bucket").applyInArrow(lambda t: _meet(t, percent), "kind long, a long, b long, c long, d long"), "met")
     known_docs = met.filter("kind = 1").select(F.when(F.col("a") != NO_ID, F.col("a")).alias("doc_id"), F.col("b").alias("row_key"), F.col("c").alias("n_shingles"), F.col("d").alias("set"))
     classes = written(known_docs.filter("n_shingles > 0").groupBy("set").agg(F.min("doc_id").alias("least"), F.min("row_key").alias("row_key")), "classes")
-    groups = components(met.filter("kind = 0").select("a", "b")).select(F.col("node").alias("set"), F.col("component").alias("group"))
+    n, m = F.shiftright("d", 32), F.col("d").bitwiseAND((1 << 32) - 1)
+    later = F.greatest(*[F.ceil(percent * x / 100) - 1 for x in (n, m)])  # tokens that follow the first ones
+    enough = F.col("c") >= F.ceil(percent * (n + m) / (100 + percent)) - later
+    pairs = met.filter("kind = 2").groupBy("a", "b", "d").agg(F.sum("c").alias("c")).filter(enough).select("a", "b")
+    groups = components(met.filter("kind = 0").select("a", "b").unionByName(pairs)).select(F.col("node").alias("set"), F.col("component").alias("group"))
     groups = groups.join(groups.groupBy("group").agg(F.count("*").alias("sets")), "group")
     need = written(classes.join(groups, "set").select("row_key", "set", "group", "sets"), "candidates")
     texts = attach(docs.select("row_key", "text"), need, ["row_key"], "inner").dropDuplicates(["set"])
