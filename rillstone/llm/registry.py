@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import embedding_dedup, jaccard_join, line_dedup, mixing, packing, pii_surrogates, quality_rules, substring_dedup, url_reputation
+from . import embedding_dedup, jaccard_join, line_dedup, lm_scoring, mixing, packing, pii_surrogates, quality_rules, substring_dedup, url_reputation
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_lm_scoring": lm_scoring.query,
     "op2_quality_rules": quality_rules.query,
     "op3_source_mixing": mixing.query,
     "op4_sequence_packing": packing.query,

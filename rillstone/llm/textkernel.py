@@ -83,6 +83,15 @@ def tokens_of(buf: np.ndarray, offsets: np.ndarray, lower: bool = False) -> Toke
     return Tokens(buf, starts, ends, first, mix(np.add.reduceat(terms, at) + lens.astype(np.uint64) * _K3))
 
 
+def shapes(t: Tokens, kinds: np.ndarray) -> np.ndarray:
+    """Of each word the union of kinds (bits by byte) of its bytes."""
+    if not len(t.starts):
+        return np.zeros(0, kinds.dtype)
+    lens = t.ends - t.starts
+    at = np.cumsum(lens) - lens
+    return np.bitwise_or.reduceat(kinds[t.buf[ranges(t.starts, lens)]], at)
+
+
 def window_hash(h: np.ndarray, k: int) -> np.ndarray:
     """Hash of each k consecutive values, by doubling; shorter than h by k - 1 (empty if h is shorter)."""
     if len(h) < k:
