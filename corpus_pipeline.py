@@ -10,14 +10,14 @@ from rillstone.llm.common import attach, for_python, written
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
-    return docs.withColumn("_row", F.xxhash64("doc_id", "text"))
+    return docs.withColumn("__row", F.xxhash64("doc_id", "text"))
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep."""
-    judged = quality_rules.judge(_keyed(docs).select(F.col("_row").alias("doc_id"), "text", "lang", "source"))
-    rejected = written(judged.filter("NOT kept").select(F.col("doc_id").alias("_row")).distinct(), "rejected")
-    return attach(_keyed(docs), rejected, ["_row"], "left_anti").select(*docs.columns)
+    judged = quality_rules.judge(_keyed(docs).select(F.col("__row").alias("doc_id"), "text", "lang", "source"))
+    rejected = written(judged.filter("NOT kept").select(F.col("doc_id").alias("__row")).distinct(), "rejected")
+    return attach(_keyed(docs), rejected, ["__row"], "left_anti").select(*docs.columns)
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -29,21 +29,21 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates, that of the least id."""
     found = jaccard_join.near_duplicates(docs).groupBy("group").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row_key")).alias("first"), F.count("*").alias("n"))
-    stay = written(found.select(F.col("first.row_key").alias("_row"), "n"), "stay")
-    out = attach(_keyed(docs), stay.select("_row"), ["_row"], "left_semi")
-    return out.dropDuplicates(["_row"]).select(*docs.columns) if not stay.filter("n > 1").isEmpty() and _repeats(docs) else out.select(*docs.columns)
+    stay = written(found.select(F.col("first.row_key").alias("__row"), "n"), "stay")
+    out = attach(_keyed(docs), stay.select("__row"), ["__row"], "left_semi")
+    return out.dropDuplicates(["__row"]).select(*docs.columns) if not stay.filter("n > 1").isEmpty() and _repeats(docs) else out.select(*docs.columns)
 
 
 def _repeats(docs: DataFrame) -> bool:
     """Whether rows of one id and text stand more than once."""
-    return not _keyed(docs).groupBy("_row").agg(F.count("*").alias("n")).filter("n > 1").isEmpty()
+    return not _keyed(docs).groupBy("__row").agg(F.count("*").alias("n")).filter("n > 1").isEmpty()
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document as often as the mixture uses it."""
-    mixed = mixing.mix(mixing.measured(_keyed(docs).select(F.col("_row").alias("doc_id"), "text", "source")))
-    uses = written(mixed.filter("taken > 0").groupBy(F.col("doc_id").alias("_row")).agg(F.max(F.expr("taken div size")).cast("int").alias("_uses")), "uses")
-    out = attach(_keyed(docs), uses, ["_row"], "inner").withColumn("_use", F.explode(F.sequence(F.lit(1), F.col("_uses"))))
+    mixed = mixing.mix(mixing.measured(_keyed(docs).select(F.col("__row").alias("doc_id"), "text", "source")))
+    uses = written(mixed.filter("taken > 0").groupBy(F.col("doc_id").alias("__row")).agg(F.max(F.expr("taken div size")).cast("int").alias("__uses")), "uses")
+    out = attach(_keyed(docs), uses, ["__row"], "inner").withColumn("__use", F.explode(F.sequence(F.lit(1), F.col("__uses"))))
     return out.select(*docs.columns)
 
 

@@ -276,14 +276,14 @@ def _join(table: pa.Table) -> pa.Table:
 def _drop(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         texts, counts, removed = [], [], []
-        for text, gone in zip(batch.column("text").to_pylist(), batch.column("gone").to_pylist(), strict=True):
+        for text, gone in zip(batch.column("text").to_pylist(), batch.column("__gone").to_pylist(), strict=True):
             lines = (text or "").split("\n")
             gone = set(gone or ())
             texts.append(text if not gone else "\n".join(x for i, x in enumerate(lines) if i not in gone))
             counts.append(sum(1 for x in lines if x.encode().split()))
             removed.append(len(gone))
-        arrays = [batch.column(i) for i, f in enumerate(batch.schema) if f.name not in ("text", "gone")]
-        names = [f.name for f in batch.schema if f.name not in ("text", "gone")]
+        arrays = [batch.column(i) for i, f in enumerate(batch.schema) if f.name not in ("text", "__gone")]
+        names = [f.name for f in batch.schema if f.name not in ("text", "__gone")]
         yield pa.RecordBatch.from_arrays([*arrays, pa.array(texts, pa.string()), pa.array(counts, pa.int64()), pa.array(removed, pa.int64())], names=[*names, "text", "n_lines", "n_removed"])
 
 
@@ -307,11 +307,11 @@ def remove_near_lines(documents: DataFrame) -> DataFrame:
     shared = spark.sparkContext.broadcast(hot)
     sent = docs.mapInArrow(lambda it: _send(it, buckets, shared.value), "bucket long, packed binary")
     found = sent.groupBy("bucket").applyInArrow(lambda t: _join(t), "row_key long, place long")
-    gone = found.groupBy("row_key").agg(F.collect_set("place").alias("gone"))
+    gone = found.groupBy("row_key").agg(F.collect_set("place").alias("__gone"))
     rest = [c for c in documents.columns if c not in ("text",)]
-    whole = documents.withColumn("_row_key", F.xxhash64("doc_id", "text")).join(gone.withColumnRenamed("row_key", "_row_key"), "_row_key", "left")
+    whole = documents.withColumn("__row_key", F.xxhash64("doc_id", "text")).join(gone.withColumnRenamed("row_key", "__row_key"), "__row_key", "left")
     schema = documents.select(*rest, "text").withColumns({"n_lines": F.lit(0).cast("long"), "n_removed": F.lit(0).cast("long")}).schema
-    return whole.select(*rest, "text", "gone").mapInArrow(_drop, schema)
+    return whole.select(*rest, "text", "__gone").mapInArrow(_drop, schema)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -197,12 +197,12 @@ def replace(documents: DataFrame, key: str = KEY) -> DataFrame:
     tries = lambda k, c: F.lit(0)
     if not again.isEmpty():
         again = written(again, "again")
-        row = docs.withColumn("_row", F.xxhash64("doc_id", "text"))
-        each = row.select("_row", F.explode(F.array_distinct(mentions(F.col("text")))).alias("entity")).withColumn("kind", kind_of(F.col("entity"))).withColumn("canon", canonical(F.col("kind"), F.col("entity")))
-        own = attach(each, again, ["kind", "canon"], "inner").select("_row", F.concat_ws("|", "kind", "canon").alias("e"), "attempt").distinct()
-        own = written(own.groupBy("_row").agg(F.map_from_entries(F.collect_list(F.struct("e", "attempt"))).alias("_again")), "again")
-        keyed = attach(row, own, ["_row"])
-        tries = lambda k, c: F.coalesce(F.try_element_at(F.col("_again"), F.concat_ws("|", k, c)), F.lit(0))
+        row = docs.withColumn("__row", F.xxhash64("doc_id", "text"))
+        each = row.select("__row", F.explode(F.array_distinct(mentions(F.col("text")))).alias("entity")).withColumn("kind", kind_of(F.col("entity"))).withColumn("canon", canonical(F.col("kind"), F.col("entity")))
+        own = attach(each, again, ["kind", "canon"], "inner").select("__row", F.concat_ws("|", "kind", "canon").alias("e"), "attempt").distinct()
+        own = written(own.groupBy("__row").agg(F.map_from_entries(F.collect_list(F.struct("e", "attempt"))).alias("__again")), "again")
+        keyed = attach(row, own, ["__row"])
+        tries = lambda k, c: F.coalesce(F.try_element_at(F.col("__again"), F.concat_ws("|", k, c)), F.lit(0))
     text = F.col("text")
 
     def of(entity: Column) -> Column:
@@ -212,8 +212,8 @@ def replace(documents: DataFrame, key: str = KEY) -> DataFrame:
         parts = F.zip_with(F.split(text, PATTERN, -1), F.transform(found, of), lambda p, s: F.concat(p, F.coalesce(s, F.lit(""))))
         return F.struct(F.when(F.size(found) > 0, F.array_join(parts, "")).otherwise(text).alias("text"), F.size(found).cast("bigint").alias("n"))
 
-    out = keyed.withColumn("_new", _let(mentions(text), rewritten))
-    return out.select(*[F.col("_new.text").alias("text") if c == "text" else c for c in docs.columns], F.col("_new.n").alias("n_entities"))
+    out = keyed.withColumn("__new", _let(mentions(text), rewritten))
+    return out.select(*[F.col("__new.text").alias("text") if c == "text" else c for c in docs.columns], F.col("__new.n").alias("n_entities"))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
