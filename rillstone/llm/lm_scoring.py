@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from .common import for_python, written
 from .recurrent_lm import END, SHAPES, Model, Trainer, document_scores
-from .textkernel import Tokens, by_bucket, portions, shapes, spread, squeeze, tokens_of
+from .textkernel import Tokens, by_bucket, keep_memory, portions, shapes, spread, squeeze, tokens_of
 
 FOLDS, HELD_OUT = 7, 2
 #: Words of the vocabulary beside the end; documents of a chunk; chunks to a bucket of words.
@@ -115,6 +115,7 @@ class Lexicon:
 
 def _learn(batches: Iterator[pa.RecordBatch], lexicon: Lexicon, parameters: np.ndarray | None) -> Iterator[pa.RecordBatch]:
     """Parameters after this task's documents, times its tokens."""
+    keep_memory()
     model = lexicon.model()
     if parameters is not None:
         model.load(parameters)
@@ -159,6 +160,7 @@ SCHEMA = "doc_id long, held_out boolean, n_tokens long, n_known long, train_toke
 
 def _score(key: tuple, docs: pa.Table, answers: pa.Table, lexicon: Lexicon, model: Model) -> pa.Table:
     """Scores of a chunk's documents."""
+    keep_memory()
     hashes, kinds, lens = [], [], []
     for text in docs.column("text").chunks:
         for _, _, buf, offsets in portions(text):

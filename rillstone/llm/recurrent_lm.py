@@ -56,7 +56,7 @@ class Model:
         f = np.float32
         self.p = {
             "inputs": (rng.standard_normal((k + SHAPES, 3 * hidden)) * 0.1).astype(f),
-            "recurrent": (rng.standard_normal((hidden, 3 * hidden)) / np.sqrt(hidden)).astype(f),
+            "recurrent": (rng.standard_normal((3 * hidden, hidden)) / np.sqrt(hidden)).astype(f),
             "bias": np.zeros(3 * hidden, f),
             "classes": np.zeros((WORD_CLASSES + SHAPES, hidden), f),
             "class_bias": np.log(by_class / by_class.sum()).astype(f),
@@ -75,13 +75,14 @@ class Model:
             at += size
 
     def step(self, x: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, ...]:
-        """The state after a token with input rows x, and what backpropagation needs."""
+        """The states after tokens with input columns x, and what backpropagation needs. Lanes are columns: gates are contiguous."""
         n = self.hidden
-        a = h @ self.p["recurrent"] + self.p["bias"]
-        zr = _sigmoid(x[:, : 2 * n] + a[:, : 2 * n])
-        z, r = zr[:, :n], zr[:, n:]
-        c = np.tanh(x[:, 2 * n :] + r * a[:, 2 * n :])
-        return c + z * (h - c), z, r, c, a[:, 2 * n :]
+        a = self.p["recurrent"] @ h
+        a += self.p["bias"][:, None]
+        zr = _sigmoid(x[: 2 * n] + a[: 2 * n])
+        z, r = zr[:n], zr[n:]
+        c = np.tanh(x[2 * n :] + r * a[2 * n :])
+        return c + z * (h - c), z, r, c, a[2 * n :]
 
     def output(self, states: np.ndarray, ids: np.ndarray, grads: dict | None = None) -> tuple[np.ndarray, np.ndarray | None]:
         """Natural log probability of each id's class, and of words within their classes; the loss's gradient at the states if grads are gathered."""
@@ -92,7 +93,7 @@ class Model:
         if train:
             for n in ("classes", "class_bias", "words", "word_bias"):
                 grads[n] = np.zeros_like(self.p[n])
-        order = np.argsort(target, kind="stable")
+        order = np.argsort(target.astype(np.int8), kind="stable")  # few classes: a radix sort
         states, ids, target = states[order], ids[order], target[order]
         for a in range(0, len(ids), BLOCK):
             s = states[a : a + BLOCK]
@@ -126,39 +127,40 @@ class Model:
     def window(self, ids: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, dict, float]:
         """Carried state, gradients and mean loss of a window (steps x lanes)."""
         steps, lanes = ids.shape
-        n, f = self.hidden, np.float32
-        x = self.p["inputs"][ids]
-        states = np.empty((steps, lanes, n), f)
+        n, f = self.hidden, self.p["inputs"].dtype
+        x = np.ascontiguousarray(self.p["inputs"][ids].transpose(0, 2, 1))
+        states = np.empty((steps, n, lanes), f)
         kept = []
-        goes_on = (ids != END).astype(f)[:, :, None]
+        goes_on = (ids != END).astype(f)
         for t in range(steps):
             states[t] = h
             new, *rest = self.step(x[t], h)
             kept.append(rest)
             h = new * goes_on[t]
         grads: dict[str, np.ndarray] = {}
-        logp, back = self.output(states.reshape(-1, n), ids.ravel(), grads)
-        back = back.reshape(steps, lanes, n)
-        dx = np.empty((steps, lanes, 3 * n), f)
-        da = np.empty((steps, lanes, 3 * n), f)
-        dh = np.zeros((lanes, n), f)
-        u_t = self.p["recurrent"].T
+        logp, back = self.output(states.transpose(0, 2, 1).reshape(-1, n), ids.ravel(), grads)
+        back = np.ascontiguousarray(back.reshape(steps, lanes, n).transpose(0, 2, 1))
+        dx = np.empty((steps, 3 * n, lanes), f)
+        da = np.empty((3 * n, lanes), f)
+        dh = np.zeros((n, lanes), f)
+        grads["recurrent"], grads["bias"] = np.zeros((3 * n, n), f), np.zeros(3 * n, f)
+        u_t = np.ascontiguousarray(self.p["recurrent"].T)
         for t in range(steps - 1, -1, -1):
             z, r, c, an = kept[t]
             d = dh * goes_on[t]
             dc = d * (1 - z) * (1 - c * c)
-            dz = d * (states[t] - c) * z * (1 - z)
-            dr = dc * an * r * (1 - r)
-            dx[t, :, :n], dx[t, :, n : 2 * n], dx[t, :, 2 * n :] = dz, dr, dc
-            da[t, :, : 2 * n], da[t, :, 2 * n :] = dx[t, :, : 2 * n], dc * r
-            dh = d * z + da[t] @ u_t + back[t]
-        grads["recurrent"] = states.reshape(-1, n).T @ da.reshape(-1, 3 * n)
-        grads["bias"] = da.sum((0, 1))
+            dx[t, :n] = d * (states[t] - c) * z * (1 - z)
+            dx[t, n : 2 * n] = dc * an * r * (1 - r)
+            dx[t, 2 * n :] = dc
+            da[: 2 * n], da[2 * n :] = dx[t, : 2 * n], dc * r
+            grads["recurrent"] += da @ states[t].T
+            grads["bias"] += da.sum(1)
+            dh = d * z + u_t @ da + back[t]
         flat = ids.ravel()
-        order = np.argsort(flat, kind="stable")
+        order = np.argsort(flat.astype(np.int16) if self.k < 30_000 else flat, kind="stable")
         start = np.flatnonzero(np.append(True, np.diff(flat[order]) > 0))
         grads["inputs"] = np.zeros_like(self.p["inputs"])
-        grads["inputs"][flat[order][start]] = np.add.reduceat(dx.reshape(-1, 3 * n)[order], start)
+        grads["inputs"][flat[order][start]] = np.add.reduceat(dx.transpose(0, 2, 1).reshape(-1, 3 * n)[order], start)
         return h, grads, -float(logp.mean())
 
 
@@ -177,7 +179,7 @@ class Trainer:
         if not length:
             return
         laid = stream[: lanes * length].reshape(lanes, length).T
-        h = np.zeros((lanes, self.model.hidden), np.float32)
+        h = np.zeros((self.model.hidden, lanes), np.float32)
         for at in range(0, length, WINDOW):
             ids = laid[at : at + WINDOW]
             h, grads, loss = self.model.window(ids, h)
@@ -219,13 +221,14 @@ def document_scores(model: Model, ids: np.ndarray, first: np.ndarray, most: int
         lane = np.arange(total) - offset[t_of]
         tokens = ids[begin[lane] + t_of]
         states = np.empty((total, model.hidden), np.float32)
-        h = np.zeros((len(docs), model.hidden), np.float32)
+        h = np.zeros((model.hidden, len(docs)), np.float32)
         inputs = model.p["inputs"]
         for t in range(longest):
             a, b = offset[t], offset[t + 1]
-            h = h[: b - a]
-            states[a:b] = h
-            h = model.step(inputs[tokens[a:b]], h)[0]
+            if b - a < h.shape[1]:
+                h = np.ascontiguousarray(h[:, : b - a])
+            states[a:b] = h.T
+            h = model.step(np.ascontiguousarray(inputs[tokens[a:b]].T), h)[0]
         logp = np.empty(total)
         for a in range(0, total, 8192):
             logp[a : a + 8192] = model.output(states[a : a + 8192], tokens[a : a + 8192])[0]

@@ -6,9 +6,11 @@ depend on the bytes of words alone, so that they agree between tasks and runs.
 
 from __future__ import annotations
 
+import ctypes
 import struct
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -146,6 +148,17 @@ def portions(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarra
         row = end
 
 
+@lru_cache
+def keep_memory() -> None:
+    """Lets this process keep what arrays free, where its allocator can be told to: they come and go by the million."""
+    try:
+        libc = ctypes.CDLL("libc.so.6")
+        libc.mallopt(-1, 1 << 28)  # trim threshold
+        libc.mallopt(-3, 1 << 25)  # threshold for maps of their own
+    except (OSError, AttributeError):  # another C library: only slower
+        pass
+
+
 _codec = pa.Codec("zstd", compression_level=1)
 
 

@@ -67,7 +67,7 @@ def test_gradients():
     model.p = {k: rng.standard_normal(v.shape) * 0.3 for k, v in model.p.items()}
     ids = rng.integers(0, 60 + recurrent_lm.SHAPES, (5, 3))
     ids[2, 1] = recurrent_lm.END
-    h = np.zeros((3, 4))
+    h = np.zeros((4, 3))
     grads = model.window(ids, h)[1]
     for name, p in model.p.items():
         for _ in range(6):
@@ -89,10 +89,10 @@ def test_carried_state_is_the_windows_state():
     first = np.append(0, np.cumsum([len(d) for d in docs]))
     whole = recurrent_lm.document_scores(model, np.concatenate(docs), first)
     for d, want in zip(docs, whole):
-        h, total = np.zeros((1, 4), np.float32), 0.0
+        h, total = np.zeros((4, 1), np.float32), 0.0
         for t in d:
-            total += float(model.output(h, np.array([t]))[0][0])
-            h = model.step(model.p["inputs"][[t]], h)[0]
+            total += float(model.output(h.T, np.array([t]))[0][0])
+            h = model.step(model.p["inputs"][[t]].T, h)[0]
         assert total == pytest.approx(want, rel=1e-4)
 
 
