@@ -20,6 +20,23 @@ def collection_stats(docs: DataFrame, by: tuple[str, ...], size: Column) -> Data
     return out.withColumn("avg_size", F.expr("size_bytes div n_docs"))
 
 
+def with_fallback(stats: DataFrame, recomputed: DataFrame, *names: str) -> DataFrame:
+    """stats with count, size and average from recomputed where the stored average is 0 or missing."""
+    fresh = recomputed.select(*names, *[F.col(c).alias(f"_{c}") for c in ("n_docs", "size_bytes", "avg_size")])
+    bad = F.coalesce(F.col("avg_size"), F.lit(0)) == 0
+    both = stats.join(fresh, list(names), "left")
+    return both.select(*names, *[F.when(bad & F.col(f"_{c}").isNotNull(), F.col(f"_{c}")).otherwise(F.col(c)).alias(c) for c in ("n_docs", "size_bytes", "avg_size")])
+
+
+def total_progress(planned: DataFrame, done: DataFrame, *names: str) -> DataFrame:
+    """One row: total bytes, estimates replaced by what was copied, dropped collections left out.
+
+    planned has the names and estimate; done has the names, copied (bytes, null until done) and dropped.
+    """
+    both = planned.join(done, list(names), "left").filter(~F.coalesce("dropped", F.lit(False)))
+    return both.agg(F.sum(F.coalesce("copied", "estimate")).alias("total_bytes"), F.sum(F.coalesce("copied", F.lit(0))).alias("copied_bytes"))
+
+
 def key_range(rows: DataFrame, key: str) -> DataFrame:
     """min_key and max_key; NaN keys have no place in ranges."""
     kept = rows.filter(~F.isnan(key)) if dict(rows.dtypes)[key] in ("double", "float") else rows

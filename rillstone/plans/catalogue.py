@@ -348,10 +348,10 @@ def validator_check(spark: SparkSession, sf: str) -> DataFrame:
     return rows.select("c_custkey", views.match(schema, dict(rows.dtypes)).alias("valid"))
 
 
-@registered("SELECT day, n, n - lag(n) OVER (ORDER BY day) AS delta FROM (SELECT strftime(ts, '%Y-%m-%d') AS day, count(*) AS n FROM events GROUP BY 1)")
+@registered("SELECT * FROM (SELECT day, n, n - lag(n) OVER (ORDER BY day) AS delta FROM (SELECT strftime(ts, '%Y-%m-%d') AS day, count(*) AS n FROM events GROUP BY 1)) WHERE delta IS NOT NULL")
 def write_rate(spark: SparkSession, sf: str) -> DataFrame:
     per_day = table(spark, sf, "events").groupBy(F.date_format("ts", "yyyy-MM-dd").alias("day")).agg(F.count("*").alias("n"))
-    return progress.rates(per_day, "day", "n")
+    return progress.rates(per_day, "day", "n").filter("delta IS NOT NULL")
 
 
 @registered("SELECT conv_id, count(*) AS n, string_agg(role, ',' ORDER BY turn) AS items FROM conversations GROUP BY conv_id")
@@ -380,3 +380,40 @@ def optime_dates(spark: SparkSession, sf: str) -> DataFrame:
 def generated_documents(spark: SparkSession, sf: str) -> DataFrame:
     i = F.col("id")
     return spark.range(5000).select(i.alias("idx"), F.concat(F.lit("cat_"), (i % 100).cast("string")).alias("category"), F.get(F.array(F.lit("active"), F.lit("pending"), F.lit("archived")), (i % 3).cast("int")).alias("status"), ((i * 17) % 1000).alias("score"), ((i * 13) % 5).alias("priority"))
+
+
+@registered("""WITH f AS (SELECT source, lang, count(*) AS n_docs, sum(n_chars)::BIGINT AS size_bytes, (sum(n_chars) // count(*))::BIGINT AS avg_size FROM documents GROUP BY source, lang)
+SELECT source, lang, CASE WHEN lang = 'en' THEN n_docs ELSE n_docs + 1 END AS n_docs, CASE WHEN lang = 'en' THEN size_bytes ELSE 7 END AS size_bytes, CASE WHEN lang = 'en' THEN avg_size ELSE 7 END AS avg_size FROM f""")
+def stats_fallback(spark: SparkSession, sf: str) -> DataFrame:
+    fresh = segments.collection_stats(table(spark, sf, "documents"), ("source", "lang"), F.col("n_chars"))
+    stored = fresh.select("source", "lang", (F.col("n_docs") + 1).alias("n_docs"), F.lit(7).cast("bigint").alias("size_bytes"), F.when(F.col("lang") == "en", 0).otherwise(7).cast("bigint").alias("avg_size"))
+    return segments.with_fallback(stored, fresh, "source", "lang")
+
+
+@registered("SELECT sum(CASE WHEN lang = 'de' THEN NULL WHEN lang = 'en' THEN size_bytes ELSE size_bytes // 2 END)::BIGINT AS total_bytes, sum(CASE WHEN lang = 'en' THEN size_bytes ELSE 0 END)::BIGINT AS copied_bytes FROM (SELECT source, lang, sum(n_chars)::BIGINT AS size_bytes FROM documents GROUP BY source, lang) WHERE lang <> 'de'")
+def clone_totals(spark: SparkSession, sf: str) -> DataFrame:
+    stats = segments.collection_stats(table(spark, sf, "documents"), ("source", "lang"), F.col("n_chars"))
+    planned = stats.select("source", "lang", F.expr("size_bytes div 2").alias("estimate"))
+    done = stats.select("source", "lang", F.when(F.col("lang") == "en", F.col("size_bytes")).alias("copied"), (F.col("lang") == "de").alias("dropped"))
+    return segments.total_progress(planned, done, "source", "lang")
+
+
+@registered("SELECT 'db.' || o_orderstatus AS ns, count(*) AS n_chunks, count(DISTINCT chunk % 3) AS n_shards, min(lo) AS first_key FROM (SELECT o_orderstatus, o_orderkey // 500 AS chunk, min(o_orderkey) AS lo FROM orders GROUP BY 1, 2) GROUP BY o_orderstatus")
+def shard_chunks(spark: SparkSession, sf: str) -> DataFrame:
+    chunks = table(spark, sf, "orders").groupBy(F.concat(F.lit("db."), "o_orderstatus").alias("ns"), F.expr("o_orderkey div 500").alias("chunk")).agg(F.min("o_orderkey").alias("lo"), F.max("o_orderkey").alias("hi"))
+    out = catalog.sharding(chunks.withColumn("shard", F.col("chunk") % 3))
+    return out.select("ns", "n_chunks", "n_shards", F.get("chunks", F.lit(0))["lo"].alias("first_key"))
+
+
+@registered("SELECT t, i FROM (SELECT floor(epoch(ts))::BIGINT AS t, event_id AS i FROM events) ORDER BY t DESC, i DESC LIMIT 1")
+def cluster_time(spark: SparkSession, sf: str) -> DataFrame:
+    from ..sources.logs import cluster_time as latest_time
+
+    log = table(spark, sf, "events").select(S.seconds(F.col("ts")).alias("t"), F.col("event_id").alias("i"))
+    return latest_time(log).select("cluster_time.t", "cluster_time.i")
+
+
+@registered("SELECT event_type, count(*) AS applied, max(event_id) AS last_event, '{\"op\":\"' || event_type || '\",\"n\":' || count(*) || '}' AS status FROM events GROUP BY event_type")
+def status_json(spark: SparkSession, sf: str) -> DataFrame:
+    out = table(spark, sf, "events").groupBy("event_type").agg(F.count("*").alias("applied"), F.max("event_id").alias("last_event"))
+    return out.withColumn("status", F.to_json(F.struct(F.col("event_type").alias("op"), F.col("applied").alias("n"))))

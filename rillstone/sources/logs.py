@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import json
+import time
 import uuid
+from collections.abc import Callable
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
@@ -104,3 +106,27 @@ class StateTable:
 
     def reset(self) -> None:
         self._fs.delete(self._folder, True)
+
+
+class Lease:
+    """One writer at a time: a beat in a state table, which another may take over when it is stale."""
+
+    BEAT, STALE = 30, 35
+
+    def __init__(self, table: StateTable, owner: str, clock: Callable[[], float] = time.time):
+        self.table, self.owner, self.clock = table, owner, clock
+
+    def acquire(self) -> None:
+        now = self.table.read()
+        if now and now["owner"] != self.owner and self.clock() - now["beat"] < self.STALE:
+            raise RuntimeError(f"{now['owner']} holds the lease")
+        self.beat()
+
+    def beat(self) -> None:
+        now = self.table.read()
+        if now and now["owner"] != self.owner and self.clock() - now["beat"] < self.STALE:
+            raise RuntimeError(f"{now['owner']} has taken the lease")
+        self.table.write({"owner": self.owner, "beat": self.clock()})
+
+    def release(self) -> None:
+        self.table.reset()
