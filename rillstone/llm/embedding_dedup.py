@@ -191,3 +191,16 @@ def near_duplicates(embeddings: DataFrame, cosine: float = COSINE) -> DataFrame:
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+#: All pairs; for small tables.
+ORACLE = f"""
+WITH RECURSIVE v AS (SELECT row_number() OVER () AS rid, vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS e FROM embeddings),
+most AS (SELECT len(e) AS dim FROM v WHERE len(e) > 0 GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1),
+good AS (SELECT rid, e FROM v, most WHERE len(e) = dim AND len(list_filter(e, lambda x: isfinite(x))) = dim AND len(list_filter(e, lambda x: x <> 0)) > 0),
+l AS (SELECT a.rid AS x, b.rid AS y FROM good a JOIN good b ON a.rid <> b.rid WHERE list_cosine_similarity(a.e, b.e) >= {COSINE}::DOUBLE),
+r AS (SELECT x AS rid, x AS o FROM l UNION SELECT r.rid, l.y FROM r JOIN l ON r.o = l.x),
+c AS (SELECT r.rid, min(vec_id) AS component_id FROM r JOIN v ON v.rid = r.o GROUP BY r.rid),
+n AS (SELECT x AS rid, count(*) AS k FROM l GROUP BY x)
+SELECT vec_id, coalesce(k, 0)::BIGINT AS n_links, coalesce(component_id, vec_id) AS component_id, coalesce(vec_id = coalesce(component_id, vec_id), false) AS kept FROM v LEFT JOIN c USING (rid) LEFT JOIN n USING (rid)
+"""

@@ -292,3 +292,16 @@ def near_duplicates(documents: DataFrame, k: int = SHINGLE, percent: int = PERCE
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet")).drop("row_key", "group")
+
+
+#: All pairs that share a shingle; for small tables.
+ORACLE = rf"""
+WITH RECURSIVE w AS (SELECT row_number() OVER () AS rid, doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents),
+s AS (SELECT DISTINCT rid, md5(array_to_string(ws[i:i + {SHINGLE - 1}], ' ')) AS h FROM (SELECT rid, ws, unnest(range(1, greatest(len(ws) - {SHINGLE - 2}, 2))) AS i FROM w WHERE len(ws) > 0)),
+n AS (SELECT rid, count(*) AS n FROM s GROUP BY rid),
+p AS (SELECT a.rid AS x, b.rid AS y, count(*) AS k FROM s a JOIN s b ON a.h = b.h AND a.rid <> b.rid GROUP BY 1, 2),
+l AS (SELECT x, y FROM p JOIN n a ON a.rid = x JOIN n b ON b.rid = y WHERE 100 * k >= {PERCENT} * (a.n + b.n - k)),
+r AS (SELECT x AS rid, x AS o FROM l UNION SELECT r.rid, l.y FROM r JOIN l ON r.o = l.x),
+c AS (SELECT r.rid, min(doc_id) AS component_id FROM r JOIN w ON w.rid = r.o GROUP BY r.rid)
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, coalesce(component_id, doc_id) AS component_id FROM w LEFT JOIN n USING (rid) LEFT JOIN c USING (rid)
+"""

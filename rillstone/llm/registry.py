@@ -26,5 +26,7 @@ ORACLES: dict[str, str] = {
     "op3_source_mixing": mixing.ORACLE,
     "op5_url_reputation": url_reputation.ORACLE,
     "op7_substring_dedup": substring_dedup.ORACLE,
+    "op8_embedding_dedup": embedding_dedup.ORACLE,
+    "op9_jaccard_join": jaccard_join.ORACLE,
     "op10_line_dedup": line_dedup.ORACLE,
 }

@@ -21,10 +21,10 @@ def _rows(frame):
     return sorted(map(repr, frame[sorted(frame.columns)].astype(object).where(frame[sorted(frame.columns)].notna(), None).itertuples(index=False, name=None)))
 
 
-@pytest.mark.parametrize("module", [quality_rules, mixing, url_reputation, substring_dedup, line_dedup], ids=lambda m: m.__name__.rpartition(".")[2])
+@pytest.mark.parametrize("module", [quality_rules, mixing, url_reputation, substring_dedup, line_dedup, embedding_dedup, jaccard_join], ids=lambda m: m.__name__.rpartition(".")[2])
 def test_query_equals_its_sql(spark, module):
     db = duckdb.connect()
-    for name in ("documents", "pages", "labels"):
+    for name in ("documents", "pages", "labels", "embeddings"):
         path = f"{SF}/{name}.parquet"
         db.sql(f"CREATE VIEW {name} AS SELECT * FROM '{path + '/*.parquet' if os.path.isdir(path) else path}'")
     assert _rows(module.query(spark, SF).toPandas()) == _rows(db.sql(module.ORACLE).df())
