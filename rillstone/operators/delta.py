@@ -13,6 +13,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import ship
+
 #: Bytes and fields of a follow-up update.
 CHUNK_BYTES, CHUNK_FIELDS = 512 * 1024, 100
 STEP_TYPE = "array<struct<step:int,op:string,path:string,value:string>>"
@@ -127,7 +129,7 @@ def apply_delta(doc: str | None, steps: Iterable[dict] | None) -> tuple[str | No
         return None, True
     new = json.loads(doc)
     try:
-        for s in sorted(steps or (), key=lambda s: s["step"]):
+        for s in sorted(() if steps is None else steps, key=lambda s: s["step"]):
             apply_step(new, s["op"], s["path"], s["value"])
     except DeltaError:
         return doc, False
@@ -137,6 +139,8 @@ def apply_delta(doc: str | None, steps: Iterable[dict] | None) -> tuple[str | No
 def with_delta(rows: DataFrame, updated: str, removed: str, truncated: str, to: str = "steps") -> DataFrame:
     """Adds the steps of columns updated (path, value), removed (paths), truncated (field, new_size)."""
 
+    ship(rows.sparkSession)
+
     @F.pandas_udf(STEP_TYPE)
     def compile_all(u: pd.Series, r: pd.Series, t: pd.Series) -> pd.Series:
         def one(a, b, c):  # noqa: ANN001
@@ -150,6 +154,8 @@ def with_delta(rows: DataFrame, updated: str, removed: str, truncated: str, to:
 def applied(doc: Column, steps: Column) -> Column:
     """struct(doc, ok) of documents after their steps."""
 
+    ship()
+
     @F.pandas_udf("doc string, ok boolean")
     def run(d: pd.Series, s: pd.Series) -> pd.DataFrame:
         done = [apply_delta(x, y) for x, y in zip(d, s, strict=True)]

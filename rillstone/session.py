@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import os
+import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -35,3 +38,17 @@ def local_session(cpus: int | None = None, memory: str = "8g", **conf: str) -> S
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the Parquet tables under sf_dir; any path that Spark can read will do."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def ship(spark: SparkSession | None = None) -> None:
+    """Sends this package to the session's Python workers, once."""
+    context = (spark or SparkSession.active()).sparkContext
+    if getattr(context, "_rillstone_sent", False):
+        return
+    package = Path(__file__).resolve().parent
+    path = Path(tempfile.mkdtemp(prefix="rillstone-")) / "rillstone.zip"
+    with zipfile.ZipFile(path, "w") as out:
+        for p in sorted(package.rglob("*.py")):
+            out.write(p, p.relative_to(package.parent))
+    context.addPyFile(str(path))
+    context._rillstone_sent = True

@@ -51,5 +51,6 @@ def test_failing_delta_leaves_the_document():
 
 def test_in_dataframes(spark):
     rows = spark.createDataFrame([('{"arr":[1,2,3],"b":1}', [("arr.0", "9")], ["b"], [("arr", 2)])], "doc string, u array<struct<path:string,value:string>>, r array<string>, t array<struct<field:string,new_size:int>>")
-    got = with_delta(rows, "u", "r", "t").select(applied(rows.doc, with_delta(rows, "u", "r", "t").steps).alias("x")).first().x
+    compiled = with_delta(rows, "u", "r", "t")
+    got = compiled.select(applied(compiled.doc, compiled.steps).alias("x")).first().x
     assert got.ok and json.loads(got.doc) == {"arr": [9, 2]}
