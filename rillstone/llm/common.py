@@ -4,12 +4,12 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-import zipfile
-from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import ship
+
 #: White space that separates words, as a Java and RE2 character class.
 WS = r"[\x20\x09-\x0D]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -65,14 +65,6 @@ def ascii_lower(text: Column) -> Column:
 
 
 def for_python(spark: SparkSession, rows: int = 500) -> None:
-    """Sends this package to Python workers, once, and keeps Arrow batches small: texts may be long."""
+    """Sends this package to Python workers and keeps Arrow batches small: texts may be long."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
-    context = spark.sparkContext
-    if not getattr(context, "_rillstone_sent", False):
-        package = Path(__file__).resolve().parent.parent
-        path = Path(tempfile.mkdtemp(prefix="rillstone-")) / "rillstone.zip"
-        with zipfile.ZipFile(path, "w") as out:
-            for p in sorted(package.rglob("*.py")):
-                out.write(p, p.relative_to(package.parent))
-        context.addPyFile(str(path))
-        context._rillstone_sent = True
+    ship(spark)
