@@ -6,18 +6,23 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rillstone.llm import jaccard_join, line_dedup, mixing, packing, quality_rules
-from rillstone.llm.common import attach, for_python, written
+from rillstone.llm.common import for_python, written
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
     return docs.withColumn("__row", F.xxhash64("doc_id", "text"))
 
 
+def _matched(docs: DataFrame, rows: DataFrame, how: str) -> DataFrame:
+    """Joined by row. rows grows with docs, so both are shuffled at every size: nothing is broadcast."""
+    return docs.join(rows.hint("merge"), "__row", how)
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep."""
     judged = quality_rules.judge(_keyed(docs).select(F.col("__row").alias("doc_id"), "text", "lang", "source"))
     rejected = written(judged.filter("NOT kept").select(F.col("doc_id").alias("__row")).distinct(), "rejected")
-    return attach(_keyed(docs), rejected, ["__row"], "left_anti").select(*docs.columns)
+    return _matched(_keyed(docs), rejected, "left_anti").select(*docs.columns)
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -30,7 +35,7 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates, that of the least id."""
     found = jaccard_join.near_duplicates(docs).groupBy("group").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row_key")).alias("first"), F.count("*").alias("n"))
     stay = written(found.select(F.col("first.row_key").alias("__row"), "n"), "stay")
-    out = attach(_keyed(docs), stay.select("__row"), ["__row"], "left_semi")
+    out = _matched(_keyed(docs), stay.select("__row"), "left_semi")
     return out.dropDuplicates(["__row"]).select(*docs.columns) if not stay.filter("n > 1").isEmpty() and _repeats(docs) else out.select(*docs.columns)
 
 
@@ -43,7 +48,7 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document as often as the mixture uses it."""
     mixed = mixing.mix(mixing.measured(_keyed(docs).select(F.col("__row").alias("doc_id"), "text", "source")))
     uses = written(mixed.filter("taken > 0").groupBy(F.col("doc_id").alias("__row")).agg(F.max(F.expr("taken div size")).cast("int").alias("__uses")), "uses")
-    out = attach(_keyed(docs), uses, ["__row"], "inner").withColumn("__use", F.explode(F.sequence(F.lit(1), F.col("__uses"))))
+    out = _matched(_keyed(docs), uses, "inner").withColumn("__use", F.explode(F.sequence(F.lit(1), F.col("__uses"))))
     return out.select(*docs.columns)
 
 

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import attach, for_python, written
+from .common import for_python, written
 from .components import components
 from .textkernel import by_bucket, join_hashes, mix, portions, powers, ranges, spread, squeeze, tokens_of, window_hash
 
@@ -275,7 +275,8 @@ def near_duplicates(documents: DataFrame, k: int = SHINGLE, percent: int = PERCE
     groups = components(met.filter("kind = 0").select("a", "b").unionByName(pairs)).select(F.col("node").alias("set"), F.col("component").alias("group"))
     groups = groups.join(groups.groupBy("group").agg(F.count("*").alias("sets")), "group")
     need = written(classes.join(groups, "set").select("row_key", "set", "group", "sets"), "candidates")
-    texts = attach(docs.select("row_key", "text"), need, ["row_key"], "inner").dropDuplicates(["set"])
+    # What is needed grows with the documents: a join of two exchanges at every size.
+    texts = docs.select("row_key", "text").join(need.hint("merge"), "row_key").dropDuplicates(["set"])
     blocks = F.ceil(F.col("sets") / BLOCK).cast("int")
     sets = texts.select("group", "sets", "set", "text").mapInArrow(lambda it: _fetch(it, k), "group long, sets long, set long, tokens binary")
     sets = sets.withColumn("blocks", blocks).withColumn("own", F.pmod(F.xxhash64("set"), F.col("blocks")).cast("int"))
