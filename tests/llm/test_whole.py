@@ -15,3 +15,14 @@ def test_copies_of_junk_below_half_of_a_group(spark):
     docs += [(i + 5000, t, "en", "b") for i, t, _, _ in clean[:330]] + [(9000 + i, t, "en", "b") for i, t in enumerate(spread)]
     got = {r.doc_id: (r.base_failed, r.kept) for r in quality_rules.judge(spark.createDataFrame(docs, "doc_id long, text string, lang string, source string")).collect()}
     assert all(got[i] == (False, i % 5000 < 1000 and i < 9000) for i in got)
+
+
+def test_pipeline_links_near_copies_of_five_words(spark):
+    import corpus_pipeline
+
+    base = [f"w{i}" for i in range(100)]
+    edited = [*base[:40], *[f"x{i}" for i in range(7)], *base[47:]]  # 5-word Jaccard 85 of 107, below 80%
+    nearer = [*base[:40], *[f"y{i}" for i in range(6)], *base[46:]]  # 86 of 106: above 80%, and below 85% for 4 words
+    docs = spark.createDataFrame([(1, " ".join(base)), (2, " ".join(nearer)), (3, " ".join(edited))], "doc_id long, text string")
+    kept = dict(corpus_pipeline.STAGES)["n-gram Jaccard join"](spark, docs, "")
+    assert sorted(r.doc_id for r in kept.collect()) == [1, 3]
