@@ -46,10 +46,11 @@ def apply_changes(target: DataFrame, log: DataFrame, source: DataFrame | None =
     both = both.select(*own, F.when(F.col("base").isNotNull(), F.col("base.full_document")).otherwise(F.col("doc")).alias("doc"), F.col("base.at").alias("base_at"))
     deltas = log.filter("op = 'update'").join(both.select(*own, "base_at"), own).filter(F.col("base_at").isNull() | (F.col("at") > F.col("base_at")))
     deltas = with_delta(deltas, "updated_fields", "removed_fields", "truncated_arrays").filter(F.size("steps") > 0)
-    # Steps of all deltas of a key, numbered in order.
+    # Steps of all deltas of a key, numbered by their place: an update's own stand in order.
     order = Window.partitionBy(*own).orderBy("at")
-    deltas = deltas.withColumn("n", F.row_number().over(order)).withColumn("steps", F.transform("steps", lambda s: F.struct((F.col("n") * 10_000 + s["step"]).cast("int").alias("step"), s["op"].alias("op"), s["path"].alias("path"), s["value"].alias("value"))))
+    deltas = deltas.withColumn("n", F.row_number().over(order))
     steps = deltas.groupBy(*own).agg(F.flatten(F.transform(F.sort_array(F.collect_list(F.struct("n", "steps"))), lambda x: x["steps"])).alias("steps"))
+    steps = steps.withColumn("steps", F.transform("steps", lambda s, i: F.struct(i.cast("int").alias("step"), s["op"].alias("op"), s["path"].alias("path"), s["value"].alias("value"))))
     whole = both.drop("base_at").join(steps, own, "left")
     still = whole.filter("steps IS NULL").drop("steps")
     done = whole.filter("steps IS NOT NULL").withColumn("new", applied(F.col("doc"), F.col("steps")))
