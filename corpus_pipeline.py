@@ -62,7 +62,7 @@ def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [("quality rules", quality), ("line dedup", lines), ("n-gram Jaccard join", near), ("source mixing", mixture), ("packing", sequences)]
 
-#: Tokenizers cannot be expressed in SQL; tests hold the stages against brute force.
+#: Tokenizers cannot be expressed in SQL; tests hold the stages to fixed results on small made rows, not to brute force.
 ORACLE_SQL = None
 
 
