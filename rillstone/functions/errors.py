@@ -24,3 +24,11 @@ def is_transient(code: int | None, labels: tuple[str, ...] = ()) -> bool:
 
 def is_benign(code: int | None) -> bool:
     return error_class(code) in BENIGN
+
+
+class CommandError(RuntimeError):
+    """A command that the database refuses, with its code."""
+
+    def __init__(self, code: int, text: str):
+        super().__init__(text)
+        self.code = code

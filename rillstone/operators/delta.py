@@ -7,9 +7,10 @@ unset or truncate; value is JSON, for truncate the new size. Steps of one number
 from __future__ import annotations
 
 import json
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator, Sequence
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -164,6 +165,72 @@ def applied(doc: Column, steps: Column) -> Column:
     return run(doc, steps)
 
 
+def overlaid(doc: Column, unset: Column, fields: Column) -> Column:
+    """doc without the fields named by unset, then with fields (path, value) set in order: writes of whole fields never fail."""
+
+    ship()
+
+    @F.pandas_udf("string")
+    def run(d: pd.Series, u: pd.Series, f: pd.Series) -> pd.Series:
+        def one(text, names, pairs):  # noqa: ANN001
+            new = json.loads(text)
+            for name in names:
+                new.pop(name, None)
+            for x in pairs:
+                new[x["path"]] = json.loads(x["value"]) if x["value"] is not None else None
+            return json.dumps(new, ensure_ascii=False, separators=(",", ":"))
+
+        return pd.Series([one(*x) for x in zip(d, u, f, strict=True)])
+
+    return run(doc, unset, fields)
+
+
+def sequential(rows: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
+    """keys, doc, failed: each key's document after its updates, one by one in order.
+
+    rows: keys, order (null: the row of the document), doc, fallback, updated_fields, removed_fields,
+    truncated_arrays. An update that fails puts fallback in the document's place, or removes it where that is
+    null, and the following updates go on from there. Rows stream through a task in order: what it
+    holds is one document, however many updates a key has.
+    """
+    ship(rows.sparkSession)
+    schema = ", ".join(f"{c} {rows.schema[c].dataType.simpleString()}" for c in keys) + ", doc string, failed boolean"
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now: tuple | None = None
+        doc, fallback, failed = None, None, False
+        out: list[tuple] = []
+
+        def close() -> None:
+            if now is not None:
+                out.append((*now, None if doc is None else json.dumps(doc, ensure_ascii=False, separators=(",", ":")), failed))
+
+        for batch in batches:
+            for row in batch.to_pylist():
+                key = tuple(row[c] for c in keys)
+                if key != now:
+                    close()
+                    now, failed, fallback = key, False, row["fallback"]
+                    doc = json.loads(row["doc"]) if row["doc"] is not None else None
+                if row[order] is None or doc is None:
+                    continue
+                u, r, t = (row[c] or () for c in ("updated_fields", "removed_fields", "truncated_arrays"))
+                try:
+                    for s in compile_delta([(x["path"], x["value"]) for x in u], list(r), [(x["field"], x["new_size"]) for x in t]):
+                        apply_step(doc, s["op"], s["path"], s["value"])
+                except DeltaError:
+                    failed = True
+                    doc = json.loads(fallback) if fallback is not None else None
+            yield pa.RecordBatch.from_pylist([dict(zip((*keys, "doc", "failed"), o, strict=True)) for o in out], schema=arrow)
+            out.clear()
+        close()
+        if out:
+            yield pa.RecordBatch.from_pylist([dict(zip((*keys, "doc", "failed"), o, strict=True)) for o in out], schema=arrow)
+
+    arrow = pa.schema([*[pa.field(c, {"bigint": pa.int64(), "string": pa.string()}[rows.schema[c].dataType.simpleString()]) for c in keys], pa.field("doc", pa.string()), pa.field("failed", pa.bool_())])
+    return rows.repartition(*keys).sortWithinPartitions(*keys, F.col(order).asc_nulls_first()).mapInArrow(run, schema)
+
+
 def estimated_bytes(key: Column, payload: Column) -> Column:
     """Size of an operation on the wire: its filter and its payload."""
     return F.octet_length(key) + F.octet_length(F.coalesce(payload, F.lit("")))

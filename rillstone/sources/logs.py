@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 EVENT_SCHEMA = (
     "seq long, t long, i long, op string, db string, coll string, collection_uuid string, txn_number long, lsid string, "
     "document_key string, full_document string, updated_fields array<struct<path:string,value:string>>, removed_fields array<string>, "
-    "truncated_arrays array<struct<field:string,new_size:int>>, op_desc string"
+    "truncated_arrays array<struct<field:string,new_size:int>>, op_desc string, disambiguated_paths map<string,array<string>>"
 )
 DML, TICK = ("insert", "update", "replace", "delete"), "@tick"
 #: Options that a source's address may carry.
@@ -49,11 +49,13 @@ def stream_log(spark: SparkSession, path: str, fmt: str = "parquet", files: int
     return spark.readStream.schema(EVENT_SCHEMA).format(fmt).option("maxFilesPerTrigger", files).load(path)
 
 
-def from_start(log: DataFrame, t: int, i: int) -> DataFrame:
-    """Events from a logical time on; an error if the log begins after it."""
-    first = log.agg(F.min(F.struct("t", "i"))).first()[0]
-    if first is not None and (first.t, first.i) > (t, i):
-        raise HistoryLost(f"the log begins at {first.t}.{first.i}, after {t}.{i}")
+def from_start(log: DataFrame, t: int, i: int, begins: tuple[int, int] | None = None) -> DataFrame:
+    """Events from a logical time on; an error if the log begins after it (begins: since when it is complete)."""
+    if begins is None:
+        first = log.agg(F.min(F.struct("t", "i"))).first()[0]
+        begins = (first.t, first.i) if first is not None else None
+    if begins is not None and tuple(begins) > (t, i):
+        raise HistoryLost(f"the log begins at {begins[0]}.{begins[1]}, after {t}.{i}")
     return log.filter((F.col("t") > t) | ((F.col("t") == t) & (F.col("i") >= i)))
 
 
@@ -66,6 +68,13 @@ def heartbeats(log: DataFrame) -> DataFrame:
     return cluster_time(log).filter("cluster_time IS NOT NULL").select("cluster_time.t", "cluster_time.i", F.lit(TICK).alias("op"))
 
 
+def watch(log: DataFrame, noise: tuple[str, ...] = ()) -> DataFrame:
+    """The log for reading by people: time, operation, namespace and key, without databases that are noise."""
+    at = F.concat_ws(".", F.col("t").cast("string"), F.col("i").cast("string")).alias("at")
+    kept = log.filter(~F.coalesce(F.col("db").isin(*noise), F.lit(False)) & (F.col("op") != TICK))
+    return kept.select(at, "op", F.concat_ws(".", "db", "coll").alias("ns"), F.col("document_key").alias("key"))
+
+
 def key_of(doc_key: dict[str, Any], shard_key: tuple[str, ...] = ()) -> str:
     """Canonical text of a document key; shard-key fields that it lacks are null."""
     full = dict(doc_key) | {k: doc_key.get(k) for k in shard_key}
@@ -107,6 +116,12 @@ class StateTable:
     def reset(self) -> None:
         self._fs.delete(self._folder, True)
 
+    def exists(self, path: str) -> bool:
+        return self._fs.exists(self._Path(path))
+
+    def delete(self, path: str) -> None:
+        self._fs.delete(self._Path(path), True)
+
 
 class Lease:
     """One writer at a time: a beat in a state table, which another may take over when it is stale."""

@@ -1,156 +1,255 @@
-"""Replication as a stream: snapshot, change log, versioned target, control.
+"""Replication as a stream: snapshot, change log, target, control.
 
-The target is one dataset of rows (db, coll, key, doc), rewritten as a whole version per micro-batch;
-a state table names the version that counts, so a batch that fails leaves the last one in place and is
-applied again. Within a batch the log is cut at schema changes: epochs are applied one after another.
+Every micro-batch walks its schema changes, which are few, through the catalog on the driver; they tell
+which collection an event belongs to at its time. All events of documents, whatever schema changes stand
+between them, are then folded at once by collection and key, and only the key buckets that they touch
+are written anew.
 """
 
 from __future__ import annotations
 
 import json
+import logging
 import time
+import uuid
+from collections import defaultdict
 from collections.abc import Callable
 from enum import Enum
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.catalog import Catalog
-from ..operators.delta import applied, with_delta
+from ..operators.catalog import Catalog, Index, violations
+from ..operators.delta import overlaid, sequential
 from ..operators.namespaces import STATE_DATABASE, selected
-from ..sources.logs import DML, TICK, StateTable, stream_log
+from ..sources.logs import DML, TICK, Lease, StateTable, from_start, read_log, stream_log
+from .target import BUCKETS, PLACE, TARGET, Target, identity, small_table
 
-TARGET = "db string, coll string, key string, doc string"
+__all__ = ["TARGET", "Replicator", "State", "Target", "apply_changes", "histogram", "retried"]
+Source = DataFrame | Callable[[], DataFrame] | None
+log_ = logging.getLogger(__name__)
+UPDATE = ("updated_fields", "removed_fields", "truncated_arrays")
 
 
-def apply_changes(target: DataFrame, log: DataFrame, source: DataFrame | None = None) -> DataFrame:
-    """target (db, coll, key, doc) after the log's changes of documents.
+def _at() -> Column:
+    return F.struct(*[F.col(c).cast("long").alias(c) for c in ("t", "i", "seq")]).cast(PLACE)
 
-    Each key's events are folded: its last insert or replace that counts is its document, to which
-    later deltas apply in order. Deltas that fail are resolved from source, if given, else skipped.
+
+def _reaches_inside() -> Column:
+    """Whether an update writes below the fields of its document, or cuts arrays."""
+    dotted = F.exists(F.coalesce("updated_fields", F.array()), lambda x: F.contains(x["path"], F.lit("."))) | F.exists(F.coalesce("removed_fields", F.array()), lambda x: F.contains(x, F.lit(".")))
+    return (F.col("op") == "update") & (F.coalesce(dotted, F.lit(False)) | (F.coalesce(F.size("truncated_arrays"), F.lit(0)) > 0))
+
+
+def apply_changes(target: DataFrame, log: DataFrame, source: Source = None, own: tuple[str, ...] = ("db", "coll", "key"), depth: int = 2) -> DataFrame:
+    """target (own, doc and, if it has it, born) after the log's changes of documents.
+
+    A key's last insert or replace that counts is its document, to which later updates apply in order.
+    Where all of a key's updates write whole fields, the last write of each field counts: these are
+    aggregates, so that a key of very many events is no hot spot. Keys with updates below fields take
+    them one by one; one that fails has the document fetched from source (own, doc), or removed where
+    source lacks it, and the next go on from that. Without a source a failed update is an error.
+    born is the place in the log of the insert that made the document. depth: what is known of the log;
+    0: it has no update, 1: none below fields.
     """
-    own = ["db", "coll", "key"]
-    at = F.struct("t", "i", "seq")
-    log = log.filter(F.col("op").isin(*DML)).select(*own, at.alias("at"), "op", "full_document", "updated_fields", "removed_fields", "truncated_arrays")
-    first = target.withColumn("_had", F.lit(True))
-    life = log.groupBy(*own).agg(
+    keys, born = list(own), "born" in target.columns
+    log = log.filter(F.col("op").isin(*DML)).select(*keys, _at().alias("at"), "op", "full_document", *UPDATE)
+    life = log.groupBy(*keys).agg(
         F.max(F.when(F.col("op").isin("insert", "delete"), F.struct("at", "op"))).alias("life"),
         F.max(F.when(F.col("op").isin("insert", "replace"), F.struct("at", "full_document"))).alias("base"),
-        F.max(F.struct("at")).alias("touched"),
+        F.max(_reaches_inside()).alias("inside"),
     )
-    both = first.join(life, own, "full_outer")
+    both = target.withColumn("_had", F.lit(True)).join(life, keys, "full_outer")
     alive = F.when(F.col("life").isNotNull(), F.col("life.op") == "insert").otherwise(F.col("_had"))
     both = both.filter(F.coalesce(alive, F.lit(False)))
-    both = both.select(*own, F.when(F.col("base").isNotNull(), F.col("base.full_document")).otherwise(F.col("doc")).alias("doc"), F.col("base.at").alias("base_at"))
-    deltas = log.filter("op = 'update'").join(both.select(*own, "base_at"), own).filter(F.col("base_at").isNull() | (F.col("at") > F.col("base_at")))
-    deltas = with_delta(deltas, "updated_fields", "removed_fields", "truncated_arrays").filter(F.size("steps") > 0)
-    # Steps of all deltas of a key, numbered by their place: an update's own stand in order.
-    order = Window.partitionBy(*own).orderBy("at")
-    deltas = deltas.withColumn("n", F.row_number().over(order))
-    steps = deltas.groupBy(*own).agg(F.flatten(F.transform(F.sort_array(F.collect_list(F.struct("n", "steps"))), lambda x: x["steps"])).alias("steps"))
-    steps = steps.withColumn("steps", F.transform("steps", lambda s, i: F.struct(i.cast("int").alias("step"), s["op"].alias("op"), s["path"].alias("path"), s["value"].alias("value"))))
-    whole = both.drop("base_at").join(steps, own, "left")
-    still = whole.filter("steps IS NULL").drop("steps")
-    done = whole.filter("steps IS NOT NULL").withColumn("new", applied(F.col("doc"), F.col("steps")))
+    more = [F.coalesce(F.col("born"), F.col("life.at")).alias("born")] if born else []
+    both = both.select(*keys, F.when(F.col("base").isNotNull(), F.col("base.full_document")).otherwise(F.col("doc")).alias("doc"), F.col("base.at").alias("base_at"), F.coalesce("inside", F.lit(False)).alias("inside"), *more)
+    out = ["doc"] + (["born"] if born else [])
+    if depth == 0:
+        return both.select(*keys, *out)
+    updates = log.filter("op = 'update'").join(both.select(*keys, "base_at", "inside"), keys).filter(F.col("base_at").isNull() | (F.col("at") > F.col("base_at")))
+
+    # Whole fields: of each the last write; the fields set stand in the order in which they came to stay.
+    sets = F.transform(F.coalesce("updated_fields", F.array()), lambda x, i: F.struct(i.alias("n"), F.lit("set").alias("op"), x["path"].alias("path"), x["value"].alias("value")))
+    unsets = F.transform(F.coalesce("removed_fields", F.array()), lambda x, i: F.struct((i + 1_000_000_000).alias("n"), F.lit("unset").alias("op"), x.alias("path"), F.lit(None).cast("string").alias("value")))
+    writes = updates.filter("NOT inside").select(*keys, "at", F.explode(F.concat(sets, unsets)).alias("w")).select(*keys, F.struct("at", "w.n").alias("w"), "w.op", "w.path", "w.value")
+    by_path = [*keys, "path"]
+    last = writes.groupBy(*by_path).agg(F.max(F.struct("w", "op", "value")).alias("last"), F.max(F.when(F.col("op") == "unset", F.col("w"))).alias("gone"), F.min(F.when(F.col("op") == "set", F.col("w"))).alias("first"))
+    again = writes.join(last.filter("gone IS NOT NULL AND last.op = 'set'").select(*by_path, "gone"), by_path).filter("w > gone").groupBy(*by_path).agg(F.min("w").alias("since"))
+    last = last.join(again, by_path, "left").withColumn("since", F.coalesce("since", "first"))
+    fields = F.filter(F.sort_array(F.collect_list(F.struct("since", "path", F.col("last.value").alias("value"), F.col("last.op").alias("op")))), lambda x: x["op"] == "set")
+    net = last.groupBy(*keys).agg(F.collect_list(F.when(F.col("gone").isNotNull(), F.col("path"))).alias("unset"), F.transform(fields, lambda x: F.struct(x["path"].alias("path"), x["value"].alias("value"))).alias("fields"))
+    whole = both.filter("NOT inside").join(net, keys, "left")
+    plain = whole.filter("fields IS NULL").select(*keys, *out).unionByName(whole.filter("fields IS NOT NULL").withColumn("doc", overlaid(F.col("doc"), F.col("unset"), F.col("fields"))).select(*keys, *out))
+    if depth == 1:
+        return plain
+
+    # Below fields: one update after another.
+    nested = both.filter("inside")
+    types = dict(log.dtypes)
+    nothing = [F.lit(None).cast(types[c]).alias(c) for c in UPDATE]
+    first = nested.select(*keys, F.lit(None).cast(PLACE).alias("at"), "doc", F.lit(None).cast("string").alias("fallback"), *nothing)
+    after = updates.filter("inside").select(*keys, "at", F.lit(None).cast("string").alias("doc"), F.lit(None).cast("string").alias("fallback"), *UPDATE)
+    rows = first.unionByName(after)
+    done = sequential(rows, keys, "at")
+    names = F.concat_ws(" ", *[F.col(c).cast("string") for c in keys])
     if source is None:
-        changed = done.select(*own, F.col("new.doc").alias("doc"))
+        error = F.raise_error(F.concat(F.lit("an update failed and there is no source to fetch the document from: "), names))
+        done = done.select(*keys, F.when(F.col("failed"), error).otherwise(F.col("doc")).alias("doc"))
     else:
-        found = done.join(source.select(*own, F.col("doc").alias("_fresh")), own, "left")
-        found = found.withColumn("doc", F.when(F.col("new.ok"), F.col("new.doc")).otherwise(F.col("_fresh")))
-        changed = found.filter("doc IS NOT NULL").select(*own, "doc")
-    return still.unionByName(changed)
+        failed = done.filter("failed").select(*keys)
+        fresh = (source() if callable(source) else source).select(*keys, F.col("doc").alias("_fresh"))
+        fetched = failed.join(fresh, keys, "left").withColumn("_failed", F.lit(True))
+        again = rows.drop("fallback").join(fetched, keys).select(*keys, "at", "doc", F.col("_fresh").alias("fallback"), *UPDATE)
+        done = done.filter("NOT failed").select(*keys, "doc").unionByName(sequential(again, keys, "at").select(*keys, "doc"))
+        done = done.filter("doc IS NOT NULL")
+    if born:
+        done = done.join(nested.select(*keys, "born"), keys)
+    return plain.unionByName(done.select(*keys, *out))
 
 
-class VersionedTarget:
-    """Rows of a dataset, each version in a folder of its own."""
+class State(Enum):
+    IDLE, RUNNING, PAUSED, FAILED, FINALIZING, FINALIZED = "idle", "running", "paused", "failed", "finalizing", "finalized"
 
-    def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path, self.state = spark, path, StateTable(spark, f"{path}/state")
 
-    def read(self) -> DataFrame:
-        now = self.state.read()
-        return self.spark.read.schema(TARGET).parquet(f"{self.path}/{now['version']}") if now else self.spark.createDataFrame([], TARGET)
+class Replicator:
+    """Starts, pauses, resumes and finalizes the replication of a log into a target.
 
-    def write(self, rows: DataFrame, **state: Any) -> None:
-        now = self.state.read() or {"version": -1}
-        version = now["version"] + 1
-        rows.write.mode("overwrite").parquet(f"{self.path}/{version}")
-        self.state.write(now | state | {"version": version})
+    source: the documents now at the source (db, coll, key, doc), for updates that fail. begins: the
+    logical time from which on the log is complete, if that is known. All that a restart needs is in
+    the target's state: Replicator.recover() goes on from it.
+    """
 
+    def __init__(
+        self, spark: SparkSession, log_path: str, target_path: str, include: tuple[str, ...] = (), exclude: tuple[str, ...] = (), fmt: str = "parquet",
+        source: Source = None, begins: tuple[int, int] | None = None, source_major: int = 8, buckets: int = BUCKETS, clock: Callable[[], float] = time.time,
+    ):
+        self.spark, self.log_path, self.fmt, self.path = spark, log_path, fmt, target_path
+        self.source, self.begins, self.source_major = source, begins, source_major
+        self.target = Target(spark, target_path, buckets)
+        self.include, self.exclude, self.state, self.error, self.query = include, exclude, State.IDLE, None, None
+        self.catalog = self.target.catalog
+        self.checkpoint = f"{target_path}/checkpoint"
+        self.lease = Lease(StateTable(spark, f"{target_path}/lease"), uuid.uuid4().hex, clock)
+
+    @classmethod
+    def recover(cls, spark: SparkSession, log_path: str, target_path: str, resume: bool = True, **options: Any) -> Replicator:
+        """The replication that a target's state describes; one that was running runs again."""
+        out = cls(spark, log_path, target_path, **options)
+        saved = out.target.state
+        if saved.get("state"):
+            out.include, out.exclude = tuple(saved["include"]), tuple(saved["exclude"])
+            out.state, out.error = State(saved["state"]), saved.get("error")
+            if out.state is State.RUNNING:
+                out.state = State.PAUSED
+                if resume:
+                    out.start()
+        return out
 
-class State(Enum):
-    IDLE, RUNNING, PAUSED, FAILED, FINALIZING, FINALIZED = "idle", "running", "paused", "failed", "finalizing", "finalized"
+    def _save(self, rows: DataFrame | None = None, touched: list[int] | None = None, **state: Any) -> None:
+        own = {"state": self.state.value, "error": self.error, "include": list(self.include), "exclude": list(self.exclude), "catalog": self.catalog.to_json()}
+        self.target.commit(rows, touched, **(own | state))
 
+    def clone(self, snapshot: DataFrame, at: tuple[int, int], specs: dict[tuple[str, str], dict[str, Any]] | None = None, finished: tuple[int, int] | None = None) -> None:
+        """Copies a snapshot (db, coll, key, doc) taken at a logical time; a second copy adds what is absent.
 
-class Replicator:
-    """Starts, pauses, resumes and finalizes the replication of a log into a target."""
-
-    def __init__(self, spark: SparkSession, log_path: str, target_path: str, include: tuple[str, ...] = (), exclude: tuple[str, ...] = (), fmt: str = "parquet"):
-        self.spark, self.log_path, self.fmt = spark, log_path, fmt
-        self.include, self.exclude = include, exclude
-        self.target, self.catalog, self.state = VersionedTarget(spark, target_path), Catalog(), State.IDLE
-        self.checkpoint, self.error, self.query = f"{target_path}/checkpoint", None, None
-        self.started_at = self.finished_at = (0, 0)
-
-    def clone(self, snapshot: DataFrame, at: tuple[int, int]) -> None:
-        """Copies a snapshot (db, coll, key, doc) taken at a logical time; a second copy adds what is absent."""
-        self._expect(State.IDLE)
-        self.started_at = self.finished_at = at
-        rows = snapshot.filter(selected(F.col("db"), F.col("coll"), self.include, self.exclude)).dropDuplicates(["db", "coll", "key"])
-        had = self.target.read()
-        fresh = rows.join(had.select("db", "coll", "key"), ["db", "coll", "key"], "left_anti")
-        self.target.write(had.unionByName(fresh.select(*had.columns)), clone=list(at))
+        specs: options (and uuid) of collections that are dropped and created anew before the copy.
+        """
+        self._expect(State.IDLE, State.PAUSED)
+        for (db, coll), options in (specs or {}).items():
+            self.catalog.recreate(db, coll, **options)
+        rows = snapshot.filter(selected(F.col("db"), F.col("coll"), self.include, self.exclude) & (F.col("db") != STATE_DATABASE))
+        for r in rows.select("db", "coll").distinct().collect():  # a row a collection
+            self.catalog.create(r.db, r.coll)
+        names = [(db, coll, c.cid) for (db, coll), c in self.catalog.collections.items()]
+        rows = rows.join(small_table(self.spark, names, "db string, coll string, cid long"), ["db", "coll"]).dropDuplicates(["cid", "key"])
+        had = self.target.named(self.target.rows(), self.catalog).drop("db", "coll")
+        fresh = rows.join(had.select("cid", "key"), ["cid", "key"], "left_anti").select("cid", "key", "doc", F.lit(None).cast(PLACE).alias("born"))
+        self._save(had.unionByName(fresh), None, clone=list(at), finished=list(finished or at))
 
     def batch(self, rows: DataFrame, number: int) -> None:
         """One micro-batch; one that was applied already is skipped."""
-        now = self.target.state.read() or {}
+        now = self.target.state
         if now.get("batch", -1) >= number:
             return
-        start = tuple(now.get("clone", (0, 0)))
-        rows = rows.filter(F.struct("t", "i") >= F.struct(F.lit(start[0]).cast("long").alias("t"), F.lit(start[1]).cast("long").alias("i")))
-        rows = rows.filter((F.col("db") != STATE_DATABASE) & selected(F.col("db"), F.coalesce("coll", F.lit("")), self.include, self.exclude) | (F.col("op") == TICK))
-        rows = rows.withColumn("key", F.col("document_key")).dropDuplicates(["t", "i", "seq"]).persist()
+        self.lease.beat()
+        self.catalog = self.target.catalog  # a batch that failed may have changed it
+        t, i = now.get("clone", (0, 0))
+        rows = rows.filter((F.col("t") > t) | ((F.col("t") == t) & (F.col("i") >= i)))
+        chosen = (F.col("db") != STATE_DATABASE) & selected(F.col("db"), F.coalesce("coll", F.lit("")), self.include, self.exclude) & (F.col("op") != TICK)
+        rows = rows.withColumns({"key": F.col("document_key"), "chosen": F.coalesce(chosen, F.lit(False))}).dropDuplicates(["t", "i", "seq"]).persist()
         try:
-            barriers = rows.filter(~F.col("op").isin(*DML, TICK)).orderBy("t", "i", "seq").collect()  # schema changes are few
-            target, since = self.target.read(), None
-            order = lambda r: F.struct(F.lit(r.t).cast("long").alias("t"), F.lit(r.i).cast("long").alias("i"), F.lit(r.seq).cast("long").alias("seq"))
-            for ddl in [*barriers, None]:
-                at = F.struct("t", "i", "seq")
-                part = rows if since is None else rows.filter(at > order(since))
-                target = apply_changes(target, part if ddl is None else part.filter(at < order(ddl)))
-                if ddl is not None:
-                    body = json.loads(ddl.op_desc or "{}")
-                    self.catalog.apply(ddl.op, ddl.db, ddl.coll, body)
-                    target = self._after(target, ddl.op, ddl.db, ddl.coll, body)
-                since = ddl
-            last = rows.agg(F.max(F.struct("t", "i"))).first()[0]
-            done = rows.filter(F.col("op") != TICK).agg(F.max(F.struct("t", "i"))).first()[0]
-            reported = max(tuple(now.get("reported", (0, 0))), (last.t, last.i) if last else (0, 0))
-            checkpoint = max(tuple(now.get("checkpoint", (0, 0))), (done.t, done.i) if done else (0, 0))
-            applied_now = rows.filter(F.col("op") != TICK).count()
-            self.target.write(target, batch=number, reported=list(reported), checkpoint=list(checkpoint), events=now.get("events", 0) + applied_now)
+            seen = rows.agg(F.max(F.struct("t", "i")).alias("any"), F.max(F.when(F.col("op") != TICK, F.struct("t", "i"))).alias("real"), F.count_if("chosen").alias("n")).first()
+            ddl = rows.filter(F.col("chosen") & ~F.col("op").isin(*DML)).orderBy("t", "i", "seq").select("t", "i", "seq", "op", "db", "coll", "collection_uuid", "op_desc").collect()  # schema changes are few
+            dml = self._dealt(rows.filter(F.col("chosen") & F.col("op").isin(*DML)), ddl).withColumn("bucket", self.target.bucket(F.col("cid"), F.col("key")))
+            depth = F.when(_reaches_inside(), 2).when(F.col("op") == "update", 1).otherwise(0)
+            touched = dml.groupBy("bucket").agg(F.max(identity(F.col("key")) != F.col("key")).alias("several"), F.max(depth).alias("depth")).collect()  # at most a row a bucket
+            new = None
+            if touched:
+                source = self._numbered if self.source is not None else None
+                new = apply_changes(self.target.rows([r.bucket for r in touched]), dml, source, ("cid", "key"), max(r.depth for r in touched))
+                alive = small_table(self.spark, [(c.cid,) for c in self.catalog.collections.values()], "cid long")
+                new = new.join(alive, "cid", "left_semi")
+                if any(r.several for r in touched):
+                    new = _newest(new, dml)
+            latest = lambda name, at: max(tuple(now.get(name, (0, 0))), (at.t, at.i) if at else (0, 0))
+            self._save(
+                new.select("cid", "key", "doc", "born") if new is not None else None, [r.bucket for r in touched], batch=number,
+                reported=list(latest("reported", seen.any)), checkpoint=list(latest("checkpoint", seen.real)), events=now.get("events", 0) + seen.n,
+            )
         finally:
             rows.unpersist()
 
-    @staticmethod
-    def _after(target: DataFrame, op: str, db: str, coll: str | None, body: dict[str, Any]) -> DataFrame:
-        mine = (F.col("db") == db) & (F.col("coll") == coll)
-        if op in ("drop", "create"):
-            return target.filter(~mine)
-        if op == "dropDatabase":
-            return target.filter(F.col("db") != db)
-        if op == "rename":
-            kept = target.filter(~((F.col("db") == body["db"]) & (F.col("coll") == body["coll"])))
-            return kept.withColumns({"db": F.when(mine, body["db"]).otherwise(F.col("db")), "coll": F.when(mine, body["coll"]).otherwise(F.col("coll"))})
-        return target
-
-    def start(self, once: bool = True) -> StreamingQuery:
-        self._expect(State.IDLE, State.PAUSED)
+    def _dealt(self, events: DataFrame, ddl: list) -> DataFrame:
+        """events with cid, their collection's number at their time; walks the catalog through the schema changes.
+
+        An event belongs to the collection of its uuid, if the catalog has it, else to that of its name;
+        an insert makes a collection that is missing.
+        """
+        if ddl:
+            places = F.from_json(F.lit(json.dumps([{"t": d.t, "i": d.i, "seq": d.seq} for d in ddl])), f"array<{PLACE}>")
+            events = events.withColumn("epoch", F.size(F.filter(places, lambda p: p < _at())))
+        else:
+            events = events.withColumn("epoch", F.lit(0))
+        events = events.withColumn("uid", F.coalesce("collection_uuid", F.lit("")))
+        found: dict[int, list] = defaultdict(list)
+        for r in events.groupBy("epoch", "db", "coll", "uid").agg(F.max(F.col("op") == "insert").alias("inserts")).collect():  # a row a collection and epoch
+            found[r.epoch].append(r)
+        names = []
+        for epoch in range(len(ddl) + 1):
+            if epoch:
+                d = ddl[epoch - 1]
+                body = json.loads(d.op_desc or "{}")
+                if d.op == "create" and d.collection_uuid:
+                    body.setdefault("uuid", d.collection_uuid)
+                self.catalog.apply(d.op, d.db, d.coll, body, self.source_major)
+            uuids = self.catalog.uuids()
+            for r in found[epoch]:
+                ns = uuids.get(r.uid, (r.db, r.coll))
+                if ns not in self.catalog.collections and r.inserts:
+                    self.catalog.create(*ns, uuid=r.uid or None)
+                if ns in self.catalog.collections:
+                    names.append((epoch, r.db, r.coll, r.uid, self.catalog.collections[ns].cid))
+        return events.join(small_table(self.spark, names, "epoch int, db string, coll string, uid string, cid long"), ["epoch", "db", "coll", "uid"])
+
+    def _numbered(self) -> DataFrame:
+        rows = self.source() if callable(self.source) else self.source
+        names = [(db, coll, c.cid) for (db, coll), c in self.catalog.collections.items()]
+        return rows.join(small_table(self.spark, names, "db string, coll string, cid long"), ["db", "coll"]).select("cid", "key", "doc")
+
+    def start(self, once: bool = True, from_failure: bool = False) -> StreamingQuery:
+        self._expect(State.IDLE, State.PAUSED, *([State.FAILED] if from_failure else []))
+        saved = self.target.state
+        resume = max(tuple(saved.get("checkpoint", (0, 0))), tuple(saved.get("clone", (0, 0))))
+        if self.begins is not None:
+            from_start(read_log(self.spark, self.log_path, self.fmt), *resume, begins=self.begins)
+        self.lease.acquire()
         stream = stream_log(self.spark, self.log_path, self.fmt).writeStream.foreachBatch(self.batch).option("checkpointLocation", self.checkpoint)
+        self.state, self.error = State.RUNNING, None
+        self._save()
         self.query = (stream.trigger(availableNow=True) if once else stream.trigger(processingTime="1 second")).start()
-        self.state = State.RUNNING
         return self.query
 
     resume = start
@@ -159,30 +258,48 @@ class Replicator:
         try:
             self.query.awaitTermination()
         except Exception as e:
-            self.state, self.error = State.FAILED, str(e)
+            self._stopped(State.FAILED, str(e))
             raise
-        self.state = State.PAUSED
+        self._stopped(State.PAUSED)
 
     def pause(self) -> None:
         self._expect(State.RUNNING)
         self.query.stop()
-        self.state = State.PAUSED
-
-    def finalize(self, violated: Callable[..., str | None] = lambda ns, index: None) -> list[dict[str, Any]]:
+        self._stopped(State.PAUSED)
+
+    def _stopped(self, state: State, error: str | None = None) -> None:
+        self.state, self.error, self.catalog = state, error, self.target.catalog
+        self._save()
+        self.lease.release()
+
+    def violated(self, ns: tuple[str, str], index: Index) -> str | None:
+        """Why the target's rows do not allow a unique index; missing fields count as null, unless it is sparse."""
+        if not (index.unique or index.prepare_unique):
+            return None
+        fields = [F.get_json_object("doc", f"$.{path}").alias(f"k{n}") for n, (path, _) in enumerate(index.keys)]
+        rows = self.target.collection(*ns).select(*fields)
+        if dict(index.options).get("sparse"):
+            rows = rows.dropna("all")
+        twice = violations(rows, rows.columns).limit(1).collect()
+        return f"duplicate key {[twice[0][f'k{n}'] for n in range(len(fields))]}" if twice else None
+
+    def finalize(self, violated: Callable[[tuple[str, str], Index], str | None] | None = None) -> list[dict[str, Any]]:
         if self.state is State.RUNNING:
             self.pause()
         self._expect(State.PAUSED)
         if not self.status()["initial_sync_completed"]:
             raise RuntimeError("the initial sync is not complete")
         self.state = State.FINALIZING
-        report = self.catalog.finalize(violated)
+        report = self.catalog.finalize(violated or self.violated)
         self.state = State.FINALIZED
+        self._save()
         return report
 
     def status(self, source_time: tuple[int, int] | None = None) -> dict[str, Any]:
-        now = self.target.state.read() or {}
+        now = self.target.state
         reported, clone = tuple(now.get("reported", (0, 0))), tuple(now.get("clone", (0, 0)))
-        out = {"state": self.state.value, "events_applied": now.get("events", 0), "last_replicated": reported, "checkpoint": tuple(now.get("checkpoint", (0, 0))), "initial_sync_completed": reported > clone, "error": self.error}
+        done = reported > tuple(now.get("finished", clone))
+        out = {"state": self.state.value, "events_applied": now.get("events", 0), "last_replicated": reported, "checkpoint": tuple(now.get("checkpoint", (0, 0))), "initial_sync_completed": done, "error": self.error}
         if source_time:
             out["lag_seconds"] = source_time[0] - (reported if reported > (0, 0) else clone)[0]
         return out
@@ -192,6 +309,13 @@ class Replicator:
             raise RuntimeError(f"not possible while {self.state.value}")
 
 
+def _newest(rows: DataFrame, dml: DataFrame) -> DataFrame:
+    """Of rows whose keys share an _id (a document that moved between shards) the one touched last."""
+    touched = dml.groupBy("cid", "key").agg(F.max(_at()).alias("_touched"))
+    rank = F.row_number().over(Window.partitionBy("cid", identity(F.col("key"))).orderBy(F.col("_touched").desc_nulls_last(), F.col("born").desc_nulls_last(), "key"))
+    return rows.join(touched, ["cid", "key"], "left").withColumn("_rank", rank).filter("_rank = 1").drop("_rank", "_touched")
+
+
 def retried(run: Callable[[], Any], tries: int = 3, wait: float = 5.0, most: float = 30.0, passing: Callable[[Exception], bool] = lambda e: True) -> Any:
     """run, again after a doubling wait while its error is a passing one; tries 0: without end."""
     n = 0
@@ -209,6 +333,12 @@ def retried(run: Callable[[], Any], tries: int = 3, wait: float = 5.0, most: flo
 FLUSH_BOUNDS = (0.001, 0.005, 0.01, 0.025, 0.05, 0.1, 0.25, 0.5, 1.0, 2.5, 5.0)
 
 
-def histogram(rows: DataFrame, value: str, bounds: tuple[float, ...] = FLUSH_BOUNDS) -> DataFrame:
-    """Cumulative counts up to each bound, with count and sum: one row."""
-    return rows.agg(*[F.count_if(F.col(value) <= b).alias(f"le_{b:g}") for b in bounds], F.count(value).alias("count"), F.sum(value).alias("sum"))
+def histogram(rows: DataFrame, value: str, bounds: tuple[float, ...] = FLUSH_BOUNDS, *by: str) -> DataFrame:
+    """Cumulative counts up to each bound, with count and sum: one row, or one of each group."""
+    out = rows.groupBy(*by) if by else rows
+    return out.agg(*[F.count_if(F.col(value) <= b).alias(f"le_{b:g}") for b in bounds], F.count(value).alias("count"), F.sum(value).alias("sum"))
+
+
+def status_rows(applied: DataFrame) -> DataFrame:
+    """applied with status: its columns as one ordered JSON text."""
+    return applied.withColumn("status", F.to_json(F.struct(*applied.columns)))

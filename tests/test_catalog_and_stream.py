@@ -2,83 +2,242 @@ import json
 
 import pytest
 
-from rillstone.operators.catalog import NEVER_EXPIRES, Catalog, Index, Unsupported
+from rillstone.functions.errors import CommandError
+from rillstone.operators.catalog import NEVER_EXPIRES, OPTIONS_CONFLICT, Catalog, Index, Unsupported, collection_rows, index_rows, looked_up
 from rillstone.sources.logs import EVENT_SCHEMA, HistoryLost, StateTable, from_start
-from rillstone.streaming.replicate import Replicator, State, histogram, retried
+from rillstone.streaming.replicate import TARGET, Replicator, State, apply_changes, histogram, retried
 
 
 def test_indexes_are_relaxed_and_restored():
     c = Catalog()
-    c.create("db", "c", "u1")
-    c.create_indexes("db", "c", [Index("_id_", (("_id", 1),)), Index("u", (("x", 1),), unique=True), Index("t", (("at", 1),), expire_after=60), Index("h", (("y", 1),), hidden=True)])
-    own = c.collections["db", "c"].indexes
+    c.create("shop", "bills", "u1")
+    c.create_indexes("shop", "bills", [Index("_id_", (("_id", 1),)), Index("u", (("x", 1),), unique=True), Index("t", (("at", 1),), expire_after=60), Index("h", (("y", 1),), hidden=True)])
+    own = c.collections["shop", "bills"].indexes
     assert set(own) == {"u", "t", "h"} and not own["u"].unique and own["t"].expire_after == NEVER_EXPIRES and not own["h"].hidden
     report = c.finalize(lambda ns, i: "duplicate" if i.name == "u" else None)
-    assert report == [{"namespace": "db.c", "name": "u", "type": "failed", "reason": "duplicate"}]
-    assert own["t"].expire_after == 60 and own["h"].hidden and not own["u"].unique
+    assert report == [{"namespace": "shop.bills", "name": "u", "type": "failed", "reason": "duplicate"}]
+    assert own["t"].expire_after == 60 and own["h"].hidden and not own["u"].unique and own["u"].unsuccessful
+
+
+def test_conflicting_options_make_an_index_anew():
+    c = Catalog()
+    c.create("shop", "bills")
+    c.create_indexes("shop", "bills", [Index("u", (("x", 1),), unique=True)])
+
+    def conflict(ns, index):
+        raise CommandError(OPTIONS_CONFLICT, "options")
+
+    assert c.finalize(conflict) == [] and c.collections["shop", "bills"].indexes["u"] == Index("u", (("x", 1),), unique=True)
 
 
 def test_schema_changes():
     c = Catalog()
-    c.apply("create", "db", "a", {"uuid": "1", "capped": True, "size": 1000})
-    c.apply("modify", "db", "a", {"cappedSize": 3333}, source_major=6)
-    assert c.collections["db", "a"].options["size"] == 3584
-    c.apply("rename", "db", "a", {"db": "db", "coll": "b"})
-    assert c.uuids() == {"1": ("db", "b")}
-    c.apply("rename", "db", "gone", {"db": "db", "coll": "x"})
-    c.create("db", "system.views")
-    c.apply("dropDatabase", "db", None, {})
-    assert set(c.collections) == {("db", "system.views")}
+    c.apply("create", "shop", "a", {"uuid": "1", "capped": True, "size": 1000})
+    c.apply("modify", "shop", "a", {"cappedSize": 5001}, source_major=6)
+    assert c.collections["shop", "a"].options["size"] == 5120
+    assert c.apply("rename", "shop", "a", {"db": "shop", "coll": "b"})
+    assert c.uuids() == {"1": ("shop", "b")} and c.name_of("1") == ("shop", "b") and c.name_of("2") is None
+    assert not c.apply("rename", "shop", "gone", {"db": "shop", "coll": "b"})
+    assert c.uuids() == {"1": ("shop", "b")}  # what has the name that a missing one should get stays
+    assert c.apply("rename", "shop", "b", {"db": "shop", "coll": "b"}) and c.uuids() == {"1": ("shop", "b")}
+    assert not c.apply("modify", "shop", "gone", {"cappedMax": 3})
+    c.apply("dropIndexes", "shop", "b", {"indexes": [{"name": "none"}]})
+    c.create("shop", "system.views")
+    c.apply("create", "shop", "series", {"viewOn": "system.buckets.series"})
+    assert set(c.collections) == {("shop", "b"), ("shop", "system.views")}
     for op in ("reshardCollection", "refineCollectionShardKey", "invalidate"):
         with pytest.raises(Unsupported):
-            c.apply(op, "db", "b", {})
-    with pytest.raises(Unsupported):
-        c.create("db", "v", viewOn="system.buckets.v")
+            c.apply(op, "shop", "b", {})
+    c.apply("shardCollection", "shop", "b", {"key": [["k", "hashed"]], "unique": True})
+    again = Catalog.from_json(c.to_json())
+    assert again.collections == c.collections and again.last_cid == c.last_cid
+    c.apply("dropDatabase", "shop", None, {})
+    assert set(c.collections) == {("shop", "system.views")}
+    with pytest.raises(CommandError):
+        c.spec("shop", "b")
+
+
+def test_listings(spark):
+    c = Catalog()
+    c.create("shop", "bills", "u1")
+    c.create("shop", "late", viewOn="bills")
+    c.create_indexes("shop", "bills", [Index("n", (("no", 1),))])
+    rows = collection_rows(spark, c)
+    assert looked_up(rows, db="shop", name="late").type == "view"
+    with pytest.raises(CommandError, match="nothing is named"):
+        looked_up(rows, db="shop", name="none")
+    assert [r.name for r in index_rows(spark, c).collect()] == ["n"]
+
+
+COLUMNS = [f.split()[0] for f in ("seq t i op db coll collection_uuid txn_number lsid document_key full_document updated_fields removed_fields truncated_arrays op_desc disambiguated_paths").split()]
 
 
 def _event(seq, t, op, key=None, doc=None, coll="c", **more):
-    row = dict.fromkeys([f.split()[0] for f in ("seq t i op db coll collection_uuid txn_number lsid document_key full_document updated_fields removed_fields truncated_arrays op_desc").split()])
-    return row | {"seq": seq, "t": t, "i": 1, "op": op, "db": "db", "coll": coll, "document_key": key, "full_document": doc and json.dumps(doc, separators=(",", ":"))} | more
+    return dict.fromkeys(COLUMNS) | {"seq": seq, "t": t, "i": 1, "op": op, "db": "d", "coll": coll, "document_key": key, "full_document": doc and json.dumps(doc, separators=(",", ":"))} | more
+
+
+def _update(seq, t, key, sets=(), unsets=(), cuts=(), **more):
+    return _event(seq, t, "update", key, updated_fields=[(p, json.dumps(v)) for p, v in sets], removed_fields=list(unsets), truncated_arrays=list(cuts), **more)
+
+
+def _log(spark, events):
+    frame = spark.createDataFrame(events, EVENT_SCHEMA)
+    return frame.withColumn("key", frame.document_key)
+
+
+def _rows(frame):
+    return {(x.coll, x.key): x.doc for x in frame.collect()}
+
+
+def test_updates_apply_one_by_one_and_failed_ones_are_fetched(spark):
+    target = spark.createDataFrame([("d", "c", k, "{}") for k in "abc"], TARGET)
+    events = [_update(0, 1, "a", [("x", 1)]), _update(1, 2, "a", [("x.y", 1)]), _update(2, 3, "a", [("z", 3)]), _update(3, 4, "b", [("x", 1)], ["q"]), _update(4, 5, "c", [("x", 1)]), _update(5, 6, "c", [("x.y", 1)])]
+    with pytest.raises(Exception, match="no source"):
+        apply_changes(target, _log(spark, events)).collect()
+    source = spark.createDataFrame([("d", "c", "a", '{"x":{"y":1},"w":0}')], TARGET)
+    assert _rows(apply_changes(target, _log(spark, events), source)) == {("c", "a"): '{"x":{"y":1},"w":0,"z":3}', ("c", "b"): '{"x":1}'}
+
+
+def test_fields_keep_the_order_of_their_writes(spark):
+    target = spark.createDataFrame([("d", "c", "a", '{"a":1,"b":2}')], TARGET)
+    events = [_update(0, 1, "a", [("c", 1), ("d", 1)]), _update(1, 2, "a", [], ["a", "c"]), _update(2, 3, "a", [("a", 9), ("b", 7)]), _update(3, 4, "a", [("c", 5)]), _update(4, 5, "a", [("a", 8)])]
+    want = {("c", "a"): '{"b":7,"d":1,"a":8,"c":5}'}
+    assert _rows(apply_changes(target, _log(spark, events))) == want
+    events.append(_update(5, 6, "a", [("e.f", 1)]))  # the same one by one
+    assert _rows(apply_changes(target, _log(spark, events))) == {("c", "a"): '{"b":7,"d":1,"a":8,"c":5,"e":{"f":1}}'}
 
 
 def test_replication(spark, tmp_path):
     log = str(tmp_path / "log")
     first = [
         _event(0, 10, "insert", "1", {"a": 1}),
-        _event(1, 11, "update", "1", updated_fields=[("b.c", "2")], removed_fields=[], truncated_arrays=[]),
+        _update(1, 11, "1", [("b.c", 2)]),
         _event(2, 12, "replace", "2", {"never": 1}),
         _event(3, 13, "insert", "3", {"z": 1}, coll="hidden"),
         _event(4, 14, "insert", "9", {"old": 1}, coll="gone"),
         _event(5, 15, "drop", coll="gone"),
         _event(6, 16, "insert", "9", {"new": 1}, coll="gone"),
         _event(7, 17, "delete", "0"),
+        _event(8, 17, "create", coll="series", op_desc=json.dumps({"viewOn": "system.buckets.series"})),
+        _event(9, 18, "@tick", coll=None),
     ]
     spark.createDataFrame(first, EVENT_SCHEMA).coalesce(1).write.parquet(log)
-    r = Replicator(spark, log, str(tmp_path / "target"), exclude=("db.hidden",))
-    r.clone(spark.createDataFrame([("db", "c", "0", "{}"), ("db", "c", "5", '{"k":[1,2,3]}'), ("db", "hidden", "7", "{}")], "db string, coll string, key string, doc string"), (9, 0))
+    r = Replicator(spark, log, str(tmp_path / "target"), exclude=("d.hidden",), buckets=4)
+    r.clone(spark.createDataFrame([("d", "c", "0", "{}"), ("d", "c", "5", '{"k":[1,2,3]}'), ("d", "hidden", "7", "{}")], TARGET), (9, 0))
     r.start()
     r.wait()
-    rows = lambda: {(x.coll, x.key): x.doc for x in r.target.read().collect()}
+    rows = lambda: _rows(r.target.read())
     assert rows() == {("c", "1"): '{"a":1,"b":{"c":2}}', ("c", "5"): '{"k":[1,2,3]}', ("gone", "9"): '{"new":1}'}
     status = r.status((20, 0))
-    assert status["initial_sync_completed"] and status["lag_seconds"] == 3 and status["checkpoint"] == (17, 1)
-    more = [_event(8, 18, "update", "5", updated_fields=[("k.0", "7")], removed_fields=[], truncated_arrays=[("k", 2)]), _event(9, 19, "rename", coll="gone", op_desc=json.dumps({"db": "db", "coll": "kept"}))]
+    assert status["initial_sync_completed"] and status["lag_seconds"] == 2 and status["checkpoint"] == (17, 1) and status["last_replicated"] == (18, 1)
+    more = [
+        _update(10, 18, "5", [("k.0", 7)], [], [("k", 2)]),
+        _event(11, 19, "rename", coll="gone", op_desc=json.dumps({"db": "d", "coll": "kept"})),
+        _event(12, 20, "rename", coll="missing", op_desc=json.dumps({"db": "d", "coll": "kept"})),
+        _event(13, 21, "rename", coll="c", op_desc=json.dumps({"db": "d", "coll": "c"})),
+        _event(14, 22, "insert", "4", {"s": 1}, coll="hidden"),
+    ]
     spark.createDataFrame(more, EVENT_SCHEMA).coalesce(1).write.mode("append").parquet(log)
     r.resume()
     r.wait()
     assert rows() == {("c", "1"): '{"a":1,"b":{"c":2}}', ("c", "5"): '{"k":[7,2]}', ("kept", "9"): '{"new":1}'}
+    assert r.status()["checkpoint"] == (22, 1)  # events that are left out move it, too
     before = rows()
     r.batch(spark.createDataFrame(more, EVENT_SCHEMA), 0)  # applied already
     assert rows() == before and r.finalize() == [] and r.state is State.FINALIZED
     with pytest.raises(RuntimeError):
         r.start()
+    assert Replicator.recover(spark, log, str(tmp_path / "target")).state is State.FINALIZED
+
+
+def test_only_touched_buckets_are_written(spark, tmp_path):
+    r = Replicator(spark, str(tmp_path / "log"), str(tmp_path / "target"), buckets=8)
+    r.clone(spark.createDataFrame([("d", "c", str(i), "{}") for i in range(200)], TARGET), (1, 0))
+    before = dict(r.target.state["parts"])
+    r.lease.acquire()
+    r.batch(spark.createDataFrame([_event(0, 2, "replace", "7", {"n": 1})], EVENT_SCHEMA), 0)
+    after = r.target.state["parts"]
+    assert sum(before[b] != after[b] for b in before) == 1 and len(before) == 8
+    r.batch(spark.createDataFrame([_event(1, 3, "drop")], EVENT_SCHEMA), 1)
+    assert r.target.state["parts"] == after and r.target.read().count() == 0
+    r.batch(spark.createDataFrame([_event(2, 4, "insert", "7", {"n": 2})], EVENT_SCHEMA), 2)
+    assert _rows(r.target.read()) == {("c", "7"): '{"n":2}'}
+
+
+def test_events_follow_the_uuid_of_their_collection(spark, tmp_path):
+    r = Replicator(spark, str(tmp_path / "log"), str(tmp_path / "target"), buckets=2)
+    r.clone(spark.createDataFrame([("d", "c", "1", '{"n":0}')], TARGET), (1, 0), specs={("d", "c"): {"uuid": "ab"}})
+    r.lease.acquire()
+    to = json.dumps({"db": "d", "coll": "e"})
+    r.batch(spark.createDataFrame([_event(0, 2, "rename", op_desc=to), _event(1, 3, "replace", "1", {"n": 1}, collection_uuid="ab"), _event(2, 4, "insert", "1", {"n": 9}, collection_uuid="cd")], EVENT_SCHEMA), 0)
+    assert _rows(r.target.read()) == {("e", "1"): '{"n":1}', ("c", "1"): '{"n":9}'}
+
+
+def test_a_document_that_moves_between_shards_stays_one(spark, tmp_path):
+    r = Replicator(spark, str(tmp_path / "log"), str(tmp_path / "target"), buckets=2)
+    r.clone(spark.createDataFrame([("d", "c", '{"k":1,"_id":5}', '{"_id":5,"k":1}')], TARGET), (1, 0))
+    r.lease.acquire()
+    r.batch(spark.createDataFrame([_event(0, 2, "insert", '{"k":2,"_id":5}', {"_id": 5, "k": 2})], EVENT_SCHEMA), 0)
+    assert _rows(r.target.read()) == {("c", '{"k":2,"_id":5}'): '{"_id":5,"k":2}'}
 
 
-def test_lost_history(spark):
+def test_capped_collections_keep_the_order_of_insertion(spark, tmp_path):
+    r = Replicator(spark, str(tmp_path / "log"), str(tmp_path / "target"), buckets=2)
+    r.lease.acquire()
+    made = _event(0, 1, "create", op_desc=json.dumps({"capped": True, "max": 3}))
+    r.batch(spark.createDataFrame([made, *[_event(1 + n, 2, "insert", k, {"n": n}) for n, k in enumerate("zyxwv")], _event(9, 3, "replace", "y", {"n": 99})], EVENT_SCHEMA), 0)
+    assert [x.key for x in r.target.natural("d", "c").collect()] == ["x", "w", "v"]
+
+
+def test_failure_and_restart(spark, tmp_path):
+    """A stream that fails, and a new process that goes on from the target's state."""
+    log, path = str(tmp_path / "log"), str(tmp_path / "target")
+    index = {"name": "u", "keys": [["x", 1]], "unique": True}
+    events = [_event(0, 10, "insert", "1", {"x": 1}), _event(1, 11, "insert", "2", {"x": 1}), _event(2, 12, "createIndexes", op_desc=json.dumps({"indexes": [index]})), _update(3, 13, "1", [("x.y", 1)])]
+    spark.createDataFrame(events, EVENT_SCHEMA).coalesce(1).write.parquet(log)
+    now = [0.0]
+    r = Replicator(spark, log, path, buckets=2, clock=lambda: now[0])
+    r.clone(spark.createDataFrame([], TARGET), (9, 0))
+    r.start()
+    other = Replicator(spark, log, path, buckets=2, clock=lambda: now[0])
+    with pytest.raises(RuntimeError, match="lease"):
+        other.start()
+    with pytest.raises(Exception, match="no source"):
+        r.wait()
+    assert r.state is State.FAILED and r.target.read().count() == 0
+    del r
+    source = spark.createDataFrame([("d", "c", "1", '{"x":{"y":1}}')], TARGET)
+    again = Replicator.recover(spark, log, path, source=source, buckets=2, clock=lambda: now[0])
+    assert again.state is State.FAILED and "no source" in again.error
+    with pytest.raises(RuntimeError):
+        again.start()
+    again.start(from_failure=True)
+    again.wait()
+    assert _rows(again.target.read()) == {("c", "1"): '{"x":{"y":1}}', ("c", "2"): '{"x":1}'}
+    # A process that dies while running is followed by one that runs on.
+    again.start()
+    again.wait()
+    again.state = State.RUNNING
+    again._save()
+    third = Replicator.recover(spark, log, path, source=source, buckets=2, clock=lambda: now[0])
+    third.wait()
+    spark.createDataFrame([_event(4, 14, "replace", "1", {"x": 1})], EVENT_SCHEMA).coalesce(1).write.mode("append").parquet(log)
+    third.resume()
+    third.wait()
+    report = third.finalize()
+    assert [(x["namespace"], x["name"], x["type"]) for x in report] == [("d.c", "u", "failed")] and "1" in report[0]["reason"]
+
+
+def test_lost_history(spark, tmp_path):
     log = spark.createDataFrame([_event(0, 10, "insert", "1")], EVENT_SCHEMA)
     assert from_start(log, 10, 1).count() == 1
     with pytest.raises(HistoryLost):
         from_start(log, 9, 0)
+    log.write.parquet(str(tmp_path / "log"))
+    r = Replicator(spark, str(tmp_path / "log"), str(tmp_path / "target"), begins=(10, 0), buckets=2)
+    r.clone(spark.createDataFrame([], TARGET), (9, 0))
+    with pytest.raises(HistoryLost):
+        r.start()
 
 
 def test_state_table(spark, tmp_path):
