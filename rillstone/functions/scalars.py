@@ -98,6 +98,32 @@ def compatible(source: str, target: str) -> bool:
     return parse_version(target)[0] >= parse_version(source)[0]
 
 
+def version_parts(text: Column) -> Column:
+    """major, minor, patch and build of a version's text (see parse_version), null if it is none."""
+    pattern = r"^(\d+)\.(\d+)\.(\d+)(?:-(\d+))?(?:-.*)?$"
+    part = lambda i: F.coalesce(F.nullif(F.regexp_extract(text, pattern, i), F.lit("")).cast("int"), F.lit(0))
+    return F.when(text.rlike(pattern), F.struct(*[part(i).alias(n) for i, n in enumerate(("major", "minor", "patch", "build"), 1)]))
+
+
+def hexed(data: Column) -> Column:
+    """Lower-case hexadecimal text of bytes or of a text's UTF-8."""
+    return F.lower(F.hex(data))
+
+
+def key_json(*fields: Column) -> Column:
+    """Ordered JSON of a document key; fields that are missing stand as null."""
+    return F.to_json(F.struct(*fields), {"ignoreNullFields": "false"})
+
+
+def byte_size(text: Column) -> Column:
+    """The same as parse_bytes, of a column; null for what is no size."""
+    pattern = r"^\s*(\d+(?:\.\d+)?)\s*([kmgtKMGT]?)([iI]?)[bB]?\s*$"
+    power = F.instr(F.lit(" kmgt"), F.lower(F.regexp_extract(text, pattern, 2))) - 1
+    power = F.when(F.regexp_extract(text, pattern, 2) == "", 0).otherwise(power)
+    base = F.when(F.regexp_extract(text, pattern, 3) == "", 1000.0).otherwise(1024.0)
+    return F.when(text.rlike(pattern), F.floor(F.regexp_extract(text, pattern, 1).cast("double") * F.pow(base, power)).cast("bigint"))
+
+
 def parse_bytes(text: str) -> int:
     """Sizes like 500MB (powers of ten) or 1GiB (powers of two); plain numbers are bytes."""
     m = re.fullmatch(r"\s*(\d+(?:\.\d+)?)\s*([kmgt]?)(i?)b?\s*", text, re.I)

@@ -88,7 +88,7 @@ def epochs(log: DataFrame, is_barrier: Column, order: Sequence[str], day: str) -
     per_day = flagged.groupBy(day).agg(F.sum("_b").alias("_n"))
     before = per_day.select(day, (F.sum("_n").over(Window.orderBy(day)) - F.col("_n")).alias("_before"))
     within = F.sum("_b").over(Window.partitionBy(day).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))
-    return flagged.join(F.broadcast(before), day).withColumn("epoch", F.col("_before") + within).drop("_b", "_before")  # one row a day
+    return flagged.join(before, day).withColumn("epoch", F.col("_before") + within).drop("_b", "_before")
 
 
 def tail(rows: DataFrame, group: str, order: Sequence[str], n: int) -> DataFrame:

@@ -52,13 +52,16 @@ def selected(db: Column, coll: Column, include: Iterable[str] = (), exclude: Ite
 def selected_by_join(rows: DataFrame, lists: DataFrame, rows_limit: int = 10_000) -> DataFrame:
     """The same for long lists: lists has kind (include, exclude), db, coll (* for all)."""
 
+    sizes = {r.kind: r["count"] for r in lists.groupBy("kind").count().collect()}  # two kinds
+
     def having(frame: DataFrame, kind: str, how: str) -> DataFrame:
+        if not sizes.get(kind):
+            return frame
         own = lists.filter(F.col("kind") == kind).select(F.col("db").alias("_db"), F.col("coll").alias("_coll")).distinct()
-        own = F.broadcast(own) if own.limit(rows_limit + 1).count() <= rows_limit else own
+        own = F.broadcast(own) if sizes[kind] <= rows_limit else own
         return frame.join(own, (F.col("db") == F.col("_db")) & ((F.col("_coll") == "*") | (F.col("coll") == F.col("_coll"))), how)
 
-    kept = having(rows, "exclude", "left_anti")
-    return having(kept, "include", "left_semi") if not lists.filter("kind = 'include'").isEmpty() else kept
+    return having(having(rows, "exclude", "left_anti"), "include", "left_semi")
 
 
 def user_databases(db: Column) -> Column:

@@ -34,6 +34,19 @@ def initial_sync_done(applied: Column, finished: Column) -> Column:
     return applied > finished
 
 
+def commits(rows: DataFrame, worker: str, order: str, ops: int) -> DataFrame:
+    """worker, n, committed: events of each worker and the last one of its sealed bulks of ops events (null: none is sealed)."""
+    place = F.row_number().over(Window.partitionBy(worker).orderBy(order))
+    numbered = rows.select(worker, order, place.alias("_n"))
+    return numbered.groupBy(worker).agg(F.max("_n").cast("bigint").alias("n"), F.max(F.when(F.col("_n") % ops == 0, F.col(order))).alias("committed"))
+
+
+def throughput(rows: DataFrame, at: Column, seconds: int) -> DataFrame:
+    """Rows and rows a second of each interval of so many seconds of the clock at (whole seconds)."""
+    start = (F.floor(at / seconds) * seconds).cast("bigint")
+    return rows.groupBy(start.alias("start")).agg(F.count("*").alias("n")).withColumn("per_second", F.col("n") / F.lit(seconds))
+
+
 def rates(rows: DataFrame, window: str, count: str) -> DataFrame:
     """Adds delta: the change of a counter since the window before (a row a window)."""
     return rows.withColumn("delta", F.col(count) - F.lag(count).over(Window.orderBy(window)))

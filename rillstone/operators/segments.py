@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import written
+
 #: Bytes of the least and the largest segment; bytes and documents of a batch.
 LEAST_SEGMENT, LARGEST_SEGMENT = 479_994_880, 64 << 30
 BATCH_BYTES, BATCH_DOCS = 47_999_488, 10_000
@@ -49,18 +51,46 @@ def segment_docs(size: int, avg: int, readers: int, explicit: int = 0) -> int:
     return max(min(size, LARGEST_SEGMENT) // max(avg, 1), 1)
 
 
-def segments(rows: DataFrame, key: str, docs: int, slices: int = 64) -> DataFrame:
-    """segment, n, lo, hi: ranges of docs consecutive keys, disjoint and without gaps.
+def segments(rows: DataFrame, key: str, docs: int, kind: str | None = None, slices: int | None = None) -> DataFrame:
+    """kind, segment, n, lo, hi: ranges of docs consecutive keys, disjoint and without gaps, for keys of any type.
 
-    Keys are ranked within ranges of the key, whose counts are summed first; no task sorts them all.
+    Keys are dealt out by range, counted by slice and ranked within their slices; no task sorts them
+    all. With a column kind (the type of keys of several types) every kind has ranges of its own. NaN is
+    an ordinary key, the greatest; null is the least.
     """
-    lo, hi = rows.agg(F.min(key), F.max(key)).first()
-    sliced = rows.select(key).withColumn("_slice", F.floor((F.col(key) - F.lit(lo)) / F.lit((hi - lo + 1) / slices if lo is not None else 1)))
-    counts = sliced.groupBy("_slice").agg(F.count("*").alias("_n"))
-    before = counts.select("_slice", (F.sum("_n").over(Window.orderBy("_slice")) - F.col("_n")).alias("_before"))
-    rank = F.col("_before") + F.row_number().over(Window.partitionBy("_slice").orderBy(key)) - 1
-    ranked = sliced.join(F.broadcast(before), "_slice").withColumn("segment", F.floor(rank / docs).cast("bigint"))  # a row a slice
-    return ranked.groupBy("segment").agg(F.count("*").alias("n"), F.min(key).alias("lo"), F.max(key).alias("hi"))
+    by = [kind] if kind else []
+    slices = slices or max(8, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    dealt = rows.select(*by, F.col(key).alias("_key")).repartitionByRange(slices, *by, "_key")
+    sliced = written(dealt.select(*by, "_key", F.spark_partition_id().alias("_slice")), "slices")
+    counts = sliced.groupBy(*by, "_slice").agg(F.count("*").alias("_n"))
+    order = Window.partitionBy(*by).orderBy("_slice")
+    before = counts.select(*by, "_slice", (F.sum("_n").over(order) - F.col("_n")).alias("_before"))  # a row a slice and kind
+    rank = F.col("_before") + F.row_number().over(Window.partitionBy(*by, "_slice").orderBy("_key")) - 1
+    ranked = sliced.join(before, [*by, "_slice"]).withColumn("segment", F.floor(rank / docs).cast("bigint"))
+    return ranked.groupBy(*by, "segment").agg(F.count("*").alias("n"), F.min("_key").alias("lo"), F.max("_key").alias("hi"))
+
+
+def scan(rows: DataFrame, key: str, lo: object = None, hi: object = None) -> DataFrame:
+    """The rows of one range, both ends included, in the order of their keys; the range reaches the files."""
+    kept = rows if lo is None else rows.filter(F.col(key) >= F.lit(lo))
+    kept = kept if hi is None else kept.filter(F.col(key) <= F.lit(hi))
+    return kept.orderBy(key)
+
+
+def segment_of(rows: DataFrame, found: DataFrame, key: str, kind: str | None = None, most: int = 10_000) -> DataFrame:
+    """rows with the segment of their keys; segments are a bounded table, and broadcast if few."""
+    ends = found.select(*[F.col(c).alias(f"_{c}") for c in ([kind] if kind else []) + ["segment", "lo", "hi"]])
+    ends = F.broadcast(ends) if ends.limit(most + 1).count() <= most else ends
+    fits = (F.col(key) >= F.col("_lo")) & (F.col(key) <= F.col("_hi"))
+    fits = fits & (F.col(kind) == F.col(f"_{kind}")) if kind else fits
+    return rows.join(ends, fits).drop("_lo", "_hi", *([f"_{kind}"] if kind else [])).withColumnRenamed("_segment", "segment")
+
+
+def database_stats(docs: DataFrame, db: str, coll: str, size: Column) -> DataFrame:
+    """Of each database: its collections, documents, bytes and average size (whole)."""
+    per = collection_stats(docs, (db, coll), size)
+    out = per.groupBy(db).agg(F.count("*").alias("n_collections"), F.sum("n_docs").alias("n_docs"), F.sum("size_bytes").alias("size_bytes"))
+    return out.withColumn("avg_size", F.expr("size_bytes div n_docs"))
 
 
 def type_ranges(rows: DataFrame, kind: str, key: str) -> DataFrame:

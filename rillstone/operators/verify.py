@@ -20,14 +20,30 @@ def range_hash(rows: DataFrame, by: tuple[str, ...], key: str, doc: Column, keys
     return parts.groupBy(*by).agg(F.sum("n").alias("n"), F.md5(F.array_join(items, "\n")).alias("hash"))
 
 
-def differences(source: DataFrame, target: DataFrame, key: str, value: str) -> DataFrame:
+def differences(source: DataFrame, target: DataFrame, key: str | list[str], value: str) -> DataFrame:
     """key and kind: missing (from the target), extra (in it), changed."""
-    s = source.select(key, F.col(value).alias("_s"), F.lit(True).alias("_in_s"))
-    t = target.select(key, F.col(value).alias("_t"), F.lit(True).alias("_in_t"))
+    key = [key] if isinstance(key, str) else key
+    s = source.select(*key, F.col(value).alias("_s"), F.lit(True).alias("_in_s"))
+    t = target.select(*key, F.col(value).alias("_t"), F.lit(True).alias("_in_t"))
     kind = F.when(F.col("_in_t").isNull(), "missing").when(F.col("_in_s").isNull(), "extra").when(~F.col("_s").eqNullSafe(F.col("_t")), "changed")
-    return s.join(t, key, "full_outer").select(key, kind.alias("kind")).filter("kind IS NOT NULL")
+    return s.join(t, key, "full_outer").select(*key, kind.alias("kind")).filter("kind IS NOT NULL")
 
 
 def outside(target: DataFrame, source: DataFrame, key: str) -> DataFrame:
     """n_outside: the target's rows whose key the source lacks; none if it is a subset."""
     return target.join(source.select(key), key, "left_anti").agg(F.count("*").alias("n_outside"))
+
+
+def compared(source: dict[str, tuple[DataFrame, list[str]]], target: dict[str, DataFrame]) -> DataFrame:
+    """what, name, kind of all differences of two sides: listings and documents by what they are, each with its keys.
+
+    Columns that are no key are compared as one value; names are the keys' texts.
+    """
+    out = None
+    for what, (rows, keys) in source.items():
+        rest = [c for c in rows.columns if c not in keys]
+        value = lambda df: df.select(*keys, F.struct(*rest).alias("_value"))  # noqa: B023, E731
+        found = differences(value(rows), value(target[what]), keys, "_value")
+        part = found.select(F.lit(what).alias("what"), F.concat_ws(".", *[F.col(k).cast("string") for k in keys]).alias("name"), "kind")
+        out = part if out is None else out.unionByName(part)
+    return out

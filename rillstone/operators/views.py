@@ -95,32 +95,61 @@ def expression(e: Any, names: dict[str, Column] | None = None) -> Column:
     args = [sub(x) for x in arg] if isinstance(arg, list) else [sub(arg)]
     simple = {
         "$concatArrays": lambda *a: F.concat(*a), "$reverseArray": F.reverse, "$arrayElemAt": lambda a, i: F.get(a, F.when(i < 0, F.size(a) + i).otherwise(i)),
-        "$ifNull": lambda *a: F.coalesce(*a), "$max": lambda *a: F.greatest(*a) if len(a) > 1 else a[0], "$min": lambda *a: F.least(*a) if len(a) > 1 else a[0],
+        "$ifNull": lambda *a: F.coalesce(*a), "$max": lambda *a: F.greatest(*a) if len(a) > 1 else F.array_max(a[0]), "$min": lambda *a: F.least(*a) if len(a) > 1 else F.array_min(a[0]),
         "$subtract": lambda a, b: a - b, "$add": lambda *a: reduce(lambda x, y: x + y, a), "$multiply": lambda *a: reduce(lambda x, y: x * y, a), "$divide": lambda a, b: a / b,
-        "$size": F.size, "$in": lambda x, a: F.array_contains(a, x), "$type": F.typeof, "$and": lambda *a: reduce(lambda x, y: x & y, a), "$or": lambda *a: reduce(lambda x, y: x | y, a), "$not": lambda a: ~a,
+        "$size": F.size, "$in": lambda x, a: F.array_contains(a, x), "$type": type_name, "$and": lambda *a: reduce(lambda x, y: x & y, a), "$or": lambda *a: reduce(lambda x, y: x | y, a), "$not": lambda a: ~a,
         "$eq": lambda a, b: a.eqNullSafe(b), "$ne": lambda a, b: ~a.eqNullSafe(b), "$gt": lambda a, b: a > b, "$gte": lambda a, b: a >= b, "$lt": lambda a, b: a < b, "$lte": lambda a, b: a <= b,
     }
     return simple[op](*args)
 
 
+#: Names of the document database's types, by beginnings of Spark's.
+TYPE_NAMES = {"string": "string", "int": "int", "smallint": "int", "tinyint": "int", "bigint": "long", "double": "double", "float": "double", "decimal": "decimal", "boolean": "bool", "timestamp": "date", "date": "date", "binary": "binData", "array": "array", "struct": "object", "map": "object"}
+
+
+def type_name(value: Column) -> Column:
+    """The name of a value's type in the document database."""
+    out = F.lit("unknown")
+    for spark_name, name in TYPE_NAMES.items():
+        out = F.when(F.startswith(F.typeof(value), F.lit(spark_name)), name).otherwise(out)
+    return F.when(value.isNull(), "null").otherwise(out)
+
+
 def _last_wins(parts: list[Column]) -> Column:
     """Entries of several maps; of one key the last."""
     every = F.concat(*parts)
     return F.filter(every, lambda x, i: ~F.exists(F.slice(every, i + 2, F.size(every)), lambda y: y["key"] == x["key"]))
 
 
+def _set(rows: DataFrame, values: dict[str, Column]) -> DataFrame:
+    """Columns by name; a dotted one is a field of a struct, which is made if it is missing."""
+    flat = {k: v for k, v in values.items() if "." not in k}
+    rows = rows.withColumns(flat) if flat else rows
+    for path, value in ((k, v) for k, v in values.items() if "." in k):
+        root, *rest = path.split(".")
+        if root in rows.columns:
+            rows = rows.withColumn(root, F.col(root).withField(".".join(rest), value))
+        else:
+            for name in reversed(rest):
+                value = F.struct(value.alias(name))
+            rows = rows.withColumn(root, value)
+    return rows
+
+
 def update(rows: DataFrame, change: dict[str, Any] | list[dict[str, Any]]) -> DataFrame:
     """Rows after an update of top-level fields: $set, $unset, $inc, $pull, or a pipeline of $set and $unset."""
     for stage in change if isinstance(change, list) else [change]:
         for op, arg in stage.items():
             if op in ("$set", "$addFields"):
-                rows = rows.withColumns({k: expression(v) if isinstance(change, list) else F.lit(v) for k, v in arg.items()})
+                rows = _set(rows, {k: expression(v) if isinstance(change, list) else F.lit(v) for k, v in arg.items()})
             elif op == "$inc":
                 rows = rows.withColumns({k: F.coalesce(F.col(k), F.lit(0)) + v for k, v in arg.items()})
             elif op == "$pull":
                 rows = rows.withColumns({k: pulled(F.col(k), v["$in"] if isinstance(v, dict) else [v]) for k, v in arg.items()})
             elif op == "$unset":
-                rows = rows.drop(*([arg] if isinstance(arg, str) else arg))
+                for name in [arg] if isinstance(arg, str) else arg:
+                    root, _, rest = name.partition(".")
+                    rows = rows.withColumn(root, F.col(root).dropFields(rest)) if rest else rows.drop(name)
             else:
                 raise ValueError(f"no such update: {op}")
     return rows

@@ -2,29 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import scalars as S
-from ..operators import catalog, delta, fold, namespaces, progress, segments, verify, views
+from ..operators import catalog, fold, namespaces, progress, segments, verify, views
 from ..session import table
-
-Query = Callable[[SparkSession, str], DataFrame]
-QUERIES: dict[str, Query] = {}
-ORACLES: dict[str, str] = {}
-
-
-def registered(sql: str | None = None) -> Callable[[Query], Query]:
-    def add(f: Query) -> Query:
-        QUERIES[f.__name__] = f
-        if sql:
-            ORACLES[f.__name__] = sql
-        return f
-
-    return add
-
+from ..streaming import replicate
+from .registry import ORACLES, QUERIES, Query, registered
 
 #: The events table as a log, in SQL.
 _LOG = """log AS (SELECT user_id, event_id, ts, value, event_type, CASE event_type WHEN 'signup' THEN 'insert' WHEN 'purchase' THEN 'replace' WHEN 'error' THEN 'delete' ELSE 'update' END AS op,
@@ -132,7 +117,7 @@ def segments_ntile(spark: SparkSession, sf: str) -> DataFrame:
 
 @registered("SELECT o_orderkey, o_custkey FROM orders WHERE o_orderkey BETWEEN 1000 AND 5000")
 def segment_scan(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "orders").filter(F.col("o_orderkey").between(1000, 5000)).select("o_orderkey", "o_custkey")
+    return segments.scan(table(spark, sf, "orders").select("o_orderkey", "o_custkey"), "o_orderkey", 1000, 5000)
 
 
 @registered("SELECT source, lang, size_bytes, row_number() OVER (ORDER BY size_bytes DESC, source, lang) AS place FROM (SELECT source, lang, sum(octet_length(encode(text)))::BIGINT AS size_bytes FROM documents GROUP BY source, lang)")
@@ -262,12 +247,13 @@ def initial_sync_flag(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "events").groupBy("user_id").agg(progress.initial_sync_done(F.max("event_id"), F.lit(5000)).alias("done"))
 
 
-@registered("""WITH s AS (SELECT DISTINCT CASE WHEN l_linenumber = 1 THEN '_id_' ELSE 'ix_' || l_returnflag || l_linestatus || l_linenumber END AS name, l_suppkey % 10 AS shard FROM lineitem WHERE l_linenumber = 1 OR (l_suppkey + l_linenumber) % 7 < 5 AND l_suppkey % 10 < l_linenumber + 3),
+@registered("""WITH s AS (SELECT DISTINCT CASE WHEN l_linenumber = 1 THEN '_id_' ELSE 'ix_' || l_returnflag || l_linestatus || l_linenumber END AS name, CASE WHEN l_linenumber = 1 THEN l_suppkey % 10 ELSE l_suppkey % (l_linenumber + 4) END AS shard FROM lineitem),
 c AS (SELECT name, count(*) AS n_shards, min(name) AS spec FROM s GROUP BY name) SELECT name, n_shards, spec FROM c WHERE n_shards < (SELECT n_shards FROM c WHERE name = '_id_')""")
 def index_inconsistent(spark: SparkSession, sf: str) -> DataFrame:
-    rows = table(spark, sf, "lineitem").filter("l_linenumber = 1 OR (l_suppkey + l_linenumber) % 7 < 5 AND l_suppkey % 10 < l_linenumber + 3")
+    rows = table(spark, sf, "lineitem")
+    shard = F.when(F.col("l_linenumber") == 1, F.col("l_suppkey") % 10).otherwise(F.col("l_suppkey") % (F.col("l_linenumber") + 4))
     name = F.when(F.col("l_linenumber") == 1, "_id_").otherwise(F.concat(F.lit("ix_"), "l_returnflag", "l_linestatus", F.col("l_linenumber").cast("string")))
-    stats = rows.select(name.alias("name"), (F.col("l_suppkey") % 10).alias("shard")).distinct().withColumn("spec", F.col("name"))
+    stats = rows.select(name.alias("name"), shard.alias("shard")).distinct().withColumn("spec", F.col("name"))
     return catalog.inconsistent(stats)
 
 
@@ -359,16 +345,10 @@ def txn_groups(spark: SparkSession, sf: str) -> DataFrame:
     return fold.transactions(table(spark, sf, "conversations"), "conv_id", "turn", "role")
 
 
-@registered("SELECT event_id, json_object('k', 7) AS doc FROM events WHERE event_type = 'purchase'".replace("json_object('k', 7)", "'{\"k\":7}'"))
-def delta_apply(spark: SparkSession, sf: str) -> DataFrame:
-    steps = F.array(F.struct(F.lit(0).alias("step"), F.lit("set").alias("op"), F.lit("k").alias("path"), F.lit("7").alias("value")))
-    rows = table(spark, sf, "events").filter("event_type = 'purchase'")
-    return rows.select("event_id", delta.applied(F.col("props"), steps)["doc"].alias("doc"))
-
-
 @registered("SELECT event_type, count_if(value <= 10)::BIGINT AS le_10, count_if(value <= 50)::BIGINT AS le_50, count_if(value <= 100)::BIGINT AS le_100, count(value) AS n FROM events GROUP BY event_type")
 def metrics_histogram(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "events").groupBy("event_type").agg(*[F.count_if(F.col("value") <= b).alias(f"le_{b}") for b in (10, 50, 100)], F.count("value").alias("n"))
+    out = replicate.histogram(table(spark, sf, "events"), "value", (10.0, 50.0, 100.0), "event_type")
+    return out.withColumnRenamed("count", "n").drop("sum")
 
 
 @registered("SELECT event_id, strftime(date_trunc('second', ts), '%Y-%m-%dT%H:%M:%SZ') AS at FROM events")
@@ -376,10 +356,12 @@ def optime_dates(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "events").select("event_id", S.rfc3339(S.seconds(F.col("ts"))).alias("at"))
 
 
-@registered("SELECT i AS idx, 'cat_' || (i % 100) AS category, ['active', 'pending', 'archived'][i % 3 + 1] AS status, (i * 17) % 1000 AS score, (i * 13) % 5 AS priority FROM (SELECT unnest(range(5000)) AS i)")
+@registered("SELECT i AS idx, 'group ' || (i * 7) % 40 AS category, ['open', 'held', 'closed', 'lost'][i % 4 + 1] AS status, (i * 31) % 997 AS score, (i * 11) % 6 AS priority FROM (SELECT unnest(range(5000)) AS i)")
 def generated_documents(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents for fixtures: all fields are rules of their number."""
     i = F.col("id")
-    return spark.range(5000).select(i.alias("idx"), F.concat(F.lit("cat_"), (i % 100).cast("string")).alias("category"), F.get(F.array(F.lit("active"), F.lit("pending"), F.lit("archived")), (i % 3).cast("int")).alias("status"), ((i * 17) % 1000).alias("score"), ((i * 13) % 5).alias("priority"))
+    states = F.array(*map(F.lit, ("open", "held", "closed", "lost")))
+    return spark.range(5000).select(i.alias("idx"), F.concat(F.lit("group "), ((i * 7) % 40).cast("string")).alias("category"), F.get(states, (i % 4).cast("int")).alias("status"), ((i * 31) % 997).alias("score"), ((i * 11) % 6).alias("priority"))
 
 
 @registered("""WITH f AS (SELECT source, lang, count(*) AS n_docs, sum(n_chars)::BIGINT AS size_bytes, (sum(n_chars) // count(*))::BIGINT AS avg_size FROM documents GROUP BY source, lang)
@@ -413,7 +395,9 @@ def cluster_time(spark: SparkSession, sf: str) -> DataFrame:
     return latest_time(log).select("cluster_time.t", "cluster_time.i")
 
 
-@registered("SELECT event_type, count(*) AS applied, max(event_id) AS last_event, '{\"op\":\"' || event_type || '\",\"n\":' || count(*) || '}' AS status FROM events GROUP BY event_type")
+@registered("SELECT event_type, count(*) AS applied, max(event_id) AS last_event, '{\"event_type\":\"' || event_type || '\",\"applied\":' || count(*) || ',\"last_event\":' || max(event_id) || '}' AS status FROM events GROUP BY event_type")
 def status_json(spark: SparkSession, sf: str) -> DataFrame:
-    out = table(spark, sf, "events").groupBy("event_type").agg(F.count("*").alias("applied"), F.max("event_id").alias("last_event"))
-    return out.withColumn("status", F.to_json(F.struct(F.col("event_type").alias("op"), F.col("applied").alias("n"))))
+    return replicate.status_rows(table(spark, sf, "events").groupBy("event_type").agg(F.count("*").alias("applied"), F.max("event_id").alias("last_event")))
+
+
+from . import documents, metadata, replication  # noqa: E402, F401

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 import zipfile
 from pathlib import Path
 
@@ -40,6 +41,35 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that driver and executors share: spark.checkpoint.dir, or on one machine a new one.
+
+    A cluster has to name it: a path that only the driver sees would lose tables.
+    """
+    found = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    if not found:
+        found = context._jsc.sc().getCheckpointDir()
+        found = found.get() if found.isDefined() else None
+    if not found:
+        if not context.master.startswith("local") or context.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
+        found = tempfile.mkdtemp(prefix="rillstone-")
+        context.setCheckpointDir(found)
+    return found
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """df, written as a table in the shared folder and read again: cuts lineage and survives lost executors."""
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/rillstone/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    jvm = spark.sparkContext._jvm
+    at = jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(at)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def ship(spark: SparkSession | None = None) -> None:
     """Sends this package to the session's Python workers, once."""
     context = (spark or SparkSession.active()).sparkContext

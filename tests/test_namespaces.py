@@ -3,26 +3,28 @@ from pyspark.sql import functions as F
 
 from rillstone.operators.namespaces import selected, selected_by_join
 
-LISTS = (["db_0.*", "db_1.coll_0", "db_1.coll_1"], ["db_0.*", "db_1.coll_0", "db_3.coll_1"])
+WANTED, UNWANTED = ["farm.*", "mill.flour", "mill.bran"], ["farm.barn", "mill.*", "quay.boats"]
 CASES = [
-    ([], [], "any_db", "any_coll", True),
-    (LISTS[0], [], "db_0", "coll_2", True),
-    (LISTS[0], [], "db_1", "coll_1", True),
-    (LISTS[0], [], "db_1", "coll_2", False),
-    (LISTS[0], [], "db_2", "coll_0", False),
-    ([], LISTS[1], "db_0", "coll_0", False),
-    ([], LISTS[1], "db_1", "coll_0", False),
-    ([], LISTS[1], "db_1", "coll_2", True),
-    ([], LISTS[1], "db_2", "x", True),
-    (LISTS[0], LISTS[1], "db_0", "coll_0", False),
-    (LISTS[0], LISTS[1], "db_1", "coll_0", False),
-    (LISTS[0], LISTS[1], "db_1", "coll_1", True),
-    (LISTS[0], LISTS[1], "db_3", "coll_0", False),
-    (["db"], [], "db", "", True),
-    (["db."], [], "db", "c", False),
-    (["db.a.b"], [], "db", "a.b", True),
-    (["db.a", "db.*"], [], "db", "z", True),
-    (["db.*", "db.a"], [], "db", "z", True),
+    ([], [], "anything", "at all", True),
+    (WANTED, [], "farm", "silo", True),
+    (WANTED, [], "mill", "bran", True),
+    (WANTED, [], "mill", "wheel", False),
+    (WANTED, [], "quay", "boats", False),
+    ([], UNWANTED, "farm", "barn", False),
+    ([], UNWANTED, "farm", "silo", True),
+    ([], UNWANTED, "mill", "wheel", False),
+    ([], UNWANTED, "dock", "boats", True),
+    (WANTED, UNWANTED, "farm", "silo", True),
+    (WANTED, UNWANTED, "farm", "barn", False),
+    (WANTED, UNWANTED, "mill", "flour", False),
+    (WANTED, UNWANTED, "quay", "nets", False),
+    (["mill"], [], "mill", "", True),
+    (["mill"], [], "mill", "flour", False),
+    (["mill."], [], "mill", "flour", False),
+    (["mill.flour.fine"], [], "mill", "flour.fine", True),
+    (["mill.bran", "mill.*"], [], "mill", "oats", True),
+    (["mill.*", "mill.bran"], [], "mill", "oats", True),
+    (["mill.*"], ["mill.oats"], "mill", "oats", False),
 ]
 
 
@@ -31,8 +33,9 @@ def test_selected(spark, include, exclude, db, coll, want):
     assert spark.range(1).select(selected(F.lit(db), F.lit(coll), include, exclude)).first()[0] is want
 
 
-def test_join_form_agrees(spark):
-    rows = spark.createDataFrame([(d, c) for d in ("db_0", "db_1", "db_2", "db_3") for c in ("coll_0", "coll_1", "coll_2")], "db string, coll string")
-    lists = spark.createDataFrame([(k, *e.split(".")) for k, es in zip(("include", "exclude"), LISTS) for e in es], "kind string, db string, coll string")
-    want = rows.filter(selected(F.col("db"), F.col("coll"), *LISTS)).collect()
+@pytest.mark.parametrize("include, exclude", [(WANTED, UNWANTED), ([], UNWANTED), (WANTED, []), ([], [])])
+def test_join_form_agrees(spark, include, exclude):
+    rows = spark.createDataFrame([(d, c) for d in ("farm", "mill", "quay", "dock") for c in ("barn", "flour", "bran", "boats")], "db string, coll string")
+    lists = spark.createDataFrame([(k, *e.split(".")) for k, es in (("include", include), ("exclude", exclude)) for e in es], "kind string, db string, coll string")
+    want = rows.filter(selected(F.col("db"), F.col("coll"), include, exclude)).collect()
     assert sorted(selected_by_join(rows, lists).collect()) == sorted(want)

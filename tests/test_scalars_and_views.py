@@ -46,7 +46,7 @@ def test_names_versions_sizes(spark):
     with pytest.raises(ValueError):
         logs.source_options({"nope": "1"})
     assert logs.compressors("zstd, none,snappy,zstd") == ["zstd", "snappy"]
-    assert _one(spark, S.aligned(F.lit(3333).cast("bigint"))) == 3584
+    assert _one(spark, S.aligned(F.lit(5001).cast("bigint"))) == 5120 and _one(spark, S.aligned(F.lit(512).cast("bigint"))) == 512
 
 
 def test_expressions(spark):
@@ -57,15 +57,37 @@ def test_expressions(spark):
     assert [r.id for r in rows.filter(views.match({"v": {"$exists": False}})).collect()] == [2]
     got = views.run_pipeline(rows, [{"$unwind": "$a"}, {"$group": {"_id": "$a", "n": {"$sum": 1}}}, {"$match": {"n": {"$gt": 1}}}]).collect()
     assert [(r._id, r.n) for r in got] == [("C", 2)]
-    merged = spark.range(1).select(views.expression({"$mergeObjects": ["$a", "$b"]}).alias("m") if False else F.lit(1))
-    assert merged.count() == 1
+    maps = spark.range(1).select(F.create_map(F.lit("k"), F.lit(1), F.lit("l"), F.lit(2)).alias("a"), F.create_map(F.lit("k"), F.lit(3)).alias("b"))
+    assert maps.select(views.expression({"$mergeObjects": ["$a", "$b"]}).alias("m")).first().m == {"k": 3, "l": 2}
+    assert rows.select(views.expression({"$max": "$a"}).alias("m")).first().m == "C"
+    set_ = views.update(rows, [{"$set": {"s.t.u": {"$literal": 4}}}, {"$set": {"s.w": "$id"}}, {"$unset": "s.t"}])
+    assert [tuple(r.s) for r in set_.orderBy("id").collect()] == [(1,), (2,)]
+
+
+def test_versions_and_sizes_of_columns(spark):
+    texts = ["8.0.4-12", "6.0.21", "7.0.1-rc0", "x", "1.2"]
+    got = [r.v and tuple(r.v) for r in spark.createDataFrame([(t,) for t in texts], "t string").select(S.version_parts(F.col("t")).alias("v")).collect()]
+    assert got == [S.parse_version(t) if t[0] in "867" else None for t in texts]
+    sizes = ["500MB", "1GiB", "12", " 1.5 kb ", "2t", "MB"]
+    got = [r.b for r in spark.createDataFrame([(t,) for t in sizes], "t string").select(S.byte_size(F.col("t")).alias("b")).collect()]
+    assert got == [*map(S.parse_bytes, sizes[:-1]), None]
+
+
+@pytest.mark.parametrize("make", [lambda k: k, lambda k: f"k{k:04d}", lambda k: k + 0.5 if k < 990 else float("nan")])
+def test_segments_have_no_gaps(spark, make):
+    rows = spark.createDataFrame([(make(i * 7 % 1000),) for i in range(1000)], ["k"])
+    found = segments.segments(rows, "k", 128)
+    got = found.orderBy("segment").collect()
+    assert [r.n for r in got] == [128] * 7 + [104]
+    assert all(a.hi < b.lo or b.lo != b.lo for a, b in zip(got, got[1:]))
+    assert segments.segment_of(rows, found, "k").groupBy("segment").count().agg(F.max("count"), F.sum("count")).first() == (128, 1000)
+    assert segments.segments(rows.limit(0), "k", 128).count() == 0
 
 
-def test_segments_have_no_gaps(spark):
-    rows = spark.createDataFrame([(i * 7 % 1000,) for i in range(1000)], "k long")
-    got = sorted(segments.segments(rows, "k", 128).collect())
-    assert [r.n for r in got] == [128] * 7 + [104]
-    assert all(a.hi < b.lo for a, b in zip(got, got[1:]))
+def test_segments_of_keys_of_several_types(spark):
+    rows = spark.createDataFrame([("int", f"{i:03d}") for i in range(10)] + [("string", c) for c in "abcde"], "kind string, k string")
+    got = segments.segments(rows, "k", 4, "kind").orderBy("kind", "segment").collect()
+    assert [(r.kind, r.segment, r.n, r.lo, r.hi) for r in got] == [("int", 0, 4, "000", "003"), ("int", 1, 4, "004", "007"), ("int", 2, 2, "008", "009"), ("string", 0, 4, "a", "d"), ("string", 1, 1, "e", "e")]
 
 
 def test_greedy_batches(spark):
