@@ -2,48 +2,18 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import ship
+from ..session import ship, shared_folder, written  # noqa: F401
 
 #: White space that separates words, as a Java and RE2 character class.
 WS = r"[\x20\x09-\x0D]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Rows up to which a side is broadcast; rows of such sides are a few hundred bytes at most.
 BROADCAST_ROWS = 50_000
-
-
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, else one set here.
-
-    Only a local master gets a folder of this machine; a cluster without the setting gets one in
-    the warehouse, which all its machines see.
-    """
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    context = spark.sparkContext
-    if not found:
-        found = context._jsc.sc().getCheckpointDir()
-        found = found.get() if found.isDefined() else None
-    if not found:
-        local = context.master.startswith("local") and not context.master.startswith("local-cluster")
-        found = tempfile.mkdtemp(prefix="rillstone-") if local else f"{spark.conf.get('spark.sql.warehouse.dir')}/_rillstone"
-        context.setCheckpointDir(found)
-    return found
-
-
-def written(df: DataFrame, name: str) -> DataFrame:
-    """df, written as a table in the shared folder and read again: cuts lineage and survives lost executors."""
-    spark = df.sparkSession
-    path = f"{shared_folder(spark)}/rillstone/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    jvm = spark.sparkContext._jvm
-    at = jvm.org.apache.hadoop.fs.Path(path)
-    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(at)
-    return spark.read.schema(df.schema).parquet(path)
+#: Bytes of a batch that goes to Python, one row at least.
+BATCH_BYTES = 16 << 20
 
 
 def attach(big: DataFrame, small: DataFrame, keys: list[str], how: str = "left", rows: int = BROADCAST_ROWS) -> DataFrame:
@@ -67,4 +37,5 @@ def ascii_lower(text: Column) -> Column:
 def for_python(spark: SparkSession, rows: int = 500) -> None:
     """Sends this package to Python workers and keeps Arrow batches small: texts may be long."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     ship(spark)

@@ -2,11 +2,17 @@
 
 A document's set is the distinct hashes of its SHINGLE-word runs. Sets of equal tokens are one class.
 In one order of all tokens, rare ones first, two sets that link share one of the first n - ceil(t n) + 1
-tokens of each, and so many of them that with all later ones they can reach the overlap. Pairs that do,
-and all sets of a token that LONG sets or more share, are joined to groups of similar sets, by chains.
-A large group is dealt out by pairs of blocks. In a block, sets stand in rows of ROW, and
-the token union of each row is kept: a set's overlap with the union bounds its overlap with each of the
-row's sets, and only rows that the bound lets through are opened and compared token by token.
+tokens of each, and so many of them that with all later ones they can reach the overlap. Pairs that do
+are joined to groups of similar sets. A token that LONG sets or more share makes no pairs. It joins
+those of its sets in which it stands so early that, as the first token that two share, it leaves enough
+after it for the overlap; one in which it stands late is joined only to smaller sets of the first kind
+that its rest could still reach. Pairs found by other tokens count all such tokens as shared.
+
+In a group of more than BLOCK sets, all are first compared with PIVOTS of them; those linked to the
+pivots of the largest component need no comparison with each other. What is left is dealt out by pairs
+of blocks. In a block, sets stand in rows of ROW, and the token union of each row is kept: a set's
+overlap with the union bounds its overlap with each of the row's sets, and only rows that the bound
+lets through are opened and compared token by token.
 
 The order of tokens takes the COMMON most frequent of those that repeat within a task as frequent; any
 order gives the same links. Of links only enough to connect a component are returned.
@@ -18,10 +24,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import for_python, written
+from .common import attach, for_python, written
 from .components import components
 from .textkernel import by_bucket, join_hashes, mix, portions, powers, ranges, spread, squeeze, tokens_of, window_hash
 
@@ -31,7 +37,9 @@ REPEATS, COMMON = 4, 300_000
 #: Sets of a token from which they are joined as they are, not by pairs.
 LONG = 64
 #: Tokens a bucket holds and a task gathers; sets in a block and in a row of the matrix.
-BUCKET, FLUSH, BLOCK, ROW = 200_000, 1_000_000, 1000, 32
+BUCKET, FLUSH, BLOCK, ROW = 200_000, 1_000_000, 400, 32
+#: Sets of a large group that all of it are compared with.
+PIVOTS = 16
 NO_ID = -(2**63)
 
 
@@ -92,8 +100,8 @@ def _repeats(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBat
     yield pa.RecordBatch.from_arrays([pa.array([None], pa.int64()), pa.array([n], pa.int64())], names=["token", "n"])
 
 
-def _prefixes(x: _Sets, common: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """Tokens, and their sets, that stand first in the order of all tokens. common: the frequent ones, rarest first by (count, token)."""
+def _prefixes(x: _Sets, common: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Tokens, their sets and places in them, that stand first in the order of all tokens. common: the frequent ones, rarest first by (count, token)."""
     tokens, owner = x.tokens, x.owner
     if len(common):
         by_token = np.argsort(common)
@@ -104,22 +112,22 @@ def _prefixes(x: _Sets, common: np.ndarray, percent: int) -> tuple[np.ndarray, n
             tokens = tokens[order]
     length = np.where(x.size > 0, x.size - -(-percent * x.size // 100) + 1, 0)
     pick = ranges(x.first[:-1], length)
-    return tokens[pick], owner[pick]
+    return tokens[pick], owner[pick], ranges(np.zeros(len(length), np.int64), length)
 
 
 def _send(batches: Iterator[pa.RecordBatch], k: int, percent: int, buckets: int, common: np.ndarray) -> Iterator[pa.RecordBatch]:
     """Packed prefix tokens with their sets by the token's bucket, and what is known of each document."""
-    held: list[list[np.ndarray]] = [[], [], []]
+    held: list[list[np.ndarray]] = [[], [], [], []]
     docs: list[list[np.ndarray]] = [[], [], [], []]
     m = np.uint64(buckets)
 
     def flush() -> Iterator[pa.RecordBatch]:
-        tokens, sets, sizes = (np.concatenate(h) for h in held)
+        tokens, sets, sizes, places = (np.concatenate(h) for h in held)
         order = np.lexsort((sets, tokens))
-        tokens, sets, sizes = tokens[order], sets[order], sizes[order].astype(np.int32)
+        tokens, sets, sizes, places = tokens[order], sets[order], sizes[order].astype(np.int32), places[order].astype(np.int32)
         new = np.append(True, (tokens[1:] != tokens[:-1]) | (sets[1:] != sets[:-1]))[: len(tokens)]
-        tokens, sets, sizes = tokens[new], sets[new], sizes[new]
-        out = [(b, squeeze(b"\0", tokens[i], sets[i], sizes[i])) for b, i in by_bucket((tokens % m).astype(np.int64))]
+        tokens, sets, sizes, places = tokens[new], sets[new], sizes[new], places[new]
+        out = [(b, squeeze(b"\0", tokens[i], sets[i], sizes[i], places[i])) for b, i in by_bucket((tokens % m).astype(np.int64))]
         ids, rows, sizes, hashes = (np.concatenate(d) for d in docs)
         out += [(b, squeeze(b"\1", ids[i], rows[i], sizes[i], hashes[i])) for b, i in by_bucket((rows.view(np.uint64) % m).astype(np.int64))]
         for h in (*held, *docs):
@@ -133,12 +141,12 @@ def _send(batches: Iterator[pa.RecordBatch], k: int, percent: int, buckets: int,
         for a, b, buf, offsets in portions(batch.column("text")):
             x = _Sets(buf, offsets, k)
             _, first = np.unique(x.hash, return_index=True)
-            tokens, owner = _prefixes(x, common, percent)
+            tokens, owner, place = _prefixes(x, common, percent)
             lead = np.zeros(len(x.hash), bool)
             lead[first] = True
-            held[0].append(tokens[lead[owner]])
-            held[1].append(x.hash[owner[lead[owner]]])
-            held[2].append(x.size[owner[lead[owner]]])
+            mine = lead[owner]
+            for h, new in zip(held, (tokens[mine], x.hash[owner[mine]], x.size[owner[mine]], place[mine]), strict=True):
+                h.append(new)
             for d, new in zip(docs, (ids[a:b], rows[a:b], x.size.astype(np.int64), x.hash), strict=True):
                 d.append(new)
         if sum(map(len, held[0])) > FLUSH:
@@ -150,7 +158,8 @@ def _send(batches: Iterator[pa.RecordBatch], k: int, percent: int, buckets: int,
 def _meet(table: pa.Table, percent: int) -> pa.Table:
     """What a bucket's tokens and documents tell.
 
-    Kind 0: sets a, b of a token of many sets, a its least; kind 1: id, row, size and set of documents;
+    Kind 0: sets a, b that a token of many sets joins; kind 3: a set a and its number c of such tokens;
+    kind 1: id, row, size and set of documents;
     kind 2: sets a, b of like size that share c of the tokens, and their sizes, in one number.
     """
     tokens, docs = [], []
@@ -159,17 +168,20 @@ def _meet(table: pa.Table, percent: int) -> pa.Table:
         (docs if kind == b"\1" else tokens).append(parts)
     out = [np.zeros((0, 5), np.int64)]
     if tokens:
-        t, s, n = (np.concatenate([np.frombuffer(p[i], d) for p in tokens]) for i, d in enumerate((np.uint64, np.int64, np.int32)))
+        t, s, n, i = (np.concatenate([np.frombuffer(p[i], d) for p in tokens]) for i, d in enumerate((np.uint64, np.int64, np.int32, np.int32)))
         order = np.lexsort((s, t))
-        t, s, n = t[order], s[order], n[order].astype(np.int64)
+        t, s, n, place = t[order], s[order], n[order].astype(np.int64), i[order].astype(np.int64)
         new = np.append(True, (t[1:] != t[:-1]) | (s[1:] != s[:-1]))[: len(t)]
-        t, s, n = t[new], s[new], n[new]
+        t, s, n, place = t[new], s[new], n[new], place[new]
         start = np.flatnonzero(np.append(True, t[1:] != t[:-1])[: len(t)])
         length = np.diff(np.append(start, len(t)))
         long = np.flatnonzero(length >= LONG)
-        at = ranges(start[long], length[long])
-        pairs = np.unique(np.stack([np.repeat(s[start[long]], length[long]), s[at]], 1), axis=0)
-        out.append(np.column_stack([np.zeros(len(pairs), np.int64), pairs, np.zeros((len(pairs), 2), np.int64)]))
+        joined = [_joined(s[i:j], n[i:j], place[i:j], percent) for i, j in zip(start[long].tolist(), (start + length)[long].tolist(), strict=True)]
+        if joined:
+            pairs = np.unique(np.concatenate(joined), axis=0)
+            out.append(np.column_stack([np.zeros(len(pairs), np.int64), pairs, np.zeros((len(pairs), 2), np.int64)]))
+            having, k = np.unique(s[ranges(start[long], length[long])], return_counts=True)
+            out.append(np.column_stack([np.full(len(k), 3), having, np.zeros(len(k), np.int64), k, np.zeros(len(k), np.int64)]))
         some = (length > 1) & (length < LONG)
         left = ranges(start[some], length[some])
         after = np.repeat(start[some] + length[some], length[some]) - left - 1
@@ -185,6 +197,23 @@ def _meet(table: pa.Table, percent: int) -> pa.Table:
     return pa.table({n: pa.array(np.ascontiguousarray(rows[:, i])) for i, n in enumerate(("kind", "a", "b", "c", "d"))})
 
 
+def _joined(s: np.ndarray, n: np.ndarray, place: np.ndarray, percent: int) -> np.ndarray:
+    """Pairs that chain the sets s, of n tokens, in which one token stands at place, where it may be the first that two share.
+
+    Sharing nothing before it, two sets share at most what begins with it in either. So in the smaller
+    of two that link it leaves the overlap of two sets of that size, and in the larger that of both.
+    """
+    left = n - place
+    early = left * (100 + percent) >= 2 * percent * n
+    if not early.any():
+        return np.zeros((0, 2), np.int64)
+    sizes = np.sort(n[early])
+    low, high = -(-percent * n // 100), np.minimum(n, left * (100 + percent) // percent - n)
+    reached = np.searchsorted(sizes, high, "right") > np.searchsorted(sizes, low, "left")
+    some = s[early | reached]
+    return np.stack([np.full(len(some), s[early][0]), some], 1)
+
+
 def _fetch(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
     """Adds the packed tokens of each text."""
     for batch in batches:
@@ -195,6 +224,23 @@ def _fetch(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch
         yield pa.RecordBatch.from_arrays([batch.column("group"), batch.column("sets"), batch.column("set"), pa.array(packed, pa.binary())], names=["group", "sets", "set", "tokens"])
 
 
+def _star_links(table: pa.Table, percent: int) -> pa.Table:
+    """Links of the pivots (pivot true) of a group with its other sets of this task: a the pivot."""
+    packed, ids = table.column("tokens").to_pylist(), table.column("set").to_pylist()
+    pivot = table.column("pivot").to_numpy(zero_copy_only=False)
+    size = np.array([len(p) // 8 for p in packed], np.int64)
+    first = np.append(0, np.cumsum(size))
+    tokens = np.frombuffer(b"".join(packed), np.uint64)
+    a, b = [], []
+    for q in np.flatnonzero(pivot).tolist():
+        found = np.isin(tokens, tokens[first[q] : first[q + 1]], kind="sort")
+        inter = np.add.reduceat(found.astype(np.int64), first[:-1])
+        hit = np.flatnonzero(100 * inter >= percent * (size + size[q] - inter))
+        a += [ids[q]] * len(hit)
+        b += [ids[i] for i in hit.tolist()]
+    return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+
 def _block_links(table: pa.Table, percent: int) -> pa.Table:
     """Links that connect the sets of two blocks (or of one): a, b."""
     ids = table.column("set").to_numpy()
@@ -244,13 +290,49 @@ def _block_links(table: pa.Table, percent: int) -> pa.Table:
     return pa.table({"a": pa.array([a for a, _ in links], pa.int64()), "b": pa.array([b for _, b in links], pa.int64())})
 
 
+def _stars(sets: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Links of each group's pivots with its sets, and the sets of its core: linked to pivots of one component, the largest."""
+    place = F.row_number().over(Window.partitionBy("group").orderBy("order"))
+    # The pivots are the sets of the least hashes: few of each task's sets are sorted.
+    some = sets.select("group", "set", F.xxhash64("set").alias("order")).filter(F.pmod("order", F.ceil(F.col("sets") / (8 * PIVOTS))) == 0)
+    chosen = written(some.withColumn("place", place).filter(F.col("place") <= PIVOTS).select("group", "set"), "pivots")
+    pivots = sets.join(chosen, ["group", "set"], "left_semi")
+    parts = F.ceil(F.col("sets") / BLOCK).cast("int")
+    own = sets.select("group", F.pmod(F.xxhash64("set"), parts).cast("int").alias("part"), "set", "tokens", F.lit(False).alias("pivot"))
+    sent = pivots.select("group", F.explode(F.sequence(F.lit(0), parts - 1)).alias("part"), "set", "tokens", F.lit(True).alias("pivot"))
+    links = own.unionByName(sent).groupBy("group", "part").applyInArrow(lambda t: _star_links(t, percent), "a long, b long")
+    links = written(links.filter("a != b").distinct(), "stars")
+    label = components(links).select(F.col("node").alias("set"), F.col("component").alias("label"))
+    label = written(sets.select("group", "set").join(label, "set"), "star-labels")
+    largest = label.groupBy("group", "label").agg(F.count("*").alias("n")).groupBy("group").agg(F.max_by("label", F.struct("n", "label")).alias("label"))
+    return links, written(label.join(largest, ["group", "label"], "left_semi").select("set"), "core")
+
+
+def _blocked(sets: DataFrame, core: DataFrame | None) -> DataFrame:
+    """Sets with the pairs of blocks (i, j) that compare them; blocks of core sets meet only the others."""
+    blocks = F.ceil(F.col("sets") / BLOCK).cast("int")
+    if core is None:
+        sets = sets.withColumn("core", F.lit(False)).withColumn("rest", blocks)
+    else:
+        sets = sets.join(core.withColumn("core", F.lit(True)), "set", "left").withColumn("core", F.coalesce("core", F.lit(False)))
+        outside = sets.filter("NOT core").groupBy("group").agg(F.count("*").alias("outside"))
+        sets = attach(sets, written(outside, "outside"), ["group"]).withColumn("rest", F.ceil(F.coalesce("outside", F.lit(0)) / BLOCK).cast("int"))
+    # Blocks 0 .. rest - 1 hold what is not core; those of the core follow and meet only these.
+    own = F.when(F.col("core"), F.col("rest") + F.pmod(F.xxhash64("set"), blocks).cast("int")).otherwise(F.pmod(F.xxhash64("set"), F.greatest("rest", F.lit(1))).cast("int"))
+    others = F.sequence(F.lit(0), F.col("rest") - 1)
+    meets = others if core is None else F.when(F.col("core"), others).otherwise(F.sequence(F.lit(0), F.col("rest") + blocks - 1))
+    sets = sets.filter("rest > 0").withColumn("own", own).withColumn("other", F.explode(meets))
+    return sets.select("group", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "set", "tokens")
+
+
 def near_duplicates(documents: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """doc_id, row_key, group, n_shingles, component_id of every row of documents (doc_id, text).
 
     component_id: the least doc_id that links reach; sets of equal tokens link. group: the same for rows
     that links join, even where ids repeat. row_key: a hash of the row. Null and wordless
     texts have no shingle and link with nothing. A null doc_id is no component_id unless there is no
-    other. Repeated rows link; an empty table gives an empty result.
+    other. Repeated rows link; an empty table gives an empty result; a very long text is worked on by
+    itself. Other columns are ignored, whatever their names.
     """
     spark = documents.sparkSession
     for_python(spark)
@@ -270,19 +352,24 @@ def near_duplicates(documents: DataFrame, k: int = SHINGLE, percent: int = PERCE
     classes = written(known_docs.filter("n_shingles > 0").groupBy("set").agg(F.min("doc_id").alias("least"), F.min("row_key").alias("row_key")), "classes")
     n, m = F.shiftright("d", 32), F.col("d").bitwiseAND((1 << 32) - 1)
     later = F.greatest(*[F.ceil(percent * x / 100) - 1 for x in (n, m)])  # tokens that follow the first ones
-    enough = F.col("c") >= F.ceil(percent * (n + m) / (100 + percent)) - later
-    pairs = met.filter("kind = 2").groupBy("a", "b", "d").agg(F.sum("c").alias("c")).filter(enough).select("a", "b")
+    need = F.ceil(percent * (n + m) / (100 + percent)) - later
+    long = written(met.filter("kind = 3").groupBy("a").agg(F.sum("c").alias("k")), "long")
+    pairs = met.filter("kind = 2").groupBy("a", "b", "d").agg(F.sum("c").alias("c"))
+    for side in ("a", "b"):
+        pairs = attach(pairs, long.select(F.col("a").alias(side), F.col("k").alias(f"k{side}")), [side])
+    pairs = pairs.filter(F.col("c") + F.least(F.coalesce("ka", F.lit(0)), F.coalesce("kb", F.lit(0))) >= need).select("a", "b")
     groups = components(met.filter("kind = 0").select("a", "b").unionByName(pairs)).select(F.col("node").alias("set"), F.col("component").alias("group"))
     groups = groups.join(groups.groupBy("group").agg(F.count("*").alias("sets")), "group")
-    need = written(classes.join(groups, "set").select("row_key", "set", "group", "sets"), "candidates")
+    need_text = written(classes.join(groups, "set").select("row_key", "set", "group", "sets"), "candidates")
     # What is needed grows with the documents: a join of two exchanges at every size.
-    texts = docs.select("row_key", "text").join(need.hint("merge"), "row_key").dropDuplicates(["set"])
-    blocks = F.ceil(F.col("sets") / BLOCK).cast("int")
+    texts = docs.select("row_key", "text").join(need_text.hint("merge"), "row_key").dropDuplicates(["set"])
     sets = texts.select("group", "sets", "set", "text").mapInArrow(lambda it: _fetch(it, k), "group long, sets long, set long, tokens binary")
-    sets = sets.withColumn("blocks", blocks).withColumn("own", F.pmod(F.xxhash64("set"), F.col("blocks")).cast("int"))
-    sets = sets.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    sets = sets.select("group", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "set", "tokens")
-    links = written(sets.groupBy("group", "i", "j").applyInArrow(lambda t: _block_links(t, percent), "a long, b long"), "links")
+    links, core = None, None
+    if not need_text.filter(F.col("sets") > BLOCK).isEmpty():
+        sets = written(sets, "sets")
+        links, core = _stars(sets.filter(F.col("sets") > BLOCK), percent)
+    blocked = _blocked(sets, core).groupBy("group", "i", "j").applyInArrow(lambda t: _block_links(t, percent), "a long, b long")
+    links = written(blocked if links is None else blocked.unionByName(links), "links")
     joined = components(links).select(F.col("node").alias("set"), F.col("component").alias("top"))
     of_class = classes.join(joined, "set", "left").withColumn("top", F.coalesce("top", "set"))
     lowest = of_class.groupBy("top").agg(F.min("least").alias("component_id"))

@@ -23,16 +23,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import for_python, written
+from .common import for_python
 from .textkernel import Tokens, by_bucket, join_hashes, mix, portions, powers, ranges, spread, squeeze, tokens_of
 
 #: Words from which a line may have one edit.
 LEAST = 8
-#: Share of documents in which frequent halves are sought; share of a task's halves and count of all from which one is frequent; most of them.
-SAMPLE, SHARE, LEAST_HOT, HOT = 8, 4000, 64, 20_000
+#: Share of documents in which frequent halves are sought; counts there, in a task and of all, from which one is frequent: so many
+#: rows of one half a bucket may hold; most of them.
+SAMPLE, TOLD, LEAST_HOT, HOT = 8, 4, 64, 500_000
 #: Half-lines a bucket holds; lines a task gathers before it sends them on.
 BUCKET, FLUSH = 100_000, 100_000
 LEFT, RIGHT = np.uint64(0x1F83D9ABFB41BD6B), np.uint64(0x5BE0CD19137E2179)
@@ -119,12 +120,12 @@ def _later(v: np.ndarray, place: np.ndarray, rank: np.ndarray) -> np.ndarray:
     return out
 
 
-def _ranks(doc: np.ndarray, place: np.ndarray) -> np.ndarray:
-    """Place of each (doc, place) in their order; equal ones have equal ranks."""
-    order = np.lexsort((place, doc))
-    d, p = doc[order], place[order]
+def _ranks(doc: np.ndarray, row: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """Place of each (doc, row, place) in their order; equal ones have equal ranks."""
+    order = np.lexsort((place, row, doc))
+    d, r, p = doc[order], row[order], place[order]
     out = np.empty(len(doc), np.int64)
-    out[order] = np.cumsum(np.append(True, (d[1:] != d[:-1]) | (p[1:] != p[:-1]))[: len(d)])
+    out[order] = np.cumsum(np.append(True, (d[1:] != d[:-1]) | (r[1:] != r[:-1]) | (p[1:] != p[:-1]))[: len(d)])
     return out
 
 
@@ -139,7 +140,7 @@ def _frequent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def flush() -> pa.RecordBatch:
         keys, counts = np.unique(np.concatenate(held), return_counts=True)
         n = int(counts.sum())
-        some = counts >= max(4, n // SHARE)
+        some = counts >= TOLD
         held.clear()
         return pa.RecordBatch.from_arrays([pa.array([None, *keys[some].view(np.int64).tolist()], pa.int64()), pa.array([n, *counts[some].tolist()], pa.int64())], names=["key", "n"])
 
@@ -188,7 +189,7 @@ class _Sender:
         if not self.count:
             return
         docs, place, keys, whole, n = (np.concatenate(c) for c in zip(*self.lines, strict=True))
-        rank = _ranks(docs, place)
+        rank = _ranks(docs, keys, place)
         order = np.argsort(rank, kind="stable")
         _, first, inverse = np.unique(whole[order], return_index=True, return_inverse=True)
         gone = np.zeros(self.count, bool)
@@ -252,11 +253,11 @@ def _join(table: pa.Table) -> pa.Table:
         out.append(columns(b"\3", np.int64, np.int64))
     if kinds[b"\2"]:
         whole, doc, place, row = columns(b"\2", np.uint64, np.int64, np.int64, np.int64)
-        late = _later(whole, np.full(len(whole), -1), _ranks(doc, place))
+        late = _later(whole, np.full(len(whole), -1), _ranks(doc, row, place))
         out.append([row[late], place[late]])
     if kinds[b"\1"]:
         v, at, doc, place, row = columns(b"\1", np.uint64, np.int32, np.int64, np.int64, np.int64)
-        late = _later(v, at, _ranks(doc, place))
+        late = _later(v, at, _ranks(doc, row, place))
         out.append([row[late], place[late]])
     if kinds[b"\0"]:
         key, doc, place, row, size, text = columns(b"\0", np.uint64, np.int64, np.int32, np.int64, np.int32, np.uint8)
@@ -267,33 +268,34 @@ def _join(table: pa.Table) -> pa.Table:
             begin = np.cumsum(size) - size
             t = tokens_of(text[ranges(begin[some], size[some])], np.append(0, np.cumsum(size[some])))
             v, at, unit = _variants(t.hashes, t.first[:-1], np.diff(t.first), key[some])
-            late = np.unique(some[unit[_later(v, at, _ranks(doc[some], place[some])[unit])]])
+            late = np.unique(some[unit[_later(v, at, _ranks(doc[some], row[some], place[some])[unit])]])
             out.append([row[late], place[late].astype(np.int64)])
     merged = [np.concatenate([o[i] for o in out]) for i in range(2)] if out else [np.zeros(0, np.int64)] * 2
     return pa.table({"row_key": pa.array(merged[0]), "place": pa.array(merged[1].astype(np.int64))})
 
 
 def _drop(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The text left, its lines and those removed, beside what else rows (rest, text, gone, copy) have."""
     for batch in batches:
         texts, counts, removed = [], [], []
-        for text, gone in zip(batch.column("text").to_pylist(), batch.column("__gone").to_pylist(), strict=True):
+        for text, gone, copy in zip(batch.column("text").to_pylist(), batch.column("gone").to_pylist(), batch.column("copy").to_pylist(), strict=True):
             lines = (text or "").split("\n")
-            gone = set(gone or ())
+            worded = [bool(x.encode().split()) for x in lines]
+            gone = set(gone or ()) if copy == 1 else {i for i, w in enumerate(worded) if w}
             texts.append(text if not gone else "\n".join(x for i, x in enumerate(lines) if i not in gone))
-            counts.append(sum(1 for x in lines if x.encode().split()))
+            counts.append(sum(worded))
             removed.append(len(gone))
-        arrays = [batch.column(i) for i, f in enumerate(batch.schema) if f.name not in ("text", "__gone")]
-        names = [f.name for f in batch.schema if f.name not in ("text", "__gone")]
-        yield pa.RecordBatch.from_arrays([*arrays, pa.array(texts, pa.string()), pa.array(counts, pa.int64()), pa.array(removed, pa.int64())], names=[*names, "text", "n_lines", "n_removed"])
+        yield pa.RecordBatch.from_arrays([batch.column("rest"), pa.array(texts, pa.string()), pa.array(counts, pa.int64()), pa.array(removed, pa.int64())], names=["rest", "text", "n_lines", "n_removed"])
 
 
 def remove_near_lines(documents: DataFrame) -> DataFrame:
     """documents (doc_id, text and any other columns) with text without later near lines, n_lines, n_removed.
 
     Lines without words stay and do not count in n_lines. Order is that of doc_id (null first), then
-    of lines; rows of one id and text are one document and lose the same lines. A null text stays
-    null and has no lines; an empty table gives an empty result. Columns of documents named n_lines
-    or n_removed are replaced.
+    of a hash of the row, then of lines; of rows of one id and text the first keeps what it has first and
+    the others lose all lines with words. A null text stays null and has no lines; an empty table gives an
+    empty result; a very long text is worked on by itself. Columns of documents named n_lines or n_removed
+    are replaced; other columns may have any name.
     """
     spark = documents.sparkSession
     for_python(spark)
@@ -301,17 +303,21 @@ def remove_near_lines(documents: DataFrame) -> DataFrame:
     docs = documents.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("row_key"))
     told = docs.filter(F.pmod("row_key", F.lit(SAMPLE)) == 0).select("text").mapInArrow(_frequent, "key long, n long")
     told = told.groupBy("key").agg(F.sum("n").alias("n")).filter(f"key IS NULL OR n >= {LEAST_HOT}")
-    top = told.orderBy(F.col("key").isNotNull(), F.col("n").desc(), "key").limit(HOT + 1).collect()  # of bounded size
-    buckets = max(12, -(-sum(r.n for r in top if r.key is None) * SAMPLE // BUCKET))
-    hot = np.array([r.key for r in top if r.key is not None], np.int64).view(np.uint64)
+    top = told.orderBy(F.col("key").isNotNull(), F.col("n").desc(), "key").limit(HOT + 1).toArrow()  # of bounded size
+    known = top.column("key").is_valid().to_numpy()
+    buckets = max(12, -(-int(top.column("n").to_numpy()[~known].sum()) * SAMPLE // BUCKET))
+    hot = top.column("key").fill_null(0).to_numpy()[known].view(np.uint64)
     shared = spark.sparkContext.broadcast(hot)
     sent = docs.mapInArrow(lambda it: _send(it, buckets, shared.value), "bucket long, packed binary")
     found = sent.groupBy("bucket").applyInArrow(lambda t: _join(t), "row_key long, place long")
-    gone = found.groupBy("row_key").agg(F.collect_set("place").alias("__gone"))
-    rest = [c for c in documents.columns if c not in ("text",)]
-    whole = documents.withColumn("__row_key", F.xxhash64("doc_id", "text")).join(gone.withColumnRenamed("row_key", "__row_key"), "__row_key", "left")
-    schema = documents.select(*rest, "text").withColumns({"n_lines": F.lit(0).cast("long"), "n_removed": F.lit(0).cast("long")}).schema
-    return whole.select(*rest, "text", "__gone").mapInArrow(_drop, schema)
+    gone = found.groupBy("row_key").agg(F.collect_set("place").alias("gone"))
+    rest = [c for c in documents.columns if c != "text"]
+    whole = documents.select(F.struct(*[F.col(f"`{c}`") for c in rest]).alias("rest"), "text", F.xxhash64("doc_id", "text").alias("row_key"))
+    copy = F.row_number().over(Window.partitionBy("row_key").orderBy("row_key"))
+    whole = whole.withColumn("copy", copy).join(gone, "row_key", "left")
+    schema = whole.select("rest", "text").withColumns({"n_lines": F.lit(0).cast("long"), "n_removed": F.lit(0).cast("long")}).schema
+    left = whole.select("rest", "text", "gone", "copy").mapInArrow(_drop, schema)
+    return left.select("rest.*", "text", "n_lines", "n_removed").select(*documents.columns, "n_lines", "n_removed")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -323,7 +329,7 @@ ORACLE = rf"""
 WITH d AS (SELECT row_number() OVER () AS rid, doc_id, text, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
 l AS (SELECT rid, doc_id, unnest(ls) AS line, generate_subscripts(ls, 1) AS i FROM d),
 w AS (SELECT *, list_filter(regexp_split_to_array(line, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM l),
-o AS (SELECT rid, i, ws, len(ws) AS n, row_number() OVER (ORDER BY doc_id NULLS FIRST, i) AS ord FROM w WHERE len(ws) > 0),
+o AS (SELECT rid, i, ws, len(ws) AS n, row_number() OVER (ORDER BY doc_id NULLS FIRST, rid, i) AS ord FROM w WHERE len(ws) > 0),
 v AS (SELECT ord, 0 AS place, md5(array_to_string(ws, ' ')) AS v FROM o
       UNION ALL SELECT ord, p, md5(array_to_string(ws[:p - 1] || ws[p + 1:], ' ')) FROM (SELECT ord, ws, unnest(range(1, n + 1)) AS p FROM o WHERE n >= {LEAST})),
 lens AS (SELECT ord, n FROM o),

@@ -30,9 +30,9 @@ def quality_weight(text: Column) -> Column:
     return F.greatest(F.lit(0.1), 1 - 4.0 * symbols / F.greatest(F.length(text), F.lit(1)))
 
 
-def uniform(doc_id: Column, seed: str = SEED) -> Column:
-    """Within (0, 1), from 48 bits of a hash of the id."""
-    digits = F.substring(F.md5(F.concat_ws("|", F.lit(seed), F.coalesce(doc_id.cast("string"), F.lit("")))), 1, 12)
+def uniform(name: Column, seed: str = SEED) -> Column:
+    """Within (0, 1), from 48 bits of a hash of a name."""
+    digits = F.substring(F.md5(F.concat_ws("|", F.lit(seed), name)), 1, 12)
     return (F.conv(digits, 16, 10).cast("bigint") + 0.5) / float(1 << 48)
 
 
@@ -57,11 +57,13 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float =
 def mix(items: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, most: int = MOST) -> DataFrame:
     """doc_id, size, source_size, target, taken of every row of items (doc_id, source, size, weight).
 
-    taken: the document's size times its uses. A null source is one of its own, last in order; null
-    ids share one draw; repeated rows are rows of their own; an empty table gives an empty result.
+    taken: the document's size times its uses. A null source is one of its own, last in order; rows
+    of a null id draw by their name, if items has one; repeated rows are rows of their own; an empty
+    table gives an empty result.
     The document at which a budget ends is taken if that brings the sum nearer to it.
     """
-    key = -F.log(uniform(F.col("doc_id"))) / F.col("weight")
+    name = F.coalesce(F.col("doc_id").cast("string"), F.col("name") if "name" in items.columns else F.lit(""))
+    key = -F.log(uniform(name)) / F.col("weight")
     at = (1 - F.exp(-F.col("key"))) * (SLICES * SLICES - 1)
     drawn = items.select("doc_id", F.coalesce(F.concat(F.lit("+"), F.col("source")), F.lit("-")).alias("s"), "size", key.alias("key"))
     drawn = written(drawn.withColumn("slice", F.floor(at).cast("int")).withColumn("slice1", F.floor(F.col("slice") / SLICES).cast("int")), "draws")
@@ -96,8 +98,9 @@ def mix(items: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHA
 
 
 def measured(documents: DataFrame) -> DataFrame:
-    """doc_id, source, size, weight: what mix() needs of documents (doc_id, text, source)."""
-    return documents.select("doc_id", "source", F.size(words(F.col("text"))).cast("bigint").alias("size"), quality_weight(F.col("text")).alias("weight"))
+    """doc_id, source, size, weight, name: what mix() needs of documents (doc_id, text, source)."""
+    name = F.when(F.col("doc_id").isNull(), F.concat(F.lit("text "), F.md5(F.coalesce(F.col("text"), F.lit("")))))
+    return documents.select("doc_id", "source", F.size(words(F.col("text"))).cast("bigint").alias("size"), quality_weight(F.col("text")).alias("weight"), name.alias("name"))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -108,7 +111,7 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
 ORACLE = rf"""
 WITH d AS (
   SELECT doc_id, source, len(list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> ''))::BIGINT AS size,
-    -ln((('0x' || substr(md5('{SEED}|' || coalesce(doc_id::VARCHAR, '')), 1, 12))::BIGINT + 0.5::DOUBLE) / {float(1 << 48)}::DOUBLE)
+    -ln((('0x' || substr(md5('{SEED}|' || coalesce(doc_id::VARCHAR, 'text ' || md5(coalesce(text, '')))), 1, 12))::BIGINT + 0.5::DOUBLE) / {float(1 << 48)}::DOUBLE)
       / greatest(0.1::DOUBLE, 1 - 4.0::DOUBLE * (length(coalesce(text, '')) - length(regexp_replace(coalesce(text, ''), '{SYMBOLS}', '', 'g'))) / greatest(length(coalesce(text, '')), 1)) AS key
   FROM documents),
 s AS (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source),

@@ -1,12 +1,15 @@
 """Packing token sequences by Karmarkar-Karp multiway differencing.
 
-Each task tokenizes its documents and cuts them at multiples of the capacity: full windows stand
-alone. The rests gather until they fill GROUP windows, cut to short pieces; then differencing spreads them over the least
-number of windows that could hold them: partial partitions, at first one of each rest, are merged,
-largest spread first, the fullest window of one with the emptiest of the other, which leaves windows
-of nearly equal length. Whenever the fullest exceeds the capacity, the number of windows rises by one.
-
-What remains at a task's end fills sequences whose lengths are powers of two. Nothing is shuffled. A sequence's id holds the partition of the input and its place there.
+Each task tokenizes its documents and cuts full windows off them, which stand alone. The rests, whole,
+gather until they fill GROUP windows; then differencing spreads them over the least number of windows
+that could hold them: partial partitions, at first one of each rest, are merged, largest spread first,
+the fullest window of one with the emptiest of the other, which leaves windows of nearly equal length.
+Whenever the fullest exceeds the capacity, the number of windows rises by one.
+
+What does not fill a group travels, packed, to one of few tasks that take the rests of MEET tasks each and
+pack them in the same way, the last ones together however few they are. So only those rests are
+shuffled, at most GROUP windows a task. A sequence's id holds the partition of the input, or the meeting,
+and its place there.
 """
 
 from __future__ import annotations
@@ -19,14 +22,15 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from .common import for_python
+from .common import for_python, written
 
 CAPACITY, END = 4096, 2
-#: Windows that rests fill before they are packed; tokens of words a worker keeps ready.
-GROUP, CACHE = 64, 600_000
-#: Tokens of the longest piece that differencing gets, and tokens it may leave in a window.
-PIECE, SLACK = 512, 16
+#: Windows that rests fill before they are packed; tasks whose rests meet; words a worker keeps ready.
+GROUP, MEET, CACHE = 128, 8, 600_000
+#: Tokens that differencing may leave in a window.
+SLACK = 24
 
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
@@ -82,7 +86,6 @@ class WordTokens:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         self.known: dict[str, bytes] = {"": b""}
         self.pieces: dict[str, bytes] = {"": b""}
         pre = self.tokenizer.pre_tokenizer
@@ -125,7 +128,7 @@ _loaded: dict[str, WordTokens] = {}
 
 
 class _Packer:
-    """Rows of SCHEMA for the documents of one task."""
+    """Rows of SCHEMA for pieces of documents: (doc_id, start, ids, tokens of the document)."""
 
     def __init__(self, first_id: int, capacity: int, group: int):
         self.ids, self.capacity, self.group = itertools.count(first_id), capacity, group
@@ -138,48 +141,33 @@ class _Packer:
             yield (doc_id, start, len(body) // 4, zlib.crc32(body), n, seq, offset)
             offset += len(body) // 4
 
-    def take(self, tokens: int) -> list[tuple]:
-        """So many of the waiting tokens, in order; the last piece is cut."""
-        out, need = [], tokens
-        while need:
-            doc_id, start, body, n = self.rests[0]
-            part = body[: 4 * need]
-            out.append((doc_id, start, part, n))
-            need -= len(part) // 4
-            if len(part) == len(body):
-                self.rests.pop(0)
-            else:
-                self.rests[0] = (doc_id, start + len(part) // 4, body[len(part) :], n)
-        self.waiting -= tokens
-        return out
-
-    def differenced(self, tokens: int) -> Iterator[tuple]:
-        pieces = []
-        for doc_id, start, body, n in self.take(tokens):
-            size = len(body) // 4
-            step = -(-size // -(-size // PIECE))
-            pieces += [(doc_id, start + at, body[4 * at : 4 * (at + step)], n) for at in range(0, size, step)]
+    def differenced(self) -> Iterator[tuple]:
+        pieces, self.rests, self.waiting = self.rests, [], 0
         for w in pack([len(p[2]) // 4 for p in pieces], self.capacity):
             yield from self.window([pieces[i] for i in w])
 
+    def wait(self, piece: tuple) -> Iterator[tuple]:
+        """Adds a rest; of the one that fills the group what exceeds it waits for the next."""
+        full = self.group * (self.capacity - SLACK)
+        doc_id, start, body, n = piece
+        room = full - self.waiting
+        self.rests.append((doc_id, start, body[: 4 * room], n))
+        self.waiting += len(body[: 4 * room]) // 4
+        if self.waiting >= full:
+            yield from self.differenced()
+            if len(body) > 4 * room:
+                yield from self.wait((doc_id, start + room, body[4 * room :], n))
+
     def add(self, doc_id: int | None, body: bytes) -> Iterator[tuple]:
-        n, full = len(body) // 4, self.group * (self.capacity - SLACK)
+        n = len(body) // 4
         for start in range(0, n, self.capacity):
             piece = (doc_id, start, body[4 * start : 4 * (start + self.capacity)], n)
-            if len(piece[2]) == 4 * self.capacity:
-                yield from self.window([piece])
-            else:
-                self.rests.append(piece)
-                self.waiting += len(piece[2]) // 4
-                if self.waiting >= full:
-                    yield from self.differenced(full)
-
-    def finish(self) -> Iterator[tuple]:
-        """What does not fill windows goes to sequences of powers of two, which need no padding."""
-        if whole := self.waiting // (self.capacity - SLACK) * (self.capacity - SLACK):
-            yield from self.differenced(whole)
-        while self.waiting:
-            yield from self.window(self.take(1 << (self.waiting.bit_length() - 1)))
+            yield from self.window([piece]) if len(piece[2]) == 4 * self.capacity else self.wait(piece)
+
+
+#: Rows of the tokenizing tasks: pieces of sequences, and rests, which have ids and a partition instead.
+STAGE = f"{SCHEMA}, ids binary, part long"
+COLUMNS = [f.split()[0] for f in SCHEMA.split(", ")]
 
 
 def _pack_partition(batches: Iterator[pa.RecordBatch], path: str, capacity: int, end: int, group: int) -> Iterator[pa.RecordBatch]:
@@ -188,12 +176,14 @@ def _pack_partition(batches: Iterator[pa.RecordBatch], path: str, capacity: int,
     if path not in _loaded:
         _loaded[path] = WordTokens(path)
     tokens, tail = _loaded[path], end.to_bytes(4, "little")
-    packer = _Packer(TaskContext.get().partitionId() << 40, capacity, group)
-    names = [f.split()[0] for f in SCHEMA.split(", ")]
+    part = TaskContext.get().partitionId()
+    packer = _Packer(part << 40, capacity, group)
 
-    def rows(out: list[tuple]) -> Iterator[pa.RecordBatch]:
-        if out:
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], names=names)
+    def rows(out: list[tuple], rests: list[tuple] = ()) -> Iterator[pa.RecordBatch]:
+        whole = [*((*o, None, None) for o in out), *((i, start, None, None, n, None, None, body, part) for i, start, body, n in rests)]
+        if whole:
+            types = [pa.int64()] * len(COLUMNS) + [pa.binary(), pa.int64()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*whole, strict=True), types, strict=True)], names=[*COLUMNS, "ids", "part"])
 
     for batch in batches:
         out: list[tuple] = []
@@ -201,18 +191,41 @@ def _pack_partition(batches: Iterator[pa.RecordBatch], path: str, capacity: int,
         for doc_id, body in zip(batch.column("doc_id").to_pylist(), tokens.encode(texts), strict=True):
             out += packer.add(doc_id, body + tail)
         yield from rows(out)
-    yield from rows(list(packer.finish()))
+    yield from rows([], packer.rests)
+
 
+def _pack_rests(key: tuple, batches: Iterator[pa.RecordBatch], capacity: int, group: int) -> Iterator[pa.RecordBatch]:
+    """The rests of a meeting; sequences of meetings are numbered from 2**62 on."""
+    packer = _Packer((1 << 62) + (key[0].as_py() << 40), capacity, group)
+    names = ("doc_id", "start", "ids", "doc_tokens")
+    for batch in batches:
+        out = [row for piece in zip(*(batch.column(c).to_pylist() for c in names), strict=True) for row in packer.wait(piece)]
+        yield _batch(out)
+    yield _batch(list(packer.differenced()) if packer.rests else [])
 
-def pack_documents(documents: DataFrame, path: str, capacity: int = CAPACITY, end: int = END, group: int = GROUP) -> DataFrame:
+
+def _batch(rows: list[tuple]) -> pa.RecordBatch:
+    columns = zip(*rows, strict=True) if rows else [[]] * len(COLUMNS)
+    return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=COLUMNS)
+
+
+def pack_documents(documents: DataFrame, path: str, capacity: int = CAPACITY, end: int = END, group: int = GROUP, meet: int = MEET) -> DataFrame:
     """Pieces of documents (doc_id, text) in sequences of at most capacity tokens.
 
     path: a tokenizers file whose pre-tokenizer splits at white space. Columns: doc_id, start,
     length, ids_crc32, doc_tokens, sequence_id, offset. A null or empty text is one token, the end.
     Repeated rows are packed each; an empty table gives no piece. Strings of special tokens in a
-    text are ordinary text.
+    text are those tokens, as the tokenizer has it. A very long text is one string in its task. Other
+    columns are ignored, whatever their names.
     """
-    return documents.select("doc_id", "text").mapInArrow(lambda it: _pack_partition(it, path, capacity, end, group), SCHEMA)
+    first = written(documents.select("doc_id", "text").mapInArrow(lambda it: _pack_partition(it, path, capacity, end, group), STAGE), "pieces")
+    rests = first.filter("ids IS NOT NULL").select(F.floor(F.col("part") / meet).alias("meeting"), "part", "doc_id", "start", "ids", "doc_tokens")
+
+    def meeting(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _pack_rests(key, batches, capacity, group)
+
+    packed = rests.groupBy("meeting").applyInArrow(meeting, SCHEMA)
+    return first.filter("ids IS NULL").select(*COLUMNS).unionByName(packed)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

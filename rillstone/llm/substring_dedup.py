@@ -4,9 +4,9 @@ A window is K consecutive words of a document; its minimiser is the least hash o
 it. Consecutive windows that share a minimiser travel as one packed string, their words once, to the
 minimiser's bucket. Equal windows share a minimiser and so meet there, where sorting counts them.
 
-Minimisers that are frequent (those of passages in many documents) would fill their buckets. Every
-task finds those that make up over 1/SHARE of its super-k-mers; the HOT most frequent of all tasks are
-treated apart: of their windows each task sends one of each kind with its count, and a last pass over
+Minimisers that are frequent (those of passages in many documents) would fill their buckets. Those
+that tasks find TOLD times or more, and all tasks together LEAST_HOT times, the HOT most frequent at
+most, are treated apart: of their windows each task sends one of each kind with its count, and a last pass over
 the documents looks up those that were found twice. Which minimisers are so treated changes no result.
 """
 
@@ -24,7 +24,7 @@ from .common import for_python, written
 from .textkernel import by_bucket, join_hashes, portions, ranges, spread, squeeze, tokens_of, window_hash, window_min
 
 K, M = 35, 4
-SHARE, LEAST_HOT, HOT = 4000, 16, 20_000
+TOLD, LEAST_HOT, HOT = 16, 500, 500_000
 #: Super-k-mers a bucket holds, of which slices are worked on at once; rows of a task's minimisers and windows before they are sent on.
 BUCKET, SLICES, FLUSH = 60_000, 4, 200_000
 #: Frequent repeated windows (16 bytes each) up to which they are broadcast.
@@ -61,7 +61,7 @@ def _frequent(batches: Iterator[pa.RecordBatch], k: int, m: int) -> Iterator[pa.
     def flush() -> pa.RecordBatch:
         keys, counts = np.unique(np.concatenate(held), return_counts=True)
         n = int(counts.sum())
-        some = counts >= max(LEAST_HOT, n // SHARE)
+        some = counts >= TOLD
         held.clear()
         return pa.RecordBatch.from_arrays([pa.array([None, *keys[some].view(np.int64).tolist()], pa.int64()), pa.array([n, *counts[some].tolist()], pa.int64())], names=["key", "n"])
 
@@ -220,15 +220,17 @@ def remove_repeated(documents: DataFrame, k: int = K, m: int = M, texts: bool =
 
     documents: doc_id, text. Each word in a window of k words whose words also stand together
     anywhere else, here or in another row, is removed. A null text has no words; repeated rows repeat
-    each other; texts of fewer than k words stay whole; an empty table gives an empty result.
+    each other; texts of fewer than k words stay whole; an empty table gives an empty result; a very long text is
+    worked on by itself. Other columns of documents are ignored, whatever their names.
     """
     spark = documents.sparkSession
     for_python(spark)
     docs = documents.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("row_key"))
-    told = docs.select("text").mapInArrow(lambda it: _frequent(it, k, m), "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
-    top = told.orderBy(F.col("key").isNotNull(), F.col("n").desc(), "key").limit(HOT + 1).collect()  # of bounded size
-    total = sum(r.n for r in top if r.key is None)
-    hot = np.array([r.key for r in top if r.key is not None], np.int64).view(np.uint64)
+    told = docs.select("text").mapInArrow(lambda it: _frequent(it, k, m), "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).filter(f"key IS NULL OR n >= {LEAST_HOT}")
+    top = told.orderBy(F.col("key").isNotNull(), F.col("n").desc(), "key").limit(HOT + 1).toArrow()  # of bounded size
+    valid = top.column("key").is_valid().to_numpy()
+    total = int(top.column("n").to_numpy()[~valid].sum())
+    hot = top.column("key").fill_null(0).to_numpy()[valid].view(np.uint64)
     buckets = max(12, -(-total // BUCKET))
     sent = docs.select("row_key", "text").mapInArrow(lambda it: _send(it, k, m, buckets, hot), "bucket long, packed binary")
     found = written(sent.groupBy("bucket").applyInArrow(lambda key, t: _count(key, t, k), "a long, b long, c long"), "spans")
@@ -238,7 +240,7 @@ def remove_repeated(documents: DataFrame, k: int = K, m: int = M, texts: bool =
     if len(hot):
         some = windows.limit(LOOKED_UP + 1).count()
         if some <= LOOKED_UP:
-            known = np.array([r.window for r in windows.collect()], np.int64).view(np.uint64)
+            known = windows.toArrow().column("window").to_numpy().view(np.uint64)
         else:
             each = docs.select("row_key", "text").mapInArrow(lambda it: _looked_up(it, k, m, hot, None), "row_key long, start long, window long")
             spans = spans.unionByName(each.join(windows, "window", "left_semi").select("row_key", F.struct("start", (F.col("start") + k).alias("stop")).alias("span")))
