@@ -2,8 +2,9 @@
 
 Counts of all words of the training documents are exact: documents are gathered in chunks by a hash of
 the row, every chunk sends its distinct words with their training counts to the words' buckets, where
-they are summed, and gets back the sums. The commonest words are the model's vocabulary; every other
-word has the probability of the class of its shape (see recurrent_lm) times its smoothed share of it.
+they are summed, and gets back the sums. The commonest words are the model's vocabulary, which grows
+with the root of the number of distinct words; every other word has the probability of the class of its
+shape (see recurrent_lm) times its smoothed share of it.
 
 The model learns all training documents once, in rounds: in each, every task goes on from the last
 round's parameters through its part of the round's documents, and the results are averaged by tokens.
@@ -23,8 +24,10 @@ from .recurrent_lm import END, SHAPES, Model, Trainer, document_scores
 from .textkernel import Tokens, by_bucket, keep_memory, portions, shapes, spread, squeeze, tokens_of
 
 FOLDS, HELD_OUT = 7, 2
-#: Words of the vocabulary beside the end; documents of a chunk; chunks to a bucket of words.
-VOCABULARY, CHUNK, CHUNKS = 500, 2000, 8
+#: The vocabulary's words, beside the end, as a multiple of the root of all distinct words; bytes of text of a chunk; chunks to a bucket of words.
+VOCABULARY, CHUNK, CHUNKS = 2.0, 4 << 20, 8
+#: Tokens that a task gathers before it learns them.
+FEED = 400_000
 #: Shares of the training documents, in eighths, that the rounds read.
 ROUNDS = ((0,), (1, 2), (3, 4, 5, 6, 7))
 #: Hash that stands for the end of a text.
@@ -67,7 +70,7 @@ def _ask(key: tuple, table: pa.Table, buckets: int) -> pa.Table:
     return pa.table({"chunk": pa.array([key[0].as_py()] * len(out), pa.int64()), "bucket": pa.array([b for b, _ in out], pa.int64()), "packed": pa.array([p for _, p in out], pa.binary())})
 
 
-def _answer(key: tuple, table: pa.Table, most: int) -> pa.Table:
+def _answer(key: tuple, table: pa.Table, share: float, buckets: int) -> pa.Table:
     """To each chunk the sums of its words' counts; tokens and words by shape (chunk null, n and v); the commonest words (v null)."""
     asked = [[np.frombuffer(x, d) for x, d in zip(spread(p), (np.uint64, np.uint8, np.int32), strict=True)] for p in table.column("packed").to_pylist()]
     names, first, inverse = np.unique(np.concatenate([a[0] for a in asked]), return_index=True, return_inverse=True)
@@ -77,7 +80,9 @@ def _answer(key: tuple, table: pa.Table, most: int) -> pa.Table:
     packed = [squeeze(c.astype(np.int64)) for c in np.split(counts[inverse], cuts)]
     seen = counts > 0
     n, v = np.bincount(kinds[seen], counts[seen], SHAPES).astype(np.int64), np.bincount(kinds[seen], minlength=SHAPES)
-    top = np.lexsort((names, -counts))[: most + 1]
+    # Words are dealt out evenly by hash: of the vocabulary a bucket has about one part in buckets.
+    most = int(4 * share * np.sqrt(float(seen.sum()) * buckets) / buckets) + 64
+    top = np.lexsort((names, -counts))[:most]
     top = top[counts[top] > 0]
     asks = table.column("chunk").to_pylist()
     bucket = key[0].as_py()
@@ -121,15 +126,22 @@ def _learn(batches: Iterator[pa.RecordBatch], lexicon: Lexicon, parameters: np.n
         model.load(parameters)
     trainer = Trainer(model)
     held: list[np.ndarray] = []
+    lens: list[np.ndarray] = []
+
+    def learn() -> None:
+        trainer.feed(np.concatenate(held), np.append(0, np.cumsum(np.concatenate(lens))))
+        held.clear()
+        lens.clear()
+
     for batch in batches:
         for _, _, buf, offsets in portions(batch.column("text")):
-            h, k, _ = _words(buf, offsets)
+            h, k, first = _words(buf, offsets)
             held.append(lexicon.ids(h, k).astype(np.int32))
-            if sum(map(len, held)) > 400_000:
-                trainer.feed(np.concatenate(held))
-                held.clear()
+            lens.append(np.diff(first))
+            if sum(map(len, held)) > FEED:
+                learn()
     if held:
-        trainer.feed(np.concatenate(held))
+        learn()
     if trainer.tokens:
         yield pa.RecordBatch.from_arrays([pa.array([trainer.tokens], pa.int64()), pa.array([(model.vector() * np.float64(trainer.tokens)).tobytes()], pa.binary()), pa.array([trainer.loss])], names=["n", "sums", "loss"])
 
@@ -190,31 +202,33 @@ def _score(key: tuple, docs: pa.Table, answers: pa.Table, lexicon: Lexicon, mode
     })
 
 
-def score_documents(documents: DataFrame, vocabulary: int = VOCABULARY) -> DataFrame:
+def score_documents(documents: DataFrame, vocabulary: float = VOCABULARY) -> DataFrame:
     """The columns of SCHEMA for every row of documents (doc_id, text).
 
     A null text is empty: its end is its only token. A null doc_id counts as the empty text in the
     fold. Repeated rows all count and are all returned; an empty table gives an empty result. Without
-    training documents all words are unknown.
+    training documents all words are unknown. Chunks are cut by bytes; a very long text is learnt and
+    scored whole, with its state carried. Other columns are ignored, whatever their names.
     """
     spark = documents.sparkSession
     for_python(spark)
-    n = documents.count()
-    if not n:
+    size = documents.agg(F.count("*").alias("n"), F.sum(F.octet_length("text")).alias("bytes")).first()
+    if not size.n:
         return spark.createDataFrame([], SCHEMA)
-    chunks = -(-n // CHUNK)
+    chunks = 1 + (size.bytes or 0) // CHUNK
     buckets = -(-chunks // CHUNKS)
     docs = documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), held_out(F.col("doc_id")).alias("held_out"), F.xxhash64("doc_id", "text").alias("row_key"))
     chunked = docs.withColumn("chunk", F.pmod("row_key", F.lit(chunks)))
     asked = chunked.select("chunk", "text", "held_out").groupBy("chunk").applyInArrow(lambda k, t: _ask(k, t, buckets), "chunk long, bucket long, packed binary")
     schema = "chunk long, bucket long, packed binary, word long, shape long, n long, v long"
-    answers = written(asked.groupBy("bucket").applyInArrow(lambda k, t: _answer(k, t, vocabulary), schema), "answers")
+    answers = written(asked.groupBy("bucket").applyInArrow(lambda k, t: _answer(k, t, vocabulary, buckets), schema), "answers")
     by_shape = {r.word: (r.n, r.v) for r in answers.filter("v IS NOT NULL").groupBy("word").agg(F.sum("n").alias("n"), F.sum("v").alias("v")).collect()}
     end = int(END_HASH.view(np.int64))
-    top = answers.filter("shape IS NOT NULL").orderBy(F.col("word") != end, F.col("n").desc(), "word").limit(vocabulary + 1).select("word", "n", "shape").collect()  # of bounded size
-    if not top or top[0].word != end:
-        top = [(end, 0, 0), *top[:vocabulary]]
-    w, c, k = (np.array([r[i] for r in top], np.int64) for i in range(3))
+    most = max(1, round(vocabulary * sum(v for _, v in by_shape.values()) ** 0.5))
+    top = answers.filter("shape IS NOT NULL").orderBy(F.col("word") != end, F.col("n").desc(), "word").limit(most + 1).select("word", "n", "shape").toArrow()  # grows with the root of the distinct words
+    w, c, k = (top.column(i).to_numpy().astype(np.int64) for i in range(3))
+    if not len(w) or w[0] != end:
+        w, c, k = (np.append(x, y[:most]) for x, y in zip((end, 0, 0), (w, c, k), strict=True))
     shape = np.array([by_shape.get(i, (0, 0)) for i in range(SHAPES)], np.int64)
     lexicon = Lexicon(w.view(np.uint64), c, k, shape[:, 0], shape[:, 1])
     model = train(docs.filter("NOT held_out").select("text", F.pmod(F.xxhash64("row_key"), F.lit(8)).alias("eighth")), lexicon)

@@ -9,12 +9,14 @@ tokens; states are carried from window to window and end with the document.
 
 from __future__ import annotations
 
+import heapq
+
 import numpy as np
 
 HIDDEN, WINDOW, LANES, BLOCK = 16, 16, 512, 2048
 RATE, DECAY1, DECAY2 = 0.01, 0.9, 0.99
-#: Classes of the vocabulary's words; shapes of other words.
-WORD_CLASSES, SHAPES = 16, 8
+#: Shapes of words beyond the vocabulary.
+SHAPES = 8
 END = 0
 
 
@@ -47,18 +49,19 @@ class Model:
         rng = np.random.default_rng(seed)
         k = len(word_counts)
         self.hidden, self.k = hidden, k
+        self.word_classes = max(1, round(np.sqrt(k) * 0.7))
         # Classes hold like shares of the root of the counts.
         share = np.cumsum(np.sqrt(word_counts + 1.0))
-        self.of_word = np.minimum((share / share[-1] * WORD_CLASSES - 1e-9).astype(np.int64), WORD_CLASSES - 1)
-        self.begin = np.searchsorted(self.of_word, np.arange(WORD_CLASSES + 1))
-        self.of_id = np.append(self.of_word, WORD_CLASSES + np.arange(SHAPES))
-        by_class = np.append(np.bincount(self.of_word, word_counts, WORD_CLASSES), shape_counts) + 1.0
+        self.of_word = np.minimum((share / share[-1] * self.word_classes - 1e-9).astype(np.int64), self.word_classes - 1)
+        self.begin = np.searchsorted(self.of_word, np.arange(self.word_classes + 1))
+        self.of_id = np.append(self.of_word, self.word_classes + np.arange(SHAPES))
+        by_class = np.append(np.bincount(self.of_word, word_counts, self.word_classes), shape_counts) + 1.0
         f = np.float32
         self.p = {
             "inputs": (rng.standard_normal((k + SHAPES, 3 * hidden)) * 0.1).astype(f),
             "recurrent": (rng.standard_normal((3 * hidden, hidden)) / np.sqrt(hidden)).astype(f),
             "bias": np.zeros(3 * hidden, f),
-            "classes": np.zeros((WORD_CLASSES + SHAPES, hidden), f),
+            "classes": np.zeros((self.word_classes + SHAPES, hidden), f),
             "class_bias": np.log(by_class / by_class.sum()).astype(f),
             "words": np.zeros((k, hidden), f),
             "word_bias": np.log((word_counts + 1.0) / by_class[self.of_word]).astype(f),
@@ -93,7 +96,7 @@ class Model:
         if train:
             for n in ("classes", "class_bias", "words", "word_bias"):
                 grads[n] = np.zeros_like(self.p[n])
-        order = np.argsort(target.astype(np.int8), kind="stable")  # few classes: a radix sort
+        order = np.argsort(target.astype(np.int16), kind="stable")  # few classes: a radix sort
         states, ids, target = states[order], ids[order], target[order]
         for a in range(0, len(ids), BLOCK):
             s = states[a : a + BLOCK]
@@ -102,8 +105,8 @@ class Model:
                 grads["classes"] += d.T @ s
                 grads["class_bias"] += d.sum(0)
                 back[a : a + BLOCK] = d @ self.p["classes"]
-        edges = np.searchsorted(target, np.arange(WORD_CLASSES + 1))
-        for c in range(WORD_CLASSES):
+        edges = np.searchsorted(target, np.arange(self.word_classes + 1))
+        for c in range(self.word_classes):
             i, j, a, b = edges[c], edges[c + 1], self.begin[c], self.begin[c + 1]
             if i == j or b - a < 2:
                 continue
@@ -124,8 +127,8 @@ class Model:
             back = spread
         return undone, back
 
-    def window(self, ids: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, dict, float]:
-        """Carried state, gradients and mean loss of a window (steps x lanes)."""
+    def window(self, ids: np.ndarray, h: np.ndarray, real: np.ndarray | None = None) -> tuple[np.ndarray, dict, float]:
+        """Carried state, gradients and mean loss of a window (steps x lanes); only tokens where real holds count."""
         steps, lanes = ids.shape
         n, f = self.hidden, self.p["inputs"].dtype
         x = np.ascontiguousarray(self.p["inputs"][ids].transpose(0, 2, 1))
@@ -138,7 +141,14 @@ class Model:
             kept.append(rest)
             h = new * goes_on[t]
         grads: dict[str, np.ndarray] = {}
-        logp, back = self.output(states.transpose(0, 2, 1).reshape(-1, n), ids.ravel(), grads)
+        flat = states.transpose(0, 2, 1).reshape(-1, n)
+        if real is None:
+            logp, back = self.output(flat, ids.ravel(), grads)
+        else:
+            some = np.flatnonzero(real.ravel())
+            logp, found = self.output(flat[some], ids.ravel()[some], grads)
+            back = np.zeros_like(flat)
+            back[some] = found
         back = np.ascontiguousarray(back.reshape(steps, lanes, n).transpose(0, 2, 1))
         dx = np.empty((steps, 3 * n, lanes), f)
         da = np.empty((3 * n, lanes), f)
@@ -172,20 +182,38 @@ class Trainer:
         self.m = {n: np.zeros_like(v) for n, v in model.p.items()}
         self.v = {n: np.zeros_like(v) for n, v in model.p.items()}
 
-    def feed(self, stream: np.ndarray) -> None:
-        """Learns a stream of whole documents once, dealt to lanes; the rest below a window goes unread only if it fills none."""
-        lanes = int(min(LANES, max(8, len(stream) // (WINDOW * 64))))
-        length = len(stream) // lanes
-        if not length:
+    def feed(self, ids: np.ndarray, first: np.ndarray) -> None:
+        """Learns whole documents ids[first[i]:first[i + 1]] once, every token of them.
+
+        Documents are dealt to lanes, longest first, each to the shortest lane; none is cut. Lanes run side
+        by side, longest first, while they last; states are carried on and end with the documents.
+        """
+        lens = np.diff(first)
+        lanes = int(min(LANES, max(1, len(ids) // (WINDOW * 64)), len(lens)))
+        if not len(ids):
             return
-        laid = stream[: lanes * length].reshape(lanes, length).T
-        h = np.zeros((self.model.hidden, lanes), np.float32)
-        for at in range(0, length, WINDOW):
-            ids = laid[at : at + WINDOW]
-            h, grads, loss = self.model.window(ids, h)
+        heap = [(0, i) for i in range(lanes)]
+        docs: list[list[int]] = [[] for _ in range(lanes)]
+        for d in np.argsort(-lens, kind="stable").tolist():
+            length, i = heap[0]
+            docs[i].append(d)
+            heapq.heapreplace(heap, (length + int(lens[d]), i))
+        streams = sorted((np.concatenate([ids[first[d] : first[d + 1]] for d in lane]) for lane in docs if lane), key=len, reverse=True)
+        length = np.array([len(x) for x in streams])
+        h = np.zeros((self.model.hidden, len(streams)), np.float32)
+        for at in range(0, int(length[0]), WINDOW):
+            active = int(np.searchsorted(-length, -at, "left"))  # lanes longer than at
+            steps = int(min(WINDOW, length[0] - at))
+            laid = np.full((steps, active), END, ids.dtype)
+            for i in range(active):
+                part = streams[i][at : at + steps]
+                laid[: len(part), i] = part
+            real = None if length[active - 1] >= at + steps else np.arange(at, at + steps)[:, None] < length[:active]
+            h, grads, loss = self.model.window(laid, np.ascontiguousarray(h[:, :active]), real)
+            n = laid.size if real is None else int(real.sum())
             self.update(grads)
-            self.tokens += ids.size
-            self.loss += loss * ids.size
+            self.tokens += n
+            self.loss += loss * n
 
     def update(self, grads: dict) -> None:
         self.t += 1
