@@ -42,7 +42,7 @@ FINE_BIN = "CAST(floor(128 * ln(1e0 + least(d2, 1e9))) AS INT)"
 #: What moments are made of.
 PRODUCTS = (*[f"x{i}" for i in range(P)], *[f"x{i} * x{j}" for i in range(P) for j in range(i + 1)])
 #: What brings the covariance of the nearest half of normal vectors to that of all, quantiles at which the starts lie, least fall of the log determinant's half.
-HALF_CONSISTENCY, STARTS, FALL = 2.109, (0.5, 0.25, 0.75), 1e-4
+HALF_CONSISTENCY, STARTS, FALL = 2.109, (0.5, 0.25, 0.75), 2e-3
 
 
 def repeated_words(w: Column) -> Column:
