@@ -317,7 +317,7 @@ def remove_near_lines(documents: DataFrame) -> DataFrame:
     whole = whole.withColumn("copy", copy).join(gone, "row_key", "left")
     schema = whole.select("rest", "text").withColumns({"n_lines": F.lit(0).cast("long"), "n_removed": F.lit(0).cast("long")}).schema
     left = whole.select("rest", "text", "gone", "copy").mapInArrow(_drop, schema)
-    return left.select("rest.*", "text", "n_lines", "n_removed").select(*documents.columns, "n_lines", "n_removed")
+    return left.select("rest.*", "text", "n_lines", "n_removed").select(*[F.col(f"`{c}`") for c in documents.columns], "n_lines", "n_removed")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
