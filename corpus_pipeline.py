@@ -1,4 +1,10 @@
-"""A training corpus in five stages: quality, lines, near duplicates, mixture, sequences."""
+"""A training corpus in five stages: quality, lines, near duplicates, mixture, sequences.
+
+Every stage takes rows of documents with any columns, of any names, of which doc_id, text, lang and source
+count. Rows are told apart by a hash of id and text; repeated rows are judged alike and all go on, but
+where a stage says otherwise. A null text is an empty one, a text of any length is worked on whole, and an
+empty table gives an empty result.
+"""
 
 from __future__ import annotations
 
@@ -10,46 +16,49 @@ from rillstone.llm.common import for_python, written
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
-    return docs.withColumn("__row", F.xxhash64("doc_id", "text"))
+    """key, and the row as one column, so that no name clashes."""
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    return docs.select(F.xxhash64("doc_id", "text").alias("key"), row)
 
 
 def _matched(docs: DataFrame, rows: DataFrame, how: str) -> DataFrame:
-    """Joined by row. rows grows with docs, so both are shuffled at every size: nothing is broadcast."""
-    return docs.join(rows.hint("merge"), "__row", how)
+    """Joined by key. rows grows with docs, so both are shuffled at every size: nothing is broadcast."""
+    return _keyed(docs).join(rows.hint("merge"), "key", how)
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules keep."""
-    judged = quality_rules.judge(_keyed(docs).select(F.col("__row").alias("doc_id"), "text", "lang", "source"))
-    rejected = written(judged.filter("NOT kept").select(F.col("doc_id").alias("__row")).distinct(), "rejected")
-    return _matched(_keyed(docs), rejected, "left_anti").select(*docs.columns)
+    """Documents that the quality rules keep; those of null, empty and very short texts go."""
+    judged = quality_rules.judge(docs.select(F.xxhash64("doc_id", "text").alias("doc_id"), "text", "lang", "source"))
+    rejected = written(judged.filter("NOT kept").select(F.col("doc_id").alias("key")).distinct(), "rejected")
+    return _matched(docs, rejected, "left_anti").select("row.*")
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without lines that stand, or nearly stand, in earlier ones; those left without words go."""
-    left = line_dedup.remove_near_lines(docs).filter("n_removed = 0 OR n_removed < n_lines")
-    return left.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+    """Documents without lines that stand, or nearly stand, in earlier ones; those left without words go.
+
+    Of repeated rows the first stays.
+    """
+    found = line_dedup.remove_near_lines(docs.drop("n_lines", "n_removed"))
+    left = found.filter("n_removed = 0 OR n_removed < n_lines")
+    text = F.col("text")
+    return left.select(*[F.length(text).cast("long").alias(c) if c == "n_chars" else F.col(f"`{c}`") for c in docs.columns if c in found.columns])
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates, 5-word sets of similarity 0.8 or more, that of the least id."""
+    """One document of each group of near duplicates, 5-word sets of similarity 0.8 or more, that of the least id; null is the last."""
     found = jaccard_join.near_duplicates(docs, k=5, percent=80).groupBy("group").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row_key")).alias("first"), F.count("*").alias("n"))
-    stay = written(found.select(F.col("first.row_key").alias("__row"), "n"), "stay")
-    out = _matched(_keyed(docs), stay.select("__row"), "left_semi")
-    return out.dropDuplicates(["__row"]).select(*docs.columns) if not stay.filter("n > 1").isEmpty() and _repeats(docs) else out.select(*docs.columns)
-
-
-def _repeats(docs: DataFrame) -> bool:
-    """Whether rows of one id and text stand more than once."""
-    return not _keyed(docs).groupBy("__row").agg(F.count("*").alias("n")).filter("n > 1").isEmpty()
+    stay = written(found.select(F.col("first.row_key").alias("key"), "n"), "stay")
+    out = _matched(docs, stay.select("key"), "left_semi")
+    repeated = not stay.filter("n > 1").isEmpty() and not _keyed(docs).groupBy("key").count().filter("count > 1").isEmpty()
+    return (out.dropDuplicates(["key"]) if repeated else out).select("row.*")
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document as often as the mixture uses it."""
-    mixed = mixing.mix(mixing.measured(_keyed(docs).select(F.col("__row").alias("doc_id"), "text", "source")))
-    uses = written(mixed.filter("taken > 0").groupBy(F.col("doc_id").alias("__row")).agg(F.max(F.expr("taken div size")).cast("int").alias("__uses")), "uses")
-    out = _matched(_keyed(docs), uses, "inner").withColumn("__use", F.explode(F.sequence(F.lit(1), F.col("__uses"))))
-    return out.select(*docs.columns)
+    """Every document as often as the mixture uses it; those without words are not used."""
+    mixed = mixing.mix(mixing.measured(docs.select(F.xxhash64("doc_id", "text").alias("doc_id"), "text", "source")))
+    uses = written(mixed.filter("taken > 0").groupBy(F.col("doc_id").alias("key")).agg(F.max(F.expr("taken div size")).cast("int").alias("uses")), "uses")
+    out = _matched(docs, uses, "inner").select("row", F.explode(F.sequence(F.lit(1), F.col("uses"))).alias("use"))
+    return out.select("row.*")
 
 
 def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -62,7 +71,7 @@ def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [("quality rules", quality), ("line dedup", lines), ("n-gram Jaccard join", near), ("source mixing", mixture), ("packing", sequences)]
 
-#: Tokenizers cannot be expressed in SQL; tests hold the stages to fixed results on small made rows, not to brute force.
+#: Tokenizers cannot be expressed in SQL; tests/llm/test_pipeline.py holds every stage to SQL or brute force on its own input.
 ORACLE_SQL = None
 
 
