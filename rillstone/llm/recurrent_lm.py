@@ -4,7 +4,7 @@ A gated recurrent unit reads classes of tokens; its state before a token predict
 class-factored softmax: the class, then the word within it. Words of the vocabulary have softmax
 classes of like frequency; other words fall into classes of their shape, within which their
 probabilities are those of their smoothed counts. Training backpropagates through windows of WINDOW
-tokens; states are carried from window to window and end with the document.
+tokens or more; states are carried from window to window and end with the document.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ import heapq
 
 import numpy as np
 
-HIDDEN, WINDOW, LANES, BLOCK = 16, 16, 512, 2048
+HIDDEN, WINDOW, LONGEST, LANES, BLOCK = 16, 16, 8, 512, 2048
 RATE, DECAY1, DECAY2 = 0.01, 0.9, 0.99
 #: Shapes of words beyond the vocabulary.
 SHAPES = 8
@@ -201,9 +201,11 @@ class Trainer:
         streams = sorted((np.concatenate([ids[first[d] : first[d + 1]] for d in lane]) for lane in docs if lane), key=len, reverse=True)
         length = np.array([len(x) for x in streams])
         h = np.zeros((self.model.hidden, len(streams)), np.float32)
-        for at in range(0, int(length[0]), WINDOW):
+        at = 0
+        while at < length[0]:
             active = int(np.searchsorted(-length, -at, "left"))  # lanes longer than at
-            steps = int(min(WINDOW, length[0] - at))
+            # Windows are longer where few lanes are left, LONGEST times at most.
+            steps = int(min(WINDOW * min(LONGEST, max(1, LANES // (4 * active))), length[0] - at))
             laid = np.full((steps, active), END, ids.dtype)
             for i in range(active):
                 part = streams[i][at : at + steps]
@@ -214,6 +216,7 @@ class Trainer:
             self.update(grads)
             self.tokens += n
             self.loss += loss * n
+            at += steps
 
     def update(self, grads: dict) -> None:
         self.t += 1
@@ -225,7 +228,7 @@ class Trainer:
             self.model.p[n] -= rate * m / (np.sqrt(v) + np.float32(1e-8))
 
 
-def document_scores(model: Model, ids: np.ndarray, first: np.ndarray, most: int = 400_000) -> np.ndarray:
+def document_scores(model: Model, ids: np.ndarray, first: np.ndarray, most: int = 1_500_000) -> np.ndarray:
     """Natural log probability of the classes and vocabulary words of whole documents ids[first[i]:first[i + 1]].
 
     Documents run side by side, longest first, each with its state carried from its first token to
