@@ -156,11 +156,10 @@ def train(texts: DataFrame, lexicon: Lexicon) -> Model:
     parameters = None
     for eighths in ROUNDS:
         learnt = texts.filter(F.col("eighth").isin(*eighths)).select("text").mapInArrow(lambda it, p=parameters: _learn(it, lexicon, p), "n long, sums binary, loss double")
-        for groups in (256, 16):  # sums of tasks, then of those: 16 rows come to the driver
+        for groups in (256, 16, 1):  # sums of tasks, then of those: one row comes to the driver
             learnt = learnt.groupBy((F.pmod(F.xxhash64("n", "loss"), F.lit(groups))).alias("g")).applyInArrow(lambda t: _added(t), "n long, sums binary, loss double")
-        rows = learnt.collect()
-        if rows:
-            parameters = sum(np.frombuffer(r.sums, np.float64) for r in rows) / sum(r.n for r in rows)
+        for r in learnt.collect():
+            parameters = np.frombuffer(r.sums, np.float64) / r.n
     model = lexicon.model()
     if parameters is not None:
         model.load(parameters)
