@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import embedding_dedup, jaccard_join, line_dedup, lm_scoring, mixing, packing, periodic_runs, pii_surrogates, quality_rules, substring_dedup, toxicity, url_reputation
+from . import conversation_repair, embedding_dedup, jaccard_join, line_dedup, lm_scoring, mixing, packing, periodic_runs, pii_surrogates, quality_rules, substring_dedup, toxicity, url_reputation
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_lm_scoring": lm_scoring.query,
@@ -21,6 +21,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_line_dedup": line_dedup.query,
     "op11_periodic_runs": periodic_runs.query,
     "op12_toxicity": toxicity.query,
+    "op13_conversation_repair": conversation_repair.query,
 }
 
 ORACLES: dict[str, str] = {
@@ -32,4 +33,5 @@ ORACLES: dict[str, str] = {
     "op9_jaccard_join": jaccard_join.ORACLE,
     "op10_line_dedup": line_dedup.ORACLE,
     "op11_periodic_runs": periodic_runs.ORACLE,
+    "op13_conversation_repair": conversation_repair.ORACLE,
 }
