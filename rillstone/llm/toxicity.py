@@ -25,7 +25,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import for_python
+from .common import for_python, written
 from .textkernel import portions, ranges
 
 #: Bytes of a window, at least, where the text has them.
@@ -252,7 +252,7 @@ def _fitted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def chosen(labelled: DataFrame, size: int = SAMPLE) -> DataFrame:
-    """id and h of labelled documents (id, toxic, size), of either kind up to size bytes, in the order of a hash.
+    """id, h and toxic of labelled documents (id, toxic, size), of either kind up to size bytes, in the order of a hash.
 
     At most size / 64 ids and sizes of either kind come to the driver: texts of fewer bytes than that are rare.
     """
@@ -260,7 +260,7 @@ def chosen(labelled: DataFrame, size: int = SAMPLE) -> DataFrame:
     for kind in (0, 1):
         rows = labelled.filter(F.col("toxic") == kind).select(F.pmod(F.xxhash64("id"), F.lit(1 << 40)).alias("h"), "id", "size").orderBy("h", "id").limit(size >> 6)
         running = F.sum("size").over(Window.orderBy("h", "id").rowsBetween(Window.unboundedPreceding, 0))
-        out.append(rows.withColumn("upto", running).filter(F.col("upto") <= size).select("id", "h"))
+        out.append(rows.withColumn("upto", running).filter(F.col("upto") <= size).select("id", "h", F.lit(kind).alias("toxic")))
     return out[0].unionByName(out[1])
 
 
@@ -272,12 +272,12 @@ def learn(docs: DataFrame, labels: DataFrame, train: Column, size: int = SAMPLE)
     spark = docs.sparkSession
     for_python(spark)
     marks = labels.filter("doc_id IS NOT NULL AND toxic IS NOT NULL").groupBy(F.col("doc_id").alias("id")).agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
-    rows = docs.filter(train).select(F.col("doc_id").alias("id"), F.coalesce("text", F.lit("")).alias("text")).join(marks, "id")
-    sizes = rows.select("id", "toxic", F.octet_length("text").cast("long").alias("size"))
+    rows = docs.filter(train).select(F.col("doc_id").alias("id"), F.coalesce("text", F.lit("")).alias("text"))
+    sizes = written(rows.select("id", F.octet_length("text").cast("long").alias("size")).join(marks, "id"), "labelled-sizes")  # no texts
     share = sizes.agg(F.avg("toxic")).first()[0]
-    picks = chosen(sizes, size)
-    sample = rows.join(F.broadcast(picks), "id").dropDuplicates(["id", "toxic"]).select("h", "text", "toxic", F.lit(share).cast("double").alias("share"))
-    found = sample.coalesce(1).mapInArrow(_fitted, FITTED).first()
+    picks = F.broadcast(chosen(sizes, size))  # at most size / 32 ids, size / 1000 and fewer where texts are of usual length
+    sample = rows.join(picks, "id").dropDuplicates(["id"]).select("h", "text", "toxic", F.lit(share).cast("double").alias("share")).repartition(1)
+    found = sample.mapInArrow(_fitted, FITTED).first()
     return Model(bytes(found.ordinary), bytes(found.toxic), np.array(found.thresholds), np.array(found.weights))
 
 
