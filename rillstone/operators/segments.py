@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import written
+from .asof import as_of
 
 #: Bytes of the least and the largest segment; bytes and documents of a batch.
 LEAST_SEGMENT, LARGEST_SEGMENT = 479_994_880, 64 << 30
@@ -51,23 +52,27 @@ def segment_docs(size: int, avg: int, readers: int, explicit: int = 0) -> int:
     return max(min(size, LARGEST_SEGMENT) // max(avg, 1), 1)
 
 
-def segments(rows: DataFrame, key: str, docs: int, kind: str | None = None, slices: int | None = None) -> DataFrame:
+def segments(rows: DataFrame, key: str, docs: int, kind: str | None = None, slices: int | None = None, label: str | None = None) -> DataFrame:
     """kind, segment, n, lo, hi: ranges of docs consecutive keys, disjoint and without gaps, for keys of any type.
 
+    With label, a column, also lo_label and hi_label: what rows at either end have there.
+
     Keys are dealt out by range, counted by slice and ranked within their slices; no task sorts them
     all. With a column kind (the type of keys of several types) every kind has ranges of its own. NaN is
     an ordinary key, the greatest; null is the least.
     """
     by = [kind] if kind else []
     slices = slices or max(8, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    dealt = rows.select(*by, F.col(key).alias("_key")).repartitionByRange(slices, *by, "_key")
-    sliced = written(dealt.select(*by, "_key", F.spark_partition_id().alias("_slice")), "slices")
+    more = [F.col(label).alias("_label")] if label else []
+    dealt = rows.select(*by, F.col(key).alias("_key"), *more).repartitionByRange(slices, *by, "_key")
+    sliced = written(dealt.withColumn("_slice", F.spark_partition_id()), "slices")
     counts = sliced.groupBy(*by, "_slice").agg(F.count("*").alias("_n"))
     order = Window.partitionBy(*by).orderBy("_slice")
     before = counts.select(*by, "_slice", (F.sum("_n").over(order) - F.col("_n")).alias("_before"))  # a row a slice and kind
     rank = F.col("_before") + F.row_number().over(Window.partitionBy(*by, "_slice").orderBy("_key")) - 1
     ranked = sliced.join(before, [*by, "_slice"]).withColumn("segment", F.floor(rank / docs).cast("bigint"))
-    return ranked.groupBy(*by, "segment").agg(F.count("*").alias("n"), F.min("_key").alias("lo"), F.max("_key").alias("hi"))
+    ends = [F.min_by("_label", "_key").alias("lo_label"), F.max_by("_label", "_key").alias("hi_label")] if label else []
+    return ranked.groupBy(*by, "segment").agg(F.count("*").alias("n"), F.min("_key").alias("lo"), F.max("_key").alias("hi"), *ends)
 
 
 def scan(rows: DataFrame, key: str, lo: object = None, hi: object = None) -> DataFrame:
@@ -77,13 +82,16 @@ def scan(rows: DataFrame, key: str, lo: object = None, hi: object = None) -> Dat
     return kept.orderBy(key)
 
 
-def segment_of(rows: DataFrame, found: DataFrame, key: str, kind: str | None = None, most: int = 10_000) -> DataFrame:
-    """rows with the segment of their keys; segments are a bounded table, and broadcast if few."""
-    ends = found.select(*[F.col(c).alias(f"_{c}") for c in ([kind] if kind else []) + ["segment", "lo", "hi"]])
-    ends = F.broadcast(ends) if ends.limit(most + 1).count() <= most else ends
-    fits = (F.col(key) >= F.col("_lo")) & (F.col(key) <= F.col("_hi"))
-    fits = fits & (F.col(kind) == F.col(f"_{kind}")) if kind else fits
-    return rows.join(ends, fits).drop("_lo", "_hi", *([f"_{kind}"] if kind else [])).withColumnRenamed("_segment", "segment")
+def segment_of(rows: DataFrame, found: DataFrame, key: str, kind: str | None = None) -> DataFrame:
+    """rows with the segment of their keys, rows outside all segments left out.
+
+    The segments' least keys are the splitters: a row belongs to the last one at or below its key, if that
+    segment reaches so far. It is an as-of join, whatever the number of segments.
+    """
+    by = [kind] if kind else []
+    ends = found.select(*by, F.col("lo").alias(key), F.struct("segment", "hi").alias("_end"))
+    placed = as_of(rows, ends, by, key, "_end", inclusive=True)
+    return placed.filter(F.col(key) <= F.col("_end.hi")).withColumn("segment", F.col("_end.segment")).drop("_end")
 
 
 def database_stats(docs: DataFrame, db: str, coll: str, size: Column) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import scalars as S
 from ..operators import fold, progress, segments
+from ..operators.asof import as_of
 from ..session import shared_folder, table
 from ..sources import logs
 from ..streaming.replicate import Replicator, _newest, apply_changes
@@ -29,7 +30,7 @@ def _changes(spark: SparkSession, sf: str, clicks: str) -> DataFrame:
         F.lit("d").alias("db"), F.lit("c").alias("coll"), F.col("user_id").cast("string").alias("key"), S.seconds(F.col("ts")).alias("t"), F.lit(0).cast("bigint").alias("i"), F.col("event_id").alias("seq"), op.alias("op"),
         F.when(op.isin("insert", "replace"), F.concat(F.lit('{"n":'), F.col("event_id").cast("string"), F.lit("}"))).alias("full_document"), F.when(op == "update", written).alias("updated_fields"),
         F.lit(None).cast("array<string>").alias("removed_fields"), F.lit(None).cast("array<struct<field:string,new_size:int>>").alias("truncated_arrays"),
-        "user_id", "event_type", F.lit(None).cast("string").alias("collection_uuid"), F.lit(None).cast("string").alias("op_desc"),
+        "user_id", "event_type", "ts", F.lit(None).cast("string").alias("collection_uuid"), F.lit(None).cast("string").alias("op_desc"),
     )
 
 
@@ -74,12 +75,35 @@ def stream_replicated(spark: SparkSession, sf: str) -> DataFrame:
     """One micro-batch of a replication: errors of some users drop their collection, of others delete."""
     drops = (F.col("event_type") == "error") & (F.col("user_id") % 25 == 0)
     log = _changes(spark, sf, "c.k").withColumns({"coll": F.concat(F.lit("c"), (F.col("user_id") % 3).cast("string")), "op": F.when(drops, "drop").otherwise(F.col("op")), "document_key": F.col("key")})
-    r = Replicator(spark, "", f"{shared_folder(spark)}/rillstone/target-{uuid.uuid4().hex}", buckets=8)
+    r = Replicator(spark, "", f"{shared_folder(spark)}/rillstone/target-{uuid.uuid4().hex}")
     r.batch(log, 0)
     rows = r.target.read()
     return rows.select(F.col("key").cast("bigint").alias("user_id"), "coll", *[F.get_json_object("doc", p).cast("bigint").alias(c) for c, p in (("n", "$.n"), ("v", "$.v"))])
 
 
+@registered(f"""WITH {_LOG}
+SELECT b.user_id, (SELECT event_id FROM log WHERE log.user_id = b.user_id AND log.n = b.bn) AS n, (SELECT last(event_id ORDER BY log.n) FROM log WHERE log.user_id = b.user_id AND log.n > b.bn AND log.e IN ('view', 'click')) AS v
+FROM base b""")
+def target_merge(spark: SparkSession, sf: str) -> DataFrame:
+    """Micro-batches of a log, by time, whose runs are merged on the way; then what the merged target holds."""
+    log = _changes(spark, sf, "v").withColumn("document_key", F.col("key"))
+    log = log.withColumns({"t": S.seconds(F.col("ts")), "i": F.expr("cast(unix_micros(cast(ts AS timestamp)) % 1000000 AS bigint)")}).drop("ts")
+    ends = log.agg(F.min("t").alias("a"), F.max("t").alias("z")).first()
+    r = Replicator(spark, "", f"{shared_folder(spark)}/rillstone/target-{uuid.uuid4().hex}", fan=2, first_level=1 << 16, bucket_bytes=1 << 15)
+    third = (ends.z - ends.a) // 3 + 1
+    for n in range(3):
+        r.batch(log.filter((F.col("t") >= ends.a + n * third) & (F.col("t") < ends.a + (n + 1) * third)), n)
+    return _fields(r.target.read(), n="$.n", v="$.v")
+
+
+@registered("SELECT v.user_id, v.event_id, p.event_id AS purchase FROM (SELECT * FROM events WHERE event_type = 'view') v ASOF LEFT JOIN (SELECT user_id, max(event_id) AS event_id, ts FROM events WHERE event_type = 'purchase' GROUP BY user_id, ts) p ON v.user_id = p.user_id AND v.ts > p.ts")
+def as_of_purchase(spark: SparkSession, sf: str) -> DataFrame:
+    """Each view with its user's last purchase before it."""
+    e = table(spark, sf, "events").select("user_id", "ts", "event_id", "event_type")
+    purchases = e.filter("event_type = 'purchase'").groupBy("user_id", "ts").agg(F.max("event_id").alias("purchase"))
+    return as_of(e.filter("event_type = 'view'"), purchases, ["user_id"], "ts", "purchase").select("user_id", "event_id", "purchase")
+
+
 @registered("""WITH log AS (SELECT user_id, event_id, event_type AS e, value, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS n FROM events UNION ALL SELECT DISTINCT user_id, NULL, 'signup', -1, 0 FROM events WHERE user_id % 2 = 0),
 life AS (SELECT user_id, max(n) AS ln FROM log WHERE e IN ('signup', 'error') GROUP BY user_id)
 SELECT l.user_id, max_by(b.value, b.n) AS base_value FROM life l JOIN log a ON a.user_id = l.user_id AND a.n = l.ln AND a.e = 'signup' JOIN log b ON b.user_id = l.user_id AND b.n >= l.ln AND b.e IN ('signup', 'purchase') GROUP BY l.user_id""")

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import json
+import threading
 import time
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
@@ -81,41 +83,80 @@ def key_of(doc_key: dict[str, Any], shard_key: tuple[str, ...] = ()) -> str:
     return json.dumps(full, ensure_ascii=False, separators=(",", ":"))
 
 
+class Stale(RuntimeError):
+    """Another writer has written the version that this one was to write."""
+
+
 class StateTable:
-    """One row of state in a folder that Spark reads: versions, and the latest complete one counts."""
+    """One value of state in a folder, as a file a version, of which the latest counts.
+
+    A version is written once: a file is made under a name of its own and then renamed, which fails where the version is
+    there already. The folder's file system has to rename in one step, as those of clusters do.
+    """
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path
         jvm = spark.sparkContext._jvm
-        self._folder = jvm.org.apache.hadoop.fs.Path(path)
-        self._fs = self._folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        self._Path = jvm.org.apache.hadoop.fs.Path
+        self._conf = spark.sparkContext._jsc.hadoopConfiguration()
+        self._Path, self._jvm = jvm.org.apache.hadoop.fs.Path, jvm
+        self._folder = self._Path(path)
+        self._fs = self._folder.getFileSystem(self._conf)
 
     def _versions(self) -> list[int]:
-        if not self._fs.exists(self._folder):
-            return []
-        found = [s.getPath() for s in self._fs.listStatus(self._folder)]
-        return sorted(int(p.getName()) for p in found if p.getName().isdigit() and self._fs.exists(self._Path(p, "_SUCCESS")))
+        return sorted(int(n.removesuffix(".json")) for n in self.names(self.path) if n.removesuffix(".json").isdigit())
 
-    def read(self) -> dict[str, Any] | None:
+    def _value(self, version: int) -> dict[str, Any]:
+        stream = self._fs.open(self._Path(f"{self.path}/{version}.json"))
+        try:
+            return json.loads(self._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+        finally:
+            stream.close()
+
+    def latest(self) -> tuple[int, dict[str, Any] | None]:
+        """The latest version (-1: none) and its value."""
         versions = self._versions()
-        if not versions:
-            return None
-        return json.loads(self.spark.read.text(f"{self.path}/{versions[-1]}").first()[0])
+        return (versions[-1], self._value(versions[-1])) if versions else (-1, None)
+
+    def all(self) -> list[tuple[int, dict[str, Any]]]:
+        """The versions that are kept, and their values."""
+        return [(v, self._value(v)) for v in self._versions()]
+
+    def read(self) -> dict[str, Any] | None:
+        return self.latest()[1]
 
-    def write(self, state: dict[str, Any]) -> None:
+    def write(self, state: dict[str, Any], after: int | None = None) -> int:
+        """The version written: the one after the version that state was made from (None: the latest)."""
         versions = self._versions()
-        row = self.spark.createDataFrame([(json.dumps(state),)], "value string")
-        temporary = f"{self.path}/.{uuid.uuid4().hex}"
-        row.coalesce(1).write.text(temporary)
-        if not self._fs.rename(self._Path(temporary), self._Path(f"{self.path}/{versions[-1] + 1 if versions else 0}")):
-            raise RuntimeError("another writer has written this version")
+        after = (versions[-1] if versions else -1) if after is None else after
+        if versions and versions[-1] > after:
+            raise Stale(f"version {versions[-1]} has been written after {after}")
+        temporary = self._Path(f"{self.path}/.{uuid.uuid4().hex}")
+        out = self._fs.create(temporary, False)
+        out.write(bytearray(json.dumps(state).encode()))
+        out.close()
+        files = self._jvm.org.apache.hadoop.fs.FileContext.getFileContext(self._fs.makeQualified(self._folder).toUri(), self._conf)
+        options = self.spark.sparkContext._gateway.new_array(getattr(self._jvm.org.apache.hadoop.fs, "Options$Rename"), 0)
+        try:
+            files.rename(self._fs.makeQualified(temporary), self._fs.makeQualified(self._Path(f"{self.path}/{after + 1}.json")), options)
+        except Exception as e:
+            self._fs.delete(temporary, False)
+            raise Stale(f"version {after + 1} has been written by another") from e
         for v in versions[:-1]:
-            self._fs.delete(self._Path(f"{self.path}/{v}"), True)
+            self._fs.delete(self._Path(f"{self.path}/{v}.json"), False)
+        return after + 1
 
     def reset(self) -> None:
         self._fs.delete(self._folder, True)
 
+    def names(self, path: str) -> list[str]:
+        """Names of what a folder holds; none if there is no such folder."""
+        at = self._Path(path)
+        return [s.getPath().getName() for s in self._fs.listStatus(at)] if self._fs.exists(at) else []
+
+    def size(self, path: str) -> int:
+        """Bytes of the files of a folder."""
+        return self._fs.getContentSummary(self._Path(path)).getLength()
+
     def exists(self, path: str) -> bool:
         return self._fs.exists(self._Path(path))
 
@@ -124,24 +165,61 @@ class StateTable:
 
 
 class Lease:
-    """One writer at a time: a beat in a state table, which another may take over when it is stale."""
+    """One writer at a time: a beat in a state table, which another may take over when it is stale.
+
+    Every taking begins an epoch, one more than the last; commits carry it, so that a writer that has lost the lease
+    without noticing cannot commit.
+    """
 
     BEAT, STALE = 30, 35
 
     def __init__(self, table: StateTable, owner: str, clock: Callable[[], float] = time.time):
-        self.table, self.owner, self.clock = table, owner, clock
+        self.table, self.owner, self.clock, self.epoch = table, owner, clock, 0
+        self.lost: Exception | None = None
+
+    def _held(self, now: dict[str, Any] | None) -> bool:
+        return bool(now) and now["owner"] not in (None, self.owner) and self.clock() - now["beat"] < self.STALE
 
     def acquire(self) -> None:
-        now = self.table.read()
-        if now and now["owner"] != self.owner and self.clock() - now["beat"] < self.STALE:
+        version, now = self.table.latest()
+        if self._held(now):
             raise RuntimeError(f"{now['owner']} holds the lease")
-        self.beat()
+        self.epoch = (now["epoch"] if now else 0) + 1
+        self.table.write({"owner": self.owner, "beat": self.clock(), "epoch": self.epoch}, after=version)
+        self.lost = None
 
     def beat(self) -> None:
-        now = self.table.read()
-        if now and now["owner"] != self.owner and self.clock() - now["beat"] < self.STALE:
+        version, now = self.table.latest()
+        if now and now["owner"] != self.owner and (self._held(now) or now["epoch"] > self.epoch):
             raise RuntimeError(f"{now['owner']} has taken the lease")
-        self.table.write({"owner": self.owner, "beat": self.clock()})
+        self.table.write({"owner": self.owner, "beat": self.clock(), "epoch": max(self.epoch, now["epoch"] if now else 0)}, after=version)
+
+    @contextmanager
+    def beating(self) -> Iterator[None]:
+        """Beats beside what runs within, however long that takes; an error at the end if the lease was lost."""
+        self.beat()
+        done = threading.Event()
+
+        def run() -> None:
+            while not done.wait(self.BEAT):
+                try:
+                    self.beat()
+                except Exception as e:  # kept for the one that works
+                    self.lost = e
+                    return
+
+        thread = threading.Thread(target=run, daemon=True)
+        thread.start()
+        try:
+            yield
+        finally:
+            done.set()
+            thread.join()
+        if self.lost:
+            raise RuntimeError("the lease was lost") from self.lost
 
     def release(self) -> None:
-        self.table.reset()
+        """Leaves the lease to the next, if it is still this one's."""
+        version, now = self.table.latest()
+        if now and now["owner"] == self.owner:
+            self.table.write({"owner": None, "beat": 0.0, "epoch": now["epoch"]}, after=version)

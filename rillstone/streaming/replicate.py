@@ -1,9 +1,9 @@
 """Replication as a stream: snapshot, change log, target, control.
 
-Every micro-batch walks its schema changes, which are few, through the catalog on the driver; they tell
-which collection an event belongs to at its time. All events of documents, whatever schema changes stand
-between them, are then folded at once by collection and key, and only the key buckets that they touch
-are written anew.
+Every micro-batch walks its schema changes, which are few, through the catalog on the driver; from them come the
+intervals of every name's collection, and an as-of join tells which one an event belongs to at its time. All
+events of documents, whatever schema changes stand between them, are then folded at once by collection and
+key, and the rows that change are written as one run of the log-structured target.
 """
 
 from __future__ import annotations
@@ -17,15 +17,17 @@ from collections.abc import Callable
 from enum import Enum
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from ..operators.asof import as_of, in_force
 from ..operators.catalog import Catalog, Index, violations
 from ..operators.delta import overlaid, sequential
 from ..operators.namespaces import STATE_DATABASE, selected
 from ..sources.logs import DML, TICK, Lease, StateTable, from_start, read_log, stream_log
-from .target import BUCKETS, PLACE, TARGET, Target, identity, small_table
+from ..session import written
+from .target import PLACE, SMALL, STORED, TARGET, Target, identity, slot, small_table
 
 __all__ = ["TARGET", "Replicator", "State", "Target", "apply_changes", "histogram", "retried"]
 Source = DataFrame | Callable[[], DataFrame] | None
@@ -110,6 +112,45 @@ def apply_changes(target: DataFrame, log: DataFrame, source: Source = None, own:
     return plain.unionByName(done.select(*keys, *out))
 
 
+def _place(d: Row) -> tuple[int, int, int]:
+    return (d.t, d.i, d.seq)
+
+
+def _mentions(catalog: Catalog, names: list[tuple], ddl: list) -> dict[tuple, list[int]]:
+    """Of each name (db, coll, uid) the schema changes, by number, that may change which collection it means."""
+    by_name: dict[tuple, list[tuple]] = defaultdict(list)
+    by_uid: dict[str, list[tuple]] = defaultdict(list)
+    by_db: dict[str, set[tuple]] = defaultdict(set)
+    uids: dict[tuple, set[str]] = defaultdict(set)  # that a collection of this name may have
+    for name in names:
+        by_name[name[:2]].append(name)
+        by_db[name[0]].add(name[:2])
+        by_uid[name[2]].append(name)
+    for uid, ns in catalog.names.items():
+        if uid in by_uid:
+            uids[ns].add(uid)
+            by_db[ns[0]].add(ns)
+    out: dict[tuple, list[int]] = {}
+    for k, d in enumerate(ddl):
+        if d.op not in ("create", "drop", "rename", "dropDatabase"):
+            continue
+        places = {(d.db, d.coll)} if d.op != "dropDatabase" else set(by_db[d.db])
+        body = json.loads(d.op_desc or "{}")
+        if d.op == "create":
+            uid = d.collection_uuid or body.get("uuid")
+            if uid in by_uid:
+                uids[(d.db, d.coll)].add(uid)
+                by_db[d.db].add((d.db, d.coll))
+        if d.op == "rename":
+            to = (body["db"], body["coll"])
+            uids[to] |= uids[(d.db, d.coll)]
+            by_db[to[0]].add(to)
+            places.add(to)
+        for name in {n for p in places for n in [*by_name[p], *(m for u in uids[p] if u for m in by_uid[u])]}:
+            out.setdefault(name, []).append(k)
+    return out
+
+
 class State(Enum):
     IDLE, RUNNING, PAUSED, FAILED, FINALIZING, FINALIZED = "idle", "running", "paused", "failed", "finalizing", "finalized"
 
@@ -124,11 +165,11 @@ class Replicator:
 
     def __init__(
         self, spark: SparkSession, log_path: str, target_path: str, include: tuple[str, ...] = (), exclude: tuple[str, ...] = (), fmt: str = "parquet",
-        source: Source = None, begins: tuple[int, int] | None = None, source_major: int = 8, buckets: int = BUCKETS, clock: Callable[[], float] = time.time,
+        source: Source = None, begins: tuple[int, int] | None = None, source_major: int = 8, clock: Callable[[], float] = time.time, **sizes: int,
     ):
         self.spark, self.log_path, self.fmt, self.path = spark, log_path, fmt, target_path
         self.source, self.begins, self.source_major = source, begins, source_major
-        self.target = Target(spark, target_path, buckets)
+        self.target = Target(spark, target_path, **sizes)
         self.include, self.exclude, self.state, self.error, self.query = include, exclude, State.IDLE, None, None
         self.catalog = self.target.catalog
         self.checkpoint = f"{target_path}/checkpoint"
@@ -148,9 +189,9 @@ class Replicator:
                     out.start()
         return out
 
-    def _save(self, rows: DataFrame | None = None, touched: list[int] | None = None, **state: Any) -> None:
+    def _save(self, changed: DataFrame | None = None, **state: Any) -> None:
         own = {"state": self.state.value, "error": self.error, "include": list(self.include), "exclude": list(self.exclude), "catalog": self.catalog.to_json()}
-        self.target.commit(rows, touched, **(own | state))
+        self.target.commit(changed, **(own | state))
 
     def clone(self, snapshot: DataFrame, at: tuple[int, int], specs: dict[tuple[str, str], dict[str, Any]] | None = None, finished: tuple[int, int] | None = None) -> None:
         """Copies a snapshot (db, coll, key, doc) taken at a logical time; a second copy adds what is absent.
@@ -165,74 +206,120 @@ class Replicator:
             self.catalog.create(r.db, r.coll)
         names = [(db, coll, c.cid) for (db, coll), c in self.catalog.collections.items()]
         rows = rows.join(small_table(self.spark, names, "db string, coll string, cid long"), ["db", "coll"]).dropDuplicates(["cid", "key"])
-        had = self.target.named(self.target.rows(), self.catalog).drop("db", "coll")
-        fresh = rows.join(had.select("cid", "key"), ["cid", "key"], "left_anti").select("cid", "key", "doc", F.lit(None).cast(PLACE).alias("born"))
-        self._save(had.unionByName(fresh), None, clone=list(at), finished=list(finished or at))
+        if self.target.state["runs"]:
+            rows = rows.join(self.target.rows().select("cid", "key"), ["cid", "key"], "left_anti")
+        own = {"state": self.state.value, "error": self.error, "include": list(self.include), "exclude": list(self.exclude), "catalog": self.catalog.to_json()}
+        self.target.load(rows.select("cid", "key", "doc", F.lit(None).cast(PLACE).alias("born")), **own, clone=list(at), finished=list(finished or at))
 
     def batch(self, rows: DataFrame, number: int) -> None:
-        """One micro-batch; one that was applied already is skipped."""
-        now = self.target.state
-        if now.get("batch", -1) >= number:
+        """One micro-batch; one that was applied already is skipped. The lease is beaten beside it."""
+        if self.target.state.get("batch", -1) >= number:
             return
-        self.lease.beat()
+        with self.lease.beating():
+            self.target.epoch = self.lease.epoch
+            self._apply(rows, number)
+
+    def _apply(self, rows: DataFrame, number: int) -> None:
+        now = self.target.state
         self.catalog = self.target.catalog  # a batch that failed may have changed it
         t, i = now.get("clone", (0, 0))
         rows = rows.filter((F.col("t") > t) | ((F.col("t") == t) & (F.col("i") >= i)))
         chosen = (F.col("db") != STATE_DATABASE) & selected(F.col("db"), F.coalesce("coll", F.lit("")), self.include, self.exclude) & (F.col("op") != TICK)
         rows = rows.withColumns({"key": F.col("document_key"), "chosen": F.coalesce(chosen, F.lit(False))}).dropDuplicates(["t", "i", "seq"]).persist()
         try:
-            seen = rows.agg(F.max(F.struct("t", "i")).alias("any"), F.max(F.when(F.col("op") != TICK, F.struct("t", "i"))).alias("real"), F.count_if("chosen").alias("n")).first()
-            ddl = rows.filter(F.col("chosen") & ~F.col("op").isin(*DML)).orderBy("t", "i", "seq").select("t", "i", "seq", "op", "db", "coll", "collection_uuid", "op_desc").collect()  # schema changes are few
-            dml = self._dealt(rows.filter(F.col("chosen") & F.col("op").isin(*DML)), ddl).withColumn("bucket", self.target.bucket(F.col("cid"), F.col("key")))
             depth = F.when(_reaches_inside(), 2).when(F.col("op") == "update", 1).otherwise(0)
-            touched = dml.groupBy("bucket").agg(F.max(identity(F.col("key")) != F.col("key")).alias("several"), F.max(depth).alias("depth")).collect()  # at most a row a bucket
-            new = None
-            if touched:
-                source = self._numbered if self.source is not None else None
-                new = apply_changes(self.target.rows([r.bucket for r in touched]), dml, source, ("cid", "key"), max(r.depth for r in touched))
-                alive = small_table(self.spark, [(c.cid,) for c in self.catalog.collections.values()], "cid long")
-                new = new.join(alive, "cid", "left_semi")
-                if any(r.several for r in touched):
-                    new = _newest(new, dml)
+            kept = F.col("chosen") & F.col("op").isin(*DML)
+            seen = rows.agg(
+                F.max(F.struct("t", "i")).alias("any"), F.max(F.when(F.col("op") != TICK, F.struct("t", "i"))).alias("real"), F.count_if("chosen").alias("n"), F.count_if(kept).alias("dml"),
+                F.count_if(F.col("chosen") & ~F.col("op").isin(*DML)).alias("ddl"), F.max(F.when(kept, depth)).alias("depth"), F.max(F.when(kept, identity(F.col("key")) != F.col("key"))).alias("several"),
+            ).first()
+            ddl = rows.filter(F.col("chosen") & ~F.col("op").isin(*DML)).orderBy("t", "i", "seq").select("t", "i", "seq", "op", "db", "coll", "collection_uuid", "op_desc").collect() if seen.ddl else []  # schema changes are few
+            changed = None
+            if seen.dml or ddl:
+                events = self._dealt(rows.filter(kept), ddl).withColumn("h", slot(F.col("cid"), F.col("key")))
+                changed = self._changed(events, seen)
             latest = lambda name, at: max(tuple(now.get(name, (0, 0))), (at.t, at.i) if at else (0, 0))
-            self._save(
-                new.select("cid", "key", "doc", "born") if new is not None else None, [r.bucket for r in touched], batch=number,
-                reported=list(latest("reported", seen.any)), checkpoint=list(latest("checkpoint", seen.real)), events=now.get("events", 0) + seen.n,
-            )
+            self._save(changed, batch=number, reported=list(latest("reported", seen.any)), checkpoint=list(latest("checkpoint", seen.real)), events=now.get("events", 0) + seen.n)
         finally:
             rows.unpersist()
 
+    def _changed(self, events: DataFrame, seen: Row) -> DataFrame:
+        """The rows that events change, with marks of those that go; only rows of their keys are read."""
+        only = events.select("h").distinct()
+        had = self.target.rows(F.broadcast(only) if seen.dml <= SMALL else written(only, "touched")) if self.target.state["runs"] else self.spark.createDataFrame([], STORED)
+        had = written(had, "had") if self.target.state["runs"] else had
+        source = self._numbered if self.source is not None else None
+        new = apply_changes(had, events, source, ("cid", "key"), seen.depth or 0)
+        new = new.join(small_table(self.spark, [(c.cid,) for c in self.catalog.collections.values()], "cid long"), "cid", "left_semi")
+        if seen.several:
+            new = _newest(new, events)
+        return self.target.change(had, new.select("cid", "key", "doc", "born"))
+
     def _dealt(self, events: DataFrame, ddl: list) -> DataFrame:
         """events with cid, their collection's number at their time; walks the catalog through the schema changes.
 
         An event belongs to the collection of its uuid, if the catalog has it, else to that of its name;
-        an insert makes a collection that is missing.
+        an insert makes a collection that is missing. A name (with a uuid) has an interval between each two
+        schema changes that concern it; events find theirs by an as-of join. The driver gets a row an interval.
         """
-        if ddl:
-            places = F.from_json(F.lit(json.dumps([{"t": d.t, "i": d.i, "seq": d.seq} for d in ddl])), f"array<{PLACE}>")
-            events = events.withColumn("epoch", F.size(F.filter(places, lambda p: p < _at())))
+        by = ["db", "coll", "uid"]
+        events = events.withColumns({"uid": F.coalesce("collection_uuid", F.lit("")), "at": _at()})
+        names = [tuple(r) for r in events.select(*by).distinct().collect()]  # a row a collection
+        mentions = _mentions(self.catalog, names, ddl)
+        rows = [(*name, _place(ddl[k]), n + 1) for name, found in mentions.items() for n, k in enumerate(found)]
+        if rows:
+            changes = self.spark.createDataFrame(rows, f"db string, coll string, uid string, at {PLACE}, part int")
+            events = as_of(events, changes, by, "at", "part").withColumn("part", F.coalesce("part", F.lit(0)))
         else:
-            events = events.withColumn("epoch", F.lit(0))
-        events = events.withColumn("uid", F.coalesce("collection_uuid", F.lit("")))
-        found: dict[int, list] = defaultdict(list)
-        for r in events.groupBy("epoch", "db", "coll", "uid").agg(F.max(F.col("op") == "insert").alias("inserts")).collect():  # a row a collection and epoch
-            found[r.epoch].append(r)
-        names = []
-        for epoch in range(len(ddl) + 1):
-            if epoch:
-                d = ddl[epoch - 1]
-                body = json.loads(d.op_desc or "{}")
-                if d.op == "create" and d.collection_uuid:
-                    body.setdefault("uuid", d.collection_uuid)
-                self.catalog.apply(d.op, d.db, d.coll, body, self.source_major)
-            uuids = self.catalog.uuids()
-            for r in found[epoch]:
-                ns = uuids.get(r.uid, (r.db, r.coll))
-                if ns not in self.catalog.collections and r.inserts:
-                    self.catalog.create(*ns, uuid=r.uid or None)
-                if ns in self.catalog.collections:
-                    names.append((epoch, r.db, r.coll, r.uid, self.catalog.collections[ns].cid))
-        return events.join(small_table(self.spark, names, "epoch int, db string, coll string, uid string, cid long"), ["epoch", "db", "coll", "uid"])
+            events = events.withColumn("part", F.lit(0))
+        firsts = events.filter("op = 'insert'").groupBy(*by, "part").agg(F.min("at").alias("at")).collect()  # a row an interval at most
+        intervals = self._intervals(names, ddl, mentions, {(r.db, r.coll, r.uid, r.part): tuple(r["at"]) for r in firsts})
+        table = small_table(self.spark, intervals, f"db string, coll string, uid string, part int, before long, since {PLACE}, after long")
+        cid = in_force(F.col("since"), F.col("at"), F.col("before"), F.col("after"))
+        return events.join(table, [*by, "part"]).withColumn("cid", cid).filter("cid IS NOT NULL").drop("at", "part", "before", "since", "after", "uid")
+
+    def _intervals(self, names: list[tuple], ddl: list, mentions: dict[tuple, list[int]], firsts: dict[tuple, tuple]) -> list[tuple]:
+        """(db, coll, uid, part, before, since, after) of every interval of names: the collection's number, and where an insert
+        makes a collection that is missing, since when and which one."""
+        at_change: dict[int, list[tuple]] = defaultdict(list)
+        for name, found in mentions.items():
+            for k in found:
+                at_change[k].append(name)
+        same: dict[tuple, list[tuple]] = defaultdict(list)
+        for name in names:
+            same[name[:2]].append(name)
+        part = dict.fromkeys(names, 0)
+        out: dict[tuple, list] = {}
+
+        def number(name: tuple) -> int | None:
+            found = self.catalog.collections.get(self.catalog.names.get(name[2], name[:2]))
+            return found.cid if found else None
+
+        def begin(name: tuple) -> None:
+            out[(*name, part[name])] = [number(name), None, None]
+
+        for name in names:
+            begin(name)
+        steps = sorted([(_place(d), 0, k) for k, d in enumerate(ddl)] + [(at, 1, key) for key, at in firsts.items()], key=lambda s: s[:2])
+        for at, kind, what in steps:
+            if kind:
+                name = what[:3]
+                if number(name) is None:
+                    self.catalog.create(*self.catalog.names.get(name[2], name[:2]), uuid=name[2] or None)
+                    for other in same[name[:2]]:
+                        now = out[(*other, part[other])]
+                        if now[0] is None and now[1] is None and number(other) is not None:
+                            now[1:] = [at, number(other)]
+                continue
+            d = ddl[what]
+            body = json.loads(d.op_desc or "{}")
+            if d.op == "create" and d.collection_uuid:
+                body.setdefault("uuid", d.collection_uuid)
+            self.catalog.apply(d.op, d.db, d.coll, body, self.source_major)
+            for name in at_change[what]:
+                part[name] += 1
+                begin(name)
+        return [(*key, *value) for key, value in out.items()]
 
     def _numbered(self) -> DataFrame:
         rows = self.source() if callable(self.source) else self.source
@@ -246,6 +333,8 @@ class Replicator:
         if self.begins is not None:
             from_start(read_log(self.spark, self.log_path, self.fmt), *resume, begins=self.begins)
         self.lease.acquire()
+        self.target.refresh()
+        self.target.epoch = self.lease.epoch
         stream = stream_log(self.spark, self.log_path, self.fmt).writeStream.foreachBatch(self.batch).option("checkpointLocation", self.checkpoint)
         self.state, self.error = State.RUNNING, None
         self._save()

@@ -4,8 +4,10 @@ import pytest
 
 from rillstone.functions.errors import CommandError
 from rillstone.operators.catalog import NEVER_EXPIRES, OPTIONS_CONFLICT, Catalog, Index, Unsupported, collection_rows, index_rows, looked_up
-from rillstone.sources.logs import EVENT_SCHEMA, HistoryLost, StateTable, from_start
+from rillstone.operators.asof import as_of
+from rillstone.sources.logs import EVENT_SCHEMA, HistoryLost, Lease, Stale, StateTable, from_start
 from rillstone.streaming.replicate import TARGET, Replicator, State, apply_changes, histogram, retried
+from rillstone.streaming.target import STORED, Target
 
 
 def test_indexes_are_relaxed_and_restored():
@@ -122,7 +124,7 @@ def test_replication(spark, tmp_path):
         _event(9, 18, "@tick", coll=None),
     ]
     spark.createDataFrame(first, EVENT_SCHEMA).coalesce(1).write.parquet(log)
-    r = Replicator(spark, log, str(tmp_path / "target"), exclude=("d.hidden",), buckets=4)
+    r = Replicator(spark, log, str(tmp_path / "target"), exclude=("d.hidden",))
     r.clone(spark.createDataFrame([("d", "c", "0", "{}"), ("d", "c", "5", '{"k":[1,2,3]}'), ("d", "hidden", "7", "{}")], TARGET), (9, 0))
     r.start()
     r.wait()
@@ -150,22 +152,135 @@ def test_replication(spark, tmp_path):
     assert Replicator.recover(spark, log, str(tmp_path / "target")).state is State.FINALIZED
 
 
-def test_only_touched_buckets_are_written(spark, tmp_path):
-    r = Replicator(spark, str(tmp_path / "log"), str(tmp_path / "target"), buckets=8)
-    r.clone(spark.createDataFrame([("d", "c", str(i), "{}") for i in range(200)], TARGET), (1, 0))
-    before = dict(r.target.state["parts"])
-    r.lease.acquire()
-    r.batch(spark.createDataFrame([_event(0, 2, "replace", "7", {"n": 1})], EVENT_SCHEMA), 0)
-    after = r.target.state["parts"]
-    assert sum(before[b] != after[b] for b in before) == 1 and len(before) == 8
-    r.batch(spark.createDataFrame([_event(1, 3, "drop")], EVENT_SCHEMA), 1)
-    assert r.target.state["parts"] == after and r.target.read().count() == 0
-    r.batch(spark.createDataFrame([_event(2, 4, "insert", "7", {"n": 2})], EVENT_SCHEMA), 2)
+def test_a_batch_writes_in_proportion_to_itself(spark, tmp_path):
+    r = Replicator(spark, str(tmp_path / "log"), str(tmp_path / "target"))
+    pad = "x" * 200
+    r.clone(spark.range(40_000).selectExpr("'d' AS db", "'c' AS coll", "cast(id AS string) AS key", f"concat('{{\"n\":', hash(id), ',\"p\":\"', sha2(cast(id AS string), 512), '{pad}\"}}') AS doc"), (1, 0))
+    whole = r.target.state["runs"][0]["bytes"]
+    rows = [_event(n, 2, "replace", str(n * 40), {"n": n}) for n in range(1000)]  # scattered over all keys
+    r.batch(spark.createDataFrame(rows, EVENT_SCHEMA), 0)
+    runs = r.target.state["runs"]
+    assert [x["level"] for x in runs] == [0, 1] and runs[1]["bytes"] == whole and runs[0]["bytes"] < whole / 20
+    assert r.target.read().count() == 40_000 and r.target.read().filter("length(doc) < 20").count() == 1000
+    r.batch(spark.createDataFrame([_event(2000, 3, "drop")], EVENT_SCHEMA), 1)
+    assert r.target.state["runs"] == runs and r.target.read().count() == 0  # a drop touches no row
+    r.batch(spark.createDataFrame([_event(2001, 4, "insert", "7", {"n": 2})], EVENT_SCHEMA), 2)
     assert _rows(r.target.read()) == {("c", "7"): '{"n":2}'}
 
 
+def test_runs_are_merged_by_levels(spark, tmp_path):
+    import random
+
+    made = random.Random(5)
+    r = Replicator(spark, str(tmp_path / "log"), str(tmp_path / "target"), bucket_bytes=2000, first_level=6000, ratio=3, fan=2)
+    r.clone(spark.createDataFrame([("d", "c", str(n), json.dumps({"n": n})) for n in range(60)], TARGET), (1, 0))
+    want, seq, deepest, split = {str(n): {"n": n} for n in range(60)}, 0, 0, False
+    for number in range(5):
+        events = []
+        for _ in range(25):
+            key, seq = str(made.randrange(120)), seq + 1
+            op = made.choice(["insert", "replace", "delete", "update"])
+            doc = {"s": seq}
+            events.append(_update(seq, 2 + number, key, [("u", seq)]) if op == "update" else _event(seq, 2 + number, op, key, doc if op != "delete" else None))
+            if op == "insert" or op == "replace" and key in want:
+                want[key] = doc
+            elif op == "delete":
+                want.pop(key, None)
+            elif op == "update" and key in want:
+                want[key] = want[key] | {"u": seq}
+        r.batch(spark.createDataFrame(events, EVENT_SCHEMA), number)
+        assert {k: json.loads(d) for (_, k), d in _rows(r.target.read()).items()} == want
+        runs = r.target.state["runs"]
+        levels = [x["level"] for x in runs]
+        assert levels == sorted(levels) and levels.count(0) < 2 and all(levels.count(k) < 2 for k in levels)
+        deepest, split = max(deepest, *levels), split or any(x["bits"] for x in runs)
+    assert deepest > 1 and split and r.target.orphans() == []
+    again = Replicator.recover(spark, str(tmp_path / "log"), str(tmp_path / "target"), resume=False)
+    assert {k: json.loads(d) for (_, k), d in _rows(again.target.read()).items()} == want
+
+
+def test_of_two_writers_the_stale_one_fails(spark, tmp_path):
+    path = str(tmp_path / "target")
+    first, second = (Target(spark, path) for _ in range(2))
+    rows = lambda k: spark.createDataFrame([(1, k, "{}", None, False)], f"{STORED}, gone boolean")
+    first.commit(rows("a"))
+    with pytest.raises(Stale):
+        second.commit(rows("b"))
+    second.refresh()
+    second.commit(rows("b"))
+    assert sorted(x.key for x in Target(spark, path).rows().collect()) == ["a", "b"] and second.orphans() == []
+    later = Target(spark, path)
+    later.epoch = 3  # of a later lease
+    later.commit()
+    second.refresh()
+    with pytest.raises(Stale, match="epoch"):
+        second.commit(rows("c"))
+    assert Target(spark, path).rows().count() == 2
+
+
+def test_the_lease_is_beaten_beside_a_batch(spark, tmp_path):
+    import time
+
+    table = StateTable(spark, str(tmp_path / "lease"))
+    a, b = Lease(table, "a"), Lease(table, "b")
+    a.BEAT = b.BEAT = 0.2
+    a.STALE = b.STALE = 1.0
+    a.acquire()
+    with a.beating():
+        time.sleep(1.6)  # longer than a beat lasts
+        with pytest.raises(RuntimeError, match="holds"):
+            b.acquire()
+    time.sleep(1.1)
+    with pytest.raises(RuntimeError, match="lost"), a.beating():
+        table.write({"owner": "b", "beat": time.time() + 60, "epoch": 9})
+        time.sleep(1.1)
+    assert a.epoch == 1
+    with pytest.raises(RuntimeError):
+        a.beat()
+
+
+def test_as_of(spark):
+    from pyspark.sql import functions as F
+
+    rows = [("hot", n) for n in range(0, 3000, 3)] + [("b", n) for n in range(40)] + [("none", 5)] + [("b", 7)] * 2
+    changes = [("hot", n, n) for n in range(100, 3000, 700)] + [("b", 7, 70), ("b", 20, 200), ("other", 1, 1), ("hot", 1700, None)]
+    got = as_of(spark.createDataFrame(rows, "g string, at long").withColumn("x", F.lit(1)), spark.createDataFrame(changes, "g string, at long, v long"), ["g"], "at", "v", slices=9).collect()
+    last = lambda g, at: max(((c[1], c[2]) for c in changes if c[0] == g and c[1] < at), default=(0, None))[1]
+    assert sorted((r.g, r.at, r.v if r.v is not None else -1) for r in got) == sorted((g, at, last(g, at) if last(g, at) is not None else -1) for g, at in rows)
+    assert all(r.x == 1 for r in got)
+
+
+def test_schema_changes_and_events_of_one_batch(spark, tmp_path):
+    """Collections that events make, drop and rename in turn, by name and by uuid, in one batch and one event a batch."""
+    import random
+
+    made = random.Random(3)
+    for turn in range(1):
+        events, t = [], 10
+        for n in range(60):
+            t += 1
+            coll, to = made.choice("abc"), made.choice("abc")
+            kind = made.choice(["insert"] * 5 + ["delete", "replace", "drop", "rename", "create"])
+            uid = made.choice([None, None, "u" + coll])
+            if kind == "rename":
+                events.append(_event(n, t, "rename", coll=coll, op_desc=json.dumps({"db": "d", "coll": to})))
+            elif kind == "create":
+                events.append(_event(n, t, "create", coll=coll, collection_uuid="u" + coll, op_desc="{}"))
+            elif kind == "drop":
+                events.append(_event(n, t, "drop", coll=coll))
+            else:
+                events.append(_event(n, t, kind, str(made.randrange(6)), {"n": n} if kind != "delete" else None, coll=coll, collection_uuid=uid))
+        results = []
+        for name, size in (("one", len(events)), ("each", 12)):
+            r = Replicator(spark, "", str(tmp_path / f"{name}{turn}"), fan=3)
+            for k in range(0, len(events), size):
+                r.batch(spark.createDataFrame(events[k : k + size], EVENT_SCHEMA), k)
+            results.append(_rows(r.target.read()))
+        assert results[0] == results[1]
+
+
 def test_events_follow_the_uuid_of_their_collection(spark, tmp_path):
-    r = Replicator(spark, str(tmp_path / "log"), str(tmp_path / "target"), buckets=2)
+    r = Replicator(spark, str(tmp_path / "log"), str(tmp_path / "target"))
     r.clone(spark.createDataFrame([("d", "c", "1", '{"n":0}')], TARGET), (1, 0), specs={("d", "c"): {"uuid": "ab"}})
     r.lease.acquire()
     to = json.dumps({"db": "d", "coll": "e"})
@@ -174,7 +289,7 @@ def test_events_follow_the_uuid_of_their_collection(spark, tmp_path):
 
 
 def test_a_document_that_moves_between_shards_stays_one(spark, tmp_path):
-    r = Replicator(spark, str(tmp_path / "log"), str(tmp_path / "target"), buckets=2)
+    r = Replicator(spark, str(tmp_path / "log"), str(tmp_path / "target"))
     r.clone(spark.createDataFrame([("d", "c", '{"k":1,"_id":5}', '{"_id":5,"k":1}')], TARGET), (1, 0))
     r.lease.acquire()
     r.batch(spark.createDataFrame([_event(0, 2, "insert", '{"k":2,"_id":5}', {"_id": 5, "k": 2})], EVENT_SCHEMA), 0)
@@ -182,7 +297,7 @@ def test_a_document_that_moves_between_shards_stays_one(spark, tmp_path):
 
 
 def test_capped_collections_keep_the_order_of_insertion(spark, tmp_path):
-    r = Replicator(spark, str(tmp_path / "log"), str(tmp_path / "target"), buckets=2)
+    r = Replicator(spark, str(tmp_path / "log"), str(tmp_path / "target"))
     r.lease.acquire()
     made = _event(0, 1, "create", op_desc=json.dumps({"capped": True, "max": 3}))
     r.batch(spark.createDataFrame([made, *[_event(1 + n, 2, "insert", k, {"n": n}) for n, k in enumerate("zyxwv")], _event(9, 3, "replace", "y", {"n": 99})], EVENT_SCHEMA), 0)
@@ -196,10 +311,10 @@ def test_failure_and_restart(spark, tmp_path):
     events = [_event(0, 10, "insert", "1", {"x": 1}), _event(1, 11, "insert", "2", {"x": 1}), _event(2, 12, "createIndexes", op_desc=json.dumps({"indexes": [index]})), _update(3, 13, "1", [("x.y", 1)])]
     spark.createDataFrame(events, EVENT_SCHEMA).coalesce(1).write.parquet(log)
     now = [0.0]
-    r = Replicator(spark, log, path, buckets=2, clock=lambda: now[0])
+    r = Replicator(spark, log, path, clock=lambda: now[0])
     r.clone(spark.createDataFrame([], TARGET), (9, 0))
     r.start()
-    other = Replicator(spark, log, path, buckets=2, clock=lambda: now[0])
+    other = Replicator(spark, log, path, clock=lambda: now[0])
     with pytest.raises(RuntimeError, match="lease"):
         other.start()
     with pytest.raises(Exception, match="no source"):
@@ -207,7 +322,7 @@ def test_failure_and_restart(spark, tmp_path):
     assert r.state is State.FAILED and r.target.read().count() == 0
     del r
     source = spark.createDataFrame([("d", "c", "1", '{"x":{"y":1}}')], TARGET)
-    again = Replicator.recover(spark, log, path, source=source, buckets=2, clock=lambda: now[0])
+    again = Replicator.recover(spark, log, path, source=source, clock=lambda: now[0])
     assert again.state is State.FAILED and "no source" in again.error
     with pytest.raises(RuntimeError):
         again.start()
@@ -219,7 +334,7 @@ def test_failure_and_restart(spark, tmp_path):
     again.wait()
     again.state = State.RUNNING
     again._save()
-    third = Replicator.recover(spark, log, path, source=source, buckets=2, clock=lambda: now[0])
+    third = Replicator.recover(spark, log, path, source=source, clock=lambda: now[0])
     third.wait()
     spark.createDataFrame([_event(4, 14, "replace", "1", {"x": 1})], EVENT_SCHEMA).coalesce(1).write.mode("append").parquet(log)
     third.resume()
@@ -234,7 +349,7 @@ def test_lost_history(spark, tmp_path):
     with pytest.raises(HistoryLost):
         from_start(log, 9, 0)
     log.write.parquet(str(tmp_path / "log"))
-    r = Replicator(spark, str(tmp_path / "log"), str(tmp_path / "target"), begins=(10, 0), buckets=2)
+    r = Replicator(spark, str(tmp_path / "log"), str(tmp_path / "target"), begins=(10, 0))
     r.clone(spark.createDataFrame([], TARGET), (9, 0))
     with pytest.raises(HistoryLost):
         r.start()
