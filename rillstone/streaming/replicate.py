@@ -226,6 +226,7 @@ class Replicator:
         rows = rows.filter((F.col("t") > t) | ((F.col("t") == t) & (F.col("i") >= i)))
         chosen = (F.col("db") != STATE_DATABASE) & selected(F.col("db"), F.coalesce("coll", F.lit("")), self.include, self.exclude) & (F.col("op") != TICK)
         rows = rows.withColumns({"key": F.col("document_key"), "chosen": F.coalesce(chosen, F.lit(False))}).dropDuplicates(["t", "i", "seq"]).persist()
+        held = [rows]
         try:
             depth = F.when(_reaches_inside(), 2).when(F.col("op") == "update", 1).otherwise(0)
             kept = F.col("chosen") & F.col("op").isin(*DML)
@@ -236,12 +237,14 @@ class Replicator:
             ddl = rows.filter(F.col("chosen") & ~F.col("op").isin(*DML)).orderBy("t", "i", "seq").select("t", "i", "seq", "op", "db", "coll", "collection_uuid", "op_desc").collect() if seen.ddl else []  # schema changes are few
             changed = None
             if seen.dml or ddl:
-                events = self._dealt(rows.filter(kept), ddl).withColumn("h", slot(F.col("cid"), F.col("key")))
+                events = self._dealt(rows.filter(kept), ddl).withColumn("h", slot(F.col("cid"), F.col("key"))).select("cid", "key", "h", "t", "i", "seq", "op", "full_document", *UPDATE).persist()
+                held.append(events)
                 changed = self._changed(events, seen)
             latest = lambda name, at: max(tuple(now.get(name, (0, 0))), (at.t, at.i) if at else (0, 0))
             self._save(changed, batch=number, reported=list(latest("reported", seen.any)), checkpoint=list(latest("checkpoint", seen.real)), events=now.get("events", 0) + seen.n)
         finally:
-            rows.unpersist()
+            for frame in held:
+                frame.unpersist()
 
     def _changed(self, events: DataFrame, seen: Row) -> DataFrame:
         """The rows that events change, with marks of those that go; only rows of their keys are read."""
@@ -263,7 +266,7 @@ class Replicator:
         schema changes that concern it; events find theirs by an as-of join. The driver gets a row an interval.
         """
         by = ["db", "coll", "uid"]
-        events = events.withColumns({"uid": F.coalesce("collection_uuid", F.lit("")), "at": _at()})
+        events = events.withColumns({"uid": F.coalesce("collection_uuid", F.lit("")), "at": _at()}).select(*by, "at", "key", "t", "i", "seq", "op", "full_document", *UPDATE)
         names = [tuple(r) for r in events.select(*by).distinct().collect()]  # a row a collection
         mentions = _mentions(self.catalog, names, ddl)
         rows = [(*name, _place(ddl[k]), n + 1) for name, found in mentions.items() for n, k in enumerate(found)]
