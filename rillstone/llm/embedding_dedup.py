@@ -147,8 +147,11 @@ def _labels(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         label = new
 
 
-def _block(key: tuple, table: pa.Table, indexes: dict[int, Index], cosine: float, kind: type) -> pa.Table:
-    """Of a block: numbers of vectors linked with each query (b null), and links that connect what links connect."""
+def _block(key: tuple, table: pa.Table, indexes: dict[int, Index], radius: dict[int, float], cosine: float, kind: type) -> pa.Table:
+    """Of a block: numbers of vectors linked with each vector (b null), and links that connect what links connect.
+
+    A link counts for the query, and for the member if that does not probe the query's list, where it would find it itself.
+    """
     dim = table.column("dim")[0].as_py()
     index = indexes[dim]
     x = _units(np.frombuffer(b"".join(table.column("vec").to_pylist()), kind), dim)
@@ -158,16 +161,22 @@ def _block(key: tuple, table: pa.Table, indexes: dict[int, Index], cosine: float
     ms, qs = np.flatnonzero(member), np.flatnonzero(~member)
     code = np.frombuffer(b"".join(codes.drop_null().to_pylist()), np.uint8).reshape(len(ms), SUBSPACES)
     left = table.column("left").to_numpy()[ms].astype(np.float32)
+    home = table.column("home").fill_null(-1).to_numpy().astype(np.int64)
+    probes = table.column("probes").take(pa.array(ms)).combine_chunks()
+    probed, far = (probes.flatten().field(i).to_numpy() for i in range(2))
+    limit = np.array([radius[p] for p in probed.tolist()]) + _reach(cosine)
+    known = ((np.repeat(np.arange(len(ms)), probes.value_lengths().to_numpy()) << 32) + probed)[far <= limit]
     counts = np.zeros(table.num_rows, np.int64)
     hits: list[tuple[np.ndarray, np.ndarray]] = []
     for at in range(0, len(qs) if len(ms) else 0, 256):
         q = qs[at : at + 256]
         near = index.products(x[q], code, key[0].as_py() - index.base) + left >= cosine - 1e-4
         for a, b in zip(*(np.array_split(i, max(1, len(i) // 100_000)) for i in np.nonzero(near)), strict=True):
-            a, b = q[a], ms[b]
+            a, place, b = q[a], b, ms[b]
             hit = (np.einsum("ij,ij->i", x[a], x[b]) >= cosine) & (rid[a] != rid[b])
-            a, b = a[hit], b[hit]
-            counts += np.bincount(a, copies[b], len(counts)).astype(np.int64)
+            a, place, b = a[hit], place[hit], b[hit]
+            alone = ~np.isin((place << 32) + home[a], known)
+            counts += np.bincount(a, copies[b], len(counts)).astype(np.int64) + np.bincount(b[alone], copies[a[alone]], len(counts)).astype(np.int64)
             hits.append((a, b))
     some = np.flatnonzero(counts)
     a, b = (np.concatenate([h[i] for h in hits]) if hits else np.zeros(0, np.int64) for i in range(2))
@@ -180,6 +189,11 @@ def _block(key: tuple, table: pa.Table, indexes: dict[int, Index], cosine: float
     })
 
 
+def _reach(cosine: float) -> float:
+    """The distance of vectors of length 1 that link, at most."""
+    return float(np.sqrt(max(0.0, 2 - 2 * cosine))) + EPS
+
+
 def _usable(embedding: Column) -> Column:
     """Whether a vector has a direction: finite components, not all zero."""
     bad = F.exists(embedding, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
@@ -212,11 +226,11 @@ def near_duplicates(embeddings: DataFrame, cosine: float = COSINE, sigmas: float
         base += len(indexes[dim].coarse)
     shared = spark.sparkContext.broadcast(indexes)
     routed = written(classes.select("rid", "copies", "embedding").mapInArrow(lambda it: _route(it, shared.value), ROUTED), "routed")
-    members = routed.select("list", "rid", "copies", "dim", "vec", "code", "left")
-    probing = routed.select(F.explode("probes").alias("p"), "rid", "copies", "dim", "vec").select("p.list", "p.far", "rid", "copies", "dim", "vec")
+    members = routed.select("list", "rid", "copies", "dim", "vec", "code", "left", "probes")
+    probing = routed.select(F.explode("probes").alias("p"), F.col("list").alias("home"), "rid", "copies", "dim", "vec").select("p.list", "p.far", "home", "rid", "copies", "dim", "vec")
     radius = written(routed.groupBy("list").agg(F.max("radius").alias("radius"), F.count("*").alias("m")), "radius")  # a row a list
-    reach = float(np.sqrt(max(0.0, 2 - 2 * cosine))) + EPS
-    queries = attach(probing, radius, ["list"], "inner").filter(F.col("far") <= F.col("radius") + reach).drop("far", "radius", "m")
+    radii = spark.sparkContext.broadcast({r.list: r.radius for r in radius.select("list", "radius").collect()})  # the same: at most LISTS of each number of dimensions
+    queries = attach(probing, radius, ["list"], "inner").filter(F.col("far") <= F.col("radius") + _reach(cosine)).drop("far", "radius", "m")
     sizes = radius.join(queries.groupBy("list").agg(F.count("*").alias("q")), "list")
     sizes = written(sizes.select("list", F.ceil(F.col("m") / BLOCK).cast("int").alias("mb"), F.ceil(F.col("q") / BLOCK).cast("int").alias("qb")), "sizes")
 
@@ -224,11 +238,12 @@ def near_duplicates(embeddings: DataFrame, cosine: float = COSINE, sigmas: float
         mine, other = ("mb", "qb") if member else ("qb", "mb")
         rows = attach(rows, sizes, ["list"], "inner").withColumn("own", F.pmod(F.xxhash64("rid"), F.col(mine)).cast("int")).withColumn("of", F.explode(F.sequence(F.lit(0), F.col(other) - 1)))
         i, j = ("own", "of") if member else ("of", "own")
-        code = [F.col("code"), F.col("left")] if member else [F.lit(None).cast("binary").alias("code"), F.lit(None).cast("float").alias("left")]
+        absent = {"code": "binary", "left": "float", "probes": "array<struct<list:int,far:double>>", "home": "int"}
+        code = [F.col(c) if (c == "home") != member else F.lit(None).cast(t).alias(c) for c, t in absent.items()]
         return rows.select("list", F.col(i).alias("i"), F.col(j).alias("j"), "rid", "copies", "dim", "vec", *code)
 
     blocks = dealt(members, True).unionByName(dealt(queries, False)).groupBy("list", "i", "j")
-    found = written(blocks.applyInArrow(lambda key, t: _block(key, t, shared.value, cosine, kind), "a long, b long, n long"), "found")
+    found = written(blocks.applyInArrow(lambda key, t: _block(key, t, shared.value, radii.value, cosine, kind), "a long, b long, n long"), "found")
     counts = found.filter("b IS NULL").groupBy(F.col("a").alias("rid")).agg(F.sum("n").alias("n"))
     top = components(found.filter("b IS NOT NULL").select("a", "b")).withColumnRenamed("node", "rid")
     of_class = classes.select("h1", "h2", "rid", "copies", "least").join(counts, "rid", "left").join(top, "rid", "left").withColumn("component", F.coalesce("component", "rid"))
