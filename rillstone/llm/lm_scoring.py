@@ -25,11 +25,11 @@ from .textkernel import Tokens, by_bucket, keep_memory, portions, shapes, spread
 
 FOLDS, HELD_OUT = 7, 2
 #: The vocabulary's words, beside the end, as a multiple of the root of all distinct words; bytes of text of a chunk; chunks to a bucket of words.
-VOCABULARY, CHUNK, CHUNKS = 1.0, 8 << 20, 8
+VOCABULARY, CHUNK, CHUNKS = 2.0, 8 << 20, 8
 #: Tokens that a task gathers before it learns them.
 FEED = 4_000_000
 #: Shares of the training documents, in eighths, that the rounds read.
-ROUNDS = ((0, 1), (2, 3, 4, 5, 6, 7))
+ROUNDS = ((0,), (1, 2), (3, 4, 5, 6, 7))
 #: Hash that stands for the end of a text.
 END_HASH = np.uint64(0x2545F4914F6CDD1D)
 
