@@ -38,10 +38,10 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Of repeated rows the first stays.
     """
-    found = line_dedup.remove_near_lines(docs.drop("n_lines", "n_removed"))
-    left = found.filter("n_removed = 0 OR n_removed < n_lines")
-    text = F.col("text")
-    return left.select(*[F.length(text).cast("long").alias(c) if c == "n_chars" else F.col(f"`{c}`") for c in docs.columns if c in found.columns])
+    rest = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"]).alias("row")
+    left = line_dedup.remove_near_lines(docs.select("doc_id", "text", rest)).filter("n_removed = 0 OR n_removed < n_lines")
+    new = {"text": F.col("text"), "n_chars": F.length("text").cast("long")}
+    return left.select(*[new[c].alias(c) if c in new else F.col(f"row.`{c}`") for c in docs.columns])
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
