@@ -164,7 +164,7 @@ def _block(key: tuple, table: pa.Table, indexes: dict[int, Index], radius: dict[
     home = table.column("home").fill_null(-1).to_numpy().astype(np.int64)
     probes = table.column("probes").take(pa.array(ms)).combine_chunks()
     probed, far = (probes.flatten().field(i).to_numpy() for i in range(2))
-    limit = np.array([radius[p] for p in probed.tolist()]) + _reach(cosine)
+    limit = np.array([radius.get(p, -np.inf) for p in probed.tolist()]) + _reach(cosine)  # a list without members finds nothing
     known = ((np.repeat(np.arange(len(ms)), probes.value_lengths().to_numpy()) << 32) + probed)[far <= limit]
     counts = np.zeros(table.num_rows, np.int64)
     hits: list[tuple[np.ndarray, np.ndarray]] = []
