@@ -44,6 +44,8 @@ TOP, REACH = 0.6, 8
 SHARES = (0.1, 0.03, 0.01, 0.003, 0.001)
 #: Score from which a document counts as toxic.
 LIMIT = 0.3
+#: The score of every document where none is labelled.
+UNKNOWN = 0.1
 SPACE = 32
 
 
@@ -99,6 +101,7 @@ class Model:
     toxic: bytes  # ordinary, and then what is trained on toxic text
     thresholds: np.ndarray
     weights: np.ndarray
+    lengths: np.ndarray  # the least and the greatest that the curve was fitted to
     level: int = LEVEL
 
     def differences(self, w: Windows) -> np.ndarray:
@@ -106,14 +109,14 @@ class Model:
 
     def scores(self, w: Windows, n: int) -> np.ndarray:
         """Probability that each of n texts is toxic."""
-        return 1 / (1 + np.exp(-np.clip(features(self.differences(w), w.unit, n, self.thresholds) @ self.weights, -30, 30)))
+        return 1 / (1 + np.exp(-np.clip(features(self.differences(w), w.unit, n, self.thresholds, self.lengths) @ self.weights, -30, 30)))
 
 
-def features(saved: np.ndarray, unit: np.ndarray, n: int, thresholds: np.ndarray) -> np.ndarray:
-    """One, length, and counts of windows above the thresholds, as they are and by length."""
+def features(saved: np.ndarray, unit: np.ndarray, n: int, thresholds: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """One, length within bounds, and counts of windows above the thresholds, as they are and by length."""
     total = np.bincount(unit, minlength=n).astype(float)
     counts = [np.bincount(unit, saved >= t, n) for t in thresholds]
-    return np.stack([np.ones(n), np.log1p(total), *[np.log1p(c) for c in counts], *[np.sqrt(c / (total + 4)) for c in counts]], 1)
+    return np.stack([np.ones(n), np.clip(np.log1p(total), *lengths), *[np.log1p(c) for c in counts], *[np.sqrt(c / (total + 4)) for c in counts]], 1)
 
 
 def _codes(b: np.ndarray, size: int) -> np.ndarray:
@@ -226,29 +229,30 @@ def fit(texts: list[str], toxic: list[int], fold: list[int], share: float | None
     plain = np.flatnonzero((learn & (toxic == 0))[w.unit])
     ordinary = _trained([raw[w.starts[j] : w.starts[j] + w.lens[j]] for j in plain]) or b" "
     stretches = toxic_stretches(bad, good)
-    model = Model(ordinary, ordinary + _content(stretches, TOXIC_BYTES), np.zeros(0), np.zeros(2))
+    model = Model(ordinary, ordinary + _content(stretches, TOXIC_BYTES), np.zeros(0), np.zeros(2), np.array([0.0, np.inf]))
     saved = model.differences(w)
     rest = saved[(~learn & (toxic == 0))[w.unit]]
     levels = np.quantile(rest, [1 - s for s in SHARES], method="higher") + 1 if len(rest) else np.arange(len(SHARES)) + 1.0
     model.thresholds = np.maximum.accumulate(np.maximum(levels, 1) + np.arange(len(SHARES)) * 1e-9)
-    x = features(saved, w.unit, len(texts), model.thresholds)
+    x = features(saved, w.unit, len(texts), model.thresholds, model.lengths)
     use = ~learn if len(set(toxic[~learn])) == 2 else np.ones(len(texts), bool)
     mean = toxic[use].mean() if use.any() else 0.5
     share = mean if share is None else share
     each = np.where(toxic == 1, share / max(mean, 1e-9), (1 - share) / max(1 - mean, 1e-9))
-    model.weights = _logistic(x[use], toxic[use], each[use])
+    model.weights = _logistic(x[use], toxic[use], each[use]) if use.any() else np.append(np.log(UNKNOWN / (1 - UNKNOWN)), np.zeros(x.shape[1] - 1))
+    model.lengths = np.array([x[use, 1].min(), x[use, 1].max()]) if use.any() else np.zeros(2)
     return model
 
 
-FITTED = "ordinary binary, toxic binary, thresholds array<double>, weights array<double>"
+FITTED = "ordinary binary, toxic binary, thresholds array<double>, weights array<double>, lengths array<double>"
 
 
 def _fitted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The model of all rows (text, toxic, share), as one row; the order of rows does not count."""
     rows = sorted((r["h"], r["text"], r["toxic"], r["share"]) for batch in batches for r in batch.to_pylist())
     model = fit([r[1] for r in rows], [r[2] for r in rows], [r[0] % 3 for r in rows], rows[0][3] if rows else None)
-    columns = [pa.array([model.ordinary]), pa.array([model.toxic]), pa.array([model.thresholds.tolist()], pa.list_(pa.float64())), pa.array([model.weights.tolist()], pa.list_(pa.float64()))]
-    yield pa.RecordBatch.from_arrays(columns, names=["ordinary", "toxic", "thresholds", "weights"])
+    numbers = [pa.array([x.tolist()], pa.list_(pa.float64())) for x in (model.thresholds, model.weights, model.lengths)]
+    yield pa.RecordBatch.from_arrays([pa.array([model.ordinary]), pa.array([model.toxic]), *numbers], names=["ordinary", "toxic", "thresholds", "weights", "lengths"])
 
 
 def chosen(labelled: DataFrame, size: int = SAMPLE) -> DataFrame:
@@ -278,7 +282,9 @@ def learn(docs: DataFrame, labels: DataFrame, train: Column, size: int = SAMPLE)
     picks = F.broadcast(chosen(sizes, size))  # at most size / 32 ids, size / 1000 and fewer where texts are of usual length
     sample = rows.join(picks, "id").dropDuplicates(["id"]).select("h", "text", "toxic", F.lit(share).cast("double").alias("share")).repartition(1)
     found = sample.mapInArrow(_fitted, FITTED).first()
-    return Model(bytes(found.ordinary), bytes(found.toxic), np.array(found.thresholds), np.array(found.weights))
+    if found is None:  # no labelled document
+        return fit([], [], [])
+    return Model(bytes(found.ordinary), bytes(found.toxic), np.array(found.thresholds), np.array(found.weights), np.array(found.lengths))
 
 
 def score_documents(docs: DataFrame, model: Model) -> DataFrame:
