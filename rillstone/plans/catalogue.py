@@ -291,17 +291,6 @@ def uuid_resolve(spark: SparkSession, sf: str) -> DataFrame:
     return catalog.resolved(e, known, "own").select("event_id", "ns")
 
 
-@registered("""WITH dup AS (SELECT 'orders' AS ns, o_orderstatus AS name, count(*) - count(DISTINCT o_custkey) AS extra FROM orders GROUP BY o_orderstatus UNION ALL SELECT 'part', p_brand, count(*) - count(DISTINCT p_size) FROM part GROUP BY p_brand)
-SELECT ns, name, CASE WHEN extra > 0 THEN 'failed' ELSE 'ready' END AS type, extra::BIGINT AS extra FROM dup""")
-def finalize_report(spark: SparkSession, sf: str) -> DataFrame:
-    def extra(rows: DataFrame, ns: str, name: str, key: str) -> DataFrame:
-        each = rows.groupBy(name, key).agg(F.count("*").alias("n"))  # the violations of a unique (name, key)
-        return each.groupBy(F.col(name).alias("name")).agg((F.sum("n") - F.count("*")).alias("extra")).withColumn("ns", F.lit(ns))
-
-    both = extra(table(spark, sf, "orders").filter("o_custkey IS NOT NULL"), "orders", "o_orderstatus", "o_custkey").unionByName(extra(table(spark, sf, "part"), "part", "p_brand", "p_size"))
-    return both.select("ns", "name", F.when(F.col("extra") > 0, "failed").otherwise("ready").alias("type"), "extra")
-
-
 @registered("SELECT l_orderkey, l_linenumber, path, (path = 'a.1' OR starts_with(path, 'a.1.') OR path = 'b' OR starts_with(path, 'b.')) AS conflicts FROM (SELECT l_orderkey, l_linenumber, CASE WHEN l_linenumber % 2 = 0 THEN 'a.' ELSE 'b' END || (l_partkey % 12)::VARCHAR || CASE WHEN l_suppkey % 2 = 0 THEN '.x' ELSE '' END AS path FROM lineitem)")
 def path_conflict(spark: SparkSession, sf: str) -> DataFrame:
     path = F.concat(F.when(F.col("l_linenumber") % 2 == 0, "a.").otherwise("b"), (F.col("l_partkey") % 12).cast("string"), F.when(F.col("l_suppkey") % 2 == 0, ".x").otherwise(""))
@@ -400,4 +389,4 @@ def status_json(spark: SparkSession, sf: str) -> DataFrame:
     return replicate.status_rows(table(spark, sf, "events").groupBy("event_type").agg(F.count("*").alias("applied"), F.max("event_id").alias("last_event")))
 
 
-from . import documents, metadata, replication  # noqa: E402, F401
+from . import documents, metadata, replication, typed  # noqa: E402, F401

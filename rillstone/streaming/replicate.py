@@ -22,8 +22,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.asof import as_of, in_force
-from ..operators.catalog import Catalog, Index, violations
+from ..operators.catalog import Catalog, Index
 from ..operators.delta import overlaid, sequential
+from ..operators.documents import why_violated
 from ..operators.namespaces import STATE_DATABASE, selected
 from ..sources.logs import DML, TICK, Lease, StateTable, from_start, read_log, stream_log
 from ..session import written
@@ -365,15 +366,8 @@ class Replicator:
         self.lease.release()
 
     def violated(self, ns: tuple[str, str], index: Index) -> str | None:
-        """Why the target's rows do not allow a unique index; missing fields count as null, unless it is sparse."""
-        if not (index.unique or index.prepare_unique):
-            return None
-        fields = [F.get_json_object("doc", f"$.{path}").alias(f"k{n}") for n, (path, _) in enumerate(index.keys)]
-        rows = self.target.collection(*ns).select(*fields)
-        if dict(index.options).get("sparse"):
-            rows = rows.dropna("all")
-        twice = violations(rows, rows.columns).limit(1).collect()
-        return f"duplicate key {[twice[0][f'k{n}'] for n in range(len(fields))]}" if twice else None
+        """Why the target's rows do not allow a unique index, or None."""
+        return why_violated(self.target.collection(*ns), "key", "doc", index)
 
     def finalize(self, violated: Callable[[tuple[str, str], Index], str | None] | None = None) -> list[dict[str, Any]]:
         if self.state is State.RUNNING:
