@@ -5,6 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import written
+
+#: Leaves up to which they are broadcast.
+FEW_LEAVES = 100_000
+
 
 def content_hash(rows: DataFrame, by: tuple[str, ...], key: str, doc: Column) -> DataFrame:
     """n and md5 of each group's documents in the order of their keys (groups that fit a task)."""
@@ -29,6 +34,45 @@ def differences(source: DataFrame, target: DataFrame, key: str | list[str], valu
     return s.join(t, key, "full_outer").select(*key, kind.alias("kind")).filter("kind IS NOT NULL")
 
 
+def leaf_sums(rows: DataFrame, key: list[str], value: str, bits: int) -> DataFrame:
+    """leaf, n, a, b: sums of two hashes of the rows of each of 2^bits ranges of hashed keys; the order of rows does not count."""
+    leaf = F.shiftrightunsigned(F.xxhash64(*key), 64 - bits).alias("leaf")
+    sums = [F.sum(F.xxhash64(F.lit(seed), *key, value).cast("decimal(20,0)")).cast("decimal(38,0)").alias(name) for name, seed in (("a", 1), ("b", 2))]
+    return rows.select(*key, value, leaf).groupBy("leaf").agg(F.count("*").alias("n"), *sums)
+
+
+def differing_leaves(source: DataFrame, target: DataFrame, bits: int, fan: int = 8) -> DataFrame | None:
+    """The leaves in which two tables of leaf_sums differ; None if there is none.
+
+    Sums of neighbouring leaves are the nodes of a tree. From the root down only nodes whose parents differ
+    are compared: equal sides exchange one row, and few differences a path of rows each.
+    """
+    nodes, above = None, 0
+    for level in (*range(0, bits, fan), bits):
+        node = F.shiftrightunsigned("leaf", bits - level).alias("node")
+        sides = [leaves.groupBy(node).agg(*[F.sum(c).alias(c) for c in ("n", "a", "b")]) for leaves in (source, target)]
+        if nodes is not None:
+            sides = [side.withColumn("parent", F.shiftright("node", level - above)).join(nodes.withColumnRenamed("node", "parent"), "parent", "left_semi").drop("parent") for side in sides]
+        s, t = (side.select("node", F.struct("n", "a", "b").alias(name)) for side, name in zip(sides, "st", strict=True))
+        nodes = written(s.join(t, "node", "full_outer").filter(~F.col("s").eqNullSafe(F.col("t"))).select("node"), "nodes")
+        if nodes.isEmpty():
+            return None
+        above = level
+    return nodes.withColumnRenamed("node", "leaf")
+
+
+def tree_differences(source: DataFrame, target: DataFrame, key: str | list[str], value: str, bits: int = 16, fan: int = 8) -> DataFrame:
+    """As differences, but only rows of ranges whose sums differ are joined, and no range's rows are gathered."""
+    key = [key] if isinstance(key, str) else key
+    leaves = differing_leaves(*[written(leaf_sums(side, key, value, bits), "leaves") for side in (source, target)], bits, fan)
+    if leaves is None:
+        return differences(source.limit(0), target.limit(0), key, value)
+    few = leaves.limit(FEW_LEAVES + 1).count() <= FEW_LEAVES
+    leaf = F.shiftrightunsigned(F.xxhash64(*key), 64 - bits)
+    sides = [side.select(*key, value, leaf.alias("leaf")).join(F.broadcast(leaves) if few else leaves, "leaf", "left_semi").drop("leaf") for side in (source, target)]
+    return differences(*sides, key, value)
+
+
 def outside(target: DataFrame, source: DataFrame, key: str) -> DataFrame:
     """n_outside: the target's rows whose key the source lacks; none if it is a subset."""
     return target.join(source.select(key), key, "left_anti").agg(F.count("*").alias("n_outside"))

@@ -6,13 +6,20 @@ pipeline updates use.
 
 from __future__ import annotations
 
+import json
+from collections.abc import Callable
 from functools import reduce
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.errors import CommandError
 from ..functions.scalars import pulled, sliced
+from .catalog import NAMESPACE_NOT_FOUND, Catalog
+
+#: Fixed value: the code of the error that views lead in a circle.
+VIEW_CYCLE = 5
 
 _COMPARE = {
     "$eq": lambda c, v: c.eqNullSafe(F.lit(v)), "$ne": lambda c, v: ~c.eqNullSafe(F.lit(v)),
@@ -38,14 +45,30 @@ def match(query: dict[str, Any], types: dict[str, str] | None = None) -> Column:
         elif key == "$expr":
             tests.append(expression(want))
         elif isinstance(want, dict) and want and all(k.startswith("$") for k in want):
+            array = (types or {}).get(key, "").startswith("array")
             for op, value in want.items():
+                if array and op in ("$eq", "$gt", "$gte", "$lt", "$lte", "$in", "$regex"):  # any element
+                    tests.append(F.exists(key, _element_test(op, value)))
+                    continue
+                if array and op in ("$ne", "$nin"):
+                    tests.append(~F.coalesce(F.exists(key, _element_test({"$ne": "$eq", "$nin": "$in"}[op], value)), F.lit(False)))
+                    continue
                 test = ~match({key: value}, types) if op == "$not" else _COMPARE[op](F.col(key), value)
                 tests.append(test)
         else:
-            tests.append(F.col(key).eqNullSafe(F.lit(want)))
+            tests.append(_any_element(key, want) if (types or {}).get(key, "").startswith("array") and not isinstance(want, list) else F.col(key).eqNullSafe(F.lit(want)))
     return F.coalesce(reduce(lambda a, b: a & b, tests, F.lit(True)), F.lit(False))
 
 
+def _element_test(op: str, value: Any) -> Callable[[Column], Column]:
+    return lambda x: _COMPARE[op](x, value)
+
+
+def _any_element(column: str, want: Any) -> Column:
+    """Of an array column: whether any element equals a value, as of null whether it is missing."""
+    return F.col(column).isNull() if want is None else F.exists(column, lambda x: x == F.lit(want))
+
+
 def conforms(schema: dict[str, Any], types: dict[str, str]) -> Column:
     """Required fields present, fields of the stated types and within the stated bounds. types: Spark's, by field."""
     tests = [F.col(c).isNotNull() for c in schema.get("required", ())]
@@ -188,5 +211,74 @@ def run_pipeline(rows: DataFrame, stages: list[dict[str, Any]]) -> DataFrame:
     return rows
 
 
+class ViewGraph:
+    """The views of a catalog as nodes of a graph, each on the collection or view that it names.
+
+    Views are kept as text in the catalog, so that creating, changing, dropping and renaming them or what they
+    stand on needs nothing but the log; what a view shows is resolved when it is read.
+    """
+
+    def __init__(self, catalog: Catalog):
+        self.collections = catalog.collections
+
+    def _on(self, ns: tuple[str, str]) -> tuple[str, str] | None:
+        c = self.collections.get(ns)
+        return (ns[0], c.options["viewOn"]) if c is not None and c.is_view else None
+
+    def chain(self, ns: tuple[str, str]) -> list[tuple[str, str]]:
+        """What a view stands on, down to the collection, the view first; an error if that is missing or leads in a circle."""
+        out = [ns]
+        while (on := self._on(out[-1])) is not None:
+            if on in out:
+                raise CommandError(VIEW_CYCLE, f"views lead in a circle: {'.'.join(on)}")
+            out.append(on)
+        if out[-1] not in self.collections:
+            raise CommandError(NAMESPACE_NOT_FOUND, f"{'.'.join(ns)} stands on {'.'.join(out[-1])}, which is missing")
+        return out
+
+    def _chains(self) -> dict[tuple[str, str], list[tuple[str, str]] | str]:
+        out: dict[tuple[str, str], list[tuple[str, str]] | str] = {}
+        for ns, c in self.collections.items():
+            if c.is_view:
+                try:
+                    out[ns] = self.chain(ns)
+                except CommandError as e:
+                    out[ns] = str(e)
+        return out
+
+    def order(self) -> list[tuple[str, str]]:
+        """Views that can be read, each after those that it stands on."""
+        found = {ns: len(c) for ns, c in self._chains().items() if isinstance(c, list)}
+        return sorted(found, key=lambda ns: (found[ns], ns))
+
+    def broken(self) -> dict[tuple[str, str], str]:
+        """Views that cannot be read, and why: what they stand on was dropped, renamed, or is themselves."""
+        return {ns: c for ns, c in self._chains().items() if isinstance(c, str)}
+
+    def dependents(self, ns: tuple[str, str]) -> list[tuple[str, str]]:
+        """Views that a drop or rename of ns makes unreadable."""
+        return [v for v, c in self._chains().items() if isinstance(c, list) and ns in c[1:]]
+
+    def stages(self, ns: tuple[str, str]) -> list[dict[str, Any]]:
+        """All stages from the collection up to this view, as one pipeline."""
+        out: list[dict[str, Any]] = []
+        for view in reversed(self.chain(ns)[:-1]):
+            pipeline = self.collections[view].options.get("pipeline", [])
+            out += json.loads(pipeline) if isinstance(pipeline, str) else pipeline
+        return out
+
+    def read(self, ns: tuple[str, str], rows: Callable[[tuple[str, str]], DataFrame]) -> DataFrame:
+        """What a view shows; rows gives a collection's documents as columns."""
+        return run_pipeline(rows(self.chain(ns)[-1]), self.stages(ns))
+
+
+def as_columns(docs: DataFrame, doc: str = "doc") -> DataFrame:
+    """Documents (JSON) as columns, of the types that all of them have together; those without any field give no columns."""
+    found = docs.agg(F.schema_of_variant_agg(F.parse_json(doc)).alias("s")).first().s
+    if not found or not found.startswith("OBJECT<") or found == "OBJECT<>":
+        return docs.select()
+    return docs.select(F.from_json(doc, found.replace("OBJECT<", "STRUCT<").replace("VOID", "STRING")).alias("_d")).select("_d.*")
+
+
 def create_view(spark: SparkSession, name: str, source: DataFrame, stages: list[dict[str, Any]]) -> None:
     run_pipeline(source, stages).createOrReplaceTempView(name)

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.ordering import bracket, encoded
-from ..operators import documents, segments
+from ..operators import documents, segments, verify, views
 from ..operators.catalog import Catalog, Index
 from ..session import table
 from .registry import registered
@@ -107,3 +107,28 @@ def finalize_report(spark: SparkSession, sf: str) -> DataFrame:
 FROM orders JOIN (SELECT l_orderkey, count(*) AS n, count(DISTINCT l_partkey % 10) AS nt FROM lineitem GROUP BY 1) ON l_orderkey = o_orderkey""")
 def document_sizes(spark: SparkSession, sf: str) -> DataFrame:
     return _orders(spark, sf).select("key", documents.document_size(F.col("doc")).alias("size"))
+
+
+@registered("""WITH s AS (SELECT o_orderkey AS k, o_totalprice AS v FROM orders), t AS (SELECT k, CASE WHEN k % 89 = 0 THEN v + 1 ELSE v END AS v FROM s WHERE k % 97 <> 0 UNION ALL SELECT -k - 1, v FROM s WHERE k % 101 = 0)
+SELECT coalesce(s.k, t.k) AS k, CASE WHEN t.k IS NULL THEN 'missing' WHEN s.k IS NULL THEN 'extra' ELSE 'changed' END AS kind FROM s FULL JOIN t ON s.k = t.k WHERE s.v IS DISTINCT FROM t.v""")
+def hash_tree_diff(spark: SparkSession, sf: str) -> DataFrame:
+    """Differences of two sides, found down a tree of order-free sums of ranges."""
+    source = table(spark, sf, "orders").select(F.col("o_orderkey").alias("k"), F.col("o_totalprice").alias("v"))
+    target = source.filter("k % 97 != 0").withColumn("v", F.when(F.col("k") % 89 == 0, F.col("v") + 1).otherwise(F.col("v")))
+    target = target.unionByName(source.filter("k % 101 = 0").withColumn("k", -F.col("k") - 1))
+    return verify.tree_differences(source, target, "k", "v")
+
+
+@registered("SELECT c_nationkey AS _id, count(*)::BIGINT AS n, max(c_acctbal) AS top FROM customer WHERE c_acctbal > 0 AND c_mktsegment IN ('BUILDING', 'MACHINERY') GROUP BY 1 HAVING count(*) > 2")
+def views_of_views(spark: SparkSession, sf: str) -> DataFrame:
+    """A view on a view on a collection, made by changes of a log; the collection's documents are JSON."""
+    c = Catalog()
+    for name, body in (
+        ("customers", {}), ("rich", {"viewOn": "customers", "pipeline": [{"$match": {"c_acctbal": {"$gt": 0}}}]}),
+        ("some", {"viewOn": "rich", "pipeline": [{"$match": {"c_mktsegment": {"$in": ["BUILDING", "MACHINERY"]}}}, {"$project": {"c_nationkey": 1, "c_acctbal": 1}}]}),
+        ("nations", {"viewOn": "some", "pipeline": [{"$group": {"_id": "$c_nationkey", "n": {"$sum": 1}, "top": {"$max": "$c_acctbal"}}}, {"$match": {"n": {"$gt": 2}}}]}),
+    ):
+        c.apply("create", "shop", name, body)
+    docs = table(spark, sf, "customer").select(F.to_json(F.struct("c_custkey", "c_nationkey", F.col("c_acctbal").cast("double").alias("c_acctbal"), "c_mktsegment")).alias("doc"))
+    rows = views.ViewGraph(c).read(("shop", "nations"), lambda ns: views.as_columns(docs))
+    return rows.select(F.col("_id").cast("int").alias("_id"), F.col("n").cast("bigint").alias("n"), F.col("top").cast("double").alias("top"))
