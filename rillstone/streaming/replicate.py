@@ -26,6 +26,7 @@ from ..operators.catalog import Catalog, Index
 from ..operators.delta import overlaid, sequential
 from ..operators.documents import why_violated
 from ..operators.namespaces import STATE_DATABASE, selected
+from ..operators.segments import LEAST_SEGMENT, segment_docs, segments
 from ..sources.logs import DML, TICK, Lease, StateTable, from_start, read_log, stream_log
 from ..session import written
 from .target import PLACE, SMALL, STORED, TARGET, Target, identity, slot, small_table
@@ -33,6 +34,8 @@ from .target import PLACE, SMALL, STORED, TARGET, Target, identity, slot, small_
 __all__ = ["TARGET", "Replicator", "State", "Target", "apply_changes", "histogram", "retried"]
 Source = DataFrame | Callable[[], DataFrame] | None
 log_ = logging.getLogger(__name__)
+#: Names of collections up to which they are a filter of a scan.
+MOST_NAMES = 1000
 UPDATE = ("updated_fields", "removed_fields", "truncated_arrays")
 
 
@@ -194,23 +197,56 @@ class Replicator:
         own = {"state": self.state.value, "error": self.error, "include": list(self.include), "exclude": list(self.exclude), "catalog": self.catalog.to_json()}
         self.target.commit(changed, **(own | state))
 
-    def clone(self, snapshot: DataFrame, at: tuple[int, int], specs: dict[tuple[str, str], dict[str, Any]] | None = None, finished: tuple[int, int] | None = None) -> None:
+    def clone(self, snapshot: DataFrame, at: tuple[int, int], specs: dict[tuple[str, str], dict[str, Any]] | None = None, finished: tuple[int, int] | None = None, segment_bytes: int = LEAST_SEGMENT) -> None:
         """Copies a snapshot (db, coll, key, doc) taken at a logical time; a second copy adds what is absent.
 
-        specs: options (and uuid) of collections that are dropped and created anew before the copy.
+        The copy goes by segments of keys, of segment_bytes or more, small collections together, the largest first, each a
+        commit of its own that the state counts. After a failure a call with the same time goes on with the first segment that
+        is not there yet; the plan stands in the state. specs: options (and uuid) of collections that are dropped and
+        created anew before the copy.
         """
         self._expect(State.IDLE, State.PAUSED)
-        for (db, coll), options in (specs or {}).items():
-            self.catalog.recreate(db, coll, **options)
         rows = snapshot.filter(selected(F.col("db"), F.col("coll"), self.include, self.exclude) & (F.col("db") != STATE_DATABASE))
-        for r in rows.select("db", "coll").distinct().collect():  # a row a collection
-            self.catalog.create(r.db, r.coll)
+        plan = self.target.state.get("plan")
+        if plan is None or plan["at"] != list(at):
+            for (db, coll), options in (specs or {}).items():
+                self.catalog.recreate(db, coll, **options)
+            sizes = rows.groupBy("db", "coll").agg(F.count("*").alias("n"), F.sum(F.octet_length("doc")).alias("bytes")).collect()  # a row a collection
+            for r in sorted(sizes, key=lambda r: (r.db, r.coll)):
+                self.catalog.create(r.db, r.coll)
+            plan = {"at": list(at), "loads": self._loads(rows, sizes, segment_bytes), "done": 0, "merge": bool(self.target.state["runs"])}
+            self._save(plan=plan)
         names = [(db, coll, c.cid) for (db, coll), c in self.catalog.collections.items()]
-        rows = rows.join(small_table(self.spark, names, "db string, coll string, cid long"), ["db", "coll"]).dropDuplicates(["cid", "key"])
-        if self.target.state["runs"]:
-            rows = rows.join(self.target.rows().select("cid", "key"), ["cid", "key"], "left_anti")
-        own = {"state": self.state.value, "error": self.error, "include": list(self.include), "exclude": list(self.exclude), "catalog": self.catalog.to_json()}
-        self.target.load(rows.select("cid", "key", "doc", F.lit(None).cast(PLACE).alias("born")), **own, clone=list(at), finished=list(finished or at))
+        for n, load in enumerate(plan["loads"][plan["done"] :], plan["done"] + 1):
+            part = rows
+            if len(load["names"]) <= MOST_NAMES:
+                part = part.filter(F.concat_ws(".", "db", "coll").isin([".".join(x) for x in load["names"]]))
+            for test, bound in ((lambda k, v: k >= v, load.get("lo")), (lambda k, v: k < v, load.get("below"))):
+                part = part if bound is None else part.filter(test(F.col("key"), bound))
+            own = {tuple(x) for x in load["names"]}
+            part = part.join(small_table(self.spark, [x for x in names if x[:2] in own], "db string, coll string, cid long"), ["db", "coll"]).dropDuplicates(["cid", "key"])
+            if plan["merge"]:
+                part = part.join(self.target.rows().select("cid", "key"), ["cid", "key"], "left_anti")
+            self.target.load(part.select("cid", "key", "doc", F.lit(None).cast(PLACE).alias("born")), catalog=self.catalog.to_json(), plan=plan | {"done": n})
+        self._save(plan=None, clone=list(at), finished=list(finished or at))
+
+    def _loads(self, rows: DataFrame, sizes: list[Row], segment_bytes: int) -> list[dict[str, Any]]:
+        """What to copy in turn: names, and of a large collection the keys from lo on and below the next one's."""
+        out, small, room = [], [], 0
+        for r in sorted(sizes, key=lambda r: (-(r.bytes or 0), r.db, r.coll)):
+            size = r.bytes or 0
+            if size >= 2 * segment_bytes:
+                own = rows.filter((F.col("db") == r.db) & (F.col("coll") == r.coll))
+                docs = segment_docs(size, size // r.n, 1, explicit=segment_bytes)
+                lows = [x.lo for x in segments(own, "key", docs).orderBy("segment").select("lo").collect()]  # a key a segment
+                bounds = [None, *lows[1:], None]
+                out += [{"names": [[r.db, r.coll]], "lo": lo, "below": below} for lo, below in zip(bounds, bounds[1:], strict=False)]
+                continue
+            if small and room + size > segment_bytes:
+                out.append({"names": small})
+                small, room = [], 0
+            small, room = [*small, [r.db, r.coll]], room + size
+        return out + ([{"names": small}] if small else [])
 
     def batch(self, rows: DataFrame, number: int) -> None:
         """One micro-batch; one that was applied already is skipped. The lease is beaten beside it."""

@@ -168,6 +168,33 @@ def test_a_batch_writes_in_proportion_to_itself(spark, tmp_path):
     assert _rows(r.target.read()) == {("c", "7"): '{"n":2}'}
 
 
+def test_a_clone_goes_on_after_a_failure(spark, tmp_path, monkeypatch):
+    rows = [("d", "big", f"{n:04d}", json.dumps({"n": n, "p": "x" * 80})) for n in range(600)] + [("d", f"small{k}", "1", "{}") for k in range(5)]
+    snapshot = spark.createDataFrame(rows, TARGET)
+    r = Replicator(spark, "", str(tmp_path / "target"))
+    load, calls = Target.load, []
+
+    def fails(self, part, **state):
+        calls.append(1)
+        if len(calls) == 3:
+            raise OSError("the machine is gone")
+        load(self, part, **state)
+
+    monkeypatch.setattr(Target, "load", fails)
+    with pytest.raises(OSError):
+        r.clone(snapshot, (5, 0), segment_bytes=10_000)
+    assert not r.status()["initial_sync_completed"]
+    again = Replicator.recover(spark, "", str(tmp_path / "target"), resume=False)
+    plan = again.target.state["plan"]
+    assert plan["done"] == 2 and len(plan["loads"]) > 4 and len(plan["loads"][-1]["names"]) == 5
+    assert 0 < again.target.rows().count() < 600
+    again.clone(snapshot, (5, 0), segment_bytes=10_000)
+    assert len(calls) == 3 + len(plan["loads"]) - 2  # what was there is not copied again
+    assert sorted((x.db, x.coll, x.key, x.doc) for x in again.target.read().collect()) == sorted(rows) and again.target.orphans() == []
+    again.clone(spark.createDataFrame([("d", "big", "0001", "{}"), ("d", "new", "1", "{}")], TARGET), (6, 0))
+    assert again.target.read().count() == len(rows) + 1 and again.target.state["clone"] == [6, 0]
+
+
 def test_runs_are_merged_by_levels(spark, tmp_path):
     import random
 
