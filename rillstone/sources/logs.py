@@ -70,6 +70,13 @@ def heartbeats(log: DataFrame) -> DataFrame:
     return cluster_time(log).filter("cluster_time IS NOT NULL").select("cluster_time.t", "cluster_time.i", F.lit(TICK).alias("op"))
 
 
+def ticking(spark: SparkSession) -> DataFrame:
+    """A stream of ticks without a time, a row a second, that lets batches run while the log is idle."""
+    empty = spark.createDataFrame([], EVENT_SCHEMA).schema
+    rows = spark.readStream.format("rate").option("rowsPerSecond", 1).load()
+    return rows.select(*[F.lit(TICK if f.name == "op" else None).cast(f.dataType).alias(f.name) for f in empty])
+
+
 def watch(log: DataFrame, noise: tuple[str, ...] = ()) -> DataFrame:
     """The log for reading by people: time, operation, namespace and key, without databases that are noise."""
     at = F.concat_ws(".", F.col("t").cast("string"), F.col("i").cast("string")).alias("at")

@@ -21,13 +21,16 @@ from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from ..config import Options
+from ..functions.errors import CommandError, is_transient
+from ..functions.scalars import bounded_size
 from ..operators.asof import as_of, in_force
 from ..operators.catalog import Catalog, Index
 from ..operators.delta import overlaid, sequential
 from ..operators.documents import why_violated
 from ..operators.namespaces import STATE_DATABASE, selected
-from ..operators.segments import LEAST_SEGMENT, segment_docs, segments
-from ..sources.logs import DML, TICK, Lease, StateTable, from_start, read_log, stream_log
+from ..operators.segments import LARGEST_SEGMENT, LEAST_SEGMENT, segment_docs, segments
+from ..sources.logs import DML, TICK, Lease, StateTable, from_start, read_log, stream_log, ticking
 from ..session import written
 from .target import PLACE, SMALL, STORED, TARGET, Target, identity, slot, small_table
 
@@ -36,6 +39,8 @@ Source = DataFrame | Callable[[], DataFrame] | None
 log_ = logging.getLogger(__name__)
 #: Names of collections up to which they are a filter of a scan.
 MOST_NAMES = 1000
+#: Batches whose times the state keeps.
+KEPT_FLUSHES = 256
 UPDATE = ("updated_fields", "removed_fields", "truncated_arrays")
 
 
@@ -165,20 +170,30 @@ class Replicator:
     source: the documents now at the source (db, coll, key, doc), for updates that fail. begins: the
     logical time from which on the log is complete, if that is known. All that a restart needs is in
     the target's state: Replicator.recover() goes on from it.
+
+    source_time: the source's logical time now. With it a running stream ticks: a batch without events reports
+    the time that was read when the batch before it had ended, as all that was logged by then has been read.
     """
 
     def __init__(
         self, spark: SparkSession, log_path: str, target_path: str, include: tuple[str, ...] = (), exclude: tuple[str, ...] = (), fmt: str = "parquet",
-        source: Source = None, begins: tuple[int, int] | None = None, source_major: int = 8, clock: Callable[[], float] = time.time, **sizes: int,
+        source: Source = None, begins: tuple[int, int] | None = None, source_major: int = 8, clock: Callable[[], float] = time.time, source_time: Callable[[], tuple[int, int]] | None = None, segment_bytes: int = LEAST_SEGMENT, **sizes: int,
     ):
         self.spark, self.log_path, self.fmt, self.path = spark, log_path, fmt, target_path
         self.source, self.begins, self.source_major = source, begins, source_major
+        self.source_time, self.segment_bytes, self.seen_time = source_time, segment_bytes, (0, 0)
         self.target = Target(spark, target_path, **sizes)
         self.include, self.exclude, self.state, self.error, self.query = include, exclude, State.IDLE, None, None
         self.catalog = self.target.catalog
         self.checkpoint = f"{target_path}/checkpoint"
         self.lease = Lease(StateTable(spark, f"{target_path}/lease"), uuid.uuid4().hex, clock)
 
+    @classmethod
+    def of(cls, spark: SparkSession, log_path: str, target_path: str, options: Options, **more: Any) -> Replicator:
+        """A replication by resolved options: the selection of names and the size of segments."""
+        size = bounded_size(options.segment_size, LEAST_SEGMENT, LARGEST_SEGMENT) or LEAST_SEGMENT
+        return cls(spark, log_path, target_path, include=options.include, exclude=options.exclude, segment_bytes=size, **more)
+
     @classmethod
     def recover(cls, spark: SparkSession, log_path: str, target_path: str, resume: bool = True, **options: Any) -> Replicator:
         """The replication that a target's state describes; one that was running runs again."""
@@ -197,7 +212,7 @@ class Replicator:
         own = {"state": self.state.value, "error": self.error, "include": list(self.include), "exclude": list(self.exclude), "catalog": self.catalog.to_json()}
         self.target.commit(changed, **(own | state))
 
-    def clone(self, snapshot: DataFrame, at: tuple[int, int], specs: dict[tuple[str, str], dict[str, Any]] | None = None, finished: tuple[int, int] | None = None, segment_bytes: int = LEAST_SEGMENT) -> None:
+    def clone(self, snapshot: DataFrame, at: tuple[int, int], specs: dict[tuple[str, str], dict[str, Any]] | None = None, finished: tuple[int, int] | None = None, segment_bytes: int | None = None) -> None:
         """Copies a snapshot (db, coll, key, doc) taken at a logical time; a second copy adds what is absent.
 
         The copy goes by segments of keys, of segment_bytes or more, small collections together, the largest first, each a
@@ -214,7 +229,7 @@ class Replicator:
             sizes = rows.groupBy("db", "coll").agg(F.count("*").alias("n"), F.sum(F.octet_length("doc")).alias("bytes")).collect()  # a row a collection
             for r in sorted(sizes, key=lambda r: (r.db, r.coll)):
                 self.catalog.create(r.db, r.coll)
-            plan = {"at": list(at), "loads": self._loads(rows, sizes, segment_bytes), "done": 0, "merge": bool(self.target.state["runs"])}
+            plan = {"at": list(at), "loads": self._loads(rows, sizes, segment_bytes or self.segment_bytes), "done": 0, "merge": bool(self.target.state["runs"])}
             self._save(plan=plan)
         names = [(db, coll, c.cid) for (db, coll), c in self.catalog.collections.items()]
         for n, load in enumerate(plan["loads"][plan["done"] :], plan["done"] + 1):
@@ -254,10 +269,12 @@ class Replicator:
             return
         with self.lease.beating():
             self.target.epoch = self.lease.epoch
-            self._apply(rows, number)
+            retried(lambda: self._apply(rows, number), passing=lambda e: isinstance(e, CommandError) and is_transient(e.code))
+            if self.source_time is not None:
+                self.seen_time = tuple(self.source_time())
 
     def _apply(self, rows: DataFrame, number: int) -> None:
-        now = self.target.state
+        now, began = self.target.state, time.time()
         self.catalog = self.target.catalog  # a batch that failed may have changed it
         t, i = now.get("clone", (0, 0))
         rows = rows.filter((F.col("t") > t) | ((F.col("t") == t) & (F.col("i") >= i)))
@@ -278,7 +295,11 @@ class Replicator:
                 held.append(events)
                 changed = self._changed(events, seen)
             latest = lambda name, at: max(tuple(now.get(name, (0, 0))), (at.t, at.i) if at else (0, 0))
-            self._save(changed, batch=number, reported=list(latest("reported", seen.any)), checkpoint=list(latest("checkpoint", seen.real)), events=now.get("events", 0) + seen.n)
+            reported = latest("reported", seen.any)
+            if seen.any is None:  # idle
+                reported = max(reported, self.seen_time)
+            flushes = [*now.get("flushes", []), [seen.n, round(time.time() - began, 3)]][-KEPT_FLUSHES:]
+            self._save(changed, batch=number, flushes=flushes, reported=list(reported), checkpoint=list(latest("checkpoint", seen.real)), events=now.get("events", 0) + seen.n)
         finally:
             for frame in held:
                 frame.unpersist()
@@ -366,7 +387,7 @@ class Replicator:
         names = [(db, coll, c.cid) for (db, coll), c in self.catalog.collections.items()]
         return rows.join(small_table(self.spark, names, "db string, coll string, cid long"), ["db", "coll"]).select("cid", "key", "doc")
 
-    def start(self, once: bool = True, from_failure: bool = False) -> StreamingQuery:
+    def start(self, once: bool = True, from_failure: bool = False, interval: str = "1 second") -> StreamingQuery:
         self._expect(State.IDLE, State.PAUSED, *([State.FAILED] if from_failure else []))
         saved = self.target.state
         resume = max(tuple(saved.get("checkpoint", (0, 0))), tuple(saved.get("clone", (0, 0))))
@@ -375,10 +396,13 @@ class Replicator:
         self.lease.acquire()
         self.target.refresh()
         self.target.epoch = self.lease.epoch
-        stream = stream_log(self.spark, self.log_path, self.fmt).writeStream.foreachBatch(self.batch).option("checkpointLocation", self.checkpoint)
+        stream = stream_log(self.spark, self.log_path, self.fmt)
+        if self.source_time is not None and not once:
+            stream = stream.unionByName(ticking(self.spark))
+        stream = stream.writeStream.foreachBatch(self.batch).option("checkpointLocation", self.checkpoint)
         self.state, self.error = State.RUNNING, None
         self._save()
-        self.query = (stream.trigger(availableNow=True) if once else stream.trigger(processingTime="1 second")).start()
+        self.query = (stream.trigger(availableNow=True) if once else stream.trigger(processingTime=interval)).start()
         return self.query
 
     resume = start
@@ -426,6 +450,11 @@ class Replicator:
             out["lag_seconds"] = source_time[0] - (reported if reported > (0, 0) else clone)[0]
         return out
 
+    def metrics(self) -> DataFrame:
+        """The histogram of the latest batches' times, in one row."""
+        rows = self.spark.createDataFrame([(n, s) for n, s in self.target.state.get("flushes", [])], "events long, seconds double")
+        return histogram(rows, "seconds")
+
     def _expect(self, *states: State) -> None:
         if self.state not in states:
             raise RuntimeError(f"not possible while {self.state.value}")

@@ -2,9 +2,11 @@ import json
 
 import pytest
 
+from rillstone.config import Options
 from rillstone.functions.errors import CommandError
 from rillstone.operators.catalog import NEVER_EXPIRES, OPTIONS_CONFLICT, Catalog, Index, Unsupported, collection_rows, index_rows, looked_up
 from rillstone.operators.asof import as_of
+from rillstone.operators.segments import LEAST_SEGMENT
 from rillstone.sources.logs import EVENT_SCHEMA, HistoryLost, Lease, Stale, StateTable, from_start
 from rillstone.streaming.replicate import TARGET, Replicator, State, apply_changes, histogram, retried
 from rillstone.streaming.target import STORED, Target
@@ -370,6 +372,23 @@ def test_failure_and_restart(spark, tmp_path):
     assert [(x["namespace"], x["name"], x["type"]) for x in report] == [("d.c", "u", "failed")] and "1" in report[0]["reason"]
 
 
+def test_an_idle_stream_ticks(spark, tmp_path):
+    import time
+
+    log = str(tmp_path / "log")
+    spark.createDataFrame([_event(0, 10, "insert", "1", {"x": 1})], EVENT_SCHEMA).coalesce(1).write.parquet(log)
+    r = Replicator.of(spark, log, str(tmp_path / "target"), Options.resolve({"exclude": ("d.hidden",)}, {}), source_time=lambda: (77, 0))
+    assert r.exclude == ("d.hidden",) and r.segment_bytes == LEAST_SEGMENT
+    r.start(once=False)
+    until = time.time() + 90
+    while r.target.state.get("reported") != [77, 0] and time.time() < until:
+        time.sleep(0.5)
+    r.pause()
+    status = r.status((80, 0))
+    assert status["last_replicated"] == (77, 0) and status["checkpoint"] == (10, 1) and status["lag_seconds"] == 3
+    assert r.metrics().first()["count"] >= 2 and _rows(r.target.read()) == {("c", "1"): '{"x":1}'}
+
+
 def test_lost_history(spark, tmp_path):
     log = spark.createDataFrame([_event(0, 10, "insert", "1")], EVENT_SCHEMA)
     assert from_start(log, 10, 1).count() == 1
