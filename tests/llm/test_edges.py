@@ -140,7 +140,7 @@ def test_pipeline(spark, tmp_path):
     stage = dict(corpus_pipeline.STAGES)
     kept = stage["n-gram Jaccard join"](spark, docs, "")
     assert kept.columns == docs.columns and sorted((r.doc_id or 0) for r in kept.collect()) == [0, 1, 3, 4, 5, 6, 7, 8]
-    clash = docs.select("*", *[F.lit(1).alias(c) for c in ("key", "row", "use", "uses", "__row", "__uses", "group")])
+    clash = docs.select("*", *[F.lit(1).alias(c) for c in ("key", "row", "use", "uses", "__row", "__uses", "group", "n_lines", "n_removed")])
     empty = docs.limit(0)
     for name, f in corpus_pipeline.STAGES:
         assert f(spark, empty, "").count() == 0
