@@ -13,6 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import written
+
 #: Kinds of the test log's events.
 OPERATIONS = {"signup": "insert", "purchase": "replace", "error": "delete"}
 
@@ -78,17 +80,19 @@ def insert_absent(target: DataFrame, source: DataFrame, key: str) -> DataFrame:
     return target.unionByName(source.dropDuplicates([key]).join(target.select(key), key, "left_anti").select(*target.columns))
 
 
-def epochs(log: DataFrame, is_barrier: Column, order: Sequence[str], day: str) -> DataFrame:
+def epochs(log: DataFrame, is_barrier: Column, order: Sequence[str], slices: int | None = None) -> DataFrame:
     """Adds epoch: the number of barriers up to and with each row in total order.
 
-    Counted by day first, so that no task gets the whole log; day is a column that rises with the
-    order.
+    Rows are dealt out by ranges of the order and counted by slice first, so that no task gets more than a slice,
+    however the log is spread over time.
     """
-    flagged = log.withColumn("_b", is_barrier.cast("bigint"))
-    per_day = flagged.groupBy(day).agg(F.sum("_b").alias("_n"))
-    before = per_day.select(day, (F.sum("_n").over(Window.orderBy(day)) - F.col("_n")).alias("_before"))
-    within = F.sum("_b").over(Window.partitionBy(day).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))
-    return flagged.join(before, day).withColumn("epoch", F.col("_before") + within).drop("_b", "_before")
+    slices = slices or max(8, int(log.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    dealt = log.withColumn("_b", is_barrier.cast("bigint")).repartitionByRange(slices, *order).withColumn("_slice", F.spark_partition_id())
+    dealt = written(dealt, "epochs")
+    sums = dealt.groupBy("_slice").agg(F.sum("_b").alias("_n"))
+    before = sums.select("_slice", (F.sum("_n").over(Window.orderBy("_slice")) - F.col("_n")).alias("_before"))  # a row a slice
+    within = F.sum("_b").over(Window.partitionBy("_slice").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))
+    return dealt.join(F.broadcast(before), "_slice").withColumn("epoch", F.col("_before") + within).drop("_b", "_before", "_slice")
 
 
 def tail(rows: DataFrame, group: str, order: Sequence[str], n: int) -> DataFrame:

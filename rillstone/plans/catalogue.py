@@ -47,8 +47,8 @@ def cdc_op_counts(spark: SparkSession, sf: str) -> DataFrame:
 @registered("""WITH f AS (SELECT event_id, sum(CASE WHEN event_type = 'signup' THEN 1 ELSE 0 END) OVER (ORDER BY ts, event_id)::BIGINT AS epoch FROM events)
 SELECT epoch, count(*) AS n, min(event_id) AS first_event FROM f GROUP BY epoch""")
 def ddl_epochs(spark: SparkSession, sf: str) -> DataFrame:
-    e = table(spark, sf, "events").select("event_id", "ts", "event_type", F.to_date("ts").alias("day"))
-    return fold.epochs(e, F.col("event_type") == "signup", ["ts", "event_id"], "day").groupBy("epoch").agg(F.count("*").alias("n"), F.min("event_id").alias("first_event"))
+    e = table(spark, sf, "events").select("event_id", "ts", "event_type")
+    return fold.epochs(e, F.col("event_type") == "signup", ["ts", "event_id"]).groupBy("epoch").agg(F.count("*").alias("n"), F.min("event_id").alias("first_event"))
 
 
 _INCLUDE, _EXCLUDE = ("src0.*", "src1.en", "src2.en", "src2.fr"), ("src0.de", "src1.*", "src3.en")

@@ -41,6 +41,6 @@ def test_empty_log(spark):
 
 def test_epochs_and_tail(spark):
     rows = spark.createDataFrame([(i, i // 4, i % 3 == 0) for i in range(12)], "i long, day long, ddl boolean")
-    got = {r.i: r.epoch for r in fold.epochs(rows, rows.ddl, ["i"], "day").collect()}
+    got = {r.i: r.epoch for r in fold.epochs(rows, rows.ddl, ["i"]).collect()}
     assert got == {i: i // 3 + 1 for i in range(12)}
     assert sorted((r.day, r.i) for r in fold.tail(rows, "day", ["i"], 1).collect()) == [(0, 3), (1, 7), (2, 11)]
