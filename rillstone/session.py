@@ -4,8 +4,11 @@ from __future__ import annotations
 
 import os
 import tempfile
+import threading
 import uuid
 import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -59,10 +62,31 @@ def shared_folder(spark: SparkSession) -> str:
     return found
 
 
+_scratch = threading.local()
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Deletes at its end the tables that are written within it, in this thread: a stream would gather them for ever."""
+    paths: list[str] = []
+    outer = getattr(_scratch, "paths", None)
+    _scratch.paths = paths
+    try:
+        yield
+    finally:
+        _scratch.paths = outer
+        context = spark.sparkContext
+        for path in paths:
+            at = context._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(context._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """df, written as a table in the shared folder and read again: cuts lineage and survives lost executors."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/rillstone/{name}-{uuid.uuid4().hex}"
+    if getattr(_scratch, "paths", None) is not None:
+        _scratch.paths.append(path)
     df.write.parquet(path)
     jvm = spark.sparkContext._jvm
     at = jvm.org.apache.hadoop.fs.Path(path)

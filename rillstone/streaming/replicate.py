@@ -31,7 +31,7 @@ from ..operators.documents import why_violated
 from ..operators.namespaces import STATE_DATABASE, selected
 from ..operators.segments import LARGEST_SEGMENT, LEAST_SEGMENT, segment_docs, segments
 from ..sources.logs import DML, TICK, Lease, StateTable, from_start, read_log, stream_log, ticking
-from ..session import written
+from ..session import scratch, written
 from .target import PLACE, SMALL, STORED, TARGET, Target, identity, slot, small_table
 
 __all__ = ["TARGET", "Replicator", "State", "Target", "apply_changes", "histogram", "retried"]
@@ -229,7 +229,9 @@ class Replicator:
             sizes = rows.groupBy("db", "coll").agg(F.count("*").alias("n"), F.sum(F.octet_length("doc")).alias("bytes")).collect()  # a row a collection
             for r in sorted(sizes, key=lambda r: (r.db, r.coll)):
                 self.catalog.create(r.db, r.coll)
-            plan = {"at": list(at), "loads": self._loads(rows, sizes, segment_bytes or self.segment_bytes), "done": 0, "merge": bool(self.target.state["runs"])}
+            with scratch(self.spark):
+                loads = self._loads(rows, sizes, segment_bytes or self.segment_bytes)
+            plan = {"at": list(at), "loads": loads, "done": 0, "merge": bool(self.target.state["runs"])}
             self._save(plan=plan)
         names = [(db, coll, c.cid) for (db, coll), c in self.catalog.collections.items()]
         for n, load in enumerate(plan["loads"][plan["done"] :], plan["done"] + 1):
@@ -269,7 +271,8 @@ class Replicator:
             return
         with self.lease.beating():
             self.target.epoch = self.lease.epoch
-            retried(lambda: self._apply(rows, number), passing=lambda e: isinstance(e, CommandError) and is_transient(e.code))
+            with scratch(self.spark):
+                retried(lambda: self._apply(rows, number), passing=lambda e: isinstance(e, CommandError) and is_transient(e.code))
             if self.source_time is not None:
                 self.seen_time = tuple(self.source_time())
 

@@ -1,4 +1,5 @@
 import json
+from pathlib import Path
 
 import pytest
 
@@ -7,6 +8,7 @@ from rillstone.functions.errors import CommandError
 from rillstone.operators.catalog import NEVER_EXPIRES, OPTIONS_CONFLICT, Catalog, Index, Unsupported, collection_rows, index_rows, looked_up
 from rillstone.operators.asof import as_of
 from rillstone.operators.segments import LEAST_SEGMENT
+from rillstone.session import shared_folder
 from rillstone.sources.logs import EVENT_SCHEMA, HistoryLost, Lease, Stale, StateTable, from_start
 from rillstone.streaming.replicate import TARGET, Replicator, State, apply_changes, histogram, retried
 from rillstone.streaming.target import STORED, Target
@@ -160,8 +162,11 @@ def test_a_batch_writes_in_proportion_to_itself(spark, tmp_path):
     r.clone(spark.range(40_000).selectExpr("'d' AS db", "'c' AS coll", "cast(id AS string) AS key", f"concat('{{\"n\":', hash(id), ',\"p\":\"', sha2(cast(id AS string), 512), '{pad}\"}}') AS doc"), (1, 0))
     whole = r.target.state["runs"][0]["bytes"]
     rows = [_event(n, 2, "replace", str(n * 40), {"n": n}) for n in range(1000)]  # scattered over all keys
+    tables = lambda: {p.name for p in Path(shared_folder(spark).removeprefix("file:"), "rillstone").glob("*")}
+    before = tables()
     r.batch(spark.createDataFrame(rows, EVENT_SCHEMA), 0)
     runs = r.target.state["runs"]
+    assert tables() == before  # what a batch writes on the way is gone
     assert [x["level"] for x in runs] == [0, 1] and runs[1]["bytes"] == whole and runs[0]["bytes"] < whole / 20
     assert r.target.read().count() == 40_000 and r.target.read().filter("length(doc) < 20").count() == 1000
     r.batch(spark.createDataFrame([_event(2000, 3, "drop")], EVENT_SCHEMA), 1)
