@@ -13,6 +13,7 @@ from ..operators.asof import as_of
 from ..session import shared_folder, table
 from ..sources import logs
 from ..streaming.replicate import Replicator, _newest, apply_changes
+from ..streaming.stateful import Folded, stateful
 from .registry import registered
 
 #: Events as changes of documents: an insert or replace has {"n": id}, a view sets v, a click writes below c (or n).
@@ -21,8 +22,8 @@ life AS (SELECT user_id, max(n) AS ln FROM log WHERE e IN ('signup', 'error') GR
 base AS (SELECT l.user_id, max(b.n) AS bn FROM life l JOIN log a ON a.user_id = l.user_id AND a.n = l.ln AND a.e = 'signup' JOIN log b ON b.user_id = l.user_id AND b.n >= l.ln AND b.e IN ('signup', 'purchase') GROUP BY l.user_id)"""
 
 
-def _changes(spark: SparkSession, sf: str, clicks: str) -> DataFrame:
-    e = table(spark, sf, "events")
+def _changes(spark: SparkSession, sf: str, clicks: str, events: DataFrame | None = None) -> DataFrame:
+    e = table(spark, sf, "events") if events is None else events
     op = fold.operation(F.col("event_type"))
     path = F.when(F.col("event_type") == "view", "v").otherwise(clicks)
     written = F.array(F.struct(path.alias("path"), F.col("event_id").cast("string").alias("value")))
@@ -42,15 +43,27 @@ def _empty(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], "db string, coll string, key string, doc string")
 
 
-@registered(f"""WITH {_LOG}
+_FOLDED = f"""WITH {_LOG}
 SELECT b.user_id, (SELECT event_id FROM log WHERE log.user_id = b.user_id AND log.n = b.bn) AS n, max(CASE WHEN log.e = 'view' THEN log.event_id END) AS v, max(CASE WHEN log.e = 'click' THEN log.event_id END) AS k
 FROM base b LEFT JOIN (SELECT user_id, e, last(event_id ORDER BY n) AS event_id, max(n) AS n FROM (SELECT log.* FROM log JOIN base ON base.user_id = log.user_id AND log.n > base.bn) GROUP BY user_id, e) log ON log.user_id = b.user_id AND log.e IN ('view', 'click')
-GROUP BY b.user_id, b.bn""")
+GROUP BY b.user_id, b.bn"""
+
+
+@registered(_FOLDED)
 def stream_fold(spark: SparkSession, sf: str) -> DataFrame:
     """Inserts, replaces, deletes, writes of fields and below fields, as a stream applies them."""
     return _fields(apply_changes(_empty(spark), _changes(spark, sf, "c.k")), n="$.n", v="$.v", k="$.c.k")
 
 
+@registered(_FOLDED)
+def stateful_fold(spark: SparkSession, sf: str) -> DataFrame:
+    """The same of a stream of the events table, by a stateful operator. A stream of a table that is one file needs a pattern."""
+    schema = table(spark, sf, "events").schema
+    folded = Folded(spark, f"{shared_folder(spark)}/rillstone/folded-{uuid.uuid4().hex}", ["key"])
+    folded.start(stateful(_changes(spark, sf, "c.k", spark.readStream.schema(schema).parquet(f"{sf}/events.parque[t]")), ["key"])).awaitTermination()
+    return _fields(folded.read(), n="$.n", v="$.v", k="$.c.k")
+
+
 @registered(f"""WITH {_LOG},
 f AS (SELECT b.user_id, b.bn, min(log.n) AS fn FROM base b LEFT JOIN log ON log.user_id = b.user_id AND log.n > b.bn AND log.e = 'click' GROUP BY b.user_id, b.bn),
 w AS (SELECT f.user_id, log.e, last(log.event_id ORDER BY log.n) AS event_id FROM f JOIN log ON log.user_id = f.user_id AND log.n > coalesce(f.fn, f.bn) AND log.e IN ('view', 'click') GROUP BY f.user_id, log.e)
