@@ -109,15 +109,23 @@ class Reader(DataSourceStreamReader):
                 out.append(Group(path, g, stats.min, stats.max, group.num_rows, group.total_byte_size))
         return out
 
+    def _listed(self, folder: str) -> Iterator[str]:
+        """The files of a folder and those below it; what writers still work on lies in folders of hidden names."""
+        for f in self.fs.get_file_info(fs.FileSelector(folder, allow_not_found=True)):
+            if f.base_name.startswith(("_", ".")):
+                continue
+            if f.type == fs.FileType.Directory:
+                yield from self._listed(f.path)
+            elif f.path.endswith(".parquet"):
+                yield f.path
+
     def _groups(self) -> list[Group]:
         """All row groups; footers of files that are new are read, side by side."""
-        listed = self.fs.get_file_info(fs.FileSelector(self.path, recursive=True, allow_not_found=True))
-        paths = [f.path for f in listed if f.is_file and f.path.endswith(".parquet") and not f.base_name.startswith(("_", "."))]
+        paths = list(self._listed(self.path))
         new = [p for p in paths if p not in self.known]
         with ThreadPoolExecutor(16) as pool:
             self.known.update(zip(new, pool.map(self._footer, new), strict=True))
-        gone = set(self.known) - set(paths)
-        for p in gone:
+        for p in set(self.known) - set(paths):
             del self.known[p]
         return [g for p in paths for g in self.known[p]]
 
