@@ -7,6 +7,7 @@ value without its name. So all mentions of an entity have one surrogate, whateve
 surrogate keeps the format of its mention: separators, the cases of letters, a country code, a card's
 first digit and check sum, a private address's range, a person's title, gender and script.
 
+Names are words with hyphens and apostrophes too, and may have initials before or between them.
 A person's given and family names are entities of their own: `Mr. John Smith`, `Mr. Smith`, `Dr. John
 Smith` and, in the same document, `John Smith` or `Smith` without title have the same names afterwards.
 The gender of a given name is that of its title, else that of most titles it has in the corpus, else its
@@ -35,6 +36,8 @@ OPEN, NEXT, ESCAPE = "\uFFFE", "\uFFFF", "\uFDD2"
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 _TITLES_M, _TITLES_F, _TITLES_N = r"Mr|Herr|Monsieur|Señor|Sir|Г-н", r"Mrs|Ms|Miss|Frau|Madame|Mme|Señora|Lady|Г-жа", r"Dr|Prof"
 _H = "[0-9A-Fa-f]{1,4}"
+#: A word of a name: also one with hyphens or apostrophes.
+_NAME = r"\p{Lu}(?:\p{L}+|['’]\p{Lu}\p{L}+)(?:[-'’]\p{Lu}\p{L}+)*"
 #: Kinds and their patterns, in the order in which they are tried; none has a group of its own.
 PATTERNS = {
     "email": r"(?<![\w.%+-])[A-Za-z0-9][A-Za-z0-9._%+-]*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
@@ -45,7 +48,7 @@ PATTERNS = {
     "identity": r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])",
     "card": r"(?<![\w-])\d(?:[ -]?\d){12,18}(?![\w-])",
     "account": r"(?<!\w)[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?!\w)",
-    "person": rf"(?<![\w-])(?:{_TITLES_M}|{_TITLES_F}|{_TITLES_N})\.? \p{{Lu}}\p{{L}}+(?: \p{{Lu}}\p{{L}}+)?",
+    "person": rf"(?<![\w-])(?:{_TITLES_M}|{_TITLES_F}|{_TITLES_N})\.? (?:(?:\p{{Lu}}\. ){{1,3}})?{_NAME}(?:(?: \p{{Lu}}\.){{0,3}} {_NAME})?",
 }
 KINDS = tuple(PATTERNS)
 PATTERN = "|".join(f"({p})" for p in PATTERNS.values())
@@ -256,10 +259,12 @@ def _mentions(marked: Column) -> Column:
                 kind = F.when(at(i) != "", name).otherwise(kind)
             entity = F.concat(*[at(i) for i in range(len(KINDS))])
             person = at(KINDS.index("person"))
-            names = F.split(F.regexp_replace(person, r"^\S+ ", ""), " ")
+            words = F.split(F.regexp_replace(person, r"^\S+ ", ""), " ")
+            names = F.filter(words, lambda w: ~F.endswith(w, F.lit(".")))
             return F.struct(
                 kind.alias("kind"), entity.alias("entity"), at(len(KINDS)).alias("rest"), F.regexp_extract(person, r"^(\S+ )", 1).alias("title"), F.when(F.size(names) > 1, F.get(names, F.lit(0))).alias("given"),
                 F.when(person != "", F.element_at(names, -1)).alias("family"), F.when(person.rlike(r"\p{IsCyrillic}{2}"), "cyrillic").otherwise("latin").alias("script"),
+                F.transform(words, lambda w: F.endswith(w, F.lit("."))).alias("initials"),
             )
 
         return _let(F.split(part, NEXT, -1), fields)
@@ -272,6 +277,17 @@ def _titled(title: Column) -> Column:
     return F.when(title.rlike(rf"^(?:{_TITLES_F})\b"), "f").when(title.rlike(rf"^(?:{_TITLES_M})\b"), "m")
 
 
+def _put(x: Column, given: Column, family: Column) -> Column:
+    """A person's mention with other names; an initial becomes that of the other given name, or of the family name if there is none."""
+
+    def of(names: Column) -> Column:
+        initial = F.concat(F.substr(F.get(names, F.lit(0)), F.lit(1), F.lit(1)), F.lit("."))
+        word = lambda is_initial, i: F.when(is_initial, initial).when(i == F.size(x["initials"]) - 1, F.element_at(names, -1)).otherwise(F.get(names, F.lit(0)))
+        return F.concat(x["title"], F.array_join(F.transform(x["initials"], word), " "))
+
+    return _let(F.when(x["given"].isNotNull(), F.array(given, family)).otherwise(F.array(family)), of)
+
+
 def _note(kind: Column, canon: Column) -> Column:
     return F.concat_ws("|", kind, canon)
 
@@ -367,7 +383,7 @@ def replace(documents: DataFrame, key: str = KEY) -> DataFrame:
 
     def of(x: Column) -> Column:
         given, family = named(x)
-        return F.when(x["kind"] == "person", F.concat(x["title"], F.when(x["given"].isNotNull(), F.concat(given, F.lit(" "))).otherwise(""), family)).otherwise(_let(tries(x["kind"], x["entity"]), lambda n: surrogate(x["kind"], x["entity"], n, key)))
+        return F.when(x["kind"] == "person", _put(x, given, family)).otherwise(_let(tries(x["kind"], x["entity"]), lambda n: surrogate(x["kind"], x["entity"], n, key)))
 
     def bare(x: Column) -> Column:
         given, family = named(x)

@@ -279,6 +279,17 @@ def test_surrogates(spark):
     assert m and m[1] == m[2] != "04dbebab91ab85687d33ee" and m[3] != "1f2e"
 
 
+def test_names_with_hyphens_apostrophes_and_initials(spark):
+    """No part of a name stays, the same name is the same afterwards, initials are those of the new name."""
+    texts = ["Mr. Jean-Luc Picard came, Picard left", "Ms. Anna Müller-Lüden and Müller-Lüden", "Mr. John F. Kennedy spoke; Kennedy left", "Mr. Shaun O'Brien and O'Brien", "Dr. J. R. Oppenheimer met Oppenheimer", "Mr. T. is"]
+    new = [r.text for r in pii_surrogates.replace(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).orderBy("doc_id").collect()]
+    name, initial = r"\p{Lu}\p{L}+", r"\p{Lu}\."
+    forms = [rf"Mr\. {name} ({name}) came, \1 left", rf"Ms\. {name} ({name}) and \1", rf"Mr\. (\p{{Lu}})\p{{L}}+ \1\. ({name}) spoke; \2 left", rf"Mr\. {name} ({name}) and \1", rf"Dr\. {initial} {initial} ({name}) met \1", r"Mr\. T\. is"]
+    assert all(regex.fullmatch(f, x) for f, x in zip(forms, new, strict=True)), new
+    for part in ("Jean", "Luc", "Picard", "Anna", "Müller", "Lüden", "John", "Kennedy", "Shaun", "Brien", "Oppenheimer"):
+        assert not any(part in x for x in new)
+
+
 def test_surrogates_stay_distinct(spark, monkeypatch):
     """Draws that collide are repeated until all are distinct and none is an entity; a format that is full grows."""
     real = pii_surrogates._draw
