@@ -9,6 +9,7 @@ import zlib
 import duckdb
 import numpy as np
 import pytest
+import regex
 
 from rillstone.llm import embedding_dedup, jaccard_join, line_dedup, lm_scoring, mixing, packing, pii_surrogates, quality_rules, recurrent_lm, substring_dedup, url_reputation
 from rillstone.llm import textkernel as kernel
