@@ -10,17 +10,39 @@ from typing import Any
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.ordering import BRACKETS, bracket, encoded, encoded_constant, field, items
+from ..functions.ordering import BRACKETS, among, bracket, compared, encoded, field, items, kind_of, let
 from .catalog import Index
 
 
 def _step(x: Column, name: str) -> Column:
     """What a name leads to: of an object its field; of an array that field of each element, and by number an element."""
-    of = items(x)
-    inside = F.transform(F.filter(of, lambda e: F.startswith(F.schema_of_variant(e), F.lit("OBJ"))), lambda e: field(e, name))
+    of = _elements(x, "$", name)
+    inside = _fields_of(of, name)
     if name.isdigit():
         inside = F.concat(F.array(F.try_variant_get(x, F.lit(f"$[{name}]"), "variant")), inside)
-    return F.when(of.isNotNull(), inside).otherwise(F.array(field(x, name)))
+    return F.coalesce(inside, F.array(field(x, name)))
+
+
+def _elements(x: Column, at: str, name: str) -> Column:
+    """Of an array at a path its elements as structs of one field, null for those that are no objects; null if there is no array."""
+    return F.try_variant_get(x, F.lit(at), f"array<struct<`{name.replace('`', '``')}`:variant>>")
+
+
+def _fields_of(elements: Column, name: str) -> Column:
+    return F.transform(F.filter(elements, lambda e: e.isNotNull()), lambda e: e[name])
+
+
+def _two_steps(x: Column, first: str, name: str) -> Column:
+    """Two names at once, which spares a copy of what the first leads to; only an array has its own way."""
+    slow = F.flatten(F.transform(_step(x, first), _stepping(name)))
+    if name.isdigit():
+        return slow
+    ahead = F.coalesce(_fields_of(_elements(x, f"$['{first}']", name), name), F.array(F.try_variant_get(x, F.lit(f"$['{first}']['{name}']"), "variant")))
+    return F.when(_is_array(x), slow).otherwise(ahead)
+
+
+def _is_array(x: Column) -> Column:
+    return F.try_variant_get(x, F.lit("$"), "array<struct<>>").isNotNull()
 
 
 def _stepping(name: str) -> Callable[[Column], Column]:
@@ -29,12 +51,20 @@ def _stepping(name: str) -> Callable[[Column], Column]:
 
 def values_at(v: Column, path: str) -> Column:
     """What a dotted path leads to, through arrays on the way: an array with a null for what is missing."""
-    out = F.array(v)
-    for name in path.split(".") if path else ():
+    names = path.split(".") if path else []
+    if not names:
+        return F.array(v)
+    out, rest = (_two_steps(v, *names[:2]), names[2:]) if len(names) > 1 else (_step(v, names[0]), [])
+    for name in rest:
         out = F.flatten(F.transform(out, _stepping(name)))
     return out
 
 
+def _any(v: Column, path: str, test: Callable[[Column], Column]) -> Column:
+    """Whether a test that holds for no array, and is never null, holds for one of the candidates."""
+    return F.exists(values_at(v, path), lambda x: F.exists(F.coalesce(items(x), F.array(x)), test))
+
+
 def candidates(v: Column, path: str) -> Column:
     """The values that a comparison tries: those at the path, and the elements of those that are arrays."""
     at = values_at(v, path)
@@ -55,18 +85,19 @@ _TYPES = BRACKETS | dict.fromkeys(("int", "long", "double", "decimal"), BRACKETS
 
 def _compared(v: Column, path: str, op: str, want: Any) -> Column:
     tried = candidates(v, path)
-    if op == "$eq":
-        if want is None:
-            return F.exists(tried, _missing) | (F.size(tried) == 0)
-        return F.exists(tried, lambda x: encoded(x) == encoded_constant(want))
-    if op in ("$gt", "$gte", "$lt", "$lte"):
-        test = {"$gt": lambda a, b: a > b, "$gte": lambda a, b: a >= b, "$lt": lambda a, b: a < b, "$lte": lambda a, b: a <= b}[op]
-        bound = encoded_constant(want)
-        return F.exists(tried, lambda x: F.startswith(encoded(x), F.lit(bound[:2])) & test(encoded(x), F.lit(bound)))
+    if op == "$eq" and want is None:
+        return F.exists(tried, _missing) | (F.size(tried) == 0)
+    if op in ("$eq", "$gt", "$gte", "$lt", "$lte"):
+        if isinstance(want, list):
+            return F.exists(tried, lambda x: compared(x, op, want))
+        return _any(v, path, lambda x: compared(x, op, want))
     if op in ("$ne", "$nin", "$not"):
         return ~{"$ne": lambda: _compared(v, path, "$eq", want), "$nin": lambda: _compared(v, path, "$in", want), "$not": lambda: _field(v, path, want)}[op]()
     if op == "$in":
-        some = F.exists(tried, lambda x: encoded(x).isin(*[encoded_constant(w) for w in want])) if want else F.lit(False)
+        lists, others = [w for w in want if isinstance(w, list)], [w for w in want if not isinstance(w, list)]
+        some = _any(v, path, lambda x: among(x, others)) if others else F.lit(False)
+        if lists:
+            some = some | F.exists(tried, lambda x: among(x, lists))
         return some | _compared(v, path, "$eq", None) if None in want else some
     if op == "$all":
         return reduce(lambda a, b: a & b, [_compared(v, path, "$eq", x) for x in want]) if want else F.lit(False)
@@ -74,11 +105,11 @@ def _compared(v: Column, path: str, op: str, want: Any) -> Column:
         found = F.exists(values_at(v, path), lambda x: x.isNotNull())
         return found if want else ~found
     if op == "$size":
-        return F.exists(values_at(v, path), lambda x: F.coalesce(F.size(items(x)), F.lit(-1)) == want)
+        return F.exists(values_at(v, path), lambda x: F.coalesce(F.size(F.try_variant_get(x, F.lit("$"), "array<struct<>>")), F.lit(-1)) == want)
     if op == "$elemMatch":
         return F.exists(values_at(v, path), lambda x: F.coalesce(F.exists(items(x), lambda e: _field(e, "", want)), F.lit(False)))
     if op == "$regex":
-        return F.exists(tried, lambda x: (bracket(x) == BRACKETS["string"]) & F.try_variant_get(x, F.lit("$"), "string").rlike(want))
+        return _any(v, path, lambda x: F.coalesce((kind_of(x) == "STR") & F.try_variant_get(x, F.lit("$"), "string").rlike(want), F.lit(False)))
     if op == "$type":
         return F.exists(tried, lambda x: x.isNotNull() & bracket(x).isin(*[_TYPES[t] for t in ([want] if isinstance(want, str) else want)]))
     raise ValueError(f"no such comparison: {op}")
@@ -112,11 +143,10 @@ def _keys_of(v: Column, path: str) -> Column:
     """Distinct encoded values that an index has of one field: those of null where there is none, and one of its own for an empty array."""
 
     def keys(x: Column) -> Column:
-        of = items(x)
-        return F.when(F.size(of) == 0, F.array(F.lit(EMPTY))).otherwise(F.transform(F.coalesce(of, F.array(x)), encoded))
+        return let(items(x), lambda of: F.when(F.size(of) == 0, F.array(F.lit(EMPTY))).when(of.isNotNull(), F.transform(of, encoded)).otherwise(F.array(encoded(x))))
 
     found = F.array_distinct(F.flatten(F.transform(values_at(v, path), keys)))
-    return F.when(F.size(found) == 0, F.array(F.lit(BRACKETS["null"]))).otherwise(found)
+    return let(found, lambda some: F.when(F.size(some) == 0, F.array(F.lit(BRACKETS["null"]))).otherwise(some))
 
 
 def _joined(part: Column) -> Callable[[Column], Column]:
@@ -141,8 +171,7 @@ def index_keys(v: Column, paths: list[str], sparse: bool = False) -> Column:
     shared = {h for h in heads if heads.count(h) > 1 and all("." in p for p, x in zip(paths, heads, strict=True) if x == h)}
     if shared:
         (head, *_) = [h for h in heads if h in shared]
-        whole = field(v, head)
-        elements = F.coalesce(F.when(F.size(items(whole)) > 0, items(whole)), F.array(whole))
+        elements = let(F.try_variant_get(v, F.lit(f"$['{head}']"), "array<variant>"), lambda of: F.when(F.size(of) > 0, of).otherwise(F.array(field(v, head))))
 
         def of(e: Column) -> Column:
             return _combined([_keys_of(e, p.partition(".")[2]) if h == head else _keys_of(v, p) for p, h in zip(paths, heads, strict=True)])

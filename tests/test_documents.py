@@ -4,7 +4,7 @@ import json
 
 from pyspark.sql import functions as F
 
-from rillstone.functions.ordering import encoded, encoded_constant
+from rillstone.functions.ordering import compared, encoded, encoded_constant
 from rillstone.operators import documents
 from rillstone.operators.catalog import Index
 
@@ -58,3 +58,17 @@ def test_document_sizes(spark):
     docs['{"a":[' + ",".join(["0"] * 12) + "]}"] = 5 + 3 + 5 + 12 * (1 + 2 + 4) + 2
     got = spark.createDataFrame([(d,) for d in docs], "d string").select("d", documents.document_size(F.col("d")).alias("n")).collect()
     assert {r.d: r.n for r in got} == docs
+
+
+def test_comparisons_are_those_of_the_encoded_texts(spark):
+    values = [json.dumps(v) for same in ORDER for v in same] + ["123.45", "-7.25", '{"$numberDecimal":"2.5"}', "1e-19", "12345678901234567890123"]
+    wants = [1, 2.5, 0, float("nan"), 1e22, "A", True, {"$oid": "5F0000000000000000000000"}, {"$date": {"$numberLong": "-5"}}, {"a": 1}]
+    tests = [(w, op) for w in wants for op in ("$gt", "$lte")] + [(w, "$eq") for w in (2.5, 1)]
+    rows = spark.createDataFrame([(v,) for v in values], "d string").select("d", F.parse_json("d").alias("v"))
+    got = rows.select("d", *[compared(F.col("v"), op, w).alias(f"t{n}") for n, (w, op) in enumerate(tests)]).collect()
+    for r in got:
+        e = encoded_constant(json.loads(r.d)).encode()
+        for n, (w, op) in enumerate(tests):
+            bound = encoded_constant(w).encode()
+            want = e[:2] == bound[:2] and {"$gt": e > bound, "$lte": e <= bound, "$eq": e == bound}[op]
+            assert r[f"t{n}"] is want, (r.d, op, w)
