@@ -1,16 +1,19 @@
-"""Documents as VARIANT: values along paths through arrays, filters, index keys, sizes. All of it runs in the JVM."""
+"""Documents as VARIANT: values along paths through arrays, filters, index keys run in the JVM; sizes are counted in Python (Arrow)."""
 
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Callable
 from functools import reduce
 from typing import Any
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.ordering import BRACKETS, among, bracket, compared, encoded, field, items, kind_of, let
+from ..session import ship
 from .catalog import Index
 
 
@@ -206,14 +209,36 @@ def why_violated(rows: DataFrame, key: str, doc: str, index: Index) -> str | Non
     return f"{twice[0].n} documents have the key {list(twice[0]['keys'])}" if twice else None
 
 
-#: Tokens of JSON; extended values, and what stands for them.
-_TOKEN = r'"(?:[^"\\]|\\.)*"\s*:?|[{}\[\]]|@[a-z]+|-?[0-9][0-9.eE+-]*|true|false|null'
-_EXTENDED = (
-    (r'\{\s*"\$oid"\s*:\s*"[0-9a-fA-F]{24}"\s*\}', "@oid"), (r'\{\s*"\$date"\s*:\s*(?:"[^"]*"|\{\s*"\$numberLong"\s*:\s*"[^"]*"\s*\})\s*\}', "@date"),
-    (r'\{\s*"\$numberLong"\s*:\s*"[^"]*"\s*\}', "@long"), (r'\{\s*"\$numberDouble"\s*:\s*"[^"]*"\s*\}', "@double"), (r'\{\s*"\$numberDecimal"\s*:\s*"[^"]*"\s*\}', "@decimal"),
-)
-#: Bytes of values of a fixed size, by the token that shows them.
-_FIXED = {"@oid": 12, "@date": 8, "@long": 8, "@double": 8, "@decimal": 16, "true": 1, "false": 1, "null": 0}
+#: Bytes of extended values by their one field; of a whole number of 64 bits.
+_EXTENDED = {"$oid": (12,), "$date": (8,), "$numberDouble": (8,), "$numberDecimal": (16,)}
+_LONG = (8,)
+
+
+def _octets(text: str) -> int:
+    return len(text) if text.isascii() else len(text.encode("utf-8", "replace"))
+
+
+def _value_size(x: Any) -> int:
+    if isinstance(x, tuple):  # an object, by its size
+        return x[0]
+    if isinstance(x, str):
+        return _octets(x) + 5
+    if x is None or isinstance(x, bool):
+        return int(x is not None)
+    if isinstance(x, list):
+        return 5 + sum(len(str(i)) + 2 + _value_size(e) for i, e in enumerate(x))
+    return 4 if isinstance(x, int) and -(2**31) <= x < 2**31 else 8
+
+
+def _object_size(pairs: list[tuple[str, Any]]) -> tuple[int]:
+    """An object's size, as the parser hands over its fields; objects in it are sizes already."""
+    if len(pairs) == 1 and pairs[0][0][:1] == "$":
+        name, x = pairs[0]
+        if name == "$numberLong" and isinstance(x, str):
+            return _LONG
+        if name in _EXTENDED and (isinstance(x, str) and (name != "$oid" or re.fullmatch("[0-9a-fA-F]{24}", x)) or name == "$date" and x is _LONG):
+            return _EXTENDED[name]
+    return (5 + sum(_octets(k) + 2 + _value_size(x) for k, x in pairs),)
 
 
 def document_size(doc: Column) -> Column:
@@ -222,31 +247,11 @@ def document_size(doc: Column) -> Column:
     A document is a length, its fields and an end; a field a type, its name with an end, and its value; an
     array is a document whose names are its places. Whole numbers take four bytes if they fit, else eight.
     """
-    for pattern, token in _EXTENDED:
-        doc = F.regexp_replace(doc, pattern, token)
-    tokens = F.regexp_extract_all(doc, F.lit(_TOKEN), 0)
-
-    def content(quoted: Column) -> Column:
-        plain = F.substring(quoted, 2, F.length(quoted) - 2)
-        parsed = F.from_json(F.concat(F.lit("["), quoted, F.lit("]")), "array<string>")
-        return F.octet_length(F.when(F.contains(quoted, F.lit("\\")), parsed[0]).otherwise(plain))
-
-    def add(state: Column, t: Column) -> Column:
-        place = F.element_at(state["open"], -1)  # the next place of an array, -1 in an object
-        first = F.substring(t, 1, 1)
-        is_key, closes, opens = F.endswith(t, F.lit(":")) & (first == '"'), t.isin("}", "]"), t.isin("{", "[")
-        number = t.try_cast("decimal(38,0)")
-        whole = ~t.rlike("[.eE]") & number.between(-(2**31), 2**31 - 1)
-        fixed = F.lit(None).cast("int")
-        for shown, n in _FIXED.items():
-            fixed = F.when(t == shown, n).otherwise(fixed)
-        value = F.when(opens, 5).when(first == '"', content(t) + 5).otherwise(F.coalesce(fixed, F.when(whole, 4).otherwise(8)))
-        head = F.when(place >= 0, F.length(place.cast("string")) + 2).otherwise(0)  # the name of an element
-        size = F.when(closes, 0).when(is_key, content(F.rtrim(F.rtrim(t, F.lit(":")))) + 2).otherwise(value + head)
-        rest = F.slice(state["open"], 1, F.size(state["open"]) - 1)
-        counted = F.when((place >= 0) & ~closes & ~is_key, F.concat(rest, F.array(place + 1))).otherwise(state["open"])
-        now = F.when(closes, rest).when(opens, F.concat(counted, F.array(F.when(t == "[", 0).otherwise(-1)))).otherwise(counted)
-        return F.struct((state["size"] + size).cast("bigint").alias("size"), now.alias("open"))
-
-    start = F.struct(F.lit(0).cast("bigint").alias("size"), F.array(F.lit(-1)).alias("open"))
-    return F.aggregate(tokens, start, add, lambda s: s["size"])
+    ship()
+
+    @F.pandas_udf("bigint")
+    def size(docs: pd.Series) -> pd.Series:
+        read = json.JSONDecoder(object_pairs_hook=_object_size).decode
+        return pd.Series([None if d is None else _value_size(read(d)) for d in docs], dtype="Int64")
+
+    return size(doc)

@@ -72,3 +72,12 @@ def test_comparisons_are_those_of_the_encoded_texts(spark):
             bound = encoded_constant(w).encode()
             want = e[:2] == bound[:2] and {"$gt": e > bound, "$lte": e <= bound, "$eq": e == bound}[op]
             assert r[f"t{n}"] is want, (r.d, op, w)
+
+
+def test_document_sizes_of_deep_and_extended_values(spark):
+    docs = {'{"a":{"$date":{"$numberLong":"5"}},"b":{"$numberLong":"7"},"c":{"$oid":"x"}}': 5 + 11 + 11 + 3 + 5 + 6 + 6, '{"a":1,"a":true,"b":[[],{"k":-2147483649}]}': 5 + 7 + 4 + 3 + 5 + 3 + 5 + 3 + 5 + 3 + 8}
+    docs["[" * 300 + "]" * 300] = 5 + 299 * 8
+    rows = spark.createDataFrame([*[(d,) for d in docs], (None,)], "d string").select("d", documents.document_size(F.col("d")).alias("n"))
+    assert {r.d: r.n for r in rows.collect()} == docs | {None: None}
+    # One pass of the parser in a Python worker, not a fold of tokens that is interpreted expression by expression.
+    assert "lambdafunction" not in rows._jdf.queryExecution().optimizedPlan().toString()
