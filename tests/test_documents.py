@@ -81,3 +81,12 @@ def test_document_sizes_of_deep_and_extended_values(spark):
     assert {r.d: r.n for r in rows.collect()} == docs | {None: None}
     # One pass of the parser in a Python worker, not a fold of tokens that is interpreted expression by expression.
     assert "lambdafunction" not in rows._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_index_keys_are_computed_once(spark):
+    docs = ['{"a":[3,-3,0,"x",[],null]}', '{"a":[]}', "{}", '{"a":{"$numberLong":"3"}}']
+    rows = spark.createDataFrame(list(enumerate(docs)), "k int, d string").select("k", F.parse_json("d").alias("v"))
+    keys = rows.select("k", documents.index_keys(F.col("v"), ["a"]).alias("keys"))
+    want = [[encoded_constant(x) for x in (3, -3, 0, "x", [], None)], [documents.EMPTY], [encoded_constant(None)], [encoded_constant(3)]]
+    assert {r.k: [x for (x,) in r["keys"]] for r in keys.collect()} == dict(enumerate(want))
+    assert keys._jdf.queryExecution().analyzed().toString().count("array_distinct") == 1
