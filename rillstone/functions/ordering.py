@@ -102,6 +102,17 @@ def _whole(shown: Column) -> Column:
     return F.when(shown == "0", "3").when(F.startswith(shown, F.lit("-")), below).otherwise(F.concat(F.lit("45"), digits, F.lit(zeros)))
 
 
+def plainly_encoded(shown: Column) -> Column:
+    """encoded of a value by its JSON text, if that is a number of at most 18 digits without a point, a string without escapes or a boolean; else null.
+
+    It has no lambda functions, which are interpreted: all of it is compiled.
+    """
+    first = F.substring(shown, 1, 1)
+    text = F.when(~F.contains(shown, F.lit("\\")), F.concat(F.lit(BRACKETS["string"]), F.substring(shown, F.lit(2), F.length(shown) - 2)))
+    number = F.when((F.translate(shown, DIGITS + "-", "") == "") & (F.length(shown) <= 18), F.concat(F.lit(BRACKETS["number"]), _whole(shown)))
+    return F.when(first == '"', text).when(first == "t", BRACKETS["bool"] + "1").when(first == "f", BRACKETS["bool"] + "0").when(first.isin(*DIGITS, "-"), number)
+
+
 def encoded(v: Column) -> Column:
     """Text that sorts like values do, and is equal for equal ones; a missing value is like null.
 

@@ -12,7 +12,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.ordering import BRACKETS, among, bracket, compared, encoded, field, items, kind_of, let
+from ..functions.ordering import BRACKETS, among, bracket, compared, encoded, field, items, kind_of, let, plainly_encoded
 from ..session import ship
 from .catalog import Index
 
@@ -142,13 +142,14 @@ def matches(v: Column, query: dict[str, Any]) -> Column:
     return F.coalesce(reduce(lambda a, b: a & b, tests, F.lit(True)), F.lit(False))
 
 
-def _keys_of(v: Column, path: str) -> Column:
-    """Distinct encoded values that an index has of one field: those of null where there is none, and one of its own for an empty array."""
+def _keys_of_value(x: Column) -> Column:
+    """Encoded values that an index has of a value: of an array's elements, one of its own for an empty array."""
+    return let(items(x), lambda of: F.when(F.size(of) == 0, F.array(F.lit(EMPTY))).when(of.isNotNull(), F.transform(of, encoded)).otherwise(F.array(encoded(x))))
 
-    def keys(x: Column) -> Column:
-        return let(items(x), lambda of: F.when(F.size(of) == 0, F.array(F.lit(EMPTY))).when(of.isNotNull(), F.transform(of, encoded)).otherwise(F.array(encoded(x))))
 
-    found = F.array_distinct(F.flatten(F.transform(values_at(v, path), keys)))
+def _keys_of(v: Column, path: str) -> Column:
+    """Distinct encoded values that an index has of one field: those of null where there is none, and one of its own for an empty array."""
+    found = F.array_distinct(F.flatten(F.transform(values_at(v, path), _keys_of_value)))
     return let(found, lambda some: F.when(F.size(some) == 0, F.array(F.lit(BRACKETS["null"]))).otherwise(some))
 
 
@@ -164,6 +165,12 @@ def _combined(parts: list[Column]) -> Column:
     return out
 
 
+def _shared_head(paths: list[str]) -> str | None:
+    """The first field that several paths go below, and none stops at."""
+    heads = [p.split(".")[0] for p in paths]
+    return next((h for h in heads if heads.count(h) > 1 and all("." in p for p, x in zip(paths, heads, strict=True) if x == h)), None)
+
+
 def index_keys(v: Column, paths: list[str], sparse: bool = False) -> Column:
     """The keys that a document has in an index over these paths: arrays of encoded values, each once.
 
@@ -171,9 +178,8 @@ def index_keys(v: Column, paths: list[str], sparse: bool = False) -> Column:
     element. A sparse index has no key of a document that lacks all of its fields.
     """
     heads = [p.split(".")[0] for p in paths]
-    shared = {h for h in heads if heads.count(h) > 1 and all("." in p for p, x in zip(paths, heads, strict=True) if x == h)}
-    if shared:
-        (head, *_) = [h for h in heads if h in shared]
+    head = _shared_head(paths)
+    if head is not None:
         elements = let(F.try_variant_get(v, F.lit(f"$['{head}']"), "array<variant>"), lambda of: F.when(F.size(of) > 0, of).otherwise(F.array(field(v, head))))
 
         def of(e: Column) -> Column:
@@ -183,18 +189,51 @@ def index_keys(v: Column, paths: list[str], sparse: bool = False) -> Column:
     else:
         keys = _combined([_keys_of(v, p) for p in paths])
     if sparse:
-        some = reduce(lambda a, b: a | b, [F.exists(values_at(v, p), lambda x: x.isNotNull()) for p in paths])
-        keys = F.when(some, keys).otherwise(F.expr("cast(array() AS array<array<string>>)"))
+        keys = F.when(_some_of(v, paths), keys).otherwise(F.expr("cast(array() AS array<array<string>>)"))
     return keys
 
 
+def _some_of(v: Column, paths: list[str]) -> Column:
+    """Whether a document has any of the fields."""
+    return reduce(lambda a, b: a | b, [F.exists(values_at(v, p), lambda x: x.isNotNull()) for p in paths])
+
+
+def _with_keys(docs: DataFrame, paths: list[str], sparse: bool, wanted: Column) -> DataFrame:
+    """_of, keys: index_keys of docs (_of, _v) that are wanted, a row or more of each.
+
+    What most documents hold, plain values of fields or of the objects of one array, is a column of its own and encoded
+    by compiled code; lambda functions are interpreted, at some ten times the time. The rest goes through index_keys.
+    """
+    v, places = F.col("_v"), range(len(paths))
+    head, names = _shared_head(paths), [p.partition(".")[2] for p in paths]
+    wanted = wanted & _some_of(v, paths) if sparse else wanted
+    if head is not None and all(p.startswith(f"{head}.") for p in paths) and "." not in "".join(names) and len({n.lower() for n in names}) == len(names):
+        fields = ",".join(f"`{n.replace('`', '``')}`:variant" for n in names)
+        docs = docs.select("_of", "_v", wanted.alias("_wanted"), F.try_variant_get(v, F.lit(f"$['{head}']"), f"array<struct<{fields}>>").alias("_e"))
+        objects = F.coalesce((F.size("_e") > 0) & F.forall("_e", lambda e: e.isNotNull()), F.lit(False))
+        docs = docs.select("_of", F.when(F.col("_wanted") & objects, F.col("_e")).alias("_e"), F.when(F.col("_wanted") & ~objects, index_keys(v, paths)).alias("_keys"))
+        docs = docs.select("_of", "_keys", F.explode_outer("_e").alias("_e")).select("_of", "_keys", F.col("_e").isNotNull().alias("_wanted"), *[F.col("_e")[n].alias(f"_x{i}") for i, n in enumerate(names)])
+        rest = F.when(F.col("_wanted"), _combined([F.array_distinct(_keys_of_value(F.col(f"_x{i}"))) for i in places])).otherwise(F.col("_keys"))
+        carried = ["_of", "_keys", "_wanted"]
+    else:
+        direct = ["$" + "".join(f"['{n}']" for n in p.split(".")) for p in paths]
+        docs = docs.select("_of", "_v", wanted.alias("_wanted"), *[F.try_variant_get(v, F.lit(d), "variant").alias(f"_x{i}") for i, d in enumerate(direct)])
+        rest = F.when(F.col("_wanted"), index_keys(v, paths))
+        carried = ["_of", "_v", "_wanted"]
+    xs = [f"_x{i}" for i in places]
+    docs = docs.select(*carried, *xs, *[F.to_json(x).alias(f"_j{i}") for i, x in enumerate(xs)])
+    docs = docs.select(*carried, *xs, *[plainly_encoded(F.col(f"_j{i}")).alias(f"_p{i}") for i in places])
+    plain = reduce(lambda a, b: a & b, [F.col(f"_p{i}").isNotNull() for i in places], F.col("_wanted"))
+    docs = docs.select("_of", F.when(plain, F.array(F.array(*[F.col(f"_p{i}") for i in places]))).otherwise(rest).alias("keys"))
+    # Outer, and filtered after it: a filter on the way in would have documents parsed and walked twice.
+    return docs.select("_of", F.explode_outer("keys").alias("keys")).filter("keys IS NOT NULL")
+
+
 def index_violations(rows: DataFrame, key: str, doc: str, paths: list[str], sparse: bool = False, partial: dict[str, Any] | None = None) -> DataFrame:
     """keys, n of index keys that more than one of the documents (key, doc: JSON) have; a unique index needs this to be empty."""
-    keys = index_keys(F.col("_v"), paths, sparse)
-    if partial is not None:
-        keys = F.when(matches(F.col("_v"), partial), keys)
-    # Outer, and filtered after it: a filter on the way in would have documents parsed and walked twice.
-    found = rows.select(F.col(key).alias("_of"), F.parse_json(doc).alias("_v")).select("_of", F.explode_outer(keys).alias("keys")).filter("keys IS NOT NULL").distinct()
+    wanted = F.lit(True) if partial is None else matches(F.col("_v"), partial)
+    docs = rows.select(F.col(key).alias("_of"), F.parse_json(doc).alias("_v"))
+    found = _with_keys(docs, paths, sparse, wanted).distinct()
     return found.groupBy("keys").agg(F.count("*").alias("n")).filter("n > 1")
 
 

@@ -58,7 +58,7 @@ def match_brackets(spark: SparkSession, sf: str) -> DataFrame:
 def _orders(spark: SparkSession, sf: str) -> DataFrame:
     """key, doc, status: orders as documents with an array of their lines and one of what the lines' parts are called."""
     line = F.struct(F.col("l_partkey").alias("p"), F.col("l_quantity").cast("int").alias("q"))
-    lines = table(spark, sf, "lineitem").groupBy("l_orderkey").agg(F.array_sort(F.collect_list(line)).alias("lines"), F.array_sort(F.collect_set(F.col("l_partkey") % 10)).alias("tags"))
+    lines = table(spark, sf, "lineitem").groupBy("l_orderkey").agg(F.sort_array(F.collect_list(line)).alias("lines"), F.sort_array(F.collect_set(F.col("l_partkey") % 10)).alias("tags"))
     o = table(spark, sf, "orders").join(lines, F.col("l_orderkey") == F.col("o_orderkey"))
     doc = F.to_json(F.struct(F.col("o_orderkey").alias("_id"), F.col("o_custkey").alias("c"), F.col("o_totalprice").cast("double").alias("t"), "tags", "lines"))
     return o.select(F.col("o_orderkey").alias("key"), doc.alias("doc"), F.col("o_orderstatus").alias("status"))

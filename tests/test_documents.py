@@ -90,3 +90,17 @@ def test_index_keys_are_computed_once(spark):
     want = [[encoded_constant(x) for x in (3, -3, 0, "x", [], None)], [documents.EMPTY], [encoded_constant(None)], [encoded_constant(3)]]
     assert {r.k: [x for (x,) in r["keys"]] for r in keys.collect()} == dict(enumerate(want))
     assert keys._jdf.queryExecution().analyzed().toString().count("array_distinct") == 1
+
+
+def test_index_violations_of_plain_and_odd_documents(spark):
+    odd = ["x", 'q"\\\n', "", 3, 3.0, -3, 0, -0.0, 123456789012345678, 1234567890123456789, 12345678901234567890123, 1e22, True, False, None, {}, {"$numberLong": "3"}, {"$oid": "5F0000000000000000000000"}, [], [3, "x"], [[1]], {"b": 1}]
+    docs = [{"a": x} for x in odd] + [{"p": [{"r": x, "q": 1}, {"q": "x"}]} for x in odd] + [{"p": x} for x in odd] + [{"p": [{"r": 3, "q": 1}, 7, [{"r": 5}]]}, {}, {"a": {"b": "x"}}, {"a": [{"b": 1}, {"b": "x"}]}]
+    rows = spark.createDataFrame([(n % 70, json.dumps(d)) for n, d in enumerate(docs * 2)], "k int, d string")
+    for paths, sparse, partial in ((["a"], False, None), (["a"], True, {"a": {"$exists": True}}), (["p.r", "p.q"], False, {"a": None}), (["p.r", "p.q"], True, None), (["a.b", "p"], False, None), (["p.r", "p.q", "a"], False, None)):
+        got = documents.index_violations(rows, "k", "d", paths, sparse, partial)
+        v = F.col("v")
+        keys = F.when(F.lit(True) if partial is None else documents.matches(v, partial), documents.index_keys(v, paths, sparse))
+        want = rows.select("k", F.parse_json("d").alias("v")).select("k", F.explode_outer(keys).alias("keys")).filter("keys IS NOT NULL").groupBy("keys").agg(F.countDistinct("k").alias("n")).filter("n > 1")
+        assert {(tuple(r["keys"]), r.n) for r in got.collect()} == {(tuple(r["keys"]), r.n) for r in want.collect()} != set(), paths
+        # What the generator works on is computed before it, where it can be compiled.
+        assert not [line for line in got._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Generate" in line and "lambdafunction" in line]
