@@ -190,7 +190,8 @@ def _score(key: tuple, docs: pa.Table, answers: pa.Table, lexicon: Lexicon, mode
         counts[i] = found[b]
     c = counts[inverse]
     base = np.log10(c + 1.0) - np.log10(lexicon.total + (lexicon.distinct + 1))
-    ids = lexicon.ids(hashes, kinds.astype(np.int64))
+    own = lexicon.ids(names, np.zeros(len(names), np.uint8))[inverse]
+    ids = own + np.where(own == len(lexicon.words), kinds, 0)  # other words have their shapes' ids
     rest = np.where(ids >= len(lexicon.words), np.log(c + 1.0) - np.log(lexicon.outcomes)[kinds.astype(np.int64)], 0.0)
     doc = np.repeat(np.arange(len(lens)), lens)
     per = lambda x: np.bincount(doc, x, len(lens))

@@ -14,30 +14,34 @@ import heapq
 import numpy as np
 
 HIDDEN, WINDOW, LONGEST, LANES, BLOCK = 16, 16, 8, 512, 2048
+#: Tokens whose probabilities are computed at once.
+PART = 32_768
 RATE, DECAY1, DECAY2 = 0.01, 0.9, 0.99
 #: Shapes of words beyond the vocabulary.
 SHAPES = 8
 END = 0
 
 
-def _softmax(x: np.ndarray, at: np.ndarray, grads: bool) -> tuple[np.ndarray, np.ndarray]:
-    """Log probability of column at of each row and, in place of x, the gradient of its negative (logits stay far below overflow)."""
+#: Logits above it are cut before they are raised.
+MOST = 60
+
+
+def _bounded(w: np.ndarray, bias: np.ndarray) -> bool:
+    """Whether no state, whose parts lie between -1 and 1, has a logit above MOST."""
+    return bool((np.abs(w).sum(axis=1) + bias).max(initial=0) <= MOST)
+
+
+def _softmax(x: np.ndarray, at: np.ndarray, grads: bool, bounded: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Log probability of column at of each row; in place of x, times what is returned last, the gradient of its negative."""
     rows = np.arange(len(at))
     found = x[rows, at]
-    np.minimum(x, 60, out=x)
+    if not bounded:
+        np.minimum(x, MOST, out=x)
     np.exp(x, out=x)
-    total = x.sum(axis=1, keepdims=True)
+    total = x @ np.ones(x.shape[1], x.dtype)
     if grads:
-        x /= total
-        x[rows, at] -= 1
-    return found - np.log(total[:, 0]), x
-
-
-def _sigmoid(x: np.ndarray) -> np.ndarray:
-    np.negative(x, out=x)
-    np.exp(x, out=x)
-    x += 1
-    return np.reciprocal(x, out=x)
+        x[rows, at] -= total
+    return found - np.log(total), x, np.reciprocal(total)
 
 
 class Model:
@@ -77,15 +81,47 @@ class Model:
             self.p[n] = vector[at : at + size].reshape(self.p[n].shape).astype(np.float32)
             at += size
 
-    def step(self, x: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, ...]:
-        """The states after tokens with input columns x, and what backpropagation needs. Lanes are columns: gates are contiguous."""
+    def recurrence(self) -> tuple[np.ndarray, np.ndarray]:
+        """Inputs and recurrent weights as advance takes them: the gates negated, the bias a last column."""
+        sign = np.append(np.full(2 * self.hidden, -1), np.ones(self.hidden)).astype(self.p["bias"].dtype)
+        return self.p["inputs"] * sign, np.column_stack([self.p["recurrent"], self.p["bias"]]) * sign[:, None]
+
+    def begin_states(self, lanes: int) -> np.ndarray:
+        """States of nothing read yet; the last row is the bias's ones."""
+        return np.vstack([np.zeros((self.hidden, lanes)), np.ones((1, lanes))]).astype(self.p["bias"].dtype)
+
+    def advance(self, weights: np.ndarray, x: np.ndarray, h: np.ndarray, kept: tuple[np.ndarray, ...] | None = None) -> None:
+        """Changes the states h to those after tokens with input columns x (both as recurrence and begin_states give them).
+
+        kept gets what backpropagation needs: both gates, the candidate and what of it the state has. Lanes are
+        columns: gates are contiguous.
+        """
         n = self.hidden
-        a = self.p["recurrent"] @ h
-        a += self.p["bias"][:, None]
-        zr = _sigmoid(x[: 2 * n] + a[: 2 * n])
-        z, r = zr[:n], zr[n:]
-        c = np.tanh(x[2 * n :] + r * a[2 * n :])
-        return c + z * (h - c), z, r, c, a[2 * n :]
+        a = weights @ h
+        if kept:
+            zr, c, own = kept
+            own[:] = a[2 * n :]
+            np.add(x[: 2 * n], a[: 2 * n], out=zr)
+        else:
+            zr, c, own = a[: 2 * n], None, a[2 * n :]
+            zr += x[: 2 * n]
+        np.exp(zr, out=zr)
+        zr += 1
+        np.reciprocal(zr, out=zr)
+        c = np.multiply(zr[n:], own, out=c)
+        c += x[2 * n :]
+        np.tanh(c, out=c)
+        new = h[:n]
+        new -= c
+        new *= zr[:n]
+        new += c
+
+    def step(self, x: np.ndarray, h: np.ndarray) -> tuple[np.ndarray]:
+        """The states after one token a lane; x holds columns of the parameters' own inputs."""
+        _, weights = self.recurrence()
+        both = np.vstack([h, np.ones((1, h.shape[1]), h.dtype)])
+        self.advance(weights, np.concatenate([-x[: 2 * self.hidden], x[2 * self.hidden :]]), both)
+        return (both[: self.hidden],)
 
     def output(self, states: np.ndarray, ids: np.ndarray, grads: dict | None = None) -> tuple[np.ndarray, np.ndarray | None]:
         """Natural log probability of each id's class, and of words within their classes; the loss's gradient at the states if grads are gathered."""
@@ -98,25 +134,34 @@ class Model:
                 grads[n] = np.zeros_like(self.p[n])
         order = np.argsort(target.astype(np.int16), kind="stable")  # few classes: a radix sort
         states, ids, target = states[order], ids[order], target[order]
+        few = _bounded(self.p["classes"], self.p["class_bias"])
         for a in range(0, len(ids), BLOCK):
             s = states[a : a + BLOCK]
-            out[a : a + BLOCK], d = _softmax(s @ self.p["classes"].T + self.p["class_bias"], target[a : a + BLOCK], train)
+            x = s @ self.p["classes"].T
+            x += self.p["class_bias"]
+            out[a : a + BLOCK], d, share = _softmax(x, target[a : a + BLOCK], train, few)
             if train:
-                grads["classes"] += d.T @ s
-                grads["class_bias"] += d.sum(0)
+                grads["classes"] += d.T @ (s * share[:, None])
+                grads["class_bias"] += share @ d
                 back[a : a + BLOCK] = d @ self.p["classes"]
+                back[a : a + BLOCK] *= share[:, None]
         edges = np.searchsorted(target, np.arange(self.word_classes + 1))
+        few = _bounded(self.p["words"], self.p["word_bias"])
         for c in range(self.word_classes):
             i, j, a, b = edges[c], edges[c + 1], self.begin[c], self.begin[c + 1]
             if i == j or b - a < 2:
                 continue
             s, w = states[i:j], self.p["words"][a:b]
-            logp, d = _softmax(s @ w.T + self.p["word_bias"][a:b], ids[i:j] - a, train)
+            x = s @ w.T
+            x += self.p["word_bias"][a:b]
+            logp, d, share = _softmax(x, ids[i:j] - a, train, few)
             out[i:j] += logp
             if train:
-                grads["words"][a:b] = d.T @ s
-                grads["word_bias"][a:b] = d.sum(0)
-                back[i:j] += d @ w
+                grads["words"][a:b] = d.T @ (s * share[:, None])
+                grads["word_bias"][a:b] = share @ d
+                d = d @ w
+                d *= share[:, None]
+                back[i:j] += d
         undone = np.empty_like(out)
         undone[order] = out
         if train:
@@ -131,15 +176,16 @@ class Model:
         """Carried state, gradients and mean loss of a window (steps x lanes); only tokens where real holds count."""
         steps, lanes = ids.shape
         n, f = self.hidden, self.p["inputs"].dtype
-        x = np.ascontiguousarray(self.p["inputs"][ids].transpose(0, 2, 1))
-        states = np.empty((steps, n, lanes), f)
-        kept = []
+        if len(h) == n:
+            h = np.vstack([h, np.ones((1, lanes), f)])
+        inputs, weights = self.recurrence()
+        x = np.ascontiguousarray(inputs[ids].transpose(0, 2, 1))
+        states, zr, c, own = (np.empty((steps, m * n, lanes), f) for m in (1, 2, 1, 1))
         goes_on = (ids != END).astype(f)
         for t in range(steps):
-            states[t] = h
-            new, *rest = self.step(x[t], h)
-            kept.append(rest)
-            h = new * goes_on[t]
+            states[t] = h[:n]
+            self.advance(weights, x[t], h, (zr[t], c[t], own[t]))
+            h[:n] *= goes_on[t]
         grads: dict[str, np.ndarray] = {}
         flat = states.transpose(0, 2, 1).reshape(-1, n)
         if real is None:
@@ -150,28 +196,40 @@ class Model:
             back = np.zeros_like(flat)
             back[some] = found
         back = np.ascontiguousarray(back.reshape(steps, lanes, n).transpose(0, 2, 1))
-        dx = np.empty((steps, 3 * n, lanes), f)
-        da = np.empty((3 * n, lanes), f)
+        # What a step's gradient is multiplied with, of all steps at once; in the arrays that hold the gates.
+        z, r = zr[:, :n], zr[:, n:]
+        left = 1 - z
+        by_z = states - c
+        by_z *= z
+        by_z *= left
+        by_c = np.multiply(c, c, out=c)
+        np.subtract(1, by_c, out=by_c)
+        by_c *= left
+        by_r = np.subtract(1, r, out=left)
+        by_r *= r
+        by_r *= own
+        dx, da = np.empty((steps, 3 * n, lanes), f), np.empty((steps, 3 * n, lanes), f)
         dh = np.zeros((n, lanes), f)
-        grads["recurrent"], grads["bias"] = np.zeros((3 * n, n), f), np.zeros(3 * n, f)
         u_t = np.ascontiguousarray(self.p["recurrent"].T)
         for t in range(steps - 1, -1, -1):
-            z, r, c, an = kept[t]
-            d = dh * goes_on[t]
-            dc = d * (1 - z) * (1 - c * c)
-            dx[t, :n] = d * (states[t] - c) * z * (1 - z)
-            dx[t, n : 2 * n] = dc * an * r * (1 - r)
-            dx[t, 2 * n :] = dc
-            da[: 2 * n], da[2 * n :] = dx[t, : 2 * n], dc * r
-            grads["recurrent"] += da @ states[t].T
-            grads["bias"] += da.sum(1)
-            dh = d * z + u_t @ da + back[t]
+            dh *= goes_on[t]
+            dt, at = dx[t], da[t]
+            np.multiply(dh, by_z[t], out=dt[:n])
+            np.multiply(dh, by_c[t], out=dt[2 * n :])
+            np.multiply(dt[2 * n :], by_r[t], out=dt[n : 2 * n])
+            at[: 2 * n] = dt[: 2 * n]
+            np.multiply(dt[2 * n :], r[t], out=at[2 * n :])
+            dh *= z[t]
+            dh += u_t @ at
+            dh += back[t]
+        grads["recurrent"] = np.matmul(da, states.transpose(0, 2, 1)).sum(axis=0)
+        grads["bias"] = da.sum(axis=(0, 2))
         flat = ids.ravel()
         order = np.argsort(flat.astype(np.int16) if self.k < 30_000 else flat, kind="stable")
         start = np.flatnonzero(np.append(True, np.diff(flat[order]) > 0))
         grads["inputs"] = np.zeros_like(self.p["inputs"])
         grads["inputs"][flat[order][start]] = np.add.reduceat(dx.transpose(0, 2, 1).reshape(-1, 3 * n)[order], start)
-        return h, grads, -float(logp.mean())
+        return h[:n], grads, -float(logp.mean())
 
 
 class Trainer:
@@ -237,6 +295,7 @@ def document_scores(model: Model, ids: np.ndarray, first: np.ndarray, most: int
     lens = np.diff(first)
     order = np.argsort(-lens, kind="stable")
     out = np.zeros(len(lens))
+    inputs, weights = model.recurrence()
     at = 0
     while at < len(order):
         upto = int(np.searchsorted(np.cumsum(lens[order[at:]]), most, "right")) + at
@@ -252,16 +311,15 @@ def document_scores(model: Model, ids: np.ndarray, first: np.ndarray, most: int
         lane = np.arange(total) - offset[t_of]
         tokens = ids[begin[lane] + t_of]
         states = np.empty((total, model.hidden), np.float32)
-        h = np.zeros((model.hidden, len(docs)), np.float32)
-        inputs = model.p["inputs"]
+        h = model.begin_states(len(docs))
         for t in range(longest):
             a, b = offset[t], offset[t + 1]
             if b - a < h.shape[1]:
                 h = np.ascontiguousarray(h[:, : b - a])
-            states[a:b] = h.T
-            h = model.step(np.ascontiguousarray(inputs[tokens[a:b]].T), h)[0]
+            states[a:b] = h[: model.hidden].T
+            model.advance(weights, inputs[tokens[a:b]].T, h)
         logp = np.empty(total)
-        for a in range(0, total, 8192):
-            logp[a : a + 8192] = model.output(states[a : a + 8192], tokens[a : a + 8192])[0]
+        for a in range(0, total, PART):
+            logp[a : a + PART] = model.output(states[a : a + PART], tokens[a : a + PART])[0]
         out[docs] = np.bincount(lane, logp, len(docs))
     return out

@@ -86,12 +86,11 @@ def tokens_of(buf: np.ndarray, offsets: np.ndarray, lower: bool = False) -> Toke
 
 
 def shapes(t: Tokens, kinds: np.ndarray) -> np.ndarray:
-    """Of each word the union of kinds (bits by byte) of its bytes."""
+    """Of each word the union of kinds (bits by byte; none of white space) of its bytes."""
     if not len(t.starts):
         return np.zeros(0, kinds.dtype)
-    lens = t.ends - t.starts
-    at = np.cumsum(lens) - lens
-    return np.bitwise_or.reduceat(kinds[t.buf[ranges(t.starts, lens)]], at)
+    # Up to the next word stands white space only, which adds nothing.
+    return np.bitwise_or.reduceat(kinds[t.buf], t.starts)
 
 
 def window_hash(h: np.ndarray, k: int) -> np.ndarray:

@@ -97,6 +97,25 @@ def test_carried_state_is_the_windows_state():
         assert total == pytest.approx(want, rel=1e-4)
 
 
+def test_states_advance_in_place_and_logits_are_cut():
+    rng = np.random.default_rng(5)
+    model = recurrent_lm.Model(np.arange(30, 0, -1), np.full(recurrent_lm.SHAPES, 9), hidden=4)
+    for p in model.p.values():
+        p += rng.standard_normal(p.shape).astype(np.float32) * 0.3
+    inputs, weights = model.recurrence()
+    states, h, ids = model.begin_states(3), np.zeros((4, 3)), np.array([1, 5, 9])
+    for _ in range(4):
+        a, x = model.p["recurrent"] @ h + model.p["bias"][:, None], model.p["inputs"][ids].T
+        z, r = 1 / (1 + np.exp(-x[:4] - a[:4])), 1 / (1 + np.exp(-x[4:8] - a[4:8]))
+        c = np.tanh(x[8:] + r * a[8:])
+        h = c + z * (h - c)
+        model.advance(weights, inputs[ids].T, states)
+        assert states[:4] == pytest.approx(h, abs=1e-5) and (states[4] == 1).all()
+    model.p["word_bias"][3] = 100  # of the second class; far beyond what is raised
+    assert not recurrent_lm._bounded(model.p["words"], model.p["word_bias"])
+    assert np.isfinite(model.output(states[:4].T, np.array([3, 2, 1]))[0]).all()
+
+
 def test_packing_round_trip(spark):
     import public_tokenizers
     from tokenizers import Tokenizer
