@@ -80,6 +80,8 @@ def apply_changes(target: DataFrame, log: DataFrame, source: Source = None, own:
     out = ["doc"] + (["born"] if born else [])
     if depth == 0:
         return both.select(*keys, *out)
+    # Tables of a row a key or field that several of the joins below read: plans of their own would fold the log again for each.
+    both = written(both, "alive")
     updates = log.filter("op = 'update'").join(both.select(*keys, "base_at", "inside"), keys).filter(F.col("base_at").isNull() | (F.col("at") > F.col("base_at")))
 
     # Whole fields: of each the last write; the fields set stand in the order in which they came to stay.
@@ -88,11 +90,12 @@ def apply_changes(target: DataFrame, log: DataFrame, source: Source = None, own:
     writes = updates.filter("NOT inside").select(*keys, "at", F.explode(F.concat(sets, unsets)).alias("w")).select(*keys, F.struct("at", "w.n").alias("w"), "w.op", "w.path", "w.value")
     by_path = [*keys, "path"]
     last = writes.groupBy(*by_path).agg(F.max(F.struct("w", "op", "value")).alias("last"), F.max(F.when(F.col("op") == "unset", F.col("w"))).alias("gone"), F.min(F.when(F.col("op") == "set", F.col("w"))).alias("first"))
+    last = written(last, "last-writes")
     again = writes.join(last.filter("gone IS NOT NULL AND last.op = 'set'").select(*by_path, "gone"), by_path).filter("w > gone").groupBy(*by_path).agg(F.min("w").alias("since"))
     last = last.join(again, by_path, "left").withColumn("since", F.coalesce("since", "first"))
     fields = F.filter(F.sort_array(F.collect_list(F.struct("since", "path", F.col("last.value").alias("value"), F.col("last.op").alias("op")))), lambda x: x["op"] == "set")
     net = last.groupBy(*keys).agg(F.collect_list(F.when(F.col("gone").isNotNull(), F.col("path"))).alias("unset"), F.transform(fields, lambda x: F.struct(x["path"].alias("path"), x["value"].alias("value"))).alias("fields"))
-    whole = both.filter("NOT inside").join(net, keys, "left")
+    whole = written(both.filter("NOT inside").join(net, keys, "left"), "whole")
     plain = whole.filter("fields IS NULL").select(*keys, *out).unionByName(whole.filter("fields IS NOT NULL").withColumn("doc", overlaid(F.col("doc"), F.col("unset"), F.col("fields"))).select(*keys, *out))
     if depth == 1:
         return plain

@@ -113,6 +113,16 @@ def test_fields_keep_the_order_of_their_writes(spark):
     assert _rows(apply_changes(target, _log(spark, events))) == {("c", "a"): '{"b":7,"d":1,"a":8,"c":5,"e":{"f":1}}'}
 
 
+def test_changes_are_folded_once(spark):
+    target = spark.createDataFrame([("d", "c", "a", '{"v":1}'), ("d", "c", "b", '{"v":{"w":1}}')], TARGET)
+    events = [_update(0, 1, "a", [("v", 2)]), _update(1, 2, "b", [("v.w", 3)])]
+    log = _log(spark, events)
+    out = apply_changes(target, log)
+    assert _rows(out) == {("c", "a"): '{"v":2}', ("c", "b"): '{"v":{"w":3}}'}
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert 0 < plan.count("LogicalRDD") + plan.count("LocalRelation") <= 3  # the log and the target; without tables on the way they were read 27 times
+
+
 def test_replication(spark, tmp_path):
     log = str(tmp_path / "log")
     first = [
