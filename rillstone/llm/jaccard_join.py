@@ -14,8 +14,11 @@ of blocks. In a block, sets stand in rows of ROW, and the token union of each ro
 overlap with the union bounds its overlap with each of the row's sets, and only rows that the bound
 lets through are opened and compared token by token.
 
-The order of tokens takes the COMMON most frequent of those that repeat within a task as frequent; any
-order gives the same links. Of links only enough to connect a component are returned.
+The order of tokens is that of counters that all tasks' tokens are added to, COUNTERS of them at every size, each
+for the tokens whose hashes begin alike. A token that stands in many sets has a large counter, so that it comes
+first in a set only where all of the set's tokens have. Any order gives the same links, but one that takes
+tokens of some dozen sets for rare ones joins unlike sets to groups that grow faster than the table. Of links
+only enough to connect a component are returned.
 """
 
 from __future__ import annotations
@@ -32,8 +35,10 @@ from .components import components
 from .textkernel import by_bucket, join_hashes, mix, portions, powers, ranges, spread, squeeze, tokens_of, window_hash
 
 SHINGLE, PERCENT = 4, 85
-#: Times a token stands in a task to be counted; tokens that the order knows as frequent.
-REPEATS, COMMON = 4, 300_000
+#: Counters of tokens by the hash's first bits, and the parts in which tasks send them.
+COUNTERS, PARTS = 1 << 22, 64
+#: Tokens a task holds before they are counted, and the least count that is rounded.
+HELD, ROUNDED = 4_000_000, 1 << 15
 #: Sets of a token from which they are joined as they are, not by pairs.
 LONG = 64
 #: Tokens a bucket holds and a task gathers; sets in a block and in a row of the matrix.
@@ -43,25 +48,32 @@ PIVOTS = 16
 NO_ID = -(2**63)
 
 
+def _shingles(buf: np.ndarray, offsets: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Tokens of the texts, with repetitions, and the text of each."""
+    t = tokens_of(buf, offsets, lower=True)
+    n = np.diff(t.first)
+    count = np.where(n >= k, n - k + 1, 0)
+    tokens, owner = window_hash(t.hashes, k)[ranges(t.first[:-1], count)], np.repeat(np.arange(len(n)), count)
+    short = np.flatnonzero((n > 0) & (n < k))
+    if len(short):
+        whole = np.array([_sequence(t.hashes[t.first[i] : t.first[i + 1]]) for i in short.tolist()], np.uint64)
+        tokens, owner = np.append(tokens, whole), np.append(owner, short)
+    return tokens, owner
+
+
 class _Sets:
     """The shingle sets of some texts: tokens (ascending in each set), their set, set hashes and sizes."""
 
     def __init__(self, buf: np.ndarray, offsets: np.ndarray, k: int):
-        t = tokens_of(buf, offsets, lower=True)
-        n = np.diff(t.first)
-        count = np.where(n >= k, n - k + 1, 0)
-        tokens, owner = window_hash(t.hashes, k)[ranges(t.first[:-1], count)], np.repeat(np.arange(len(n)), count)
-        short = np.flatnonzero((n > 0) & (n < k))
-        if len(short):
-            whole = np.array([_sequence(t.hashes[t.first[i] : t.first[i + 1]]) for i in short.tolist()], np.uint64)
-            tokens, owner = np.append(tokens, whole), np.append(owner, short)
+        tokens, owner = _shingles(buf, offsets, k)
+        n = len(offsets) - 1
         order = np.lexsort((tokens, owner))
         tokens, owner = tokens[order], owner[order]
         new = np.append(True, (tokens[1:] != tokens[:-1]) | (owner[1:] != owner[:-1]))[: len(tokens)]
         self.tokens, self.owner = tokens[new], owner[new]
-        self.size = np.bincount(self.owner, minlength=len(n))
+        self.size = np.bincount(self.owner, minlength=n)
         self.first = np.append(0, np.cumsum(self.size))
-        self.hash = np.zeros(len(n), np.uint64)
+        self.hash = np.zeros(n, np.uint64)
         some = np.flatnonzero(self.size)
         if len(some):
             place = ranges(np.zeros(len(some), np.int64), self.size[some])
@@ -77,49 +89,52 @@ def _sequence(h: np.ndarray) -> int:
     return int(out[0])
 
 
-def _repeats(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
-    """Tokens that repeat among the sets of this task, with counts, and the number of all (a null token)."""
-    held: list[np.ndarray] = []
-    n = 0
+def _slot(tokens: np.ndarray) -> np.ndarray:
+    return (tokens >> np.uint64(65 - COUNTERS.bit_length())).astype(np.int64)
 
-    def flush() -> pa.RecordBatch:
-        keys, counts = np.unique(np.concatenate(held), return_counts=True)
-        held.clear()
-        some = counts >= REPEATS
-        return pa.RecordBatch.from_arrays([pa.array(keys[some].view(np.int64)), pa.array(counts[some])], names=["token", "n"])
 
+def _counted(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
+    """What the tokens of this task add to the counters of each part, packed; repetitions in a text count."""
+    counts = np.zeros(COUNTERS, np.int64)
+    held: list[np.ndarray] = []
     for batch in batches:
         for _, _, buf, offsets in portions(batch.column("text")):
-            tokens = _Sets(buf, offsets, k).tokens
-            held.append(tokens)
-            n += len(tokens)
-            if sum(map(len, held)) > 6_000_000:
-                yield flush()
+            held.append(_slot(_shingles(buf, offsets, k)[0]))
+            if sum(map(len, held)) > HELD:
+                counts += np.bincount(np.concatenate(held), minlength=COUNTERS)
+                held.clear()
     if held:
-        yield flush()
-    yield pa.RecordBatch.from_arrays([pa.array([None], pa.int64()), pa.array([n], pa.int64())], names=["token", "n"])
-
-
-def _prefixes(x: _Sets, common: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Tokens, their sets and places in them, that stand first in the order of all tokens. common: the frequent ones, rarest first by (count, token)."""
-    tokens, owner = x.tokens, x.owner
-    if len(common):
-        by_token = np.argsort(common)
-        at = np.minimum(np.searchsorted(common, tokens, sorter=by_token), len(common) - 1)
-        rank = np.where(common[by_token[at]] == tokens, by_token[at] + 1, 0)
-        if rank.any():
-            order = np.lexsort((tokens, rank, owner))
-            tokens = tokens[order]
+        counts += np.bincount(np.concatenate(held), minlength=COUNTERS)
+    packed = [squeeze(x) if x.any() else None for x in counts.reshape(PARTS, -1)]
+    some = [i for i, p in enumerate(packed) if p]
+    yield pa.RecordBatch.from_arrays([pa.array(some, pa.int64()), pa.array([packed[i] for i in some], pa.binary())], names=["part", "packed"])
+
+
+def _added(table: pa.Table) -> pa.Table:
+    """The counters of a part as the order has them, 16 bits each, large ones rounded, and their sum."""
+    counts = np.zeros(COUNTERS // PARTS, np.int64)
+    for packed in table.column("packed").to_pylist():
+        counts += np.frombuffer(spread(packed)[0], np.int64)
+    large = 2048 * np.log2(np.maximum(counts, ROUNDED) / ROUNDED)
+    ranks = np.minimum(np.minimum(counts, ROUNDED) + large.astype(np.int64), (1 << 16) - 1).astype(np.uint16)
+    return pa.table({"part": table.column("part")[:1], "packed": pa.array([squeeze(ranks)], pa.binary()), "n": pa.array([int(counts.sum())], pa.int64())})
+
+
+def _prefixes(x: _Sets, ranks: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Tokens, their sets and places in them, that stand first in the order of all tokens: by counters (ranks), then by hash."""
+    # A set's tokens ascend, and equal keys keep their order.
+    order = np.argsort((x.owner << 16) | ranks[_slot(x.tokens)], kind="stable")
     length = np.where(x.size > 0, x.size - -(-percent * x.size // 100) + 1, 0)
     pick = ranges(x.first[:-1], length)
-    return tokens[pick], owner[pick], ranges(np.zeros(len(length), np.int64), length)
+    return x.tokens[order[pick]], x.owner[pick], ranges(np.zeros(len(length), np.int64), length)
 
 
-def _send(batches: Iterator[pa.RecordBatch], k: int, percent: int, buckets: int, common: np.ndarray) -> Iterator[pa.RecordBatch]:
+def _send(batches: Iterator[pa.RecordBatch], k: int, percent: int, buckets: int, packed: list[bytes]) -> Iterator[pa.RecordBatch]:
     """Packed prefix tokens with their sets by the token's bucket, and what is known of each document."""
     held: list[list[np.ndarray]] = [[], [], [], []]
     docs: list[list[np.ndarray]] = [[], [], [], []]
     m = np.uint64(buckets)
+    ranks = np.concatenate([np.frombuffer(spread(p)[0], np.uint16) if p else np.zeros(COUNTERS // PARTS, np.uint16) for p in packed])
 
     def flush() -> Iterator[pa.RecordBatch]:
         tokens, sets, sizes, places = (np.concatenate(h) for h in held)
@@ -141,7 +156,7 @@ def _send(batches: Iterator[pa.RecordBatch], k: int, percent: int, buckets: int,
         for a, b, buf, offsets in portions(batch.column("text")):
             x = _Sets(buf, offsets, k)
             _, first = np.unique(x.hash, return_index=True)
-            tokens, owner, place = _prefixes(x, common, percent)
+            tokens, owner, place = _prefixes(x, ranks, percent)
             lead = np.zeros(len(x.hash), bool)
             lead[first] = True
             mine = lead[owner]
@@ -337,15 +352,10 @@ def near_duplicates(documents: DataFrame, k: int = SHINGLE, percent: int = PERCE
     spark = documents.sparkSession
     for_python(spark)
     docs = documents.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("row_key"))
-    told = docs.select("text").mapInArrow(lambda it: _repeats(it, k), "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
-    top = told.orderBy(F.col("token").isNotNull(), F.col("n").desc(), "token").limit(COMMON + 1).toArrow()  # of bounded size
-    tokens, counts = top.column("token"), top.column("n").to_numpy()
-    known = ~tokens.is_null().to_numpy(zero_copy_only=False)
-    total = int(counts[~known].sum())
-    tokens = tokens.fill_null(0).to_numpy()[known].view(np.uint64)
-    common = tokens[np.lexsort((tokens, counts[known]))]
-    buckets = max(12, -(-total * (100 - percent) // 100 // BUCKET))
-    shared = spark.sparkContext.broadcast(common)
+    told = docs.select("text").mapInArrow(lambda it: _counted(it, k), "part long, packed binary").groupBy("part").applyInArrow(_added, "part long, packed binary, n long").toArrow()  # of bounded size
+    by_part = dict(zip(told.column("part").to_pylist(), told.column("packed").to_pylist(), strict=True))
+    buckets = max(12, -(-sum(told.column("n").to_pylist()) * (100 - percent) // 100 // BUCKET))
+    shared = spark.sparkContext.broadcast([by_part.get(i) for i in range(PARTS)])
     sent = docs.mapInArrow(lambda it: _send(it, k, percent, buckets, shared.value), "bucket long, packed binary")
     met = written(sent.groupBy("bucket").applyInArrow(lambda t: _meet(t, percent), "kind long, a long, b long, c long, d long"), "met")
     known_docs = met.filter("kind = 1").select(F.when(F.col("a") != NO_ID, F.col("a")).alias("doc_id"), F.col("b").alias("row_key"), F.col("c").alias("n_shingles"), F.col("d").alias("set"))

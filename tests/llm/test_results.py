@@ -221,6 +221,35 @@ def test_jaccard_links_of_a_large_family(spark, monkeypatch):
     assert got == label
 
 
+def _candidates(spark, monkeypatch, docs, slices, k, percent):
+    """near_duplicates' component_id by doc_id, and how many sets each set's group of candidates has."""
+    seen = []
+
+    def recorded(df, name):
+        out = written(df, name)
+        if name == "candidates":
+            seen.extend(r.sets for r in out.collect())
+        return out
+
+    written = jaccard_join.written
+    monkeypatch.setattr(jaccard_join, "written", recorded)
+    table = spark.createDataFrame(spark.sparkContext.parallelize(docs, slices), "doc_id long, text string")
+    return {r.doc_id: r.component_id for r in jaccard_join.near_duplicates(table, k=k, percent=percent).collect()}, seen
+
+
+@pytest.mark.parametrize(("k", "percent"), [(5, 80)], ids=["pipeline"])
+def test_jaccard_unlike_sets_of_frequent_tokens(spark, monkeypatch, k, percent):
+    """Phrases of 80 documents each, a few times a task at most: they join no unlike sets."""
+    docs = []
+    for i in range(1280):
+        parts = [[f"p{(10 * i + j) % 160}x{w}" for w in range(k)] + [f"u{i}x{j}x{w}" for w in range(10 - k)] for j in range(10)]
+        docs.append((i, " ".join(w for part in parts for w in part)))
+    docs.append((5000, docs[7][1] + " more"))
+    got, seen = _candidates(spark, monkeypatch, docs, 64, k, percent)
+    assert got == {i: i for i in range(1280)} | {5000: 7}
+    assert seen == [2, 2]
+
+
 def test_embeddings(spark):
     rng = np.random.default_rng(6)
     base = rng.standard_normal((40, 24))
