@@ -121,10 +121,13 @@ def _added(table: pa.Table) -> pa.Table:
 
 
 def _prefixes(x: _Sets, ranks: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Tokens, their sets and places in them, that stand first in the order of all tokens: by counters (ranks), then by hash."""
+    """Tokens, their sets and places in them, that stand first in the order of all tokens: by counters (ranks), then by hash.
+
+    None of sets so small that they link with equal ones only, which are one class.
+    """
     # A set's tokens ascend, and equal keys keep their order.
     order = np.argsort((x.owner << 16) | ranks[_slot(x.tokens)], kind="stable")
-    length = np.where(x.size > 0, x.size - -(-percent * x.size // 100) + 1, 0)
+    length = np.where(100 * x.size >= percent * (x.size + 1), x.size - -(-percent * x.size // 100) + 1, 0)
     pick = ranges(x.first[:-1], length)
     return x.tokens[order[pick]], x.owner[pick], ranges(np.zeros(len(length), np.int64), length)
 

@@ -237,7 +237,7 @@ def _candidates(spark, monkeypatch, docs, slices, k, percent):
     return {r.doc_id: r.component_id for r in jaccard_join.near_duplicates(table, k=k, percent=percent).collect()}, seen
 
 
-@pytest.mark.parametrize(("k", "percent"), [(5, 80)], ids=["pipeline"])
+@pytest.mark.parametrize(("k", "percent"), [(5, 80), (4, 85)], ids=["pipeline", "op9"])
 def test_jaccard_unlike_sets_of_frequent_tokens(spark, monkeypatch, k, percent):
     """Phrases of 80 documents each, a few times a task at most: they join no unlike sets."""
     docs = []
@@ -250,6 +250,15 @@ def test_jaccard_unlike_sets_of_frequent_tokens(spark, monkeypatch, k, percent):
     assert seen == [2, 2]
 
 
+def test_jaccard_small_sets_link_with_equal_ones_only(spark, monkeypatch):
+    """Two tokens of 4 words each, every one in two texts: one of three shared is below the threshold."""
+    words = [f"w{i}" for i in range(60)]
+    docs = [(i, " ".join((words + words)[i : i + 5])) for i in range(60)] + [(100, " ".join(words[3:8]))]
+    got, seen = _candidates(spark, monkeypatch, docs, 4, 4, 85)
+    assert got == {i: i for i in range(60)} | {100: 3}
+    assert seen == []
+
+
 def test_embeddings(spark):
     rng = np.random.default_rng(6)
     base = rng.standard_normal((40, 24))
